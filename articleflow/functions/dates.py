@@ -25,7 +25,7 @@ COMPACT = r"^(\d{4})(\d{2})(\d{2})$"
 
 def _ymd(y: Column, m: Column, d: Column) -> Column:
     txt = F.concat_ws("-", F.lpad(y, 4, "0"), F.lpad(m, 2, "0"), F.lpad(d, 2, "0"))
-    return F.try_to_date(txt, F.lit("yyyy-MM-dd"))
+    return F.try_to_date(txt, "yyyy-MM-dd")
 
 
 def _month_number(name: Column) -> Column:

@@ -345,13 +345,13 @@ SQL["similar_flag"] = f"WITH {V_CTE}\nSELECT {CLEAN_COLS}, is_duplicate FROM w3"
 SQL["clean_stats"] = f"""WITH {V_CTE},
 tagged AS (
   SELECT ok.raw_id, CASE WHEN w3.raw_id IS NOT NULL THEN 'inserted' ELSE 'skipped' END AS outcome,
-         coalesce(w3.is_duplicate, false) AS similar
+         coalesce(w3.is_duplicate, false) AS sim
   FROM ok LEFT JOIN w3 ON ok.raw_id = w3.raw_id
   UNION ALL
   SELECT raw_id, 'invalid', false FROM v WHERE reason <> 'ok')
 SELECT outcome, count(*) AS n FROM tagged GROUP BY outcome
 UNION ALL
-SELECT 'similar', count(*) FROM tagged WHERE similar"""
+SELECT 'similar', count(*) FROM tagged WHERE sim"""
 
 _STORE = f""",
 st_ok AS (SELECT * FROM ok WHERE raw_id < 1000000),
@@ -465,14 +465,14 @@ SELECT coalesce(a.category, {lit(K.DEFAULT_CATEGORY)}) AS category, coalesce(s.s
        count(*) AS n
 FROM s JOIN a ON a.id = s.article_id GROUP BY 1, 2"""
 SQL["sentiment_pivot"] = f"""{AS_CTE},
-by AS (SELECT coalesce(a.category, {lit(K.DEFAULT_CATEGORY)}) AS category, coalesce(s.sentiment, 'unknown') AS sentiment
+bycat AS (SELECT coalesce(a.category, {lit(K.DEFAULT_CATEGORY)}) AS category, coalesce(s.sentiment, 'unknown') AS sentiment
        FROM s JOIN a ON a.id = s.article_id)
 SELECT category,
   CAST(count(*) FILTER (WHERE sentiment = 'positive') AS BIGINT) AS positive,
   CAST(count(*) FILTER (WHERE sentiment = 'neutral') AS BIGINT) AS neutral,
   CAST(count(*) FILTER (WHERE sentiment = 'negative') AS BIGINT) AS negative,
   CAST(count(*) FILTER (WHERE sentiment NOT IN ('positive', 'neutral', 'negative')) AS BIGINT) AS unknown
-FROM by GROUP BY category"""
+FROM bycat GROUP BY category"""
 SQL["quality_metrics"] = f"""WITH {A_CTE},{S_CTE},{RP_CTE[1:] if RP_CTE.startswith(chr(10)) else RP_CTE},
 rc AS (SELECT count(*) AS raw_total, count(*) FILTER (WHERE crawl_status = 'ok') AS raw_ok FROM rp),
 cc AS (SELECT count(*) AS clean_total, count(*) FILTER (WHERE is_duplicate) AS duplicates FROM a),

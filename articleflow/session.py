@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 # AQE coalescing: start high enough for the cluster, let AQE merge small ones.
 _BASE_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
