@@ -73,8 +73,7 @@ def keyword_tokens(title: Column | str, stopwords=K.STOPWORDS) -> Column:
 _TAG_RE = re.compile(K.HTML_TAG)
 
 
-@F.pandas_udf(StringType())
-def _decode_detag_nfkc(s: pd.Series) -> pd.Series:
+def _decode_detag_nfkc_py(s: pd.Series) -> pd.Series:
     # entity decoding -> tags to a space -> NFKC, in this order (the order
     # matters: decoded '&lt;b&gt;' is a tag afterwards).
     def one(v):
@@ -85,6 +84,11 @@ def _decode_detag_nfkc(s: pd.Series) -> pd.Series:
     return s.map(one)
 
 
+# Non-deterministic only to stop Catalyst from duplicating the call into
+# pushed-down filters or several projections; the result is deterministic.
+_decode_detag_nfkc = F.pandas_udf(_decode_detag_nfkc_py, StringType()).asNondeterministic()
+
+
 def strip_boilerplate(c: Column | str, patterns=K.BOILERPLATE_PATTERNS) -> Column:
     c = col_(c)
     for p in patterns:

@@ -16,6 +16,7 @@ from .. import constants as K
 from ..functions import text as T
 from ..functions.dates import normalize_date
 from ..functions.urls import normalize_url
+from ..session import checkpoint_dir
 from .dedup import first_per_key, last_per_key
 
 # sha1 of the empty title key: titles without ASCII alnum / Hangul.
@@ -24,9 +25,15 @@ EMPTY_TITLE_HASH = "da39a3ee5e6b4b0d3255bfef95601890afd80709"
 CLEAN_COLUMNS = ("raw_id", "url", "title", "title_hash", "body", "category", "source", "published_at")
 
 
-def validate(raw: DataFrame, min_body: int = K.MIN_BODY) -> DataFrame:
+def validate(raw: DataFrame, min_body: int = K.MIN_BODY, stage: bool = True) -> DataFrame:
     """Every raw row with ``reason`` ('ok' or the first failing rule),
-    ``body_len`` and the normalised clean fields."""
+    ``body_len`` and the normalised clean fields.
+
+    With ``stage`` (default) the validated rows are checkpointed to the
+    shared checkpoint folder: the text normalisation runs once per row, the
+    later branches (valid / rejected / url firsts / title firsts) read the
+    staged rows, and the lineage back to the raw scan is cut.
+    """
     norm = raw.select(
         F.col("id").alias("raw_id"),
         T.unicode_trim(F.coalesce(F.col("url"), F.lit(""))).alias("_url"),
@@ -39,7 +46,7 @@ def validate(raw: DataFrame, min_body: int = K.MIN_BODY) -> DataFrame:
               .when(F.col("body") == "", F.lit("no_body"))
               .when(F.length("body") < min_body, F.lit("short_body"))
               .otherwise(F.lit("ok")))
-    return norm.select(
+    out = norm.select(
         "raw_id",
         reason.alias("reason"),
         F.length("body").cast("long").alias("body_len"),
@@ -51,6 +58,10 @@ def validate(raw: DataFrame, min_body: int = K.MIN_BODY) -> DataFrame:
         F.coalesce(T.blank_to_null("source"), F.lit(K.DEFAULT_SOURCE)).alias("source"),
         normalize_date(F.col("_pub"), F.col("collected_at")).alias("published_at"),
     )
+    if stage:
+        checkpoint_dir(out.sparkSession)
+        out = out.checkpoint(eager=True)
+    return out
 
 
 def clean_valid(raw: DataFrame, min_body: int = K.MIN_BODY) -> DataFrame:

@@ -61,8 +61,7 @@ def _group_count(pattern: str) -> int:
     return re.compile(pattern.replace(r"\1", "")).groups
 
 
-@F.pandas_udf(StringType())
-def html_text(fragment: pd.Series) -> pd.Series:
+def _html_text(fragment: pd.Series) -> pd.Series:
     """Text of an HTML fragment whose tags were replaced by SEP."""
     def one(v):
         if v is None:
@@ -73,6 +72,11 @@ def html_text(fragment: pd.Series) -> pd.Series:
     return fragment.map(one)
 
 
+# Marked non-deterministic only so that Catalyst never duplicates the call
+# (it is not pushed into filters or inlined into several projections).
+html_text = F.pandas_udf(_html_text, StringType()).asNondeterministic()
+
+
 def remove_elements(h: Column, selectors=K.DEFAULT_REMOVE_SELECTORS) -> Column:
     h = F.regexp_replace(h, _COMMENT, SEP)
     for sel in selectors:
@@ -90,14 +94,9 @@ def _has_text(fragment: Column) -> Column:
     return F.regexp_replace(fragment, _TAG, "").rlike("[^" + WS[1:-1] + "]")
 
 
-def select_text(h: Column, selectors) -> Column:
-    """First selector in order that yields non-empty text, else NULL.
-
-    Candidates are picked JVM-side; only the chosen fragment goes through
-    the Python text helper (one call per row and field).
-    """
-    chosen = F.lit(None).cast("string")
-    for sel in reversed(list(selectors)):
+def _candidates(h: Column, selectors) -> list[Column]:
+    out = []
+    for sel in selectors:
         mm = _META.match(sel)
         if mm:
             attr, val = re.escape(mm.group(1)), re.escape(mm.group(2))
@@ -108,23 +107,40 @@ def select_text(h: Column, selectors) -> Column:
         else:
             pat = element_pattern(sel)
             frag = F.regexp_extract(h, pat, _group_count(pat))
-        chosen = F.when(_has_text(frag), frag).otherwise(chosen)
-    text = _fragment_text(chosen)
-    return F.when(F.coalesce(text, F.lit("")) != "", text)
-
-
-def extract_article(html_col: Column | str,
-                    title_selectors=K.DEFAULT_TITLE_SELECTORS,
-                    body_selectors=K.DEFAULT_BODY_SELECTORS,
-                    remove_selectors=K.DEFAULT_REMOVE_SELECTORS) -> Column:
-    """struct(title, body) of one page; NULL fields when nothing found."""
-    h = remove_elements(F.coalesce(col_(html_col), F.lit("")), remove_selectors)
-    return F.struct(select_text(h, title_selectors).alias("title"),
-                    select_text(h, body_selectors).alias("body"))
+        out.append(frag)
+    return out
+
+
+def _pick_first(df: DataFrame, h: str, selectors, out: str) -> DataFrame:
+    """Adds ``out`` = the first candidate fragment with text.  Candidate i
+    is only evaluated when candidates < i had no text (one stage each)."""
+    cands = _candidates(F.col(h), selectors)
+    cur = df.withColumn(out, F.lit(None).cast("string"))
+    for c in cands:
+        cur = cur.withColumn(out, F.when(F.col(out).isNull(), c).otherwise(F.col(out)))
+        cur = cur.withColumn(out, F.when(_has_text(F.col(out)), F.col(out)))
+    return cur
+
+
+def with_extracted(df: DataFrame, html_col: str = "html", title_col: str = "title", body_col: str = "body",
+                   title_selectors=K.DEFAULT_TITLE_SELECTORS,
+                   body_selectors=K.DEFAULT_BODY_SELECTORS,
+                   remove_selectors=K.DEFAULT_REMOVE_SELECTORS) -> DataFrame:
+    """S6 on a frame: adds ``title_col`` / ``body_col`` (NULL when nothing
+    is found).  Staged projections keep every regex pass to one evaluation
+    per row: cleaned HTML -> first fragment with text per field (later
+    selectors only run when earlier ones found nothing) -> one text-helper
+    call per field."""
+    keep = [c for c in df.columns if c != html_col]
+    h = df.select(*keep, remove_elements(F.coalesce(F.col(html_col), F.lit("")), remove_selectors).alias("_h"))
+    h = _pick_first(h, "_h", title_selectors, "_tf")
+    h = _pick_first(h, "_h", body_selectors, "_bf").drop("_h")
+    texts = h.select(*keep, _fragment_text(F.col("_tf")).alias("_tt"), _fragment_text(F.col("_bf")).alias("_bt"))
+    return texts.select(*[c for c in keep if c not in (title_col, body_col)],
+                        F.when(F.col("_tt") != "", F.col("_tt")).alias(title_col),
+                        F.when(F.col("_bt") != "", F.col("_bt")).alias(body_col))
 
 
 def page_extract(pages: DataFrame, **selectors) -> DataFrame:
     """``pages(page_id, url, html)`` -> ``(page_id, url, title, body)``."""
-    ext = extract_article(F.col("html"), **selectors)
-    return pages.select("page_id", "url", ext.alias("x")).select(
-        "page_id", "url", F.col("x.title").alias("title"), F.col("x.body").alias("body"))
+    return with_extracted(pages.select("page_id", "url", "html"), **selectors).select("page_id", "url", "title", "body")

@@ -20,7 +20,7 @@ from .. import constants as K
 from ..functions import text as T
 from ..functions.urls import url_first_segment, url_host
 from ..operators.dedup import flag_later_in_group
-from .pages import extract_article
+from .pages import with_extracted
 from .tables import read_table
 
 EPOCH = "2024-01-01"
@@ -86,8 +86,8 @@ def spelled_day(day: Column, style: Column) -> Column:
 
 
 def raw_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = read_table(spark, sf_dir, "pages")
-    x = p.select("page_id", "url", extract_article(F.col("html")).alias("x"))
+    p = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    x = with_extracted(p).select("page_id", "url", F.struct("title", "body").alias("x"))
     day = _day_of(F.col("page_id"))
     return x.select(
         F.col("page_id").alias("id"),
