@@ -342,3 +342,71 @@ def quality_metrics(spark, sf):
 @query
 def article_count(spark, sf):
     return MT.article_count(_q(spark, sf, category=CATEGORY))
+
+
+# --------------------------------------------------------------------------
+# vectors and events
+# --------------------------------------------------------------------------
+from ..operators import events as EV  # noqa: E402
+
+EVENT_BLOCK = ["category", "published_at"]
+
+
+def _cluster_input(spark, sf):
+    """Articles with their F11 text."""
+    j = AR.articles_joined(_a(spark, sf), _s(spark, sf))
+    txt = T.cluster_text(F.col("title"), F.col("summary"), F.col("body"))
+    return j.select("id", "title", "category", "source", "published_at", "sentiment", txt.alias("text"))
+
+
+def _vectors(spark, sf):
+    return EV.hash_vectors(_cluster_input(spark, sf), "id", F.col("text"))
+
+
+@query
+def hash_vector(spark, sf):
+    return _vectors(spark, sf).select(F.col("id"), F.col("idx").cast("long").alias("idx"),
+                                      F.round("w", 6).alias("w"))
+
+
+@query
+def vector_norm(spark, sf):
+    e = read_table(spark, sf, "embeddings")
+    return e.select("vec_id", F.posexplode(EV.unit(F.col("embedding"))).alias("pos", "x")).select(
+        "vec_id", F.col("pos").cast("long").alias("pos"), F.round("x", 6).alias("x"))
+
+
+def _greedy_input(spark, sf):
+    c = _cluster_input(spark, sf)
+    return c.join(EV.packed(_vectors(spark, sf)), "id", "left")
+
+
+def _members(spark, sf, threshold=K.EVENT_THRESHOLD):
+    c = _greedy_input(spark, sf)
+    g = EV.greedy_clusters(c, EVENT_BLOCK, [F.col("id").desc()], threshold)
+    return g.join(c.select("id", "title", "source", "sentiment", "idx", "w"), "id")
+
+
+@query
+def event_greedy(spark, sf):
+    return EV.greedy_clusters(_greedy_input(spark, sf), EVENT_BLOCK, [F.col("id").desc()], K.EVENT_THRESHOLD)
+
+
+@query
+def event_rep(spark, sf):
+    return EV.representatives(_members(spark, sf), EVENT_BLOCK)
+
+
+@query
+def events(spark, sf):
+    return EV.events(_members(spark, sf), EVENT_BLOCK, K.EVENT_MIN_SOURCES)
+
+
+@query
+def tone_by_source(spark, sf):
+    return EV.tone_by_source(_members(spark, sf), EVENT_BLOCK)
+
+
+@query
+def tone_verdict(spark, sf):
+    return EV.tone_verdict(_members(spark, sf), EVENT_BLOCK)

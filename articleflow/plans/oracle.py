@@ -488,3 +488,26 @@ SELECT raw_total, raw_ok,
 FROM rc, cc, sc"""
 SQL["article_count"] = f"""{A_ONLY}
 SELECT count(*) AS n FROM a WHERE category = {lit(Q.CATEGORY)} AND NOT is_duplicate"""
+
+# vectors ----------------------------------------------------------------------
+_HEX = "'0123456789abcdef'"
+_BUCKET = (f"((strpos({_HEX}, substr(md5(g), 31, 1)) - 1) * 16 + (strpos({_HEX}, substr(md5(g), 32, 1)) - 1))")
+SQL["hash_vector"] = f"""{AS_CTE},{_J},
+ct AS (
+  SELECT id, {trim_ws("coalesce(title, '') || ' ' || CASE WHEN summary IS NOT NULL AND summary <> '' THEN summary "
+                      "ELSE substr(coalesce(body, ''), 1, 300) END")} AS txt FROM j),
+tk AS (SELECT id, unnest(regexp_extract_all(lower(txt), '[0-9A-Za-z가-힣]+')) AS t FROM ct),
+gr AS (
+  SELECT id, t AS g FROM tk
+  UNION ALL
+  SELECT id, unnest([substr(t, i, 2) FOR i IN range(1, length(t))]) AS g FROM tk WHERE length(t) > 1),
+bk AS (SELECT id, {_BUCKET} AS idx, count(*) AS n FROM gr GROUP BY 1, 2),
+nm AS (SELECT id, sqrt(sum(n * n)) AS nrm FROM bk GROUP BY id)
+SELECT bk.id, CAST(bk.idx AS BIGINT) AS idx, round(bk.n / nm.nrm, 6) AS w FROM bk JOIN nm ON bk.id = nm.id"""
+
+SQL["vector_norm"] = """
+WITH ex AS (SELECT vec_id, unnest(embedding) AS x, unnest(generate_series(0, len(embedding) - 1)) AS pos FROM embeddings),
+nm AS (SELECT vec_id, sqrt(sum(CAST(x AS DOUBLE) * CAST(x AS DOUBLE))) AS n FROM ex GROUP BY vec_id)
+SELECT ex.vec_id, CAST(ex.pos AS BIGINT) AS pos,
+       round(CASE WHEN nm.n > 0 THEN CAST(ex.x AS DOUBLE) / nm.n ELSE CAST(ex.x AS DOUBLE) END, 6) AS x
+FROM ex JOIN nm ON ex.vec_id = nm.vec_id"""
