@@ -41,3 +41,23 @@ def flag_later_in_group(df: DataFrame, key: str, order: str, flag: str,
     if exempt is not None:
         cond = cond & ~F.coalesce(exempt, F.lit(False))
     return out.withColumn(flag, cond).drop("_first")
+
+
+def top_k_per_group(df: DataFrame, group: list[str], order: list[Column], k: int,
+                    salt_buckets: int = 64, rank_col: str = "rank") -> DataFrame:
+    """Exact top-``k`` rows per group, skew-safe.
+
+    Phase 1 ranks inside (group, salt) sub-groups, so a hot group is spread
+    over ``salt_buckets`` tasks, and keeps each sub-group's top k (the
+    group's top k is among them).  Phase 2 ranks the at most
+    ``k * salt_buckets`` survivors per group.  ``order`` must be a total
+    order (ties broken by a unique column).
+    """
+    from pyspark.sql import Window
+
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salt_buckets)))
+    w1 = Window.partitionBy(*group, "_salt").orderBy(*order)
+    first = salted.withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= k)
+    w2 = Window.partitionBy(*group).orderBy(*order)
+    return first.withColumn(rank_col, F.row_number().over(w2).cast("long")).where(F.col(rank_col) <= k) \
+        .drop("_salt", "_r1")

@@ -410,3 +410,106 @@ def tone_by_source(spark, sf):
 @query
 def tone_verdict(spark, sf):
     return EV.tone_verdict(_members(spark, sf), EVENT_BLOCK)
+
+
+# --------------------------------------------------------------------------
+# ingest (S1-S5, S7-S9, P10, J3/J4, J8, W4-W6, M3)
+# --------------------------------------------------------------------------
+from ..operators import ingest as IN  # noqa: E402
+from ..sources import feeds as FD  # noqa: E402
+
+PREV_RUN_BEFORE = "2024-01-08"   # the previous fetch saw the first week
+ITEM_QUERY = "the"
+
+
+def _rfc_pub(day_col):
+    return F.concat(F.date_format(day_col, "EEE, dd MMM yyyy"), F.lit(" 10:00:00 +0900"))
+
+
+def _items(spark, sf):
+    r = V.raw_view(spark, sf)
+    day = F.date_add(F.lit(V.EPOCH).cast("date"), F.pmod(F.col("id"), F.lit(V.N_DAYS)).cast("int"))
+    payloads = FD.feed_payloads(r, _rfc_pub(day))
+    return FD.parse_feed(payloads)
+
+
+def _prev_state(items):
+    prev = items.where(F.col("published_at") < F.lit(PREV_RUN_BEFORE))
+    return IN.next_state(prev, None)
+
+
+ITEM_COLUMNS = ["source", "category", "feed_no", "item_pos", "guid", "url", "title", "published_at"]
+
+
+@query
+def feed_items(spark, sf):
+    return _items(spark, sf).select(*ITEM_COLUMNS)
+
+
+@query
+def feed_select(spark, sf):
+    return FD.select_feeds(FD.registry(V.raw_view(spark, sf)), category=CATEGORY)
+
+
+@query
+def item_query(spark, sf):
+    return IN.apply_query(_items(spark, sf), ITEM_QUERY).select(*ITEM_COLUMNS)
+
+
+@query
+def filter_new(spark, sf):
+    items = _items(spark, sf)
+    return IN.filter_new(items, _prev_state(items)).select(*ITEM_COLUMNS)
+
+
+def _budgeted(spark, sf):
+    items = _items(spark, sf)
+    state = _prev_state(items)
+    fresh = IN.filter_new(items, state)
+    feeds = FD.registry(V.raw_view(spark, sf))
+    return IN.source_budget(fresh, feeds, K.FETCH_LIMIT), state
+
+
+@query
+def source_budget(spark, sf):
+    kept, _ = _budgeted(spark, sf)
+    return kept.select(*ITEM_COLUMNS, "budget_rank")
+
+
+@query
+def feed_cursor(spark, sf):
+    kept, state = _budgeted(spark, sf)
+    return IN.next_state(kept, state).select("source", "category", "last_pubdate")
+
+
+@query
+def feed_state(spark, sf):
+    kept, state = _budgeted(spark, sf)
+    return IN.next_state(kept, state).select("source", "category", "last_pubdate",
+                                             F.size("seen_guids").cast("long").alias("n_seen"), "seen_guids")
+
+
+@query
+def crawl_outcome(spark, sf):
+    kept, _ = _budgeted(spark, sf)
+    pages = _page_extract(read_table(spark, sf, "pages"))
+    return FD.crawl_outcome(kept, pages).select("source", "category", "guid", "url", "method", "title", "body",
+                                               "crawl_status")
+
+
+@query
+def raw_sink(spark, sf):
+    kept, _ = _budgeted(spark, sf)
+    pages = _page_extract(read_table(spark, sf, "pages"))
+    return IN.raw_rows(FD.crawl_outcome(kept, pages), "2024-01-15T09:00:00+09:00")
+
+
+@query
+def raw_guid_exists(spark, sf):
+    return IN.guid_exists(_items(spark, sf), V.raw_view(spark, sf)).select(*ITEM_COLUMNS)
+
+
+@query
+def uncleaned(spark, sf):
+    processed = C.validate(V.raw_view(spark, sf))
+    return IN.uncleaned(_rp(spark, sf), processed).select("id", "url", "title")

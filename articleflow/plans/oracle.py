@@ -511,3 +511,50 @@ nm AS (SELECT vec_id, sqrt(sum(CAST(x AS DOUBLE) * CAST(x AS DOUBLE))) AS n FROM
 SELECT ex.vec_id, CAST(ex.pos AS BIGINT) AS pos,
        round(CASE WHEN nm.n > 0 THEN CAST(ex.x AS DOUBLE) / nm.n ELSE CAST(ex.x AS DOUBLE) END, 6) AS x
 FROM ex JOIN nm ON ex.vec_id = nm.vec_id"""
+
+# ingest ---------------------------------------------------------------------------
+_ITEMS = R_CTE + f""",
+it AS (
+  SELECT source, category, CAST(floor(id / 50) AS BIGINT) AS feed_no,
+         CAST(row_number() OVER (PARTITION BY source, category, floor(id / 50) ORDER BY id) - 1 AS BIGINT) AS item_pos,
+         url AS guid, url, coalesce(title, '') AS title,
+         strftime({day_of("id")}, '%Y-%m-%d') || 'T01:00:00+00:00' AS published_at
+  FROM r),
+reg AS (
+  SELECT source, category, 'https://' || source || '/rss/' || category || '.xml' AS feed_url,
+         CAST(row_number() OVER (PARTITION BY source ORDER BY category) AS BIGINT) AS feed_pos
+  FROM (SELECT DISTINCT source, category FROM r)),
+prev AS (SELECT source, category, max(published_at) AS cur FROM it WHERE published_at < '{Q.PREV_RUN_BEFORE}'
+         GROUP BY 1, 2),
+fresh AS (
+  SELECT it.* FROM it LEFT JOIN prev ON it.source = prev.source AND it.category = prev.category
+  WHERE prev.cur IS NULL OR it.published_at > prev.cur),
+bud AS (
+  SELECT * FROM (
+    SELECT fresh.*, CAST(row_number() OVER (PARTITION BY fresh.source
+                         ORDER BY reg.feed_pos, fresh.feed_no, fresh.item_pos, fresh.guid) AS BIGINT) AS budget_rank
+    FROM fresh JOIN reg ON fresh.source = reg.source AND fresh.category = reg.category)
+  WHERE budget_rank <= {K.FETCH_LIMIT})"""
+_IC = "source, category, feed_no, item_pos, guid, url, title, published_at"
+SQL["feed_items"] = f"WITH {_ITEMS}\nSELECT {_IC} FROM it"
+SQL["feed_select"] = f"WITH {_ITEMS}\nSELECT source, category, feed_url, feed_pos FROM reg WHERE category = {lit(Q.CATEGORY)}"
+SQL["item_query"] = f"WITH {_ITEMS}\nSELECT {_IC} FROM it WHERE strpos(lower(title), {lit(Q.ITEM_QUERY)}) > 0"
+SQL["filter_new"] = f"WITH {_ITEMS}\nSELECT {_IC} FROM fresh"
+SQL["source_budget"] = f"WITH {_ITEMS}\nSELECT {_IC}, budget_rank FROM bud"
+SQL["feed_cursor"] = f"""WITH {_ITEMS},
+touched AS (SELECT source, category, max(published_at) AS newest FROM bud GROUP BY 1, 2)
+SELECT t.source, t.category, CASE WHEN p.cur IS NULL THEN t.newest ELSE greatest(t.newest, p.cur) END AS last_pubdate
+FROM touched t LEFT JOIN prev p ON t.source = p.source AND t.category = p.category
+UNION ALL
+SELECT p.source, p.category, p.cur FROM prev p
+WHERE NOT EXISTS (SELECT 1 FROM touched t WHERE t.source = p.source AND t.category = p.category)"""
+SQL["crawl_outcome"] = f"""WITH {_ITEMS}
+SELECT b.source, b.category, b.guid, b.url,
+       'rss+crawl' AS method,
+       CASE WHEN coalesce(px.body, '') <> '' THEN coalesce(nullif(b.title, ''), px.title) ELSE b.title END AS title,
+       CASE WHEN coalesce(px.body, '') <> '' THEN px.body END AS body,
+       CASE WHEN coalesce(px.body, '') <> '' THEN 'ok' ELSE 'failed' END AS crawl_status
+FROM bud b LEFT JOIN px ON b.url = px.url"""
+SQL["raw_guid_exists"] = f"""WITH {_ITEMS}
+SELECT {_IC} FROM it WHERE EXISTS (SELECT 1 FROM r WHERE r.source = it.source AND r.guid = it.guid)"""
+SQL["uncleaned"] = f"WITH {RP_CTE}\nSELECT id, url, title FROM rp WHERE id NOT IN (SELECT id FROM r)"
