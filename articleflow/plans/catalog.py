@@ -513,3 +513,55 @@ def raw_guid_exists(spark, sf):
 def uncleaned(spark, sf):
     processed = C.validate(V.raw_view(spark, sf))
     return IN.uncleaned(_rp(spark, sf), processed).select("id", "url", "title")
+
+
+# --------------------------------------------------------------------------
+# streaming (X1, X2, X4, X5): each call runs the job to completion with
+# trigger(availableNow) into a fresh folder and returns its output table
+# --------------------------------------------------------------------------
+from ..streaming import jobs as SJ  # noqa: E402
+
+
+@query
+def stream_daily(spark, sf):
+    out = SJ.scratch(spark, "daily")
+    schema = read_table(spark, sf, "events").schema
+    SJ.daily_counts_stream(spark, sf, schema, out, glob="events.parquet")
+    return spark.read.parquet(out)
+
+
+def _landing(spark, df, name, files=4):
+    path = SJ.scratch(spark, name) + "/landing"
+    df.repartition(files).write.parquet(path)
+    return path
+
+
+@query
+def stream_ingest(spark, sf):
+    r = V.raw_view(spark, sf)
+    day = F.date_add(F.lit(V.EPOCH).cast("date"), F.pmod(F.col("id"), F.lit(V.N_DAYS)).cast("int"))
+    payloads = FD.feed_payloads(r, _rfc_pub(day))
+    land = _landing(spark, payloads, "ingest")
+    base = SJ.scratch(spark, "ingest")
+    feeds = FD.registry(r)
+    pages = _page_extract(read_table(spark, sf, "pages"))
+    SJ.ingest_stream(spark, land, spark.read.parquet(land).schema, feeds, base + "/state", base + "/raw",
+                     pages=pages, limit=K.FETCH_LIMIT, collected_at="2024-01-15T09:00:00+09:00", max_files=1)
+    return spark.read.parquet(base + "/raw").drop("epoch")
+
+
+@query
+def stream_dedup(spark, sf):
+    items = _items(spark, sf).withColumn("published_ts", F.to_timestamp("published_at"))
+    land = _landing(spark, items.select(*ITEM_COLUMNS, "published_ts"), "dedup")
+    out = SJ.scratch(spark, "dedup") + "/out"
+    SJ.dedup_stream(spark, land, spark.read.parquet(land).schema, out)
+    return spark.read.parquet(out).drop("epoch").select(*ITEM_COLUMNS)
+
+
+@query
+def stream_clean(spark, sf):
+    land = _landing(spark, _rp(spark, sf), "clean")
+    out = SJ.scratch(spark, "clean") + "/snap"
+    SJ.clean_stream(spark, land, spark.read.parquet(land).schema, out, policy="skip", max_files=2)
+    return SJ.latest(spark, out).drop("outcome")

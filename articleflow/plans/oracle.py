@@ -558,3 +558,8 @@ FROM bud b LEFT JOIN px ON b.url = px.url"""
 SQL["raw_guid_exists"] = f"""WITH {_ITEMS}
 SELECT {_IC} FROM it WHERE EXISTS (SELECT 1 FROM r WHERE r.source = it.source AND r.guid = it.guid)"""
 SQL["uncleaned"] = f"WITH {RP_CTE}\nSELECT id, url, title FROM rp WHERE id NOT IN (SELECT id FROM r)"
+
+# streaming ------------------------------------------------------------------------
+SQL["stream_daily"] = """
+SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2"""
+SQL["stream_dedup"] = f"WITH {_ITEMS}\nSELECT {_IC} FROM it"
