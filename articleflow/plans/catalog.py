@@ -565,3 +565,85 @@ def stream_clean(spark, sf):
     out = SJ.scratch(spark, "clean") + "/snap"
     SJ.clean_stream(spark, land, spark.read.parquet(land).schema, out, policy="skip", max_files=2)
     return SJ.latest(spark, out).drop("outcome")
+
+
+# --------------------------------------------------------------------------
+# analysis, digest, summaries, report, health
+# --------------------------------------------------------------------------
+from ..operators import digest as DG  # noqa: E402
+
+
+def _selection(spark, sf, category=CATEGORY):
+    return DG.analysis_selection(_a(spark, sf), _s(spark, sf), category=category)
+
+
+@query
+def analysis_selection(spark, sf):
+    return _selection(spark, sf).select("ordinal", "id", "title", "category", "source", "published_at")
+
+
+@query
+def insight_digest(spark, sf):
+    return DG.insight_digest(_selection(spark, sf))
+
+
+@query
+def insight_record(spark, sf):
+    return DG.insight_record(DG.insight_digest(_selection(spark, sf)), CATEGORY)
+
+
+@query
+def insight_latest(spark, sf):
+    """Two appended records (the category's, then all articles'), stored
+    with JSON-text arrays; the newest read back."""
+    a, s = _a(spark, sf), _s(spark, sf)
+    recs = [DG.insight_record(DG.insight_digest(DG.analysis_selection(a, s, category=cat)), cat)
+            .withColumn("id", F.lit(i).cast("long")) for i, cat in enumerate([CATEGORY, None], start=1)]
+    table = DG.encode_arrays(recs[0].unionByName(recs[1]))
+    return DG.latest_insight(DG.decode_arrays(table))
+
+
+@query
+def selection_digest_text(spark, sf):
+    return DG.selection_text(_selection(spark, sf))
+
+
+def _targets(spark, sf):
+    return AR.summary_targets(_a(spark, sf), _s(spark, sf))
+
+
+@query
+def summaries_built(spark, sf):
+    return DG.build_summaries(_targets(spark, sf))
+
+
+@query
+def summary_outcomes(spark, sf):
+    t = _targets(spark, sf)
+    return DG.summary_outcomes(t, DG.build_summaries(t))
+
+
+@query
+def merge_summary(spark, sf):
+    s = _s(spark, sf).withColumn("v", F.lit(0))
+    built = DG.build_summaries(_targets(spark, sf)).withColumn("v", F.lit(1))
+    return M.merge_last_wins(s, built, "article_id", "v").drop("v")
+
+
+@query
+def report_rows(spark, sf):
+    return DG.report_rows(_rp(spark, sf), _a(spark, sf), _s(spark, sf))
+
+
+@query
+def health_metrics(spark, sf):
+    processed = C.validate(V.raw_view(spark, sf)).select("raw_id")
+    return MT.health_metrics(_rp(spark, sf), processed, _a(spark, sf), _s(spark, sf), AS_OF)
+
+
+@query
+def health_warnings(spark, sf):
+    processed = C.validate(V.raw_view(spark, sf)).select("raw_id")
+    a, s, rp = _a(spark, sf), _s(spark, sf), _rp(spark, sf)
+    h = MT.health_metrics(rp, processed, a, s, AS_OF)
+    return MT.health_warnings(h, MT.quality_metrics(rp, a, s), run_log=None)

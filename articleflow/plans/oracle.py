@@ -563,3 +563,61 @@ SQL["uncleaned"] = f"WITH {RP_CTE}\nSELECT id, url, title FROM rp WHERE id NOT I
 SQL["stream_daily"] = """
 SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2"""
 SQL["stream_dedup"] = f"WITH {_ITEMS}\nSELECT {_IC} FROM it"
+
+# analysis, digest, summaries, report, health -----------------------------------------
+_SEL = f"""{AS_CTE},{_J},
+sel AS (
+  SELECT CAST(row_number() OVER (ORDER BY published_at DESC NULLS LAST, id DESC) AS BIGINT) AS ordinal, * FROM (
+    SELECT * FROM j WHERE category = {lit(Q.CATEGORY)} AND NOT is_duplicate
+    ORDER BY published_at DESC NULLS LAST, id DESC LIMIT {K.ANALYSIS_LIMIT}))"""
+SQL["analysis_selection"] = f"{_SEL}\nSELECT ordinal, id, title, category, source, published_at FROM sel"
+
+_DIGEST = f""",
+stok AS (SELECT t AS token FROM (SELECT unnest(regexp_extract_all(coalesce(title, ''), {lit(K.KEYWORD_PATTERN)})) AS t
+         FROM sel) WHERE NOT list_contains({STOP}, t) AND length(t) >= 2),
+kw AS (SELECT list(token ORDER BY n DESC, token) AS keywords FROM (
+       SELECT token, count(*) AS n FROM stok GROUP BY token ORDER BY n DESC, token LIMIT 8)),
+ct AS (SELECT list(category || ' ' || CAST(n AS VARCHAR) ORDER BY n DESC, category) AS top_categories FROM (
+       SELECT coalesce(category, 'None') AS category, count(*) AS n FROM sel GROUP BY 1 ORDER BY n DESC, category LIMIT 3)),
+sr AS (SELECT list(source || ' ' || CAST(n AS VARCHAR) ORDER BY n DESC, source) AS sources FROM (
+       SELECT coalesce(source, 'None') AS source, count(*) AS n FROM sel GROUP BY 1)),
+dg AS (SELECT (SELECT count(*) FROM sel) AS n_articles, coalesce(kw.keywords, []) AS keywords,
+              coalesce(ct.top_categories, []) AS top_categories, coalesce(sr.sources, []) AS sources FROM kw, ct, sr)"""
+SQL["insight_digest"] = f"{_SEL}{_DIGEST}\nSELECT * FROM dg"
+SQL["selection_digest_text"] = f"""{_SEL}
+SELECT string_agg(CAST(ordinal AS VARCHAR) || '. (' || coalesce(CAST(published_at AS VARCHAR), 'None') || ' / '
+                  || coalesce(source, 'None') || ' / ' || coalesce(category, 'None') || ') ' || coalesce(title, '')
+                  || chr(10) || '   ' || CASE WHEN coalesce(summary, '') <> '' THEN summary
+                                             ELSE substr(coalesce(body, ''), 1, {K.ANALYSIS_BODY_CHARS}) END,
+                  chr(10) ORDER BY ordinal) AS text,
+       count(*) AS n_articles
+FROM sel"""
+
+_TGT = f"""{AS_CTE},{_J},
+tg AS (SELECT id, title, body FROM j WHERE NOT summarized AND NOT is_duplicate),
+{summary_ctes("tg", "id", "body", "bs")},
+built AS (
+  SELECT tg.id AS article_id, bs_sum.summary, CAST(length(tg.body) AS BIGINT) AS orig_len,
+         CAST(length(bs_sum.summary) AS BIGINT) AS summary_len,
+         CASE WHEN p > n THEN 'positive' WHEN n > p THEN 'negative' ELSE 'neutral' END AS sentiment, 'mock' AS model
+  FROM (SELECT id, title, body, {_hint_count(K.POSITIVE_HINTS, "(title || body)")} AS p,
+               {_hint_count(K.NEGATIVE_HINTS, "(title || body)")} AS n FROM tg) tg
+  JOIN bs_sum ON tg.id = bs_sum.k
+  WHERE length({trim_ws("bs_sum.summary")}) > 0)"""
+SQL["summaries_built"] = f"{_TGT}\nSELECT * FROM built"
+SQL["summary_outcomes"] = f"""{_TGT}
+SELECT 'ok' AS outcome, (SELECT count(*) FROM built) AS n
+UNION ALL SELECT 'failed', (SELECT count(*) FROM tg) - (SELECT count(*) FROM built)"""
+SQL["merge_summary"] = f"""{_TGT}
+SELECT article_id, summary, orig_len, summary_len, sentiment, model FROM s
+UNION ALL SELECT article_id, summary, orig_len, summary_len, sentiment, model FROM built"""
+
+SQL["health_metrics"] = f"""WITH {A_CTE},{S_CTE},{RP_CTE},
+dc AS (SELECT published_at AS day, count(*) AS n FROM a WHERE NOT is_duplicate AND published_at IS NOT NULL GROUP BY 1)
+SELECT '{Q.AS_OF}' AS as_of,
+  (SELECT count(*) FROM rp WHERE substr(collected_at, 1, 10) = '{Q.AS_OF}') AS collected_today,
+  (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM dc WHERE day = DATE '{Q.AS_OF}') AS published_today,
+  (SELECT count(*) FROM rp WHERE crawl_status = 'failed') AS failed_crawl,
+  (SELECT count(*) FROM rp WHERE id NOT IN (SELECT id FROM r)) AS uncleaned,
+  (SELECT count(*) FROM a WHERE NOT is_duplicate AND id NOT IN (SELECT article_id FROM s)) AS unsummarized,
+  (SELECT list(CAST(day AS VARCHAR) ORDER BY day) FROM (SELECT day FROM dc ORDER BY day DESC LIMIT 5)) AS recent_days"""
