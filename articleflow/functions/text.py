@@ -29,9 +29,15 @@ def col_(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# The characters of WS (what str.strip() removes), for the native trim.
+WS_CHARS = "".join(chr(c) for c in [9, 10, 11, 12, 13, 32, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680,
+                                    *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+
+
 def unicode_trim(c: Column | str) -> Column:
-    """``str.strip()``: remove leading/trailing Unicode whitespace."""
-    return F.regexp_replace(col_(c), f"^{WS}+|{WS}+$", "")
+    """``str.strip()``: remove leading/trailing Unicode whitespace (native
+    two-sided trim over a character set; no regex scan)."""
+    return F.trim(col_(c), F.lit(WS_CHARS))
 
 
 def first_line(c: Column | str) -> Column:
@@ -122,34 +128,46 @@ def boilerplate_hits(c: Column | str, patterns=K.BOILERPLATE_PATTERNS) -> Column
 # --------------------------------------------------------------------------
 # F7 extractive summary
 # --------------------------------------------------------------------------
+def mark_sentences(body: Column | str) -> Column:
+    """Stripped body with every sentence boundary (. ! ? 。 + whitespace run)
+    replaced by the punctuation and one SEP character."""
+    return F.regexp_replace(unicode_trim(col_(body)), SENTENCE_END, "$1" + SEP)
+
+
 def sentences(body: Column | str) -> Column:
     """Sentences of the stripped body, split after . ! ? 。 + whitespace."""
-    marked = F.regexp_replace(unicode_trim(col_(body)), SENTENCE_END, "$1" + SEP)
-    return F.split(marked, SEP)
+    return F.split(mark_sentences(body), SEP)
 
 
 def extractive_summary(body: Column | str, max_chars: int = K.SUMMARY_MAX_CHARS,
                        prefix: str = K.SUMMARY_PREFIX) -> Column:
     """whole leading sentences while they fit into ``max_chars``.
 
-    The sentence count is a left fold over sentence lengths that stops at
-    the first overflow; no sentence fits -> the first ``max_chars`` chars.
+    The boundary marking runs over the whole body.  In the marked text every
+    separator is one character, so sentences that fit (total length plus
+    one per separator <= max_chars) all lie in its first max_chars + 2
+    characters; a sentence cut by that window would overflow anyway.  The
+    fold therefore runs over the window's pieces only -- the result is the
+    same as folding over all sentences.  The fold stops at the first
+    overflow; no sentence fits -> the first ``max_chars`` characters.
     """
     b = F.coalesce(col_(body), F.lit(""))
-    sents = sentences(b)
-    init = F.struct(F.lit(0).alias("n"), F.lit(0).alias("k"), F.lit(False).alias("stop"))
+    sents = F.split(F.substring(mark_sentences(b), 1, max_chars + 2), SEP)
+    init = F.struct(F.lit("").alias("t"), F.lit(0).alias("n"), F.lit(0).alias("k"), F.lit(False).alias("stop"))
 
     def step(acc, s):
         overflow = acc["stop"] | ((acc["n"] + F.length(s)) > max_chars)
-        return F.when(overflow, F.struct(acc["n"].alias("n"), acc["k"].alias("k"), F.lit(True).alias("stop"))) \
-            .otherwise(F.struct((acc["n"] + F.length(s) + 1).alias("n"), (acc["k"] + 1).alias("k"),
-                                F.lit(False).alias("stop")))
-
-    k = F.aggregate(sents, init, step, lambda acc: acc["k"])
-    kept = F.array_join(F.slice(sents, 1, F.greatest(k, F.lit(1))), " ")
-    text = F.when(k > 0, unicode_trim(F.substring(F.concat(kept, F.lit(" ")), 1, max_chars))) \
-        .otherwise(unicode_trim(F.substring(b, 1, max_chars)))
-    return unicode_trim(F.concat(F.lit(prefix), text))
+        return F.when(overflow, F.struct(acc["t"].alias("t"), acc["n"].alias("n"), acc["k"].alias("k"),
+                                         F.lit(True).alias("stop"))) \
+            .otherwise(F.struct(F.concat(acc["t"], s, F.lit(" ")).alias("t"), (acc["n"] + F.length(s) + 1).alias("n"),
+                                (acc["k"] + 1).alias("k"), F.lit(False).alias("stop")))
+
+    def finish(acc):
+        return F.when(acc["k"] > 0, unicode_trim(F.substring(acc["t"], 1, max_chars))) \
+            .otherwise(unicode_trim(F.substring(b, 1, max_chars)))
+
+    # one fold expression: nothing outside it references the split pieces
+    return unicode_trim(F.concat(F.lit(prefix), F.aggregate(sents, init, step, finish)))
 
 
 # --------------------------------------------------------------------------

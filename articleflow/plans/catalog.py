@@ -530,9 +530,11 @@ def stream_daily(spark, sf):
     return spark.read.parquet(out)
 
 
-def _landing(spark, df, name, files=4):
+def _landing(spark, df, name, keys, files=4):
+    """Land a frame as parquet files (hash-partitioned on ``keys``: the same
+    rows always land in the same files)."""
     path = SJ.scratch(spark, name) + "/landing"
-    df.repartition(files).write.parquet(path)
+    df.repartition(files, *keys).write.parquet(path)
     return path
 
 
@@ -541,19 +543,19 @@ def stream_ingest(spark, sf):
     r = V.raw_view(spark, sf)
     day = F.date_add(F.lit(V.EPOCH).cast("date"), F.pmod(F.col("id"), F.lit(V.N_DAYS)).cast("int"))
     payloads = FD.feed_payloads(r, _rfc_pub(day))
-    land = _landing(spark, payloads, "ingest")
+    land = _landing(spark, payloads, "ingest", ["source", "category", "feed_no"])
     base = SJ.scratch(spark, "ingest")
     feeds = FD.registry(r)
     pages = _page_extract(read_table(spark, sf, "pages"))
     SJ.ingest_stream(spark, land, spark.read.parquet(land).schema, feeds, base + "/state", base + "/raw",
-                     pages=pages, limit=K.FETCH_LIMIT, collected_at="2024-01-15T09:00:00+09:00", max_files=1)
+                     pages=pages, limit=K.FETCH_LIMIT, collected_at="2024-01-15T09:00:00+09:00")
     return spark.read.parquet(base + "/raw").drop("epoch")
 
 
 @query
 def stream_dedup(spark, sf):
     items = _items(spark, sf).withColumn("published_ts", F.to_timestamp("published_at"))
-    land = _landing(spark, items.select(*ITEM_COLUMNS, "published_ts"), "dedup")
+    land = _landing(spark, items.select(*ITEM_COLUMNS, "published_ts"), "dedup", ["source", "guid"])
     out = SJ.scratch(spark, "dedup") + "/out"
     SJ.dedup_stream(spark, land, spark.read.parquet(land).schema, out)
     return spark.read.parquet(out).drop("epoch").select(*ITEM_COLUMNS)
@@ -561,9 +563,9 @@ def stream_dedup(spark, sf):
 
 @query
 def stream_clean(spark, sf):
-    land = _landing(spark, _rp(spark, sf), "clean")
+    land = _landing(spark, _rp(spark, sf), "clean", ["id"])
     out = SJ.scratch(spark, "clean") + "/snap"
-    SJ.clean_stream(spark, land, spark.read.parquet(land).schema, out, policy="skip", max_files=2)
+    SJ.clean_stream(spark, land, spark.read.parquet(land).schema, out, policy="skip")
     return SJ.latest(spark, out).drop("outcome")
 
 
