@@ -66,6 +66,9 @@ BOILERPLATE_PATTERNS = (
     rf"(이메일|메일){_S}*:?{_S}*[\pL\pN_.\-]+@[\pL\pN_.\-]+",
     r"[\pL\pN_.\-]+@[\pL\pN_.\-]+\.[a-zA-Z]{2,}",
 )
+# A literal every match of the pattern above (same position) contains; a
+# text without it is left as is without running the pattern.
+BOILERPLATE_REQUIRES = ("기자", "연합뉴스", "카카오톡", "저작권자", "ⓒ", "[", "@", "@")
 WHITESPACE_CLASS = _S            # what str.strip() removes
 BLANK_RUN = "[ \t\u00a0\u200b]+"  # space, tab, NBSP, zero-width space
 HTML_TAG = r"<[^>]+>"

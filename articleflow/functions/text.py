@@ -85,25 +85,46 @@ def _decode_detag_nfkc_py(s: pd.Series) -> pd.Series:
     def one(v):
         if v is None:
             return None
-        return unicodedata.normalize("NFKC", _TAG_RE.sub(" ", html.unescape(v)))
+        if "&" in v:
+            v = html.unescape(v)
+        if "<" in v:
+            v = _TAG_RE.sub(" ", v)
+        return v if unicodedata.is_normalized("NFKC", v) else unicodedata.normalize("NFKC", v)
 
     return s.map(one)
 
 
-# Non-deterministic only to stop Catalyst from duplicating the call into
-# pushed-down filters or several projections; the result is deterministic.
-_decode_detag_nfkc = F.pandas_udf(_decode_detag_nfkc_py, StringType()).asNondeterministic()
+# Deterministic: Catalyst evaluates each distinct call once per row.
+_decode_detag_nfkc = F.pandas_udf(_decode_detag_nfkc_py, StringType())
 
 
 def strip_boilerplate(c: Column | str, patterns=K.BOILERPLATE_PATTERNS) -> Column:
+    """Each pattern in order -> one space."""
     c = col_(c)
     for p in patterns:
         c = F.regexp_replace(c, p, " ")
     return c
 
 
+def might_hold_boilerplate(c: Column | str, requires=K.BOILERPLATE_REQUIRES) -> Column:
+    """False only for texts that hold none of the literals every
+    boilerplate match needs (then stripping is the identity)."""
+    c = col_(c)
+    out = F.lit(False)
+    for lit in dict.fromkeys(requires):
+        out = out | (F.instr(c, lit) > 0)
+    return out
+
+
+# Blank runs that change when collapsed to one space: any run holding a
+# tab / NBSP / zero-width space, or two or more characters.  (A lone space
+# is left alone instead of being rewritten by itself.)
+_BLANK_RUN_TO_FIX = "[\t\u00a0\u200b][ \t\u00a0\u200b]*| [ \t\u00a0\u200b]+"
+
+
 def collapse_blanks(c: Column | str) -> Column:
-    c = F.regexp_replace(col_(c), K.BLANK_RUN, " ")
+    """Blank runs -> one space, 3+ newlines -> 2, strip."""
+    c = F.regexp_replace(col_(c), _BLANK_RUN_TO_FIX, " ")
     c = F.regexp_replace(c, "\n{3,}", "\n\n")
     return unicode_trim(c)
 
@@ -112,7 +133,7 @@ def normalize_text(c: Column | str, strip_boilerplate_: bool = True) -> Column:
     """'' for NULL/empty; entities, tags, NFKC; boilerplate; blanks."""
     v = _decode_detag_nfkc(F.coalesce(col_(c), F.lit("")))
     if strip_boilerplate_:
-        v = strip_boilerplate(v)
+        v = F.when(might_hold_boilerplate(v), strip_boilerplate(v)).otherwise(v)
     return collapse_blanks(v)
 
 

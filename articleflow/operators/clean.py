@@ -16,7 +16,7 @@ from .. import constants as K
 from ..functions import text as T
 from ..functions.dates import normalize_date
 from ..functions.urls import normalize_url
-from ..session import checkpoint_dir
+from ..session import stage as stage_table
 from .dedup import first_per_key, last_per_key
 
 # sha1 of the empty title key: titles without ASCII alnum / Hangul.
@@ -29,8 +29,8 @@ def validate(raw: DataFrame, min_body: int = K.MIN_BODY, stage: bool = True) ->
     """Every raw row with ``reason`` ('ok' or the first failing rule),
     ``body_len`` and the normalised clean fields.
 
-    With ``stage`` (default) the validated rows are checkpointed to the
-    shared checkpoint folder: the text normalisation runs once per row, the
+    With ``stage`` (default) the validated rows are written once as a table
+    in the shared checkpoint folder: the text normalisation runs once per row, the
     later branches (valid / rejected / url firsts / title firsts) read the
     staged rows, and the lineage back to the raw scan is cut.
     """
@@ -59,8 +59,7 @@ def validate(raw: DataFrame, min_body: int = K.MIN_BODY, stage: bool = True) ->
         normalize_date(F.col("_pub"), F.col("collected_at")).alias("published_at"),
     )
     if stage:
-        checkpoint_dir(out.sparkSession)
-        out = out.checkpoint(eager=True)
+        out = stage_table(out, "validated")
     return out
 
 

@@ -62,3 +62,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = tempfile.mkdtemp(prefix="articleflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(current)
     return current
+
+
+def stage(df, name: str = "stage"):
+    """Materialise ``df`` once as a Parquet table in the shared checkpoint
+    folder and return a DataFrame reading it: lineage is cut, every later
+    branch reads the staged rows, and a lost executor only re-reads files.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -72,9 +72,7 @@ def _html_text(fragment: pd.Series) -> pd.Series:
     return fragment.map(one)
 
 
-# Marked non-deterministic only so that Catalyst never duplicates the call
-# (it is not pushed into filters or inlined into several projections).
-html_text = F.pandas_udf(_html_text, StringType()).asNondeterministic()
+html_text = F.pandas_udf(_html_text, StringType())
 
 
 def remove_elements(h: Column, selectors=K.DEFAULT_REMOVE_SELECTORS) -> Column:

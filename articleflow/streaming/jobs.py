@@ -20,7 +20,7 @@ from .. import constants as K
 from ..operators import clean as C
 from ..operators import ingest as IN
 from ..operators import merge as M
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, stage
 from ..sources import feeds as FD
 
 
@@ -104,15 +104,11 @@ def ingest_stream(spark: SparkSession, payload_dir: str, payload_schema: StructT
         items = IN.apply_query(FD.parse_feed(batch), query)
         fresh = IN.filter_new(items, state, incremental)
         kept = IN.source_budget(fresh, feeds, limit)
-        kept = checkpoint_local(kept)
+        kept = stage(kept, "ingest-kept")
         outcome = FD.crawl_outcome(kept, pages)
         IN.raw_rows(outcome, collected_at).write.mode("overwrite").parquet(f"{raw_dir}/epoch={epoch}")
         IN.next_state(kept, state).write.mode("overwrite").parquet(f"{state_dir}/epoch={epoch}")
 
-    def checkpoint_local(df: DataFrame) -> DataFrame:
-        # reliable checkpoint (shared folder): the kept items feed two writes
-        return df.checkpoint(eager=True)
-
     checkpoint_dir(spark)
     src = _source(spark, payload_dir, payload_schema, max_files=max_files)
     q = (src.writeStream.foreachBatch(run_batch)
