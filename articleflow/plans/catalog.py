@@ -649,3 +649,28 @@ def health_warnings(spark, sf):
     a, s, rp = _a(spark, sf), _s(spark, sf), _rp(spark, sf)
     h = MT.health_metrics(rp, processed, a, s, AS_OF)
     return MT.health_warnings(h, MT.quality_metrics(rp, a, s), run_log=None)
+
+
+@query
+def fetch_stats(spark, sf):
+    """Items saved, body failures per source and in total."""
+    kept, _ = _budgeted(spark, sf)
+    pages = _page_extract(read_table(spark, sf, "pages"))
+    out = FD.crawl_outcome(kept, pages)
+    per = out.groupBy("source").agg(F.count(F.lit(1)).alias("saved"),
+                                    F.count_if(F.col("crawl_status") == "failed").alias("body_failed"))
+    total = out.agg(F.lit("*").alias("source"), F.count(F.lit(1)).alias("saved"),
+                    F.count_if(F.col("crawl_status") == "failed").alias("body_failed"))
+    return per.unionByName(total)
+
+
+@query
+def chain_log(spark, sf):
+    """Clean -> summarize -> digest -> report, recorded per stage."""
+    stages = [
+        ("clean", lambda: C.clean_valid(_rp(spark, sf))),
+        ("summarize", lambda: DG.build_summaries(_targets(spark, sf))),
+        ("analyze", lambda: DG.insight_record(DG.insight_digest(_selection(spark, sf)), CATEGORY)),
+        ("report", lambda: DG.report_rows(_rp(spark, sf), _a(spark, sf), _s(spark, sf))),
+    ]
+    return SJ.run_chain(spark, stages)

@@ -621,3 +621,8 @@ SELECT '{Q.AS_OF}' AS as_of,
   (SELECT count(*) FROM rp WHERE id NOT IN (SELECT id FROM r)) AS uncleaned,
   (SELECT count(*) FROM a WHERE NOT is_duplicate AND id NOT IN (SELECT article_id FROM s)) AS unsummarized,
   (SELECT list(CAST(day AS VARCHAR) ORDER BY day) FROM (SELECT day FROM dc ORDER BY day DESC LIMIT 5)) AS recent_days"""
+SQL["fetch_stats"] = f"""WITH {_ITEMS},
+oc AS (SELECT b.source, CASE WHEN coalesce(px.body, '') <> '' THEN 'ok' ELSE 'failed' END AS st
+       FROM bud b LEFT JOIN px ON b.url = px.url)
+SELECT source, count(*) AS saved, count(*) FILTER (WHERE st = 'failed') AS body_failed FROM oc GROUP BY source
+UNION ALL SELECT '*', count(*), count(*) FILTER (WHERE st = 'failed') FROM oc"""

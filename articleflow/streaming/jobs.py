@@ -167,3 +167,23 @@ def latest(spark: SparkSession, path: str) -> DataFrame:
     if v is None:
         raise FileNotFoundError(path)
     return spark.read.parquet(v)
+
+
+# --------------------------------------------------------------------------
+# X6 stage chain with a run log
+# --------------------------------------------------------------------------
+def run_chain(spark: SparkSession, stages) -> DataFrame:
+    """Run ``stages`` (name, fn -> DataFrame) in order and return the run log
+    (stage, status, rows).  A stage whose output is empty is recorded as
+    'empty' and the chain goes on; an exception is recorded as 'failed' and
+    ends the chain.  Each stage is one Spark job; only its row count comes
+    back to the driver."""
+    log = []
+    for name, fn in stages:
+        try:
+            n = fn().count()
+            log.append((name, "ok" if n > 0 else "empty", int(n)))
+        except Exception:  # noqa: BLE001 - the log records the failure
+            log.append((name, "failed", 0))
+            break
+    return spark.createDataFrame(log, "stage string, status string, rows long")
