@@ -549,7 +549,8 @@ def stream_ingest(spark, sf):
     pages = _page_extract(read_table(spark, sf, "pages"))
     SJ.ingest_stream(spark, land, spark.read.parquet(land).schema, feeds, base + "/state", base + "/raw",
                      pages=pages, limit=K.FETCH_LIMIT, collected_at="2024-01-15T09:00:00+09:00")
-    return spark.read.parquet(base + "/raw").drop("epoch")
+    raw = spark.read.parquet(base + "/raw")
+    return raw.select(*[c for c in raw.columns if c not in ("epoch", "raw_json")])
 
 
 @query

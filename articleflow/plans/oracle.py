@@ -626,3 +626,97 @@ oc AS (SELECT b.source, CASE WHEN coalesce(px.body, '') <> '' THEN 'ok' ELSE 'fa
        FROM bud b LEFT JOIN px ON b.url = px.url)
 SELECT source, count(*) AS saved, count(*) FILTER (WHERE st = 'failed') AS body_failed FROM oc GROUP BY source
 UNION ALL SELECT '*', count(*), count(*) FILTER (WHERE st = 'failed') FROM oc"""
+
+# more oracles -------------------------------------------------------------------------
+SQL["health_warnings"] = f"""
+WITH hm AS ({SQL["health_metrics"]}),
+qm AS ({SQL["quality_metrics"]})
+SELECT rule FROM (
+  SELECT 'run_log_missing' AS rule, true AS hit
+  UNION ALL SELECT 'nothing_collected_today', (SELECT collected_today FROM hm) = 0
+  UNION ALL SELECT 'clean_backlog', (SELECT uncleaned FROM hm) > 0
+  UNION ALL SELECT 'low_summary_coverage',
+               (SELECT unsummarized FROM hm) > 0 AND (SELECT summary_coverage FROM qm) < {K.COVERAGE_WARN_PCT})
+WHERE hit"""
+
+SQL["stream_clean"] = f"WITH {V_CTE}\nSELECT raw_id AS id, is_duplicate, {CLEAN_COLS} FROM w3"
+
+SQL["stream_ingest"] = f"""WITH {_ITEMS},
+ball AS (
+  SELECT * FROM (
+    SELECT it.*, row_number() OVER (PARTITION BY it.source
+                                    ORDER BY reg.feed_pos, it.feed_no, it.item_pos, it.guid) AS rk
+    FROM it JOIN reg ON it.source = reg.source AND it.category = reg.category)
+  WHERE rk <= {K.FETCH_LIMIT})
+SELECT b.source, 'rss+crawl' AS method, b.guid, b.url,
+       CASE WHEN coalesce(px.body, '') <> '' THEN coalesce(nullif(b.title, ''), px.title) ELSE b.title END AS title,
+       CASE WHEN coalesce(px.body, '') <> '' THEN px.body END AS body,
+       b.category, b.published_at,
+       CASE WHEN coalesce(px.body, '') <> '' THEN 'ok' ELSE 'failed' END AS crawl_status,
+       '2024-01-15T09:00:00+09:00' AS collected_at, DATE '2024-01-15' AS collected_date
+FROM ball b LEFT JOIN px ON b.url = px.url"""
+
+SQL["feed_state"] = f"""WITH {_ITEMS},
+pk AS (SELECT source, category, guid, published_at AS t FROM it WHERE published_at < '{Q.PREV_RUN_BEFORE}'),
+pseen AS (
+  SELECT source, category, guid FROM (
+    SELECT *, row_number() OVER (PARTITION BY source, category ORDER BY t DESC NULLS LAST, guid DESC) AS rk FROM pk)
+  WHERE rk <= {K.SEEN_GUID_CAP}),
+touched AS (SELECT source, category, max(published_at) AS newest FROM bud GROUP BY 1, 2),
+keys AS (
+  SELECT source, category, guid, max(fresh) AS fresh, max(t) AS t FROM (
+    SELECT source, category, guid, 1 AS fresh, published_at AS t FROM bud
+    UNION ALL
+    SELECT ps.source, ps.category, ps.guid, 0, NULL FROM pseen ps
+    WHERE EXISTS (SELECT 1 FROM touched x WHERE x.source = ps.source AND x.category = ps.category))
+  GROUP BY 1, 2, 3),
+capped AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY source, category ORDER BY fresh DESC, t DESC NULLS LAST, guid DESC) AS rk
+    FROM keys) WHERE rk <= {K.SEEN_GUID_CAP}),
+new_state AS (
+  SELECT t.source, t.category,
+         CASE WHEN p.cur IS NULL THEN t.newest ELSE greatest(t.newest, p.cur) END AS last_pubdate,
+         (SELECT list(c.guid ORDER BY c.guid) FROM capped c WHERE c.source = t.source AND c.category = t.category)
+           AS seen_guids
+  FROM touched t LEFT JOIN prev p ON t.source = p.source AND t.category = p.category),
+old_state AS (
+  SELECT p.source, p.category, p.cur AS last_pubdate,
+         (SELECT list(ps.guid ORDER BY ps.guid) FROM pseen ps WHERE ps.source = p.source AND ps.category = p.category)
+           AS seen_guids
+  FROM prev p WHERE NOT EXISTS (SELECT 1 FROM touched t WHERE t.source = p.source AND t.category = p.category))
+SELECT source, category, last_pubdate, CAST(len(seen_guids) AS BIGINT) AS n_seen, seen_guids
+FROM (SELECT * FROM new_state UNION ALL SELECT * FROM old_state)"""
+
+SQL["insight_record"] = f"""{_SEL}{_DIGEST}
+SELECT CAST(NULL AS VARCHAR) AS date_from, CAST(NULL AS VARCHAR) AS date_to, {lit(Q.CATEGORY)} AS category, n_articles,
+  [{lit("[모의분석] '")} || coalesce(keywords[1], {lit(Q.CATEGORY)}) || {lit("' 관련 보도가 가장 많이 나타남")},
+   {lit("[모의분석] 카테고리 분포: ")} || array_to_string(list_transform(top_categories, lambda x: x || '건'), ', ')]
+    AS trends,
+  CASE WHEN len(keywords) > 0 THEN keywords ELSE [{lit(Q.CATEGORY)}] END AS keywords,
+  [{lit("[모의분석] 공통점: ")} || CAST(n_articles AS VARCHAR) || {lit("건 모두 같은 조건(기간·카테고리)으로 수집됨")},
+   {lit("[모의분석] 차이점: 언론사별 비중 — ")} || array_to_string(list_transform(sources, lambda x: x || '건'), ', ')]
+    AS common_diff,
+  [{lit("[모의분석] 실제 시사점은 모델 분석을 켜면 생성됩니다.")}] AS implications,
+  'mock' AS model
+FROM dg"""
+
+
+def _sec(name: str, sql: str, key: str, n: str, top: int | None, value: str = "CAST(NULL AS DOUBLE)") -> str:
+    lim = f" LIMIT {top}" if top else ""
+    return (f"SELECT '{name}' AS section, CAST(row_number() OVER (ORDER BY {n} DESC, {key}) AS BIGINT) AS rank, "
+            f"CAST({key} AS VARCHAR) AS key, CAST({n} AS BIGINT) AS n, CAST({value} AS DOUBLE) AS value "
+            f"FROM (SELECT * FROM ({sql}) ORDER BY {n} DESC, {key}{lim})")
+
+
+_METRIC_NAMES = ["raw_total", "raw_ok", "crawl_success_rate", "clean_total", "duplicates", "dedup_removed",
+                 "summarized", "summary_coverage", "avg_compression"]
+SQL["report_rows"] = "\nUNION ALL\n".join(
+    [f"SELECT 'metrics' AS section, CAST({i + 1} AS BIGINT) AS rank, '{m}' AS key, CAST(NULL AS BIGINT) AS n, "
+     f"CAST({m} AS DOUBLE) AS value FROM ({SQL['quality_metrics']})" for i, m in enumerate(_METRIC_NAMES)]
+    + [_sec("category", SQL["category_counts"], "category", "n", K.TOP_N),
+       _sec("keyword", SQL["top_keywords"], "token", "n", K.TOP_N),
+       _sec("source", SQL["source_counts"], "source", "n", None),
+       _sec("sentiment", SQL["sentiment_overall"], "sentiment", "n", None),
+       _sec("trend_new", SQL["trend_new"], "token", "today_n", None),
+       _sec("trend_rising", SQL["trend_rising"], "token", "today_n", None, "prior_avg")])
