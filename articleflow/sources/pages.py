@@ -76,9 +76,16 @@ html_text = F.pandas_udf(_html_text, StringType())
 
 
 def remove_elements(h: Column, selectors=K.DEFAULT_REMOVE_SELECTORS) -> Column:
+    """Comments and removed elements -> SEP (a text-node boundary).  Plain
+    tag selectors are removed in one regex pass (alternation + back
+    reference); other selector forms get a pass each."""
     h = F.regexp_replace(h, _COMMENT, SEP)
+    tags = [sel for sel in selectors if re.fullmatch(r"[A-Za-z][A-Za-z0-9]*", sel.strip())]
+    if tags:
+        alt = "|".join(re.escape(t.strip()) for t in tags)
+        h = F.regexp_replace(h, rf"(?is)<({alt})\b[^>]*>.*?</\1\s*>", SEP)
     for sel in selectors:
-        if _META.match(sel):
+        if _META.match(sel) or sel in tags:
             continue
         h = F.regexp_replace(h, element_pattern(sel).replace("(.*?)", "(?:.*?)"), SEP)
     return h
