@@ -382,7 +382,10 @@ def _greedy_input(spark, sf):
 
 
 def _members(spark, sf, threshold=K.EVENT_THRESHOLD):
-    c = _greedy_input(spark, sf)
+    """Cluster members with their attributes.  The clustering input feeds
+    both the clustering and the member join, so it is staged once."""
+    from ..session import stage
+    c = stage(_greedy_input(spark, sf), "greedy-input")
     g = EV.greedy_clusters(c, EVENT_BLOCK, [F.col("id").desc()], threshold)
     return g.join(c.select("id", "title", "source", "sentiment", "idx", "w"), "id")
 

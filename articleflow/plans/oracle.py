@@ -723,3 +723,10 @@ SQL["report_rows"] = "\nUNION ALL\n".join(
        _sec("sentiment", SQL["sentiment_overall"], "sentiment", "n", None),
        _sec("trend_new", SQL["trend_new"], "token", "today_n", None),
        _sec("trend_rising", SQL["trend_rising"], "token", "today_n", None, "prior_avg")])
+
+SQL["insight_latest"] = SQL["insight_record"].replace(
+    f"WHERE category = {lit(Q.CATEGORY)} AND NOT is_duplicate", "WHERE NOT is_duplicate").replace(
+    f"coalesce(keywords[1], {lit(Q.CATEGORY)})", f"coalesce(keywords[1], {lit(K.ALL_SCOPE)})").replace(
+    f"ELSE [{lit(Q.CATEGORY)}] END AS keywords", f"ELSE [{lit(K.ALL_SCOPE)}] END AS keywords").replace(
+    f"{lit(Q.CATEGORY)} AS category, n_articles", "CAST(NULL AS VARCHAR) AS category, n_articles").replace(
+    "'mock' AS model\nFROM dg", "'mock' AS model, CAST(2 AS BIGINT) AS id\nFROM dg")

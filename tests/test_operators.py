@@ -178,3 +178,27 @@ def test_tone_verdict(spark):
     got = {r["cluster"]: r for r in EV.tone_verdict(m, ["blk"]).collect()}
     assert got[1]["verdict"] == "split" and got[1]["label1"] == "긍정" and got[1]["n1"] == 2
     assert got[5]["verdict"] == "agree" and got[5]["label2"] is None
+
+
+def test_event_greedy_on_documents_matches_loop(spark):
+    """V5 on the sf0.001 article vectors, block by block, against the loop."""
+    from articleflow.plans import catalog as Q
+
+    sf = "/root/testdata/sf0.001"
+    inp = Q._greedy_input(spark, sf).select("category", "published_at", "id", "idx", "w").collect()
+    got = {r["id"]: (r["category"], r["published_at"], r["cluster"])
+           for r in Q.event_greedy(spark, sf).collect()}
+    blocks = {}
+    for r in inp:
+        blocks.setdefault((r["category"], r["published_at"]), []).append(r)
+    for key, rows in blocks.items():
+        rows.sort(key=lambda r: -r["id"])
+        vecs = np.zeros((len(rows), 256))
+        for i, r in enumerate(rows):
+            if r["idx"]:
+                vecs[i, list(r["idx"])] = list(r["w"])
+        want = sorted(sorted(rows[i]["id"] for i in g) for g in EV.greedy_reference(vecs, 0.45))
+        have = {}
+        for r in rows:
+            have.setdefault(got[r["id"]][2], []).append(r["id"])
+        assert sorted(sorted(g) for g in have.values()) == want, key
