@@ -678,3 +678,34 @@ def chain_log(spark, sf):
         ("report", lambda: DG.report_rows(_rp(spark, sf), _a(spark, sf), _s(spark, sf))),
     ]
     return SJ.run_chain(spark, stages)
+
+
+MODEL = "mock-hash-256"
+CACHE_BEFORE = "2024-01-08"     # an earlier run embedded the first week
+OTHER_MODEL_DAY = "2024-01-01"  # ... but that day's entries came from another model
+
+
+def _vector_cache(spark, sf):
+    c = _cluster_input(spark, sf).where(F.col("published_at") < F.lit(CACHE_BEFORE).cast("date"))
+    v = EV.hash_vectors(c, "id", F.col("text")).join(c.select("id", "published_at"), "id")
+    return v.select(F.col("id").alias("article_id"),
+                    F.when(F.col("published_at") == F.lit(OTHER_MODEL_DAY).cast("date"), F.lit("other"))
+                    .otherwise(F.lit(MODEL)).alias("model"), "idx", "w")
+
+
+@query
+def embed_missing(spark, sf):
+    """J5 + V2: per article, where its vector came from and its size."""
+    v = EV.vectors_with_cache(_cluster_input(spark, sf), _vector_cache(spark, sf), MODEL)
+    return v.groupBy("id", "origin").agg(F.count(F.lit(1)).alias("n_dims"),
+                                         F.round(F.sum(F.col("w") * F.col("w")), 6).alias("sq_norm"))
+
+
+@query
+def merge_vectors(spark, sf):
+    """M5: the cache after writing back this run's computed vectors."""
+    cache = _vector_cache(spark, sf)
+    v = EV.vectors_with_cache(_cluster_input(spark, sf), cache, MODEL)
+    fresh = EV.cache_rows(v.where(F.col("origin") == "computed"), MODEL)
+    m = EV.merge_vectors(cache, fresh)
+    return m.groupBy("article_id", "model").agg(F.count(F.lit(1)).alias("n_dims"))

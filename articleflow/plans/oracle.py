@@ -730,3 +730,17 @@ SQL["insight_latest"] = SQL["insight_record"].replace(
     f"ELSE [{lit(Q.CATEGORY)}] END AS keywords", f"ELSE [{lit(K.ALL_SCOPE)}] END AS keywords").replace(
     f"{lit(Q.CATEGORY)} AS category, n_articles", "CAST(NULL AS VARCHAR) AS category, n_articles").replace(
     "'mock' AS model\nFROM dg", "'mock' AS model, CAST(2 AS BIGINT) AS id\nFROM dg")
+
+_HV = SQL["hash_vector"].split("SELECT bk.id, CAST(bk.idx AS BIGINT)")[0]
+SQL["embed_missing"] = _HV + """,
+hv AS (SELECT bk.id, bk.idx, bk.n / nm.nrm AS w FROM bk JOIN nm ON bk.id = nm.id),
+org AS (SELECT id, CASE WHEN published_at < DATE '2024-01-08' AND published_at <> DATE '2024-01-01'
+                        THEN 'cache' ELSE 'computed' END AS origin FROM a)
+SELECT hv.id, org.origin, count(*) AS n_dims, round(sum(hv.w * hv.w), 6) AS sq_norm
+FROM hv JOIN org ON hv.id = org.id GROUP BY 1, 2"""
+SQL["merge_vectors"] = _HV + """,
+hv AS (SELECT bk.id, bk.idx FROM bk),
+md AS (SELECT id, CASE WHEN published_at < DATE '2024-01-08' AND published_at <> DATE '2024-01-01'
+                        THEN 'mock-hash-256' ELSE 'computed' END AS model FROM a)
+SELECT hv.id AS article_id, 'mock-hash-256' AS model, count(*) AS n_dims
+FROM hv GROUP BY 1"""
