@@ -78,8 +78,10 @@ def item_time(published: Column | str, updated: Column | str | None = None) -> C
 
 
 def iso_utc(ts: Column | str) -> Column:
-    """Timestamp -> 'YYYY-MM-DDTHH:MM:SS+00:00' text (second precision)."""
-    return F.concat(F.date_format(col_(ts), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
+    """Timestamp -> 'YYYY-MM-DDTHH:MM:SS+00:00' text in UTC (second
+    precision), whatever the session time zone."""
+    utc_wall = F.to_utc_timestamp(col_(ts), F.current_timezone())
+    return F.concat(F.date_format(utc_wall, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
 
 
 def date_span(first: Column | str, last: Column | str) -> Column:
