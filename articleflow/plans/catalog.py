@@ -709,3 +709,20 @@ def merge_vectors(spark, sf):
     fresh = EV.cache_rows(v.where(F.col("origin") == "computed"), MODEL)
     m = EV.merge_vectors(cache, fresh)
     return m.groupBy("article_id", "model").agg(F.count(F.lit(1)).alias("n_dims"))
+
+
+@query
+def boilerplate_hits(spark, sf):
+    """F2 diagnostics over every document: how many boilerplate patterns
+    match the text (personal e-mail lines, bylines, credits, ...)."""
+    d = read_table(spark, sf, "documents")
+    return d.select("doc_id", T.boilerplate_hits(F.col("text")).cast("long").alias("hits")) \
+        .where(F.col("hits") > 0)
+
+
+@query
+def event_top(spark, sf):
+    """V8 display cut: the largest multi-outlet events (size desc, then
+    block and first member: a total order)."""
+    return EV.events(_members(spark, sf), EVENT_BLOCK, K.EVENT_MIN_SOURCES) \
+        .orderBy(F.col("size").desc(), *[F.col(b) for b in EVENT_BLOCK], F.col("cluster")).limit(K.EVENT_TOP_N)

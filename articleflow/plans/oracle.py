@@ -744,3 +744,7 @@ md AS (SELECT id, CASE WHEN published_at < DATE '2024-01-08' AND published_at <>
                         THEN 'mock-hash-256' ELSE 'computed' END AS model FROM a)
 SELECT hv.id AS article_id, 'mock-hash-256' AS model, count(*) AS n_dims
 FROM hv GROUP BY 1"""
+
+SQL["boilerplate_hits"] = "SELECT doc_id, hits FROM (SELECT doc_id, CAST(" + " + ".join(
+    f"CAST(regexp_matches(text, {lit(p)}) AS INTEGER)" for p in K.BOILERPLATE_PATTERNS) + \
+    " AS BIGINT) AS hits FROM documents) WHERE hits > 0"
