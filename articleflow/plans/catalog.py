@@ -726,3 +726,12 @@ def event_top(spark, sf):
     block and first member: a total order)."""
     return EV.events(_members(spark, sf), EVENT_BLOCK, K.EVENT_MIN_SOURCES) \
         .orderBy(F.col("size").desc(), *[F.col(b) for b in EVENT_BLOCK], F.col("cluster")).limit(K.EVENT_TOP_N)
+
+
+@query
+def item_time(spark, sf):
+    """S4 over the raw publication texts: UTC ISO time when the text is an
+    RFC-822 or ISO date-time, else NULL."""
+    r = V.raw_view(spark, sf)
+    t = D.item_time(F.col("published_at"))
+    return r.select("id", "published_at", F.when(t.isNotNull(), D.iso_utc(t)).alias("item_time"))

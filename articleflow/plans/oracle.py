@@ -748,3 +748,13 @@ FROM hv GROUP BY 1"""
 SQL["boilerplate_hits"] = "SELECT doc_id, hits FROM (SELECT doc_id, CAST(" + " + ".join(
     f"CAST(regexp_matches(text, {lit(p)}) AS INTEGER)" for p in K.BOILERPLATE_PATTERNS) + \
     " AS BIGINT) AS hits FROM documents) WHERE hits > 0"
+
+SQL["item_time"] = f"""WITH {R_CTE}
+SELECT id, published_at,
+  CASE WHEN regexp_matches(published_at, '^[A-Za-z]{{3}}, ')
+       THEN strftime(strptime(regexp_replace(published_at, '^[A-Za-z]{{3}}, ', ''), '%d %b %Y %H:%M:%S %z')
+                     AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%S') || '+00:00'
+       WHEN regexp_matches(published_at, '^\\d{{4}}-\\d{{2}}-\\d{{2}}T')
+       THEN strftime(CAST(published_at AS TIMESTAMPTZ) AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%S') || '+00:00'
+  END AS item_time
+FROM r"""
