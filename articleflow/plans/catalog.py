@@ -735,3 +735,19 @@ def item_time(spark, sf):
     r = V.raw_view(spark, sf)
     t = D.item_time(F.col("published_at"))
     return r.select("id", "published_at", F.when(t.isNotNull(), D.iso_utc(t)).alias("item_time"))
+
+
+from ..operators import components as CC  # noqa: E402
+
+
+@query
+def event_components(spark, sf):
+    """V6 re-aimed: near-duplicate document groups, linked by the same
+    normalised first line or the same whole text (exact copies)."""
+    d = read_table(spark, sf, "documents")
+    line_key = T.title_key(T.first_line(F.col("text")))
+    edges = CC.key_edges(d, "doc_id", {
+        "title": F.when(line_key != "", F.sha1(line_key.cast("binary"))),
+        "text": F.sha1(F.col("text").cast("binary")),
+    })
+    return CC.groups(CC.components(edges), min_size=2)

@@ -758,3 +758,18 @@ SELECT id, published_at,
        THEN strftime(CAST(published_at AS TIMESTAMPTZ) AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%S') || '+00:00'
   END AS item_time
 FROM r"""
+
+SQL["event_components"] = f"""
+WITH RECURSIVE keyed AS (
+  SELECT doc_id AS id, 'title:' || sha1(k) AS key FROM (
+    SELECT doc_id, lower(regexp_replace(split_part(text, chr(10), 1), {lit(K.TITLE_HASH_DROP)}, '', 'g')) AS k
+    FROM documents) WHERE k <> ''
+  UNION
+  SELECT doc_id, 'text:' || sha1(text) FROM documents),
+walk(id, label) AS (
+  SELECT id, id FROM keyed
+  UNION
+  SELECT e2.id, w.label FROM walk w JOIN keyed e1 ON w.id = e1.id JOIN keyed e2 ON e1.key = e2.key),
+lab AS (SELECT id, min(label) AS component FROM walk GROUP BY id),
+sz AS (SELECT component, count(*) AS size FROM lab GROUP BY component)
+SELECT lab.id, lab.component, sz.size FROM lab JOIN sz ON lab.component = sz.component WHERE sz.size >= 2"""

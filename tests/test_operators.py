@@ -202,3 +202,14 @@ def test_event_greedy_on_documents_matches_loop(spark):
         for r in rows:
             have.setdefault(got[r["id"]][2], []).append(r["id"])
         assert sorted(sorted(g) for g in have.values()) == want, key
+
+
+def test_components_link_through_shared_keys(spark):
+    from articleflow.operators import components as CC
+
+    # 1-2 share a title, 2-3 share a text, 4 alone, 5-6 share a text
+    df = spark.createDataFrame([(1, "a", "x"), (2, "a", "y"), (3, "b", "y"), (4, "c", "z"), (5, "d", "w"),
+                                (6, "e", "w")], "id long, t string, b string")
+    edges = CC.key_edges(df, "id", {"title": F.col("t"), "text": F.col("b")})
+    got = {r["id"]: (r["component"], r["size"]) for r in CC.groups(CC.components(edges)).collect()}
+    assert got == {1: (1, 3), 2: (1, 3), 3: (1, 3), 5: (5, 2), 6: (5, 2)}
