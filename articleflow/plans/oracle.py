@@ -773,3 +773,17 @@ walk(id, label) AS (
 lab AS (SELECT id, min(label) AS component FROM walk GROUP BY id),
 sz AS (SELECT component, count(*) AS size FROM lab GROUP BY component)
 SELECT lab.id, lab.component, sz.size FROM lab JOIN sz ON lab.component = sz.component WHERE sz.size >= 2"""
+
+SQL["raw_sink"] = f"""WITH {_ITEMS},
+pay AS (
+  SELECT r.id, r.url, '{{"title":' || to_json(coalesce(r.title, '')) || ',"link":' || to_json(r.url)
+         || ',"published":' || to_json(strftime({day_of("r.id")}, '%a, %d %b %Y') || ' 10:00:00 +0900') || '}}' AS raw_json
+  FROM r)
+SELECT b.source, 'rss+crawl' AS method, b.guid, b.url,
+       CASE WHEN coalesce(px.body, '') <> '' THEN coalesce(nullif(b.title, ''), px.title) ELSE b.title END AS title,
+       CASE WHEN coalesce(px.body, '') <> '' THEN px.body END AS body,
+       b.category, b.published_at,
+       CASE WHEN coalesce(px.body, '') <> '' THEN 'ok' ELSE 'failed' END AS crawl_status,
+       pay.raw_json,
+       '2024-01-15T09:00:00+09:00' AS collected_at, DATE '2024-01-15' AS collected_date
+FROM bud b LEFT JOIN px ON b.url = px.url JOIN pay ON pay.url = b.url"""
