@@ -32,8 +32,14 @@ def key_edges(df: DataFrame, id_col: str, keys: dict[str, object]) -> DataFrame:
 
 
 def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
-    """(id, component) with component = the smallest id of the component."""
-    labels = stage(edges.select("id").distinct().withColumn("label", F.col("id")), "cc-labels")
+    """(id, component) with component = the smallest id of the component.
+
+    The edge table is staged once (keys are hashes of whole texts: computed
+    once, not per round).  The first round starts from each key's smallest
+    document id."""
+    edges = stage(edges, "cc-edges")
+    first = edges.groupBy("key").agg(F.min("id").alias("kl"))
+    labels = stage(edges.join(first, "key").groupBy("id").agg(F.min("kl").alias("label")), "cc-labels")
     for _ in range(max_rounds):
         key_min = edges.join(labels, "id").groupBy("key").agg(F.min("label").alias("kl"))
         new = edges.join(key_min, "key").groupBy("id").agg(F.min("kl").alias("label"))
