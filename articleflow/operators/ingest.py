@@ -48,13 +48,27 @@ def source_budget(items: DataFrame, feeds: DataFrame, limit: int = K.FETCH_LIMIT
 
 
 def next_state(kept: DataFrame, state: DataFrame | None, cap: int = K.SEEN_GUID_CAP,
-               updated_at: str | None = None) -> DataFrame:
+               updated_at: str | None = None, dropped: DataFrame | None = None) -> DataFrame:
     """W5 + W6 + M3: new state rows for the feeds that kept items; other
     feeds keep their row untouched.  Cursor = max(kept time) never below the
     old cursor; seen = old seen U kept guids, the newest ``cap`` by
-    (time, guid) (kept items rank above old keys)."""
+    (time, guid) (kept items rank above old keys).
+
+    By default the cursor moves to the newest *kept* item even when a
+    budget or query left older new items behind (they are then lost, as in
+    the original).  ``dropped`` (new items that were not kept) makes it
+    lossless: the cursor only moves to kept times below the oldest dropped
+    time, so those items pass the cursor check next time (kept items above
+    it are still stopped by the seen keys)."""
     new = kept.select(*FEED_KEY, "guid", F.col("published_at").alias("t"), F.lit(1).alias("fresh"))
-    touched = kept.groupBy(*FEED_KEY).agg(F.max("published_at").alias("_newest"))
+    if dropped is not None:
+        floor = dropped.where(F.col("published_at").isNotNull()).groupBy(*FEED_KEY) \
+            .agg(F.min("published_at").alias("_floor"))
+        k = kept.join(floor, FEED_KEY, "left")
+        t_ok = F.when(F.col("_floor").isNull() | (F.col("published_at") < F.col("_floor")), F.col("published_at"))
+        touched = k.groupBy(*FEED_KEY).agg(F.max(t_ok).alias("_newest"))
+    else:
+        touched = kept.groupBy(*FEED_KEY).agg(F.max("published_at").alias("_newest"))
     if state is not None:
         old = state.join(touched.select(*FEED_KEY), FEED_KEY, "left_semi")
         old_keys = old.select(*FEED_KEY, F.explode("seen_guids").alias("guid"), F.lit(None).cast("string").alias("t"),

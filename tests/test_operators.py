@@ -21,7 +21,7 @@ def _raw(spark, rows):
 
 def test_validate_reasons(spark):
     rows = [
-        (1, "https://ex.com/a", "제목입니다", BODY, "IT", "yonhap", "2026-07-22T09:00:00+00:00", "2026-07-22T10:00:00+09:00", "ok"),
+        (1, "https://ex.com/a", "제목입니다", BODY, "IT", "src1", "2026-07-22T09:00:00+00:00", "2026-07-22T10:00:00+09:00", "ok"),
         (2, "", "t", BODY, "IT", "s", None, None, "ok"),
         (3, "https://ex.com/c", "t", "짧음", "IT", "s", None, None, "ok"),
         (4, "https://ex.com/d", "제목", BODY, None, None, None, "2026-07-22T00:00:00+09:00", "ok"),

@@ -79,3 +79,16 @@ def test_ingest_stream_two_epochs_then_rerun(spark):
     assert spark.read.parquet(base + "/raw").count() == 2
     st = SJ.latest(spark, base + "/state").first()
     assert st["last_pubdate"] == "2026-07-22T09:00:00+00:00" and sorted(st["seen_guids"]) == ["guid-a", "guid-b"]
+
+
+def test_next_state_lossless_cursor(spark):
+    kept = spark.createDataFrame([("s", "c", "g1", "2026-07-22T01:00:00+00:00"),
+                                  ("s", "c", "g3", "2026-07-22T03:00:00+00:00")],
+                                 "source string, category string, guid string, published_at string")
+    dropped = spark.createDataFrame([("s", "c", "g2", "2026-07-22T02:00:00+00:00")],
+                                    "source string, category string, guid string, published_at string")
+    lossy = IN.next_state(kept, None).first()
+    lossless = IN.next_state(kept, None, dropped=dropped).first()
+    assert lossy["last_pubdate"] == "2026-07-22T03:00:00+00:00"
+    assert lossless["last_pubdate"] == "2026-07-22T01:00:00+00:00"
+    assert sorted(lossless["seen_guids"]) == ["g1", "g3"]
