@@ -129,6 +129,11 @@ def latest_insight(insights: DataFrame) -> DataFrame:
     return insights.agg(F.max_by(F.struct(*insights.columns), F.col("id")).alias("r")).select("r.*")
 
 
+def list_insights(insights: DataFrame, k: int = 10) -> DataFrame:
+    """The newest ``k`` records (top-k by id)."""
+    return insights.orderBy(F.col("id").desc()).limit(k)
+
+
 def selection_text(selection: DataFrame, body_chars: int = K.ANALYSIS_BODY_CHARS) -> DataFrame:
     """numbered listing lines of the (bounded) selection as one text."""
     content = F.when(F.coalesce(F.col("summary"), F.lit("")) != "", F.col("summary")) \

@@ -36,10 +36,27 @@ def registry(raw: DataFrame) -> DataFrame:
                         F.row_number().over(w).cast("long").alias("feed_pos"))
 
 
-def select_feeds(reg: DataFrame, sources: list[str] | None = None, category: str | None = None) -> DataFrame:
-    """All sources or the named ones, all feeds or one category."""
+def select_feeds(reg: DataFrame, sources: list[str] | str | None = None, category: str | None = None,
+                 seed: int = 0) -> DataFrame:
+    """``None`` / "all" = every source, "random" = one source picked
+    with ``seed``, a list or "a,b" text = those sources (an unknown name is
+    an error); then all feeds or the one category."""
+    if isinstance(sources, str):
+        if sources in ("", "all"):
+            sources = None
+        elif sources == "random":
+            one = reg.select("source").distinct().orderBy(F.rand(seed)).limit(1)
+            return select_feeds(reg.join(one, "source", "left_semi"), None, category)
+        else:
+            sources = [x.strip() for x in sources.split(",") if x.strip()]
     if sources:
-        reg = reg.where(F.col("source").isin(list(sources)))
+        wanted = list(dict.fromkeys(sources))
+        # the check reads back at most len(wanted) names
+        found = {r["source"] for r in reg.where(F.col("source").isin(wanted)).select("source").distinct().collect()}
+        unknown = [x for x in wanted if x not in found]
+        if unknown:
+            raise ValueError(f"unknown source(s): {', '.join(unknown)}")
+        reg = reg.where(F.col("source").isin(wanted))
     if category:
         reg = reg.where(F.col("category") == category)
     return reg

@@ -92,3 +92,15 @@ def test_next_state_lossless_cursor(spark):
     assert lossy["last_pubdate"] == "2026-07-22T03:00:00+00:00"
     assert lossless["last_pubdate"] == "2026-07-22T01:00:00+00:00"
     assert sorted(lossless["seen_guids"]) == ["g1", "g3"]
+
+
+def test_select_feeds(spark):
+    import pytest
+
+    reg = spark.createDataFrame([("a", "x", "u1", 1), ("a", "y", "u2", 2), ("b", "x", "u3", 1)],
+                                "source string, category string, feed_url string, feed_pos long")
+    assert FD.select_feeds(reg, "all").count() == 3
+    assert FD.select_feeds(reg, "a", category="y").count() == 1
+    assert FD.select_feeds(reg, "random", seed=3).select("source").distinct().count() == 1
+    with pytest.raises(ValueError):
+        FD.select_feeds(reg, "a,zzz")
