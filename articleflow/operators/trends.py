@@ -32,6 +32,25 @@ def top_keywords(articles: DataFrame, top_n: int = K.TOP_N, stopwords=K.STOPWORD
     return counts.orderBy(F.col("n").desc(), F.col("token").asc()).limit(top_n)
 
 
+def day_token_counts(articles: DataFrame, stopwords=K.STOPWORDS) -> DataFrame:
+    """(day, token, n) for visible, dated articles over all days; an article
+    without tokens contributes a (day, NULL) row, so every day with data
+    appears.  One pass over the articles feeds the window and the counts
+    (the identical exchanges are reused within a query)."""
+    vis = _visible(articles).where(F.col("published_at").isNotNull())
+    toks = vis.select(F.col("published_at").alias("day"),
+                      F.explode_outer(keyword_tokens(F.col("title"), stopwords)).alias("token"))
+    return toks.groupBy("day", "token").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _window_of(counts: DataFrame, days: int) -> DataFrame:
+    w = Window.orderBy(F.col("day").desc())   # over distinct days only: tiny
+    d = counts.select("day").distinct().withColumn("pos", F.row_number().over(w).cast("long"))
+    if days > 0:
+        d = d.where(F.col("pos") <= days)
+    return d
+
+
 def data_days(articles: DataFrame) -> DataFrame:
     """Distinct days with visible, dated articles (one row per day)."""
     return _visible(articles).where(F.col("published_at").isNotNull()).select(
@@ -48,19 +67,22 @@ def trend_window(articles: DataFrame, days: int = K.TREND_DAYS) -> DataFrame:
     return d
 
 
+def _daily(counts: DataFrame, win: DataFrame) -> DataFrame:
+    return counts.where(F.col("token").isNotNull()).join(F.broadcast(win.select("day")), "day", "left_semi")
+
+
 def daily_keywords(articles: DataFrame, days: int = K.TREND_DAYS, stopwords=K.STOPWORDS) -> DataFrame:
     """(day, token, n) inside the trend window."""
-    win = trend_window(articles, days).select("day", "pos")
-    vis = _visible(articles).join(F.broadcast(win), F.col("published_at") == F.col("day"), "left_semi")
-    toks = title_tokens(vis, stopwords)
-    return toks.groupBy(F.col("published_at").alias("day"), "token").agg(F.count(F.lit(1)).alias("n"))
+    counts = day_token_counts(articles, stopwords)
+    return _daily(counts, _window_of(counts, days)).select("day", "token", "n")
 
 
 def briefing_counts(articles: DataFrame, days: int = K.TREND_DAYS, stopwords=K.STOPWORDS) -> DataFrame:
     """Per token: today's count, pooled prior count and the prior mean."""
-    win = trend_window(articles, days)
+    counts = day_token_counts(articles, stopwords)
+    win = _window_of(counts, days)
     meta = win.agg(F.max("day").alias("today"), F.count(F.lit(1)).alias("n_days"))
-    per_day = daily_keywords(articles, days, stopwords)
+    per_day = _daily(counts, win)
     j = per_day.crossJoin(F.broadcast(meta))   # one-row frame
     agg = j.groupBy("token").agg(
         F.sum(F.when(F.col("day") == F.col("today"), F.col("n")).otherwise(0)).cast("long").alias("today_n"),
@@ -105,10 +127,11 @@ def keyword_timeline(articles: DataFrame, days: int = K.TREND_DAYS, top_k: int =
                      stopwords=K.STOPWORDS) -> DataFrame:
     """Window days x top-k keywords of the window, 0 where absent.  Both
     sides are bounded by parameters, so the grid is a broadcast cross join."""
-    per_day = daily_keywords(articles, days, stopwords)
+    counts = day_token_counts(articles, stopwords)
+    win = _window_of(counts, days)
+    per_day = _daily(counts, win)
     top = (per_day.groupBy("token").agg(F.sum("n").alias("total"))
            .orderBy(F.col("total").desc(), F.col("token").asc()).limit(top_k).select("token"))
-    win = trend_window(articles, days).select("day")
-    grid = F.broadcast(win).crossJoin(F.broadcast(top))
+    grid = F.broadcast(win.select("day")).crossJoin(F.broadcast(top))
     return grid.join(per_day, ["day", "token"], "left").select(
         "day", "token", F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"))
