@@ -213,3 +213,16 @@ def test_components_link_through_shared_keys(spark):
     edges = CC.key_edges(df, "id", {"title": F.col("t"), "text": F.col("b")})
     got = {r["id"]: (r["component"], r["size"]) for r in CC.groups(CC.components(edges)).collect()}
     assert got == {1: (1, 3), 2: (1, 3), 3: (1, 3), 5: (5, 2), 6: (5, 2)}
+
+
+def test_hash_buckets_match_md5_mod(spark):
+    import hashlib
+
+    text = "Samsung chip profit 반도체 a"
+    toks = ["samsung", "chip", "profit", "반도체", "a"]
+    grams = toks + [t[i:i + 2] for t in toks for i in range(len(t) - 1)]
+    df = spark.createDataFrame([(text,)], "t string")
+    for dim in (256, 16, 100):
+        got = sorted(df.select(EV.hash_buckets(F.col("t"), dim).alias("b")).first()["b"])
+        want = sorted(int(hashlib.md5(g.encode()).hexdigest(), 16) % dim for g in grams)
+        assert got == want, dim
