@@ -168,6 +168,14 @@ def clean_valid(spark, sf):
 
 @query
 def clean_rejects(spark, sf):
+    """P11 split: the rejected raw rows with their first failing rule."""
+    v = C.validate(_rp(spark, sf))
+    return v.where(F.col("reason") != "ok").select("raw_id", "reason", "body_len")
+
+
+@query
+def reject_reasons(spark, sf):
+    """Reject-reason histogram (a short body is bucketed by length)."""
     return C.clean_rejects(_rp(spark, sf))
 
 
@@ -751,3 +759,29 @@ def event_components(spark, sf):
         "text": F.sha1(F.col("text").cast("binary")),
     })
     return CC.groups(CC.components(edges), min_size=2)
+
+
+@query
+def feed_seen(spark, sf):
+    """The capped seen-key set per feed after this run, one row per key."""
+    kept, state = _budgeted(spark, sf)
+    st = IN.next_state(kept, state)
+    return st.select("source", "category", F.explode("seen_guids").alias("guid"))
+
+
+@query
+def cluster_text(spark, sf):
+    """title + (summary, else the first 300 body characters)."""
+    j = AR.articles_joined(_a(spark, sf), _s(spark, sf))
+    return j.select("id", T.cluster_text(F.col("title"), F.col("summary"), F.col("body")).alias("text"))
+
+
+@query
+def json_arrays(spark, sf):
+    """title keyword arrays stored as JSON text and read back
+    (NULL or unreadable JSON -> [])."""
+    a = _a(spark, sf).select("id", T.keyword_tokens(F.col("title")).alias("keywords"))
+    enc = DG.encode_arrays(a, ("keywords",)).select("id", F.col("keywords").alias("keywords_json"),
+                                                     F.col("keywords"))
+    dec = DG.decode_arrays(enc.select("id", F.col("keywords_json").alias("keywords")), ("keywords",))
+    return enc.select("id", "keywords_json").join(dec, "id")

@@ -336,7 +336,7 @@ FROM s"""
 
 # clean path -------------------------------------------------------------------
 SQL["clean_valid"] = f"WITH {V_CTE}\nSELECT {CLEAN_COLS} FROM ok"
-SQL["clean_rejects"] = f"""WITH {V_CTE}
+SQL["reject_reasons"] = f"""WITH {V_CTE}
 SELECT reason, CASE WHEN reason = 'short_body' THEN body_len END AS short_len, count(*) AS n
 FROM v WHERE reason <> 'ok' GROUP BY 1, 2"""
 SQL["dedup_skip"] = f"WITH {V_CTE}\nSELECT {CLEAN_COLS} FROM w1"
@@ -787,3 +787,17 @@ SELECT b.source, 'rss+crawl' AS method, b.guid, b.url,
        pay.raw_json,
        '2024-01-15T09:00:00+09:00' AS collected_at, DATE '2024-01-15' AS collected_date
 FROM bud b LEFT JOIN px ON b.url = px.url JOIN pay ON pay.url = b.url"""
+
+SQL["clean_rejects"] = f"WITH {V_CTE}\nSELECT raw_id, reason, body_len FROM v WHERE reason <> 'ok'"
+SQL["feed_seen"] = SQL["feed_state"].replace(
+    "SELECT source, category, last_pubdate, CAST(len(seen_guids) AS BIGINT) AS n_seen, seen_guids\n"
+    "FROM (SELECT * FROM new_state UNION ALL SELECT * FROM old_state)",
+    "SELECT source, category, unnest(seen_guids) AS guid\n"
+    "FROM (SELECT * FROM new_state UNION ALL SELECT * FROM old_state)")
+SQL["cluster_text"] = f"""{AS_CTE},{_J}
+SELECT id, {trim_ws("coalesce(title, '') || ' ' || CASE WHEN summary IS NOT NULL AND summary <> '' THEN summary "
+                    "ELSE substr(coalesce(body, ''), 1, 300) END")} AS text FROM j"""
+SQL["json_arrays"] = f"""{A_ONLY}
+SELECT id, CAST(to_json(toks) AS VARCHAR) AS keywords_json, toks AS keywords FROM (
+  SELECT id, list_filter(regexp_extract_all(coalesce(title, ''), {lit(K.KEYWORD_PATTERN)}),
+                         lambda t: NOT list_contains({STOP}, t) AND length(t) >= 2) AS toks FROM a)"""
