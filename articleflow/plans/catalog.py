@@ -20,12 +20,19 @@ from ..functions import text as T
 from ..functions import urls as U
 from ..operators import articles as AR
 from ..operators import clean as C
+from ..operators import components as CC
+from ..operators import digest as DG
+from ..operators import events as EV
+from ..operators import ingest as IN
 from ..operators import merge as M
 from ..operators import metrics as MT
 from ..operators import trends as TR
+from ..session import stage
+from ..sources import feeds as FD
 from ..sources import views as V
 from ..sources.pages import page_extract as _page_extract
 from ..sources.tables import read_table
+from ..streaming import jobs as SJ
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -355,7 +362,6 @@ def article_count(spark, sf):
 # --------------------------------------------------------------------------
 # vectors and events
 # --------------------------------------------------------------------------
-from ..operators import events as EV  # noqa: E402
 
 EVENT_BLOCK = ["category", "published_at"]
 
@@ -392,7 +398,6 @@ def _greedy_input(spark, sf):
 def _members(spark, sf, threshold=K.EVENT_THRESHOLD):
     """Cluster members with their attributes.  The clustering input feeds
     both the clustering and the member join, so it is staged once."""
-    from ..session import stage
     c = stage(_greedy_input(spark, sf), "greedy-input")
     g = EV.greedy_clusters(c, EVENT_BLOCK, [F.col("id").desc()], threshold)
     return g.join(c.select("id", "title", "source", "sentiment", "idx", "w"), "id")
@@ -426,8 +431,6 @@ def tone_verdict(spark, sf):
 # --------------------------------------------------------------------------
 # ingest (S1-S5, S7-S9, P10, J3/J4, J8, W4-W6, M3)
 # --------------------------------------------------------------------------
-from ..operators import ingest as IN  # noqa: E402
-from ..sources import feeds as FD  # noqa: E402
 
 PREV_RUN_BEFORE = "2024-01-08"   # the previous fetch saw the first week
 ITEM_QUERY = "the"
@@ -530,7 +533,6 @@ def uncleaned(spark, sf):
 # streaming (X1, X2, X4, X5): each call runs the job to completion with
 # trigger(availableNow) into a fresh folder and returns its output table
 # --------------------------------------------------------------------------
-from ..streaming import jobs as SJ  # noqa: E402
 
 
 @query
@@ -584,7 +586,6 @@ def stream_clean(spark, sf):
 # --------------------------------------------------------------------------
 # analysis, digest, summaries, report, health
 # --------------------------------------------------------------------------
-from ..operators import digest as DG  # noqa: E402
 
 
 def _selection(spark, sf, category=CATEGORY):
@@ -745,9 +746,6 @@ def item_time(spark, sf):
     return r.select("id", "published_at", F.when(t.isNotNull(), D.iso_utc(t)).alias("item_time"))
 
 
-from ..operators import components as CC  # noqa: E402
-
-
 @query
 def event_components(spark, sf):
     """V6 re-aimed: near-duplicate document groups, linked by the same
