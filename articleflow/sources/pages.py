@@ -95,8 +95,15 @@ def _fragment_text(fragment: Column) -> Column:
     return html_text(F.regexp_replace(fragment, _TAG, SEP))
 
 
+# Entities that decode to whitespace (they do not make a text node non-empty).
+_BLANK_ENTITY = r"(?i)&(?:nbsp|ensp|emsp|thinsp|#0*160|#x0*a0|#0*32|#x0*20|#0*9|#x0*9|#0*10|#x0*a);?"
+
+
 def _has_text(fragment: Column) -> Column:
-    return F.regexp_replace(fragment, _TAG, "").rlike("[^" + WS[1:-1] + "]")
+    """The fragment holds a non-whitespace character outside tags (a
+    whitespace-only entity does not count)."""
+    return F.regexp_replace(F.regexp_replace(fragment, _TAG, ""), _BLANK_ENTITY, " ") \
+        .rlike("[^" + WS[1:-1] + "]")
 
 
 def _candidates(h: Column, selectors) -> list[Column]:
@@ -140,12 +147,18 @@ def with_extracted(df: DataFrame, html_col: str = "html", title_col: str = "titl
     h = df.select(*keep, remove_elements(F.coalesce(F.col(html_col), F.lit("")), remove_selectors).alias("_h"))
     h = _pick_first(h, "_h", title_selectors, "_tf")
     h = _pick_first(h, "_h", body_selectors, "_bf").drop("_h")
-    texts = h.select(*keep, _fragment_text(F.col("_tf")).alias("_tt"), _fragment_text(F.col("_bf")).alias("_bt"))
+    texts = h.select(*keep, _fragment_text(F.col("_tf")).alias("_tt"), _fragment_text(F.col("_bf")).alias("_bt"),
+                     F.col("_bf").isNotNull().alias("_found"))
     return texts.select(*[c for c in keep if c not in (title_col, body_col)],
                         F.when(F.col("_tt") != "", F.col("_tt")).alias(title_col),
-                        F.when(F.col("_bt") != "", F.col("_bt")).alias(body_col))
+                        F.when(F.col("_bt") != "", F.col("_bt")).alias(body_col),
+                        F.col("_found").alias(body_col + "_found"))
 
 
 def page_extract(pages: DataFrame, **selectors) -> DataFrame:
     """``pages(page_id, url, html)`` -> ``(page_id, url, title, body)``."""
     return with_extracted(pages.select("page_id", "url", "html"), **selectors).select("page_id", "url", "title", "body")
+
+
+# ``with_extracted`` also adds ``<body_col>_found``: a body fragment with text
+# was found (decided JVM-side, so status counts need no Python step).

@@ -87,7 +87,7 @@ def spelled_day(day: Column, style: Column) -> Column:
 
 def raw_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    x = with_extracted(p).select("page_id", "url", F.struct("title", "body").alias("x"))
+    x = with_extracted(p).select("page_id", "url", F.struct("title", "body").alias("x"), "body_found")
     day = _day_of(F.col("page_id"))
     return x.select(
         F.col("page_id").alias("id"),
@@ -99,7 +99,7 @@ def raw_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("x.body").alias("body"),
         url_first_segment(F.col("url")).alias("category"),
         spelled_day(day, F.pmod(F.col("page_id"), F.lit(5))).alias("published_at"),
-        F.when(F.coalesce(F.col("x.body"), F.lit("")) != "", F.lit("ok")).otherwise(F.lit("failed")).alias("crawl_status"),
+        F.when(F.col("body_found"), F.lit("ok")).otherwise(F.lit("failed")).alias("crawl_status"),
         F.concat(F.date_format(F.date_add(day, 1), "yyyy-MM-dd"), F.lit("T09:00:00+09:00")).alias("collected_at"),
     )
 
