@@ -127,3 +127,14 @@ def test_extractive_summary_matches_loop(spark, body):
 def test_cut_cell(spark):
     assert one(spark, lambda c: T.cut_cell(c, 5, "…"), "abcdefgh") == "abcde…"
     assert one(spark, lambda c: T.cut_cell(c, 5, "…"), "abc") == "abc"
+
+
+def test_item_time_is_utc_under_any_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = one(spark, lambda c: D.iso_utc(D.item_time(c)), "Wed, 22 Jul 2026 18:00:00 +0900")
+        assert got == "2026-07-22T09:00:00+00:00"
+        assert one(spark, lambda c: D.iso_utc(D.item_time(c)), "2026-07-22T18:00:00+09:00") == got
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
