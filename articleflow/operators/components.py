@@ -1,14 +1,19 @@
-"""Connected components over shared keys (V6 re-aimed, exact).
-
-Documents are linked when they share a key (e.g. the normalised title hash
-or the hash of the whole text); groups are the connected components of
-that graph.  The graph is kept bipartite (document -- key), so no pair of
-documents is ever materialised: each round sends the smallest label of a
-key's documents to the key (a min aggregate, combined map-side, so a key
-held by a third of all rows is cheap) and back to the documents.  Rounds
-repeat until no label changes (about the diameter of the graph); each
-round's labels are staged as a table in the shared checkpoint folder,
-which cuts the lineage.
+"""Connected components, exact, for any diameter.
+
+``connected_components`` alternates the large-star and small-star steps
+(Kiveris et al., "Connected Components in MapReduce and Beyond", 2014) on an
+edge table until the table no longer changes, which leaves one star per
+component around its smallest id.  Every node links straight to the smallest
+id it has seen, so the number of rounds grows with the logarithm of the
+graph, not with its diameter, and there is no round cap.  Each round is an
+aggregate (combined map-side) and a join that AQE may split, so a hub with a
+third of all rows is no bottleneck.  Each round's edges are staged as a table
+in the shared checkpoint folder, which cuts the lineage, and the round before
+is removed.
+
+``components`` links documents that share a key (e.g. the normalised title
+hash or the hash of the whole text): every document links to its key's
+smallest document, so no pair of documents of a key is ever materialised.
 """
 
 from __future__ import annotations
@@ -16,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stage
+from ..session import stage, unstage
 
 
 def key_edges(df: DataFrame, id_col: str, keys: dict[str, object]) -> DataFrame:
@@ -31,25 +36,47 @@ def key_edges(df: DataFrame, id_col: str, keys: dict[str, object]) -> DataFrame:
     return out.distinct()
 
 
-def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
-    """(id, component) with component = the smallest id of the component.
-
-    The edge table is staged once (keys are hashes of whole texts: computed
-    once, not per round).  The first round starts from each key's smallest
-    document id."""
-    edges = stage(edges, "cc-edges")
-    first = edges.groupBy("key").agg(F.min("id").alias("kl"))
-    labels = stage(edges.join(first, "key").groupBy("id").agg(F.min("kl").alias("label")), "cc-labels")
-    for _ in range(max_rounds):
-        key_min = edges.join(labels, "id").groupBy("key").agg(F.min("label").alias("kl"))
-        new = edges.join(key_min, "key").groupBy("id").agg(F.min("kl").alias("label"))
-        new = stage(new, "cc-labels")
-        changed = new.join(labels.withColumnRenamed("label", "old"), "id") \
-            .where(F.col("label") < F.col("old")).limit(1).count()
-        labels = new
-        if changed == 0:
+def _large_star(edges: DataFrame) -> DataFrame:
+    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    return both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+
+
+def _small_star(edges: DataFrame) -> DataFrame:
+    low = edges.groupBy("u").agg(F.min("v").alias("m"))
+    moved = edges.join(low, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return moved.unionByName(low.select("u", F.col("m").alias("v"))).distinct()
+
+
+def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
+    """(id, component) for every id on an edge; component = its smallest id.
+
+    NULL ends and self loops link nothing.  Ids may be of any ordered type."""
+    cur = stage(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u > v")
+                .where(F.col(a).isNotNull() & F.col(b).isNotNull()).distinct(), "cc-edges")
+    size = (F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")))
+    seen = cur.agg(*size).first()
+    while seen[0]:
+        new = stage(_small_star(_large_star(cur)), "cc-edges")
+        now = new.agg(*size).first()
+        unstage(cur)
+        cur, before, seen = new, seen, now
+        if now == before:
             break
-    return labels.withColumnRenamed("label", "component")
+    return cur.select(F.col("u").alias("id"), F.col("v").alias("component")) \
+        .unionByName(cur.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(id, component) of documents linked by shared keys, singletons included.
+
+    The (id, key) table is staged once (keys are hashes of whole texts)."""
+    edges = stage(edges, "cc-keys")
+    first = edges.groupBy("key").agg(F.min("id").alias("first"))
+    linked = connected_components(edges.join(first, "key").where(F.col("first") != F.col("id"))
+                                  .select("id", "first"), "id", "first")
+    return edges.select("id").distinct().join(linked, "id", "left") \
+        .select("id", F.coalesce("component", "id").alias("component"))
 
 
 def groups(labels: DataFrame, min_size: int = 2) -> DataFrame:

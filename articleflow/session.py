@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -48,8 +49,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (distributed)
-    folder and is used as is.  Only when it is unset (local tests) a fresh
-    scratch folder is created and registered.
+    folder and is used as is; without it a cluster session fails here,
+    because a machine-local folder would hide one executor's rows from the
+    others.  Only a single-JVM session (``local[...]``) that leaves it unset
+    gets a fresh scratch folder.
     """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None)
@@ -59,6 +62,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     if sc.getCheckpointDir() is not None:
         return sc.getCheckpointDir()
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     current = tempfile.mkdtemp(prefix="articleflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(current)
     return current
@@ -68,10 +73,22 @@ def stage(df, name: str = "stage"):
     """Materialise ``df`` once as a Parquet table in the shared checkpoint
     folder and return a DataFrame reading it: lineage is cut, every later
     branch reads the staged rows, and a lost executor only re-reads files.
+    ``unstage`` removes the table when nothing reads it any more.
     """
-    import uuid
-
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    schema = df.schema
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def unstage(df) -> None:
+    """Delete the staged table that ``df`` (a result of ``stage``) reads."""
+    spark = df.sparkSession
+    root = f"{checkpoint_dir(spark).rstrip('/')}/tables/"
+    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    jvm = spark._jvm
+    for folder in folders:
+        if "/tables/" in folder and folder.split(":", 1)[-1].lstrip("/").startswith(root.split(":", 1)[-1].lstrip("/")):
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
