@@ -9,9 +9,9 @@ QUERIES = {f.__name__: f for f in (
     tokens.op6_tokens, substrings.op7_substrings, toxicity.op8_toxicity, pii.op9_pii, passages.op10_passages)}
 
 TOP_K_SQL = f"""
-WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor({cover_tree.SCALE} * x::DOUBLE)::BIGINT) AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, d.vec_id, list_sum(list_transform(list_zip(q.e, d.e), z -> z[1] * z[2]))::BIGINT AS score
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor({cover_tree.SCALE} * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, d.vec_id, list_sum(list_transform(list_zip(q.e, d.e), lambda z: z[1] * z[2]))::BIGINT AS score
   FROM v q JOIN v d ON q.vec_id % 100 = 0 AND d.vec_id <> q.vec_id AND len(q.e) = len(d.e)),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= {cover_tree.K}

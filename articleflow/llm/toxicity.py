@@ -5,7 +5,7 @@ skip-grams; per-coordinate rates and L1 sparsity produce compact weights that
 are broadcast (at most 2**BITS coordinates, so their size is bounded).
 
 Features of a text: each distinct word, pair of neighbours, pair with one word
-between (skip-gram), and the 4-character beginnings of words, all hashed into
+between (skip-gram), and the beginnings of words (HEADS characters), all hashed into
 2**BITS coordinates, each with value 1 (how often does not count, so that
 neither repeats nor long texts drown a feature).  Words are lower-cased runs
 of letters and digits.
@@ -35,10 +35,11 @@ from pyspark.sql import functions as F
 from ..session import stage
 from .common import mix64, table
 
-BITS = 18
+BITS = 20
+HEADS = (3, 4, 5, 6)
 MAX_TRAIN = 12000
 EPOCHS = 3
-ALPHA, BETA, L1, L2 = 0.2, 1.0, 0.6, 1.0
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 5.0, 0.0
 THRESHOLD = 0.7
 
 _NOT_WORD = re.compile(r"[\W_]+")
@@ -49,11 +50,9 @@ def features(text: str | None, bits: int = BITS) -> np.ndarray:
     words = _NOT_WORD.sub(" ", text.lower()).split() if text else []
     if not words:
         return np.empty(0, np.int64)
-    known: dict[str, int] = dict.fromkeys(words)
-    for w in known:
-        known[w] = crc32(w.encode())
+    known = {x: crc32(x.encode()) for x in set(words)}
     w = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    heads = np.fromiter({crc32(x[:4].encode()) for x in known if len(x) > 4}, np.uint64)
+    heads = np.fromiter((crc32(x.encode()) for x in {x[:n] for n in HEADS for x in known if len(x) > n}), np.uint64)
     step, skip = np.uint64(0x9E3779B1), np.uint64(0x85EBCA77)
     kinds = (np.unique(w), np.unique(w[:-1] * step + w[1:]), np.unique(w[:-2] * skip + w[2:]), heads)
     keys = np.concatenate([mix64(k + np.uint64(n << 40)) for n, k in enumerate(kinds)])
