@@ -190,13 +190,12 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, part: int = PART) ->
     places = stage(_phrases(docs, bitmap(often, "g"), length, False), "phrases")
     entries = stage(places.groupBy("g", "u").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")), "phrases-dictionary")
     windows = stage(_contested(docs, entries.select("g", "u", "first"), length, part).where(F.size("windows") > 0), "phrases-windows")
-    copies = places.join(entries.where("n > 1").select("g", "u", "first"), ["g", "u"]) \
-        .where(F.col("again") | (F.col("first") < F.col("doc_id"))) \
-        .select("doc_id", "__t", F.col("a").alias("lo"), F.col("b").alias("hi"))
-    firsts = windows.withColumnsRenamed({"first": "doc_id", "t": "__t"})
-    parts = places.where(~F.col("again")).join(firsts, ["g", "u", "doc_id", "__t"]).select("doc_id", "__t", "a", F.explode("windows").alias("w")) \
+    known = entries.join(windows, ["g", "u", "first"], "left").where((F.col("n") > 1) | F.col("windows").isNotNull()).drop("n")
+    judged = places.join(known, ["g", "u"])
+    whole = F.array(F.struct(F.lit(0).alias("lo"), (F.col("b") - F.col("a")).alias("hi")))
+    ranges = F.when(F.col("again") | (F.col("first") < F.col("doc_id")), whole).when(F.col("__t") == F.col("t"), F.col("windows"))
+    return judged.select("doc_id", "__t", "a", F.explode(ranges).alias("w")) \
         .select("doc_id", "__t", (F.col("a") + F.col("w.lo")).alias("lo"), (F.col("a") + F.col("w.hi")).alias("hi"))
-    return copies.unionByName(parts)
 
 
 def cut(text: bytes, ranges, length: int = LENGTH) -> tuple[list[tuple[int, int]], bytes]:
