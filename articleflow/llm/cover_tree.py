@@ -43,7 +43,7 @@ SCALE = 1024
 K = 10
 SAMPLE, PIVOTS = 2048, 64
 SHARD, BLOCK = 8192, 512
-FANOUT, LEAF, BASE = 16, 256, 1.6
+FANOUT, LEAF, QUERY_LEAF, BASE = 16, 256, 16, 1.6
 
 
 class Node:
@@ -98,7 +98,7 @@ class Search:
     """The k best of each query of a block so far."""
 
     def __init__(self, ids: np.ndarray, points: np.ndarray, k: int, worst: float):
-        order, self.root = build(points.astype(np.float64), 64)
+        order, self.root = build(points.astype(np.float64), QUERY_LEAF)
         self.ids, self.points, self.k = ids[order], points[order], k
         self.floor = worst
         self.best: list[list[tuple[int, int]]] = [[] for _ in ids]
@@ -147,7 +147,8 @@ def _pivots(vectors: DataFrame) -> dict[int, np.ndarray]:
     sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
     out = {}
     for dim in {r["dim"] for r in sample}:
-        x = np.array([r["v"] for r in sample if r["dim"] == dim], float).reshape(-1, dim)
+        own = [r["v"] for r in sample if r["dim"] == dim]
+        x = np.array(own, float).reshape(len(own), dim)
         picked, near = [0], ((x - x[0]) ** 2).sum(1)
         while len(picked) < PIVOTS and near.max(initial=0) > 0:
             picked.append(int(near.argmax()))
@@ -172,7 +173,7 @@ def _packed(vectors: DataFrame, pivots: dict[int, np.ndarray], size: int) -> Dat
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("vec_id")
-        x = np.array(pdf["v"].tolist(), np.int64).reshape(len(pdf), -1)
+        x = np.array(pdf["v"].tolist(), np.int64).reshape(len(pdf), pdf["dim"].iloc[0])
         center = x.mean(axis=0)
         return pd.DataFrame({"dim": pdf["dim"].iloc[:1], "cell": pdf["cell"].iloc[:1], "part": pdf["part"].iloc[:1],
                              "center": [center], "radius": [float(np.sqrt(((x - center) ** 2).sum(1).max(initial=0)))],
@@ -192,11 +193,11 @@ def _search(pairs: DataFrame, k: int) -> DataFrame:
             for r in b.itertuples():
                 ids = np.frombuffer(r.d_ids, np.int64)
                 if last != (r.dim, r.d_cell, r.d_part):
-                    points = np.frombuffer(r.d_data, np.int64).reshape(len(ids), -1)
+                    points = np.frombuffer(r.d_data, np.int64).reshape(len(ids), r.dim)
                     order, root = build(points.astype(np.float64))
                     last, tree = (r.dim, r.d_cell, r.d_part), (root, ids[order], points[order])
                 qids = np.frombuffer(r.q_ids, np.int64)
-                search = Search(qids, np.frombuffer(r.q_data, np.int64).reshape(len(qids), -1), k, r.worst)
+                search = Search(qids, np.frombuffer(r.q_data, np.int64).reshape(len(qids), r.dim), k, r.worst)
                 search.visit(search.root, *tree)
                 rows = [(int(q), y, -s) for q, best in zip(search.ids, search.best) for s, y in best]
                 yield pd.DataFrame(rows, columns=["query_id", "vec_id", "score"])
