@@ -14,10 +14,10 @@ word, +1 for a match, -1 for a mismatch or a gap.  The score is the best local
 alignment divided by the item's number of words; a pair from ``MIN_SCORE``
 (at most a quarter of the words changed) is a leak.
 
-Texts are read three times and never shuffled whole but for the candidates:
-two passes give only the grams that may belong to an item (a fixed-size
-bitmap discards the others; the join behind it is exact), the third brings
-together the candidates' texts and their items.
+Texts are read twice and never shuffled but for the candidates: the first pass
+gives the grams that may belong to an item, the second the documents that may
+hold a seed, with the places (a fixed-size bitmap discards the others; the
+joins behind it are exact).  Only these documents meet their items.
 
 Defined cases: null and empty texts, and items of under three words, give no
 pair; an item repeated under the same item_id is compared once per distinct
@@ -59,38 +59,49 @@ def gram_hashes(words: list[str], n: int = GRAM) -> np.ndarray:
     return mix64(h)
 
 
-def _grams(rows: DataFrame, keep: Bitmap | None, ids: list[str], places: bool) -> DataFrame:
-    """(ids..., g[, at]): the distinct grams of every row that ``keep`` lets
-    through, with all their places if asked for."""
-    fields = [f for f in rows.select(*ids).schema.fields]
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields) + ", g long" + ", at array<int>" * places
+def _grams(rows: DataFrame, keep: Bitmap | None, ids: list[str]) -> DataFrame:
+    """(ids..., g): the distinct grams of every row that ``keep`` lets through."""
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*ids).schema.fields) + ", g long"
     shared = rows.sparkSession.sparkContext.broadcast(keep) if keep else None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            row, gram, at = [], [], []
+            row, gram = [], []
             for k, text in enumerate(b["text"]):
                 h = gram_hashes(words_of(text))
-                pos = np.flatnonzero(shared.value.test(h)) if shared else np.arange(len(h))
-                if not len(pos):
-                    continue
-                u, first, inverse = np.unique(h[pos], return_index=True, return_inverse=True)
-                row.append(np.full(len(u), k))
-                gram.append(u.view(np.int64))
-                if places:
-                    order = np.argsort(inverse, kind="stable")
-                    at += np.split(pos[order].astype(np.int32), np.cumsum(np.bincount(inverse))[:-1])
+                h = np.unique(h[shared.value.test(h)] if shared else h)
+                row.append(np.full(len(h), k))
+                gram.append(h.view(np.int64))
             if row:
-                out = b[ids].iloc[np.concatenate(row)].reset_index(drop=True)
-                yield out.assign(g=np.concatenate(gram), **({"at": at} if places else {}))
+                yield b[ids].iloc[np.concatenate(row)].reset_index(drop=True).assign(g=np.concatenate(gram))
     return rows.select(*ids, "text").mapInPandas(run, schema)
 
 
+def _candidates(docs: DataFrame, keep: Bitmap) -> DataFrame:
+    """(doc_id, __t, text, hits): the documents with grams that ``keep`` lets
+    through, and where each of these grams stands."""
+    shared = docs.sparkSession.sparkContext.broadcast(keep)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            hits: list[list | None] = []
+            for text in b["text"]:
+                h = gram_hashes(words_of(text))
+                at = np.flatnonzero(shared.value.test(h))
+                places: dict[int, list[int]] = {}
+                for g, p in zip(h[at].view(np.int64).tolist(), at.tolist()):
+                    places.setdefault(g, []).append(p)
+                hits.append([{"g": g, "at": p} for g, p in places.items()] or None)
+            out = b.assign(hits=hits)
+            yield out[out["hits"].notna()]
+    return docs.mapInPandas(run, "doc_id long, __t long, text string, hits array<struct<g:long,at:array<int>>>")
+
+
 def seeds(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(item_id, __i, g): the rarer half of each item's grams, by the number of
     documents that hold them."""
-    own = stage(_grams(items, None, ["item_id", "__i"], False).distinct(), "bench-grams")
-    held = _grams(docs, bitmap(own, "g"), ["doc_id", "__t"], False)
+    own = stage(_grams(items, None, ["item_id", "__i"]).distinct(), "bench-grams")
+    held = _grams(docs, bitmap(own, "g"), ["doc_id", "__t"])
     counts = held.groupBy("g").agg(F.count(F.lit(1)).alias("df"))
     ranked = own.join(counts, "g", "left").withColumn("df", F.coalesce("df", F.lit(0)))
     item = Window.partitionBy("item_id", "__i")
@@ -133,8 +144,9 @@ def leaks(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE) -> Da
     docs = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("__t"), "text")
     items = items.select("item_id", F.xxhash64("text").alias("__i"), "text").where("text is not null").distinct()
     chosen = stage(seeds(docs, items), "bench-seeds")
-    found = _grams(docs, bitmap(chosen, "g"), ["doc_id", "__t"], True).join(chosen, "g")
-    pairs = found.groupBy("doc_id", "__t", "item_id", "__i").agg(F.flatten(F.collect_set("at")).alias("at"))
+    held = stage(_candidates(docs, bitmap(chosen, "g")), "bench-candidates")
+    found = held.select("doc_id", "__t", F.explode("hits").alias("h")).select("doc_id", "__t", F.col("h.g").alias("g"), F.col("h.at").alias("at"))
+    pairs = found.join(chosen, "g").groupBy("doc_id", "__t", "item_id", "__i").agg(F.flatten(F.collect_set("at")).alias("at"))
     texts = items.select(F.col("item_id").alias("__id"), F.col("__i").alias("__j"), F.col("text").alias("item"))
     whole = pairs.join(texts, F.col("item_id").eqNullSafe(F.col("__id")) & (F.col("__i") == F.col("__j")))
     todo = stage(whole.groupBy(F.col("doc_id").alias("__d"), F.col("__t").alias("__u"))
@@ -151,7 +163,7 @@ def leaks(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE) -> Da
                     if s >= min_score:
                         out.append((d, x["item_id"], s))
             yield pd.DataFrame(out, columns=["doc_id", "item_id", "score"])
-    both = docs.join(todo, docs["doc_id"].eqNullSafe(todo["__d"]) & (docs["__t"] == todo["__u"]))
+    both = held.join(todo, held["doc_id"].eqNullSafe(todo["__d"]) & (held["__t"] == todo["__u"]))
     scored = both.select("doc_id", "text", "items").mapInPandas(run, f"doc_id long, item_id {kind}, score double")
     return scored.groupBy("doc_id", "item_id").agg(F.max("score").alias("score"))
 

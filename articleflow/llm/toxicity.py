@@ -32,7 +32,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stage
 from .common import mix64, table
 
 BITS = 20
@@ -143,12 +142,22 @@ def fit_on_labels(docs: DataFrame, labels: DataFrame, **how) -> np.ndarray:
     return train(rows.select("doc_id", "text", "label"), **how)
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without the rows that score ``threshold`` or more."""
-    scored = score(docs, fit_on_labels(docs, labels))
-    bad = stage(scored.where(F.col("score") >= threshold).select(F.col("doc_id").alias("__d"), F.col("__t").alias("__u")).distinct(), "toxic")
-    keyed = docs.withColumn("__t", F.xxhash64("text"))
-    return keyed.join(bad, keyed["doc_id"].eqNullSafe(F.col("__d")) & (F.col("__t") == F.col("__u")), "left_anti").drop("__t")
+def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, bits: int = BITS) -> DataFrame:
+    """``docs`` without the rows that score ``threshold`` or more: rows are
+    judged where they are read, as Arrow batches, so nothing is shuffled."""
+    weights = fit_on_labels(docs, labels)
+    at = np.flatnonzero(weights)
+    sparse = docs.sparkSession.sparkContext.broadcast((at, weights[at]))
+
+    def run(batches):
+        import pyarrow as pa
+        w = np.zeros((1 << bits) + 1)
+        w[sparse.value[0]] = sparse.value[1]
+        for b in batches:
+            texts = b.column(b.schema.get_field_index("text")).to_pylist()
+            keep = [1 / (1 + np.exp(-np.clip(w[features(t, bits)].sum() + w[-1], -35, 35))) < threshold for t in texts]
+            yield b.filter(pa.array(keep, pa.bool_()))
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op8_toxicity(spark, sf_dir):
