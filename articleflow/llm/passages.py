@@ -34,10 +34,12 @@ from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
 from ..session import stage
-from .common import ascii_words, mix64, table
+from .common import ascii_words, bitmap, mix64, table
 from .tiles import Links, tile_pairs
 
 SHINGLE, SIMILARITY, MISSED = 5, 0.8, 1e-3
+#: Paragraphs hashed at a time.
+PARAGRAPHS = 4096
 
 
 def tune(similarity: float = SIMILARITY, missed: float = MISSED, rows: int = 2) -> tuple[int, int]:
@@ -56,14 +58,25 @@ def shingle_hashes(words: list[bytes], n: int = SHINGLE) -> np.ndarray:
     return np.unique(mix64(h))
 
 
-def band_keys(h: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """MinHash band keys of a shingle set."""
+def band_keys(paras: list[list[bytes]], bands: int, rows: int, n: int = SHINGLE) -> np.ndarray:
+    """MinHash band keys of paragraphs of n words or more, a row for each: all
+    shingles of a batch are hashed together."""
+    from zlib import crc32
+    counts = np.array([len(w) for w in paras])
+    flat = [x for w in paras for x in w]
+    w = mix64(np.fromiter(map(crc32, flat), np.uint64, len(flat)) | np.fromiter(map(len, flat), np.uint64, len(flat)) << np.uint64(32))
+    h = np.zeros(len(flat) - n + 1, np.uint64)
+    for k in range(n):
+        h = (h ^ w[k:len(flat) - n + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
+    inside = np.arange(len(h)) + n <= np.repeat(np.cumsum(counts), counts)[:len(h)]
+    h = mix64(h[inside])
+    starts = np.cumsum(counts - n + 1) - (counts - n + 1)
     seeds = mix64(np.arange(1, bands * rows + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-    least = np.array([mix64(h ^ s).min() for s in seeds], np.uint64).reshape(bands, rows)
-    key = np.arange(bands, dtype=np.uint64)
-    for r in range(rows):
-        key = mix64(key * np.uint64(0x9E3779B97F4A7C15) ^ least[:, r])
-    return key
+    out = np.tile(np.arange(bands, dtype=np.uint64), (len(paras), 1))
+    for i, s in enumerate(seeds):
+        least = np.minimum.reduceat((h ^ s) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(7), starts)
+        out[:, i // rows] = mix64(out[:, i // rows] * np.uint64(0x9E3779B97F4A7C15) ^ least)
+    return out
 
 
 def paragraphs(docs: DataFrame, bands: int, rows: int, shingle: int = SHINGLE) -> DataFrame:
@@ -72,14 +85,18 @@ def paragraphs(docs: DataFrame, bands: int, rows: int, shingle: int = SHINGLE) -
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
         for b in batches:
-            out = []
+            at, words = [], []
             for d, t, text in zip(b["doc_id"], b["__t"], b["text"]):
                 for n, line in enumerate(text.split("\n") if text else ()):
-                    words = ascii_words(line)
-                    if len(words) >= shingle:
-                        keys = band_keys(shingle_hashes(words, shingle), bands, rows).view(np.int64)
-                        out.append((d, t, n, xxhash.xxh3_128_digest(b" ".join(words)), b" ".join(words), keys))
-            yield pd.DataFrame(out, columns=["doc_id", "__t", "line", "p", "words", "bands"])
+                    if len(w := ascii_words(line)) >= shingle:
+                        at.append((d, t, n))
+                        words.append(w)
+            for i in range(0, len(at), PARAGRAPHS):
+                part = words[i:i + PARAGRAPHS]
+                whole = [b" ".join(w) for w in part]
+                keys = band_keys(part, bands, rows, shingle).view(np.int64)
+                yield pd.DataFrame(at[i:i + PARAGRAPHS], columns=["doc_id", "__t", "line"]).assign(
+                    p=[xxhash.xxh3_128_digest(x) for x in whole], words=whole, bands=list(keys))
     rows_ = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("__t"), "text").where("doc_id is not null")
     return rows_.mapInPandas(run, "doc_id long, __t long, line int, p binary, words binary, bands array<long>")
 
@@ -111,7 +128,8 @@ def similar(a: list[np.ndarray], b: list[np.ndarray] | None, links: Links, simil
 
 
 def verified_links(paras: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """Spanning links (a, b) of distinct paragraphs (p, words, bands)."""
+    """Spanning links (a, b) of distinct paragraphs, from their places (p,
+    words, bands).  Only paragraphs that collide bring their words along."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, unit in pdf.groupby("__u", sort=False):
@@ -123,19 +141,26 @@ def verified_links(paras: DataFrame, shingle: int = SHINGLE, similarity: float =
             a, b = found.joined()
             out.append(pd.DataFrame({"a": [names[i] for i in a], "b": [names[i] for i in b]}))
         return pd.concat(out)
-    keyed = paras.select("p", F.explode("bands").alias("k"))
+    distinct = stage(paras.groupBy("p").agg(F.first("bands").alias("bands")), "paras-distinct")
+    keyed = distinct.select("p", F.explode("bands").alias("k"))
     least = keyed.groupBy("k").agg(F.min(F.xxhash64("p")).alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = keyed.join(least, "k").select("lead", "p").distinct()
-    units = tile_pairs(stage(members, "para-members"), "lead", F.col("p"), tile=512, pack=8192)
-    return units.join(paras.select("p", "words"), "p").groupBy("__pack").applyInPandas(run, "a binary, b binary").distinct()
+    members = stage(keyed.join(least, "k").select("lead", "p").distinct(), "para-members")
+    colliding = paras.sparkSession.sparkContext.broadcast(bitmap(members.select(F.xxhash64("p").alias("h")), "h"))
+
+    def held(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield b[colliding.value.test(b.pop("h").to_numpy().view(np.uint64))]
+    texts = paras.select("p", "words", F.xxhash64("p").alias("h")).mapInPandas(held, "p binary, words binary") \
+        .groupBy("p").agg(F.first("words").alias("words"))
+    units = tile_pairs(members, "lead", F.col("p"), tile=512, pack=8192)
+    return units.join(texts, "p").groupBy("__pack").applyInPandas(run, "a binary, b binary").distinct()
 
 
 def paragraph_classes(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, __t, line, class_doc_id, class_line, removed) of every
     paragraph in a class of two places or more."""
     paras = stage(paragraphs(docs, *tune(similarity), shingle), "paras")
-    distinct = stage(paras.groupBy("p").agg(F.first("words").alias("words"), F.first("bands").alias("bands")), "paras-distinct")
-    parts = stage(connected_components(verified_links(distinct, shingle, similarity), "a", "b"), "paras-classes")
+    parts = stage(connected_components(verified_links(paras, shingle, similarity), "a", "b"), "paras-classes")
     places = paras.select("doc_id", "__t", "line", "p").distinct()
     named = places.join(parts, places["p"] == parts["id"], "left").select("doc_id", "__t", "line", F.coalesce("component", "p").alias("c"))
     named = stage(named, "paras-named")

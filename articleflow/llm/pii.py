@@ -242,9 +242,13 @@ def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
+def _of_kind(kind: str):
+    return lambda x: x["kind"] == kind
+
+
 def op9_pii(spark, sf_dir):
     """doc_id, counts of base spans, base_sha256, spans of every document."""
     out = find_personal_data(table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("base", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    counts = [F.size(F.filter("base", _of_kind(k))).cast("long").alias(f"n_{k}") for k in KINDS]
     return out.select("doc_id", *counts, F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"),
                       joined(F.col("spans")).alias("spans"))

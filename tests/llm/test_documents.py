@@ -262,3 +262,20 @@ def test_passages(spark, corpus):
     assert passages.paragraph_classes(make(spark, [])).count() == 0
     bands, r = passages.tune(0.8, 1e-3)
     assert (1 - 0.8 ** r) ** bands <= 1e-3
+
+
+def test_pii_query(spark):
+    got = pii.op9_pii(spark, "/root/testdata/sf0.001").collect()
+    texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    for r in got:
+        base = pii.base_spans(texts[r.doc_id])
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == i for _, k, _ in base) for i in range(4)]
+        line = ",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in base)
+        assert r.base_sha256 == hashlib.sha256(line.encode()).hexdigest() and set(line.split(",")) <= set(r.spans.split(","))
+
+
+def test_band_keys_of_a_batch_are_those_of_each_paragraph():
+    rnd = random.Random(3)
+    paras = [[b"w%d" % rnd.randrange(90) for _ in range(rnd.randint(5, 40))] for _ in range(50)]
+    whole = passages.band_keys(paras, 7, 2)
+    assert all(np.array_equal(whole[i], passages.band_keys([w], 7, 2)[0]) for i, w in enumerate(paras))
