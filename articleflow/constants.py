@@ -117,7 +117,6 @@ PAGE_SIZE = 10
 ANALYSIS_LIMIT = 60
 ANALYSIS_BODY_CHARS = 400
 CLUSTER_TEXT_BODY_CHARS = 300
-EVENT_THRESHOLD = 0.45
 EVENT_MIN_SOURCES = 2
 EVENT_TOP_N = 10
 VECTOR_DIM = 256

@@ -27,7 +27,6 @@ from ..operators import ingest as IN
 from ..operators import merge as M
 from ..operators import metrics as MT
 from ..operators import trends as TR
-from ..session import stage
 from ..sources import feeds as FD
 from ..sources import views as V
 from ..sources.pages import page_extract as _page_extract
@@ -209,9 +208,9 @@ def clean_stats(spark, sf):
 def _store_and_batch(spark, sf):
     """Store = clean snapshot of R (first run); batch = the re-fetched rows."""
     valid = C.clean_valid(_rp(spark, sf))
-    first_run = valid.where(F.col("raw_id") < V.COPY_OFFSET)
+    first_run = valid.where(V.is_original(F.col("raw_id")))
     store = C.similar_flag(C.dedup_skip(first_run)).withColumn("id", F.col("raw_id"))
-    batch = valid.where(F.col("raw_id") >= V.COPY_OFFSET)
+    batch = valid.where(~V.is_original(F.col("raw_id")))
     return store, batch
 
 
@@ -363,7 +362,6 @@ def article_count(spark, sf):
 # vectors and events
 # --------------------------------------------------------------------------
 
-EVENT_BLOCK = ["category", "published_at"]
 
 
 def _cluster_input(spark, sf):
@@ -390,42 +388,32 @@ def vector_norm(spark, sf):
         "vec_id", F.col("pos").cast("long").alias("pos"), F.round("x", 6).alias("x"))
 
 
-def _greedy_input(spark, sf):
-    c = _cluster_input(spark, sf)
-    return c.join(EV.packed(_vectors(spark, sf)), "id", "left")
-
-
-def _members(spark, sf, threshold=K.EVENT_THRESHOLD):
-    """Cluster members with their attributes.  The clustering input feeds
-    both the clustering and the member join, so it is staged once."""
-    c = stage(_greedy_input(spark, sf), "greedy-input")
-    g = EV.greedy_clusters(c, EVENT_BLOCK, [F.col("id").desc()], threshold)
-    return g.join(c.select("id", "title", "source", "sentiment", "idx", "w"), "id")
-
-
-@query
-def event_greedy(spark, sf):
-    return EV.greedy_clusters(_greedy_input(spark, sf), EVENT_BLOCK, [F.col("id").desc()], K.EVENT_THRESHOLD)
+def _members(spark, sf):
+    """Members of the near-duplicate groups with their attributes; the order
+    inside a group is that of the ids."""
+    c = _cluster_input(spark, sf).join(EV.packed(_vectors(spark, sf)), "id", "left")
+    g = event_components(spark, sf).select("id", F.col("component").alias("cluster"), F.col("id").alias("pos"))
+    return g.join(c.select("id", "title", "source", "sentiment", "published_at", "idx", "w"), "id")
 
 
 @query
 def event_rep(spark, sf):
-    return EV.representatives(_members(spark, sf), EVENT_BLOCK)
+    return EV.representatives(_members(spark, sf), [])
 
 
 @query
 def events(spark, sf):
-    return EV.events(_members(spark, sf), EVENT_BLOCK, K.EVENT_MIN_SOURCES)
+    return EV.events(_members(spark, sf), [], K.EVENT_MIN_SOURCES)
 
 
 @query
 def tone_by_source(spark, sf):
-    return EV.tone_by_source(_members(spark, sf), EVENT_BLOCK)
+    return EV.tone_by_source(_members(spark, sf), [])
 
 
 @query
 def tone_verdict(spark, sf):
-    return EV.tone_verdict(_members(spark, sf), EVENT_BLOCK)
+    return EV.tone_verdict(_members(spark, sf), [])
 
 
 # --------------------------------------------------------------------------
@@ -677,18 +665,6 @@ def fetch_stats(spark, sf):
     return per.unionByName(total)
 
 
-@query
-def chain_log(spark, sf):
-    """Clean -> summarize -> digest -> report, recorded per stage."""
-    stages = [
-        ("clean", lambda: C.clean_valid(_rp(spark, sf))),
-        ("summarize", lambda: DG.build_summaries(_targets(spark, sf))),
-        ("analyze", lambda: DG.insight_record(DG.insight_digest(_selection(spark, sf)), CATEGORY)),
-        ("report", lambda: DG.report_rows(_rp(spark, sf), _a(spark, sf), _s(spark, sf))),
-    ]
-    return SJ.run_chain(spark, stages)
-
-
 MODEL = "mock-hash-256"
 CACHE_BEFORE = "2024-01-08"     # an earlier run embedded the first week
 OTHER_MODEL_DAY = "2024-01-01"  # ... but that day's entries came from another model
@@ -733,8 +709,8 @@ def boilerplate_hits(spark, sf):
 def event_top(spark, sf):
     """V8 display cut: the largest multi-outlet events (size desc, then
     block and first member: a total order)."""
-    return EV.events(_members(spark, sf), EVENT_BLOCK, K.EVENT_MIN_SOURCES) \
-        .orderBy(F.col("size").desc(), *[F.col(b) for b in EVENT_BLOCK], F.col("cluster")).limit(K.EVENT_TOP_N)
+    return EV.events(_members(spark, sf), [], K.EVENT_MIN_SOURCES) \
+        .orderBy(F.col("size").desc(), F.col("cluster")).limit(K.EVENT_TOP_N)
 
 
 @query

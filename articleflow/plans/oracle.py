@@ -46,7 +46,7 @@ A_CTE = f"""
 a0 AS (
   SELECT doc_id AS id,
          'https://' || source || '.example/' || CAST(doc_id AS VARCHAR) AS url,
-         substr(split_part(text, chr(10), 1), 1, 80) AS title,
+         split_part(text, chr(10), 1) AS title,
          {title_hash("split_part(text, chr(10), 1)")} AS title_hash,
          lower(regexp_replace(split_part(text, chr(10), 1), {lit(K.TITLE_HASH_DROP)}, '', 'g')) = '' AS empty_key,
          text AS body, lang AS category, source,
@@ -154,9 +154,9 @@ r AS (
 
 RP_CTE = R_CTE + """,
 rp AS (
-  SELECT id, source, method, guid, url, title, body, category, published_at, crawl_status, collected_at FROM r
+  SELECT id * 4 AS id, source, method, guid, url, title, body, category, published_at, crawl_status, collected_at FROM r
   UNION ALL
-  SELECT id + 1000000, source, method, guid,
+  SELECT id * 4 + 1, source, method, guid,
          CASE WHEN strpos(regexp_extract(url, '^([^#]*)', 1), '?') > 0
               THEN regexp_extract(url, '^([^#]*)', 1) || '&utm_source=copy'
               ELSE regexp_extract(url, '^([^#]*)', 1) || '?utm_source=copy' END
@@ -164,18 +164,18 @@ rp AS (
          title || ' v2', body, category, published_at, crawl_status, collected_at
   FROM r WHERE id % 5 = 0
   UNION ALL
-  SELECT id + 2000000, source, method, guid,
+  SELECT id * 4 + 2, source, method, guid,
          'https://' || source || '/' || category || '/story-' || CAST(id AS VARCHAR),
          title, body, category, published_at, crawl_status, collected_at
   FROM r WHERE id % 7 = 0
   UNION ALL
-  SELECT id + 3000000, source, method, guid,
-         CASE WHEN id = 1 THEN '' ELSE url END,
-         CASE WHEN id = 2 THEN '' ELSE title END,
-         CASE WHEN id = 3 THEN '' WHEN id = 4 THEN substr(body, 1, 60) ELSE body END,
+  SELECT id * 4 + 3, source, method, guid,
+         CASE WHEN id % 50 = 1 THEN '' ELSE url END,
+         CASE WHEN id % 50 = 2 THEN '' ELSE title END,
+         CASE WHEN id % 50 = 3 THEN '' WHEN id % 50 = 4 THEN substr(body, 1, 60) ELSE body END,
          category, published_at,
-         CASE WHEN id = 3 THEN 'failed' ELSE crawl_status END, collected_at
-  FROM r WHERE id BETWEEN 1 AND 4)"""
+         CASE WHEN id % 50 = 3 THEN 'failed' ELSE crawl_status END, collected_at
+  FROM r WHERE id % 50 BETWEEN 1 AND 4)"""
 
 
 # --------------------------------------------------------------------------
@@ -357,14 +357,14 @@ UNION ALL
 SELECT 'similar', count(*) FROM tagged WHERE sim"""
 
 _STORE = f""",
-st_ok AS (SELECT * FROM ok WHERE raw_id < 1000000),
+st_ok AS (SELECT * FROM ok WHERE raw_id % 4 = 0),
 st1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY raw_id) AS rn FROM st_ok) WHERE rn = 1),
 store AS (
   SELECT raw_id AS id, {CLEAN_COLS},
          (row_number() OVER (PARTITION BY title_hash ORDER BY raw_id) > 1
           AND title_hash <> 'da39a3ee5e6b4b0d3255bfef95601890afd80709') AS is_duplicate
   FROM st1),
-batch AS (SELECT * FROM ok WHERE raw_id >= 1000000),
+batch AS (SELECT * FROM ok WHERE raw_id % 4 <> 0),
 bfirst AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY raw_id) AS rn FROM batch) WHERE rn = 1),
 bnew AS (SELECT * FROM bfirst WHERE url NOT IN (SELECT url FROM store)),
 held AS (SELECT DISTINCT title_hash FROM store WHERE NOT is_duplicate),

@@ -40,7 +40,7 @@ def article_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = d.select(
         F.col("doc_id").alias("id"),
         F.concat(F.lit("https://"), F.col("source"), F.lit(".example/"), F.col("doc_id").cast("string")).alias("url"),
-        F.substring(line, 1, 80).alias("title"),
+        line.alias("title"),
         T.title_hash(line).alias("title_hash"),
         (T.title_key(line) == "").alias("_empty_key"),
         F.col("text").alias("body"),
@@ -104,9 +104,15 @@ def raw_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-COPY_OFFSET = 1_000_000
-MOVED_OFFSET = 2_000_000
-BROKEN_OFFSET = 3_000_000
+#: Rows of R+ are numbered page id * VARIANTS + variant (0 the page itself, 1 a
+#: copy, 2 moved, 3 broken), so ids never meet, however large page ids get.
+VARIANTS = 4
+#: Of so many pages each, four have a broken fetch beside the good one.
+BROKEN_EVERY = 50
+
+
+def is_original(raw_id: Column) -> Column:
+    return F.pmod(raw_id, F.lit(VARIANTS)) == 0
 
 
 def _with_param(url: Column, param: str) -> Column:
@@ -121,26 +127,25 @@ def raw_plus_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R+ in one pass over R (pages are scanned and extracted once): each raw
     row is exploded into itself plus the variants that apply to it."""
     r = raw_view(spark, sf_dir)
-    rid = F.col("id")
+    rid, broken = F.col("id"), F.pmod(F.col("id"), F.lit(BROKEN_EVERY))
     variants = F.filter(
         F.array(*[F.lit(i) for i in range(4)]),
         lambda k: (k == 0)
         | ((k == 1) & (F.pmod(rid, F.lit(5)) == 0))      # re-fetch through a tracking link, newer title
         | ((k == 2) & (F.pmod(rid, F.lit(7)) == 0))      # same story under another path
-        | ((k == 3) & rid.between(1, 4)))                 # broken fetches
+        | ((k == 3) & broken.between(1, 4)))              # broken fetches
     e = r.select("*", F.explode(variants).alias("_v"))
     v = F.col("_v")
     moved_url = F.concat(F.lit("https://"), F.col("source"), F.lit("/"), F.col("category"),
                          F.lit("/story-"), rid.cast("string"))
     out = {
-        "id": (F.when(v == 1, rid + COPY_OFFSET).when(v == 2, rid + MOVED_OFFSET)
-               .when(v == 3, rid + BROKEN_OFFSET).otherwise(rid)),
+        "id": rid * VARIANTS + v,
         "url": (F.when(v == 1, _with_param(F.col("url"), "utm_source=copy")).when(v == 2, moved_url)
-                .when((v == 3) & (rid == 1), F.lit("")).otherwise(F.col("url"))),
+                .when((v == 3) & (broken == 1), F.lit("")).otherwise(F.col("url"))),
         "title": (F.when(v == 1, F.concat(F.col("title"), F.lit(" v2")))
-                  .when((v == 3) & (rid == 2), F.lit("")).otherwise(F.col("title"))),
-        "body": (F.when((v == 3) & (rid == 3), F.lit("")).when((v == 3) & (rid == 4), F.substring("body", 1, 60))
+                  .when((v == 3) & (broken == 2), F.lit("")).otherwise(F.col("title"))),
+        "body": (F.when((v == 3) & (broken == 3), F.lit("")).when((v == 3) & (broken == 4), F.substring("body", 1, 60))
                  .otherwise(F.col("body"))),
-        "crawl_status": F.when((v == 3) & (rid == 3), F.lit("failed")).otherwise(F.col("crawl_status")),
+        "crawl_status": F.when((v == 3) & (broken == 3), F.lit("failed")).otherwise(F.col("crawl_status")),
     }
     return e.select(*[out[c].alias(c) if c in out else F.col(c) for c in r.columns])

@@ -72,8 +72,10 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def latest_version(spark: SparkSession, path: str) -> str | None:
-    """Newest completed ``epoch=N`` folder under ``path`` (or None)."""
+def latest_version(spark: SparkSession, path: str, before: int | None = None) -> str | None:
+    """Newest completed ``epoch=N`` folder under ``path`` (or None), below
+    epoch ``before`` if given: a retried epoch must not read what its own
+    first attempt has written."""
     p, fs = _fs(spark, path)
     if not fs.exists(p):
         return None
@@ -82,7 +84,9 @@ def latest_version(spark: SparkSession, path: str) -> str | None:
         name = st.getPath().getName()
         if name.startswith("epoch=") and fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
                 st.getPath(), "_SUCCESS")):
-            done.append((int(name.split("=")[1]), st.getPath().toString()))
+            epoch = int(name.split("=")[1])
+            if before is None or epoch < before:
+                done.append((epoch, st.getPath().toString()))
     return max(done)[1] if done else None
 
 
@@ -101,7 +105,7 @@ def ingest_stream(spark: SparkSession, payload_dir: str, payload_schema: StructT
     (``epoch=N`` folders, overwritten on retry).
     """
     def run_batch(batch: DataFrame, epoch: int) -> None:
-        prev = latest_version(spark, state_dir)
+        prev = latest_version(spark, state_dir, epoch)
         state = spark.read.parquet(prev) if prev else None
         items = IN.apply_query(FD.parse_feed(batch), query)
         fresh = IN.filter_new(items, state, incremental)
@@ -146,7 +150,7 @@ def clean_stream(spark: SparkSession, raw_dir: str, raw_schema: StructType, clea
     """New raw rows -> validate -> merge into the clean snapshot (one
     new snapshot version per epoch)."""
     def run_batch(batch: DataFrame, epoch: int) -> None:
-        prev = latest_version(spark, clean_dir)
+        prev = latest_version(spark, clean_dir, epoch)
         valid = C.clean_valid(batch, min_body)
         if prev:
             store = spark.read.parquet(prev).where(F.col("outcome") != "dropped").drop("outcome")
@@ -171,23 +175,3 @@ def latest(spark: SparkSession, path: str) -> DataFrame:
     if v is None:
         raise FileNotFoundError(path)
     return spark.read.parquet(v)
-
-
-# --------------------------------------------------------------------------
-# X6 stage chain with a run log
-# --------------------------------------------------------------------------
-def run_chain(spark: SparkSession, stages) -> DataFrame:
-    """Run ``stages`` (name, fn -> DataFrame) in order and return the run log
-    (stage, status, rows).  A stage whose output is empty is recorded as
-    'empty' and the chain goes on; an exception is recorded as 'failed' and
-    ends the chain.  Each stage is one Spark job; only its row count comes
-    back to the driver."""
-    log = []
-    for name, fn in stages:
-        try:
-            n = fn().count()
-            log.append((name, "ok" if n > 0 else "empty", int(n)))
-        except Exception:  # noqa: BLE001 - the log records the failure
-            log.append((name, "failed", 0))
-            break
-    return spark.createDataFrame(log, "stage string, status string, rows long")

@@ -25,9 +25,10 @@ HEADLINE = [
     "top_keywords", "daily_keywords", "trend_rising",
     "clean_valid", "dedup_skip", "similar_flag", "clean_stats",
     "url_normalized", "page_extract",
-    "hash_vector", "event_greedy", "event_components",
+    "hash_vector", "event_components",
     "stream_daily",
     "articles_joined", "quality_metrics",
+    "report_rows", "fetch_stats", "stream_ingest", "stream_clean", "merge_clean_upsert", "merge_summary",
 ]
 
 

@@ -119,47 +119,6 @@ def test_trend_window_counts_data_days(spark):
     assert days == [datetime.date(2026, 7, 9), datetime.date(2026, 7, 5)]
 
 
-def _greedy_df(spark, vectors, block="b"):
-    rows = []
-    for i, v in enumerate(vectors):
-        idx = [int(j) for j in np.nonzero(v)[0]]
-        rows.append((block, i, idx, [float(v[j]) for j in idx]))
-    return spark.createDataFrame(rows, "blk string, id long, idx array<int>, w array<double>")
-
-
-def _groups(rows):
-    by = {}
-    for r in rows:
-        by.setdefault(r["cluster"], []).append(r["id"])
-    return sorted(sorted(g) for g in by.values())
-
-
-def test_greedy_matches_loop(spark):
-    rng = np.random.default_rng(7)
-    base = rng.random((5, 16))
-    vecs = np.vstack([base[i % 5] + rng.random(16) * 0.3 for i in range(60)])
-    vecs = vecs / np.linalg.norm(vecs, axis=1, keepdims=True)
-    for thr in (0.95, 0.9, 0.8):
-        got = EV.greedy_clusters(_greedy_df(spark, vecs), ["blk"], [F.col("id").asc()], thr, dim=16).collect()
-        want = sorted(sorted(g) for g in EV.greedy_reference(vecs, thr))
-        assert _groups(got) == want
-
-
-def test_greedy_small_cases(spark):
-    same = np.array([[1.0, 0.0]] * 3)
-    assert _groups(EV.greedy_clusters(_greedy_df(spark, same), ["blk"], [F.col("id").asc()], 0.9, dim=2).collect()) \
-        == [[0, 1, 2]]
-    ortho = np.array([[1.0, 0.0], [0.0, 1.0]])
-    assert len(_groups(EV.greedy_clusters(_greedy_df(spark, ortho), ["blk"], [F.col("id").asc()], 0.5, dim=2)
-                       .collect())) == 2
-    v = np.array([[1.0, 0.0], [1.0, 0.6]])
-    v = v / np.linalg.norm(v, axis=1, keepdims=True)
-    assert len(_groups(EV.greedy_clusters(_greedy_df(spark, v), ["blk"], [F.col("id").asc()], 0.95, dim=2)
-                       .collect())) == 2
-    assert len(_groups(EV.greedy_clusters(_greedy_df(spark, v), ["blk"], [F.col("id").asc()], 0.5, dim=2)
-                       .collect())) == 1
-
-
 def test_hash_vector_unit_and_similarity(spark):
     df = spark.createDataFrame([(1, "삼성전자 반도체 실적 발표"), (2, "삼성전자 반도체 실적 호조"),
                                 (3, "날씨 폭염 주의보 발효"), (4, "")], "id long, t string")
@@ -180,30 +139,6 @@ def test_tone_verdict(spark):
     assert got[5]["verdict"] == "agree" and got[5]["label2"] is None
 
 
-def test_event_greedy_on_documents_matches_loop(spark):
-    """V5 on the sf0.001 article vectors, block by block, against the loop."""
-    from articleflow.plans import catalog as Q
-
-    sf = "/root/testdata/sf0.001"
-    inp = Q._greedy_input(spark, sf).select("category", "published_at", "id", "idx", "w").collect()
-    got = {r["id"]: (r["category"], r["published_at"], r["cluster"])
-           for r in Q.event_greedy(spark, sf).collect()}
-    blocks = {}
-    for r in inp:
-        blocks.setdefault((r["category"], r["published_at"]), []).append(r)
-    for key, rows in blocks.items():
-        rows.sort(key=lambda r: -r["id"])
-        vecs = np.zeros((len(rows), 256))
-        for i, r in enumerate(rows):
-            if r["idx"]:
-                vecs[i, list(r["idx"])] = list(r["w"])
-        want = sorted(sorted(rows[i]["id"] for i in g) for g in EV.greedy_reference(vecs, 0.45))
-        have = {}
-        for r in rows:
-            have.setdefault(got[r["id"]][2], []).append(r["id"])
-        assert sorted(sorted(g) for g in have.values()) == want, key
-
-
 def test_components_link_through_shared_keys(spark):
     from articleflow.operators import components as CC
 
@@ -226,3 +161,12 @@ def test_hash_buckets_match_md5_mod(spark):
         got = sorted(df.select(EV.hash_buckets(F.col("t"), dim).alias("b")).first()["b"])
         want = sorted(int(hashlib.md5(g.encode()).hexdigest(), 16) % dim for g in grams)
         assert got == want, dim
+
+
+def test_variant_ids_never_meet(spark):
+    """Rows of R+ for large page ids: numbered apart, split by variant."""
+    from articleflow.sources import views as V
+    ids = [(p * V.VARIANTS + v, v) for p in (999_999, 1_000_000, 2_000_001, 3_000_000) for v in range(4)]
+    df = spark.createDataFrame(ids, "raw_id long, v int")
+    assert df.select("raw_id").distinct().count() == 16
+    assert {r.v for r in df.where(V.is_original(F.col("raw_id"))).collect()} == {0}

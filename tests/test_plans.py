@@ -23,11 +23,6 @@ def test_keyword_scan_reads_only_needed_columns(spark):
     assert "TakeOrderedAndProject" in p
 
 
-def test_greedy_streams_partitions_in_python(spark):
-    p = plan(spark, "event_greedy")
-    assert "MapInPandas" in p and "FlatMapGroupsInPandas" not in p
-
-
 @pytest.mark.parametrize("key", ["similar_flag", "dedup_skip", "source_budget", "feed_state", "hash_vector",
                                  "articles_joined", "daily_keywords", "events"])
 def test_no_cartesian_products(spark, key):
