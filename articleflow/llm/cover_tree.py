@@ -17,7 +17,9 @@ radius.  Blocks first search the shards of their own cell, which gives their
 worst k-th scores; then the blocks meet all other shards under the bound (a
 stated query set against all rows, in blocks).  Inside a task the subtrees are
 walked together.  The best k per query are merged by a ranked window, whose
-limit Spark pushes below the shuffle.
+limit Spark pushes below the shuffle.  Blocks travel in piles of about PILE
+queries, so a shard's vectors are sent once for each pile that has a block left
+under the bound, and every block is searched from its queries' own k-th scores.
 
 Defined cases: vectors that are null or hold null or non-finite components
 take no part, nor do rows without vec_id; vectors are only compared with
@@ -42,7 +44,7 @@ from .common import table
 SCALE = 1024
 K = 10
 SAMPLE, PIVOTS = 2048, 64
-SHARD, BLOCK = 8192, 512
+SHARD, BLOCK, PILE = 8192, 512, 2048
 FANOUT, LEAF, QUERY_LEAF, BASE = 16, 256, 16, 1.6
 
 
@@ -94,20 +96,29 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.clip(a.astype(object) @ b.astype(object).T, -2 ** 63, 2 ** 63 - 1).astype(np.int64)
 
 
+def as_floats(points: np.ndarray) -> np.ndarray:
+    """The points as float64 where their products with any points that pass
+    this test are exact (sums fit in 53 bits), else as they are."""
+    most = float(np.abs(points).max(initial=0))
+    return points.astype(np.float64) if most * most * max(1, points.shape[1]) < 2 ** 53 else points
+
+
 class Search:
-    """The k best of each query of a block so far."""
+    """The k best of each query of a block so far.  Only scores from ``floor``
+    (one for all queries, or one for each) are taken."""
 
-    def __init__(self, ids: np.ndarray, points: np.ndarray, k: int, worst: float):
+    def __init__(self, ids: np.ndarray, points: np.ndarray, k: int, floor):
         order, self.root = build(points.astype(np.float64), QUERY_LEAF)
         self.ids, self.points, self.k = ids[order], points[order], k
-        self.floor = worst
-        self.best: list[list[tuple[int, int]]] = [[] for _ in ids]
-        self.kth = np.full(len(ids), worst, float)
+        self.floor = np.broadcast_to(np.asarray(floor, float), len(ids))[order]
+        self.kth = self.floor.copy()
+        self.scores, self.found = np.zeros((2, len(ids), k), np.int64)
+        self.count = np.zeros(len(ids), np.int64)
 
     def visit(self, q: Node, d: Node, ids: np.ndarray, points: np.ndarray) -> None:
         dot = float(q.center @ d.center)
         bound = dot + q.radius * d.norm + d.radius * q.norm + q.radius * d.radius
-        if bound * (1 + 1e-9 * np.sign(bound)) + 1e-3 < self.kth[q.lo:q.hi].min():
+        if bound + abs(bound) * 1e-9 + 1e-3 < self.kth[q.lo:q.hi].min():
             return
         if q.children and (not d.children or q.radius > d.radius):
             for c in q.children:
@@ -119,20 +130,34 @@ class Search:
             self._leaf(q, d, ids, points)
 
     def _leaf(self, q: Node, d: Node, ids: np.ndarray, points: np.ndarray) -> None:
-        s = products(self.points[q.lo:q.hi], points[d.lo:d.hi])
-        other = self.ids[q.lo:q.hi, None] != ids[None, d.lo:d.hi]
-        good = other & (s >= self.kth[q.lo:q.hi, None])
-        for r in np.flatnonzero(good.any(axis=1)):
-            at, i = np.flatnonzero(good[r]), q.lo + r
-            rows = sorted({(-int(x), int(y)) for x, y in zip(s[r, at], ids[d.lo:d.hi][at])} | set(self.best[i])) \
-                if len(at) <= 4 * self.k else self._many(s[r, at], ids[d.lo:d.hi][at], i)
-            self.best[i] = rows[:self.k]
-            if len(self.best[i]) == self.k:
-                self.kth[i] = max(self.floor, -self.best[i][-1][0])
-
-    def _many(self, s, ids, i):
-        top = np.lexsort((ids, -s))[:self.k]
-        return sorted([(-int(x), int(y)) for x, y in zip(s[top], ids[top])] + self.best[i])
+        a, b = self.points[q.lo:q.hi], points[d.lo:d.hi]
+        s = a @ b.T if a.dtype == b.dtype == np.float64 else products(a, b)
+        row, at = np.nonzero((s >= self.kth[q.lo:q.hi, None]) & (self.ids[q.lo:q.hi, None] != ids[None, d.lo:d.hi]))
+        if not len(row):
+            return
+        s, found, row = s[row, at].astype(np.int64), ids[d.lo:d.hi][at], row + q.lo
+        touched = np.unique(row)
+        old = np.repeat(touched, self.count[touched])
+        nth = np.arange(len(old)) - np.repeat(np.cumsum(self.count[touched]) - self.count[touched], self.count[touched])
+        row, s, found = np.append(row, old), np.append(s, self.scores[old, nth]), np.append(found, self.found[old, nth])
+        order = np.lexsort((found, ~s, row))
+        row, s, found = row[order], s[order], found[order]
+        new = np.ones(len(row), bool)
+        new[1:] = (row[1:] != row[:-1]) | (s[1:] != s[:-1]) | (found[1:] != found[:-1])
+        row, s, found = row[new], s[new], found[new]
+        nth = np.arange(len(row)) - np.searchsorted(row, row)
+        top = nth < self.k
+        row, nth = row[top], nth[top]
+        self.scores[row, nth], self.found[row, nth] = s[top], found[top]
+        self.count[touched] = np.bincount(row, minlength=len(self.ids))[touched]
+        full = touched[self.count[touched] == self.k]
+        self.kth[full] = np.maximum(self.floor[full], self.scores[full, -1])
+
+    def best(self) -> pd.DataFrame:
+        """query_id, vec_id, score of what was found."""
+        row = np.repeat(np.arange(len(self.ids)), self.count)
+        nth = np.arange(len(row)) - np.repeat(np.cumsum(self.count) - self.count, self.count)
+        return pd.DataFrame({"query_id": self.ids[row], "vec_id": self.found[row, nth], "score": self.scores[row, nth]})
 
 
 def _integers(emb: DataFrame, scale: int) -> DataFrame:
@@ -186,23 +211,21 @@ def _packed(vectors: DataFrame, pivots: dict[int, np.ndarray], size: int) -> Dat
 
 
 def _search(pairs: DataFrame, k: int) -> DataFrame:
-    """Searches each row's block (q_*) in its shard (d_*)."""
+    """Searches each row's blocks (ids, data, floors) in its shard (d_*)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, tree = None, None
         for b in batches:
             for r in b.itertuples():
                 ids = np.frombuffer(r.d_ids, np.int64)
-                if last != (r.dim, r.d_cell, r.d_part):
-                    points = np.frombuffer(r.d_data, np.int64).reshape(len(ids), r.dim)
-                    order, root = build(points.astype(np.float64))
-                    last, tree = (r.dim, r.d_cell, r.d_part), (root, ids[order], points[order])
-                qids = np.frombuffer(r.q_ids, np.int64)
-                search = Search(qids, np.frombuffer(r.q_data, np.int64).reshape(len(qids), r.dim), k, r.worst)
-                search.visit(search.root, *tree)
-                rows = [(int(q), y, -s) for q, best in zip(search.ids, search.best) for s, y in best]
-                yield pd.DataFrame(rows, columns=["query_id", "vec_id", "score"])
-    columns = ["dim", "d_cell", "d_part", "d_ids", "d_data", "q_ids", "q_data", "worst"]
-    return pairs.select(*columns).mapInPandas(run, "query_id long, vec_id long, score long")
+                points = np.frombuffer(r.d_data, np.int64).reshape(len(ids), r.dim)
+                order, root = build(points.astype(np.float64))
+                ids, points, found = ids[order], as_floats(points[order]), []
+                for q in r.blocks:
+                    qids = np.frombuffer(q["ids"], np.int64)
+                    search = Search(qids, as_floats(np.frombuffer(q["data"], np.int64).reshape(len(qids), r.dim)), k, q["floors"])
+                    search.visit(search.root, root, ids, points)
+                    found.append(search.best())
+                yield pd.concat(found, ignore_index=True)
+    return pairs.select("dim", "d_ids", "d_data", "blocks").mapInPandas(run, "query_id long, vec_id long, score long")
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
@@ -221,28 +244,38 @@ def top_k(emb: DataFrame, every: int = 100, k: int = K, scale: int = SCALE) -> D
     d = shards.select("dim", *[F.col(c).alias(f"d_{c}") for c in shards.columns[1:]])
     q = blocks.select("dim", *[F.col(c).alias(f"q_{c}") for c in blocks.columns[1:]])
 
-    own = q.join(d, (q["dim"] == d["dim"]) & (F.col("q_cell") == F.col("d_cell"))).drop(q["dim"]).withColumn("worst", F.lit(float("-inf")))
+    none = F.transform(F.sequence(F.lit(1), (F.octet_length("q_ids") / 8).cast("int")), lambda _: F.lit(float("-inf")))
+    one = F.array(F.struct(F.col("q_ids").alias("ids"), F.col("q_data").alias("data"), none.alias("floors")))
+    own = q.join(d, (q["dim"] == d["dim"]) & (F.col("q_cell") == F.col("d_cell"))).drop(q["dim"]).withColumn("blocks", one)
     home = stage(_best(_search(own, k), k).select("query_id", "vec_id", "score", "rank"), "home")
-    kth = home.where(F.col("rank") == k).select("query_id", F.col("score").alias("kth"))
-    # a block's worst k-th score: none until each of its queries has k
-    ids = _block_members(blocks)
-    worst = ids.join(kth, "query_id", "left").groupBy("dim", "cell", "part") \
-        .agg(F.when(F.count("kth") == F.count(F.lit(1)), F.min("kth").cast("double")).otherwise(F.lit(float("-inf"))).alias("worst"))
-    q = stage(blocks.join(worst, ["dim", "cell", "part"]), "blocks-worst")
-    q = q.select(F.col("dim").alias("q_dim"), "worst", *[F.col(c).alias(f"q_{c}") for c in blocks.columns[1:]])
-    dot = F.aggregate(F.zip_with("q_center", "d_center", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    bound = dot + F.col("q_radius") * F.col("d_norm") + F.col("d_radius") * F.col("q_norm") + F.col("q_radius") * F.col("d_radius")
-    rest = d.join(q, (F.col("dim") == F.col("q_dim")) & (F.col("q_cell") != F.col("d_cell")) & (bound + F.abs(bound) * 1e-9 + 1e-3 >= F.col("worst")))
+    kth = home.where(F.col("rank") == k).select("query_id", F.col("score").cast("double").alias("kth"))
+    piles = stage(_piles(blocks, kth), "piles")
+
+    def near(b):
+        """Whether the block may hold a score that counts in the shard."""
+        dot = F.aggregate(F.zip_with(b["center"], "d_center", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+        bound = dot + b["radius"] * F.col("d_norm") + F.col("d_radius") * b["norm"] + b["radius"] * F.col("d_radius")
+        return (b["cell"] != F.col("d_cell")) & (bound + F.abs(bound) * 1e-9 + 1e-3 >= F.array_min(b["floors"]))
+    rest = d.join(piles, "dim").withColumn("blocks", F.filter("blocks", near)).where(F.size("blocks") > 0)
     found = home.select("query_id", "vec_id", "score").unionByName(_search(rest, k))
     return _best(found, k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 
 
-def _block_members(blocks: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _piles(blocks: DataFrame, kth: DataFrame) -> DataFrame:
+    """(dim, pile, blocks): the blocks with their queries' k-th scores (none
+    until a query has k), dealt by hash into piles of about PILE queries."""
+    def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for r in b.itertuples():
-                yield pd.DataFrame({"dim": r.dim, "cell": r.cell, "part": r.part, "query_id": np.unique(np.frombuffer(r.ids, np.int64))})
-    return blocks.select("dim", "cell", "part", "ids").mapInPandas(run, "dim int, cell int, part int, query_id long")
+                ids = np.frombuffer(r.ids, np.int64)
+                yield pd.DataFrame({"dim": r.dim, "cell": r.cell, "part": r.part, "at": np.arange(len(ids)), "query_id": ids})
+    each = blocks.select("dim", "cell", "part", "ids").mapInPandas(members, "dim int, cell int, part int, at int, query_id long")
+    floor = F.struct("at", F.coalesce("kth", F.lit(float("-inf"))).alias("kth"))
+    floors = each.join(kth, "query_id", "left").groupBy("dim", "cell", "part").agg(F.array_sort(F.collect_list(floor))["kth"].alias("floors"))
+    sizes = each.groupBy("dim").agg(F.count(F.lit(1)).alias("n"))
+    pile = F.pmod(F.xxhash64("cell", "part"), F.ceil(F.col("n") / PILE))
+    row = F.struct("cell", "center", "radius", "norm", "ids", "data", "floors")
+    return blocks.join(floors, ["dim", "cell", "part"]).join(sizes, "dim").groupBy("dim", pile.alias("pile")).agg(F.collect_list(row).alias("blocks"))
 
 
 def op3_top_k(spark, sf_dir):
