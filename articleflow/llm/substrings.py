@@ -48,20 +48,34 @@ from .phrases import parse_texts
 
 LENGTH = 100
 #: Phrases of one trigger that a suffix array takes.
-PART = 20000
+PART = 4000
 #: Bytes of phrases in one Spark group.
-PACK_BYTES = 4 << 20
+PACK_BYTES = 1 << 20
+#: Bytes of texts whose phrases a task holds at a time (a longer text alone).
+SLICE_BYTES = 4 << 20
 
 
 def _docs(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("__t"), "text")
 
 
+def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, list[bytes]]]:
+    """Cuts batches into runs of rows of about SLICE_BYTES, with their texts in UTF-8."""
+    for b in batches:
+        texts, size, lo = [], 0, 0
+        for hi, text in enumerate(b["text"]):
+            texts.append(text.encode() if text else b"")
+            size += len(texts[-1])
+            if size >= SLICE_BYTES or hi == len(b) - 1:
+                yield b.iloc[lo:hi + 1], texts
+                texts, size, lo = [], 0, hi + 1
+
+
 def triggers(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(g): the trigger of every phrase of every text."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for _, _, _, _, _, h in parse_texts([t.encode() if t else b"" for t in b["text"]], length):
+        for _, texts in _slices(batches):
+            for _, _, _, _, _, h in parse_texts(texts, length):
                 yield pd.DataFrame({"g": h.view(np.int64)})
     return docs.select("text").mapInPandas(run, "g long")
 
@@ -74,9 +88,9 @@ def _phrases(docs: DataFrame, keep, length: int, with_bytes: bool) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
-        for b in batches:
+        for b, texts in _slices(batches):
             parts = []
-            for row, start, whole, f, la, h in parse_texts([t.encode() if t else b"" for t in b["text"]], length):
+            for row, start, whole, f, la, h in parse_texts(texts, length):
                 ok = np.flatnonzero(shared.value.test(h))
                 strings = [whole[i:j] for i, j in zip(f[ok].tolist(), (la[ok] + length).tolist())]
                 u = np.fromiter(map(xxhash.xxh3_64_intdigest, strings), np.uint64, len(ok))
