@@ -82,7 +82,7 @@ def triggers(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 def _phrases(docs: DataFrame, keep, length: int, with_bytes: bool) -> DataFrame:
     """Phrases whose trigger is in the bitmap: doc_id, __t, trigger g, hash u,
-    first window a, last window b, and whether the document has it further
+    first window a, number n of further windows, and whether the document has it further
     left (``again``) or the bytes of the leftmost place."""
     shared = docs.sparkSession.sparkContext.broadcast(keep)
 
@@ -94,7 +94,7 @@ def _phrases(docs: DataFrame, keep, length: int, with_bytes: bool) -> DataFrame:
                 ok = np.flatnonzero(shared.value.test(h))
                 strings = [whole[i:j] for i, j in zip(f[ok].tolist(), (la[ok] + length).tolist())]
                 u = np.fromiter(map(xxhash.xxh3_64_intdigest, strings), np.uint64, len(ok))
-                part = {"r": row[ok], "g": h[ok].view(np.int64), "u": u.view(np.int64), "a": start[ok], "b": start[ok] + (la - f)[ok]}
+                part = {"r": row[ok], "g": h[ok].view(np.int64), "u": u.view(np.int64), "a": start[ok], "n": (la - f)[ok]}
                 parts.append(pd.DataFrame(part | ({"s": strings} if with_bytes else {})))
             if not parts:
                 continue
@@ -103,7 +103,7 @@ def _phrases(docs: DataFrame, keep, length: int, with_bytes: bool) -> DataFrame:
             out = out[~again] if with_bytes else out.assign(again=again)
             ids = b[["doc_id", "__t"]].iloc[out.pop("r")].reset_index(drop=True)
             yield pd.concat([ids, out.reset_index(drop=True)], axis=1)
-    return docs.mapInPandas(run, "doc_id long, __t long, g long, u long, a int, b int, " + ("s binary" if with_bytes else "again boolean"))
+    return docs.mapInPandas(run, "doc_id long, __t long, g long, u long, a int, n int, " + ("s binary" if with_bytes else "again boolean"))
 
 
 def suffix_ranks(data: np.ndarray, length: int) -> np.ndarray:
@@ -202,11 +202,11 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, part: int = PART) ->
     docs = _docs(docs).where("doc_id is not null")
     often = triggers(docs, length).groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     places = stage(_phrases(docs, bitmap(often, "g"), length, False), "phrases")
-    entries = stage(places.groupBy("g", "u").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")), "phrases-dictionary")
+    entries = stage(places.groupBy("g", "u").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("places")), "phrases-dictionary")
     windows = stage(_contested(docs, entries.select("g", "u", "first"), length, part).where(F.size("windows") > 0), "phrases-windows")
-    known = entries.join(windows, ["g", "u", "first"], "left").where((F.col("n") > 1) | F.col("windows").isNotNull()).drop("n")
+    known = entries.join(windows, ["g", "u", "first"], "left").where((F.col("places") > 1) | F.col("windows").isNotNull()).drop("places")
     judged = places.join(known, ["g", "u"])
-    whole = F.array(F.struct(F.lit(0).alias("lo"), (F.col("b") - F.col("a")).alias("hi")))
+    whole = F.array(F.struct(F.lit(0).alias("lo"), F.col("n").alias("hi")))
     ranges = F.when(F.col("again") | (F.col("first") < F.col("doc_id")), whole).when(F.col("__t") == F.col("t"), F.col("windows"))
     return judged.select("doc_id", "__t", "a", F.explode(ranges).alias("w")) \
         .select("doc_id", "__t", (F.col("a") + F.col("w.lo")).alias("lo"), (F.col("a") + F.col("w.hi")).alias("hi"))
@@ -233,13 +233,13 @@ def substring_dedup(docs: DataFrame, length: int = LENGTH, part: int = PART) ->
     and end in bytes) and the remaining bytes."""
     rows = _docs(docs)
     lists = repeated_ranges(docs, length, part).groupBy(F.col("doc_id").alias("__d"), F.col("__t").alias("__u")) \
-        .agg(F.collect_set(F.struct("lo", "hi")).alias("w"))
+        .agg(F.collect_set(F.shiftleft(F.col("lo").cast("long"), 32).bitwiseOR(F.col("hi").cast("long"))).alias("w"))   # one long each
     both = rows.join(lists, rows["doc_id"].eqNullSafe(F.col("__d")) & (rows["__t"] == F.col("__u")), "left")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             texts = [t.encode() if t else b"" for t in b["text"]]
-            done = [cut(t, [(x["lo"], x["hi"]) for x in w] if w is not None else [], length) for t, w in zip(texts, b["w"])]
+            done = [cut(t, [(x >> 32, x & 0xFFFFFFFF) for x in w.tolist()] if w is not None else [], length) for t, w in zip(texts, b["w"])]
             yield pd.DataFrame({"doc_id": b["doc_id"], "n_bytes": [len(t) for t in texts],
                                 "removed": [[{"start": i, "end": j} for i, j in r] for r, _ in done], "kept": [k for _, k in done]})
     return both.select("doc_id", "text", "w").mapInPandas(
