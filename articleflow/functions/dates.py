@@ -20,7 +20,7 @@ MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct",
 YMD_RUN = r"(\d{4})[-./](\d{1,2})[-./](\d{1,2})"
 RFC822 = (r"^[A-Za-z]{3}, (\d{1,2}) ([A-Za-z]{3}) (\d{4}) \d{1,2}:\d{1,2}:\d{1,2} "
           r"(?:[+-]\d{2}:?\d{2}|Z|UTC|GMT)$")
-COMPACT = r"^(\d{4})(\d{2})(\d{2})$"
+COMPACT = r"^(\d{4})(\d{2})(\d{2})(?:T\d{2}(?:\d{2}){0,2}(?:[.,]\d+)?(?:Z|[+-]\d{2}:?\d{2})?)?$"
 
 
 def _ymd(y: Column, m: Column, d: Column) -> Column:

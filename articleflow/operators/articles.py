@@ -7,6 +7,8 @@ Parquet reader; the summary join is an equi-join on the article id.
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,8 +48,10 @@ def query_articles(articles: DataFrame, summaries: DataFrame, *, article_id: int
     if date_to:
         a = a.where(F.col("published_at") <= F.lit(date_to).cast("date"))
     if keyword:
-        pat = f"%{keyword}%"   # '%' and '_' inside the keyword stay wildcards
-        a = a.where(F.col("title").ilike(pat) | F.col("body").ilike(pat))
+        # '%' and '_' inside the keyword stay wildcards, a backslash is itself; only A-Z fold
+        pat = "%" + keyword.translate(str.maketrans(ascii_uppercase, ascii_lowercase)).replace("\\", "\\\\") + "%"
+        folded = [F.translate(c, ascii_uppercase, ascii_lowercase) for c in ("title", "body")]
+        a = a.where(folded[0].like(pat) | folded[1].like(pat))
     if not include_duplicates:
         a = a.where(~F.col("is_duplicate"))
     j = articles_joined(a, summaries)
@@ -101,19 +105,22 @@ def summary_targets(articles: DataFrame, summaries: DataFrame, *, article_id: in
     return query_articles(articles, summaries, category=category, status=None if all_ else "unsummarized")
 
 
-def export_view(joined: DataFrame) -> DataFrame:
-    """Export columns in file order; long strings cut and marked."""
+def export_view(joined: DataFrame, cell_limit: int | None = None) -> DataFrame:
+    """Export columns in file order, whole texts; with ``cell_limit``
+    longer strings are cut and marked (for spreadsheet programs)."""
     out = []
     for key, _header in K.EXPORT_COLUMNS:
         c = F.col(key)
-        if key in ("title", "url", "summary", "body", "source", "category", "sentiment"):
-            c = cut_cell(c)
+        if cell_limit and key in ("title", "url", "summary", "body", "source", "category", "sentiment"):
+            c = cut_cell(c, cell_limit)
         out.append(c.alias(key))
     return joined.select(*out)
 
 
-def export_csv(joined: DataFrame, path: str) -> None:
-    """S10 sink: CSV with the display headers, one file per task."""
-    view = export_view(joined)
+def export_csv(joined: DataFrame, path: str, cell_limit: int | None = None) -> None:
+    """S10 sink: standard CSV (every cell quoted, quotes doubled, blanks kept)
+    with the display headers, one file per task."""
+    view = export_view(joined, cell_limit)
     view.select(*[F.col(k).alias(h) for k, h in K.EXPORT_COLUMNS]).write.mode("overwrite") \
-        .option("header", True).csv(path)
+        .options(header=True, quoteAll=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False,
+                 ignoreTrailingWhiteSpace=False).csv(path)

@@ -102,14 +102,18 @@ def insight_record(digest: DataFrame, category: str | None, date_from: str | Non
     return rec.where(filled >= 2)
 
 
-def as_list(c: Column) -> Column:
-    """NULL -> [], a scalar string -> [x], an array -> itself."""
-    return F.when(c.isNull(), F.array().cast("array<string>")).otherwise(c)
+def as_list(df: DataFrame, name: str) -> Column:
+    """column ``name`` as a list: NULL -> [], a scalar -> [its text], an
+    array -> itself."""
+    c = F.col(name)
+    if not df.schema[name].dataType.typeName() == "array":
+        c = F.when(c.isNotNull(), F.array(c.cast("string")))
+    return F.coalesce(c.cast("array<string>"), F.array().cast("array<string>"))
 
 
 def encode_arrays(df: DataFrame, cols=INSIGHT_ARRAYS) -> DataFrame:
-    """F14 encode: arrays stored as JSON text."""
-    return df.select(*[F.to_json(F.col(c)).alias(c) if c in cols else F.col(c) for c in df.columns])
+    """F14 encode: arrays (F13: of lists, scalars or NULLs) stored as JSON text."""
+    return df.select(*[F.to_json(as_list(df, c)).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def decode_arrays(df: DataFrame, cols=INSIGHT_ARRAYS) -> DataFrame:

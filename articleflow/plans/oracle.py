@@ -417,7 +417,9 @@ SQL["q_source"] = _read(f"source = {lit(Q.SOURCE)} AND NOT is_duplicate")
 SQL["q_day"] = _read(f"published_at = DATE '{Q.DAY}' AND NOT is_duplicate")
 SQL["q_date_range"] = _read(
     f"published_at >= DATE '{Q.DATE_FROM}' AND published_at <= DATE '{Q.DATE_TO}' AND NOT is_duplicate")
-SQL["q_keyword"] = _read(f"(title ILIKE '%{Q.KEYWORD}%' OR body ILIKE '%{Q.KEYWORD}%') AND NOT is_duplicate")
+_FOLD = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') LIKE '%{}%'"
+SQL["q_keyword"] = _read(f"({_FOLD.format('title', Q.KEYWORD.lower())} OR {_FOLD.format('body', Q.KEYWORD.lower())})"
+                         " AND NOT is_duplicate")
 SQL["q_summarized"] = _read("summarized AND NOT is_duplicate")
 SQL["q_unsummarized"] = _read("NOT summarized AND NOT is_duplicate")
 SQL["q_no_dups"] = _read("NOT is_duplicate")
@@ -440,13 +442,7 @@ SELECT id, title, category, published_at FROM j
 WHERE category = {lit(Q.CATEGORY)} AND NOT summarized AND NOT is_duplicate"""
 
 
-def _cut(c: str) -> str:
-    return (f"CASE WHEN length({c}) > {K.EXPORT_CELL_LIMIT} THEN substr({c}, 1, {K.EXPORT_CELL_LIMIT}) || "
-            f"{lit(K.EXPORT_CUT_SUFFIX)} ELSE {c} END AS {c}")
-
-
-_EXPORT = ", ".join(_cut(k) if k in ("title", "url", "summary", "body", "source", "category", "sentiment") else k
-                    for k, _ in K.EXPORT_COLUMNS)
+_EXPORT = ", ".join(k for k, _ in K.EXPORT_COLUMNS)
 SQL["export_view"] = f"{AS_CTE},{_J}\nSELECT {_EXPORT} FROM j WHERE summarized AND NOT is_duplicate"
 
 # counts and metrics --------------------------------------------------------------

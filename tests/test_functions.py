@@ -56,6 +56,8 @@ def test_normalize_url(spark, url, expected):
     ("2026/07/22", "2026-07-22"),
     ("2026년 07월 22일 발행 2026-07-22 송고", "2026-07-22"),
     ("20260722", "2026-07-22"),
+    ("20260722T101112", "2026-07-22"),
+    ("20260722T1011Z", "2026-07-22"),
     ("2026-07-22T02:00:00+09:00", "2026-07-22"),
 ])
 def test_normalize_date(spark, raw, expected):
