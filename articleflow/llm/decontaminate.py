@@ -3,12 +3,17 @@
 Method: rare n-gram seeds join training passages to test items, then
 Smith-Waterman alignment scores paraphrased or edited copies.
 
-Words are lower-cased runs of letters and digits.  Seeds are word 3-grams of
-an item.  Their document frequencies are counted over the whole corpus; the
-rarer half of each item's grams (ties by hash) are its seeds, so an item that
-has leaked into a third of all documents still has seeds, and phrases of
-everyday words are none.  Each (document, item) pair that shares a seed is
-aligned: the document's stretches around the seed hits (twice the item's
+Words are lower-cased runs of letters and digits.  Seeds are word 2-grams of
+an item, the rarest by their document frequencies over the whole corpus (ties
+by hash), as many as the score bound asks for: an alignment of score S has at
+most S fewer breaks than matches, so it holds S - 1 or more of the item's
+n - 1 gram places unbroken, and any n + 1 - S places of the item include one
+of these.  No leak is lost, however its changed words, gaps and insertions lie
+(3-grams cannot promise that: every second place may hold an insertion), and
+grams that no document holds may rank first, as they are counted as lost.
+Phrases of everyday words come last and are seeds only of items that have
+little else.  Each (document, item) pair that shares a seed is aligned, where
+S - 1 or more gram places of the item occur: the document's stretches around the seed hits (twice the item's
 length on either side, overlapping ones merged) against the item, word by
 word, +1 for a match, -1 for a mismatch or a gap.  The score is the best local
 alignment divided by the item's number of words; a pair from ``MIN_SCORE``
@@ -39,7 +44,9 @@ from pyspark.sql import functions as F
 from ..session import stage
 from .common import Bitmap, bitmap, mix64, table
 
-GRAM = 3
+GRAM = 2
+#: Items of fewer words give no pair.
+MIN_WORDS = 3
 MIN_SCORE = 0.5
 _NOT_WORD = re.compile(r"[\W_]+")
 
@@ -59,22 +66,56 @@ def gram_hashes(words: list[str], n: int = GRAM) -> np.ndarray:
     return mix64(h)
 
 
-def _grams(rows: DataFrame, keep: Bitmap | None, ids: list[str]) -> DataFrame:
-    """(ids..., g): the distinct grams of every row that ``keep`` lets through."""
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*ids).schema.fields) + ", g long"
-    shared = rows.sparkSession.sparkContext.broadcast(keep) if keep else None
+def needed(words: int, min_score: float) -> int:
+    """Gram places of an item that an alignment of ``min_score`` leaves whole."""
+    return int(np.ceil(min_score * words - 1e-9)) - 1
+
+
+def _item_grams(items: DataFrame, min_score: float) -> DataFrame:
+    """(item_id, __i, g, places, lost): the distinct grams of every item, the
+    places of each, and how many places of the item a leak may lose."""
+    kind = items.schema["item_id"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            row, gram = [], []
+            row, gram, places, lost = [], [], [], []
             for k, text in enumerate(b["text"]):
-                h = gram_hashes(words_of(text))
-                h = np.unique(h[shared.value.test(h)] if shared else h)
+                words = words_of(text)
+                h, n = np.unique(gram_hashes(words) if len(words) >= MIN_WORDS else np.empty(0, np.uint64), return_counts=True)
                 row.append(np.full(len(h), k))
                 gram.append(h.view(np.int64))
+                places.append(n)
+                lost.append(np.full(len(h), len(words) - 1 - needed(len(words), min_score)))
             if row:
-                yield b[ids].iloc[np.concatenate(row)].reset_index(drop=True).assign(g=np.concatenate(gram))
-    return rows.select(*ids, "text").mapInPandas(run, schema)
+                yield b[["item_id", "__i"]].iloc[np.concatenate(row)].reset_index(drop=True).assign(
+                    g=np.concatenate(gram), places=np.concatenate(places), lost=np.concatenate(lost))
+    return items.select("item_id", "__i", "text").mapInPandas(run, f"item_id {kind}, __i long, g long, places long, lost long")
+
+
+#: Gram hashes that a task gathers before it counts them.
+GATHER = 1 << 20
+
+
+def _frequencies(docs: DataFrame, keep: Bitmap) -> DataFrame:
+    """(g, df): the documents that hold each gram that ``keep`` lets through."""
+    shared = docs.sparkSession.sparkContext.broadcast(keep)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def counted() -> pd.DataFrame:
+            g, n = np.unique(np.concatenate(found), return_counts=True)
+            return pd.DataFrame({"g": g.view(np.int64), "n": n})
+        found, size = [], 0
+        for b in batches:
+            for text in b["text"]:
+                h = gram_hashes(words_of(text))
+                found.append(np.unique(h[shared.value.test(h)]))
+                size += len(found[-1])
+                if size >= GATHER:
+                    yield counted()
+                    found, size = [], 0
+        if found:
+            yield counted()
+    return docs.select("text").mapInPandas(run, "g long, n long").groupBy("g").agg(F.sum("n").alias("df"))
 
 
 def _candidates(docs: DataFrame, keep: Bitmap) -> DataFrame:
@@ -97,16 +138,14 @@ def _candidates(docs: DataFrame, keep: Bitmap) -> DataFrame:
     return docs.mapInPandas(run, "doc_id long, __t long, text string, hits array<struct<g:long,at:array<int>>>")
 
 
-def seeds(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(item_id, __i, g): the rarer half of each item's grams, by the number of
-    documents that hold them."""
-    own = stage(_grams(items, None, ["item_id", "__i"]).distinct(), "bench-grams")
-    held = _grams(docs, bitmap(own, "g"), ["doc_id", "__t"])
-    counts = held.groupBy("g").agg(F.count(F.lit(1)).alias("df"))
-    ranked = own.join(counts, "g", "left").withColumn("df", F.coalesce("df", F.lit(0)))
-    item = Window.partitionBy("item_id", "__i")
-    return ranked.withColumn("r", F.row_number().over(item.orderBy("df", "g"))).withColumn("n", F.count(F.lit(1)).over(item)) \
-        .where(F.col("r") * 2 <= F.col("n") + 1).select("item_id", "__i", "g")
+def seeds(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
+    """(item_id, __i, g): the rarest grams of each item, by the number of
+    documents that hold them, that cover more places than a leak may lose."""
+    own = stage(_item_grams(items, min_score), "bench-grams")
+    ranked = own.join(_frequencies(docs, bitmap(own, "g")), "g", "left").withColumn("df", F.coalesce("df", F.lit(0)))
+    rarer = Window.partitionBy("item_id", "__i").orderBy("df", "g").rowsBetween(Window.unboundedPreceding, -1)
+    return ranked.withColumn("covered", F.coalesce(F.sum("places").over(rarer), F.lit(0))) \
+        .where(F.col("covered") <= F.col("lost")).select("item_id", "__i", "g")
 
 
 def align(a: np.ndarray, b: np.ndarray) -> int:
@@ -123,17 +162,21 @@ def align(a: np.ndarray, b: np.ndarray) -> int:
     return best
 
 
-def best_alignment(words: list[str], item: list[str], hits) -> float:
-    """Alignment score of an item in the stretches of a text around the hits."""
+def best_alignment(words: list[str], item: list[str], hits, min_score: float = MIN_SCORE) -> float:
+    """Alignment score of an item in the stretches of a text around the hits;
+    stretches with too few of the item's grams for ``min_score`` count as 0."""
     reach, ids = 2 * len(item), {}
     a = np.array([ids.setdefault(w, len(ids)) for w in item])
+    own, least = a[:-1] * len(item) + a[1:], needed(len(item), min_score)
     hits, start, best = sorted(hits), 0, 0
     while start < len(hits):
         end = start
         while end + 1 < len(hits) and hits[end + 1] - hits[end] <= 2 * reach:
             end += 1
-        part = words[max(0, hits[start] - reach):hits[end] + reach + GRAM]
-        best = max(best, align(a, np.array([ids.get(w, -1) for w in part])))
+        part = np.array([ids.get(w, -1) for w in words[max(0, hits[start] - reach):hits[end] + reach + GRAM]])
+        held = (part[:-1] * len(item) + part[1:])[(part[:-1] >= 0) & (part[1:] >= 0)]
+        if np.isin(own, held).sum() >= least:
+            best = max(best, align(a, part))
         start = end + 1
     return best / len(item)
 
@@ -143,7 +186,7 @@ def leaks(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE) -> Da
     ``docs`` (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("__t"), "text")
     items = items.select("item_id", F.xxhash64("text").alias("__i"), "text").where("text is not null").distinct()
-    chosen = stage(seeds(docs, items), "bench-seeds")
+    chosen = stage(seeds(docs, items, min_score), "bench-seeds")
     held = stage(_candidates(docs, bitmap(chosen, "g")), "bench-candidates")
     found = held.select("doc_id", "__t", F.explode("hits").alias("h")).select("doc_id", "__t", F.col("h.g").alias("g"), F.col("h.at").alias("at"))
     pairs = found.join(chosen, "g").groupBy("doc_id", "__t", "item_id", "__i").agg(F.flatten(F.collect_set("at")).alias("at"))
@@ -159,7 +202,7 @@ def leaks(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE) -> Da
             for d, text, todo in zip(b["doc_id"], b["text"], b["items"]):
                 words = words_of(text)
                 for x in todo:
-                    s = best_alignment(words, words_of(x["item"]), x["at"])
+                    s = best_alignment(words, words_of(x["item"]), x["at"], min_score)
                     if s >= min_score:
                         out.append((d, x["item_id"], s))
             yield pd.DataFrame(out, columns=["doc_id", "item_id", "score"])

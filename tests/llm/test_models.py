@@ -117,6 +117,33 @@ def test_decontamination(spark, corpus):
     assert decontaminate.leaks(make(spark, rows), table.limit(0)).count() == 0
 
 
+def test_decontamination_of_edited_copies(spark):
+    """One changed copy of each item: substituted, left out and inserted words."""
+    rnd = random.Random(17)
+    items = [(i, prose(rnd, rnd.randint(8, 50), 3000)) for i in range(40)] + [(40, "a b c d a b c d a b")]
+
+    def edited(words, share, how):
+        out = list(words)
+        for k in sorted(rnd.sample(range(len(words)), int(share * len(words))), reverse=True):
+            out[k:k + 1] = {"substitute": ["zz"], "leave": [], "insert": ["zz", words[k]]}[how]
+        return out
+    rows = []
+    for share, how in [(0.1, "substitute"), (0.15, "substitute"), (0.2, "substitute"), (0.25, "substitute"), (0.25, "leave"), (0.5, "insert")]:
+        rows += [(len(rows) + i, f"{prose(rnd, 40)} {' '.join(edited(t.split(' '), share, how))} {prose(rnd, 40)}", "s") for i, t in items]
+    rows += [(1000, items[0][1], "s"), (1001, " zz ".join(items[1][1].split(" ")), "s")]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in decontaminate.leaks(make(spark, rows), table).collect()}
+    want = {}
+    for d, t, _ in rows:
+        ids = {w: k for k, w in enumerate(dict.fromkeys(decontaminate.words_of(t)))}
+        text = np.array([ids[w] for w in decontaminate.words_of(t)])
+        for i, item in items:
+            v = decontaminate.words_of(item)
+            if (s := decontaminate.align(np.array([ids.get(w, -1) for w in v]), text) / len(v)) >= 0.5:
+                want[d, i] = s
+    assert got == want and len(want) > 240
+
+
 def test_toxicity_held_out(spark, corpus):
     rnd = random.Random(11)
     bad = ["grumbl", "snarkl", "blorft"]
