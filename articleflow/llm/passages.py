@@ -10,6 +10,14 @@ words take no part.  Two paragraphs link at a Jaccard similarity of 0.8 or
 more of their shingle sets.  Of each class (connected component) the first
 paragraph (smallest doc_id, then line number) stays.
 
+Passages that repeat inside lines of more than ``LONG`` words are found by
+pieces: every line is cut where a shingle's hash is the least of the ``REACH``
+shingles on either side (in wide gaps: of half as many), so that equal passages get equal cuts wherever they
+stand, and after ``PIECE`` words at the latest.  Equal pieces, one of them in a
+long line at least, form a class; the first place (doc_id, line, word) stays.
+Lines that go as a whole take no part in it.  Lines of up to ``LONG`` words are
+compared with each other as wholes only.
+
 ``tune`` picks bands and rows such that a pair at the threshold is missed with
 a probability of at most 1 in 1,000; more similar pairs are missed less, and a
 class stays whole as long as some chain of its links is found.  Paragraphs
@@ -25,6 +33,7 @@ without doc_id take no part; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +49,8 @@ from .tiles import Links, tile_pairs
 SHINGLE, SIMILARITY, MISSED = 5, 0.8, 1e-3
 #: Paragraphs hashed at a time.
 PARAGRAPHS = 4096
+#: Words of a line from which on its pieces count; reach of a cut, and most words of a piece.
+LONG, REACH, PIECE = 66, 8, 64
 
 
 def tune(similarity: float = SIMILARITY, missed: float = MISSED, rows: int = 2) -> tuple[int, int]:
@@ -58,9 +69,9 @@ def shingle_hashes(words: list[bytes], n: int = SHINGLE) -> np.ndarray:
     return np.unique(mix64(h))
 
 
-def band_keys(paras: list[list[bytes]], bands: int, rows: int, n: int = SHINGLE) -> np.ndarray:
-    """MinHash band keys of paragraphs of n words or more, a row for each: all
-    shingles of a batch are hashed together."""
+def batch_shingles(paras: list[list[bytes]], n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the shingles of paragraphs of n words or more, in order
+    and hashed together, and the number of each paragraph's."""
     from zlib import crc32
     counts = np.array([len(w) for w in paras])
     flat = [x for w in paras for x in w]
@@ -69,19 +80,57 @@ def band_keys(paras: list[list[bytes]], bands: int, rows: int, n: int = SHINGLE)
     for k in range(n):
         h = (h ^ w[k:len(flat) - n + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
     inside = np.arange(len(h)) + n <= np.repeat(np.cumsum(counts), counts)[:len(h)]
-    h = mix64(h[inside])
-    starts = np.cumsum(counts - n + 1) - (counts - n + 1)
+    return mix64(h[inside]), counts - n + 1
+
+
+def band_keys(paras: list[list[bytes]], bands: int, rows: int, n: int = SHINGLE) -> np.ndarray:
+    """MinHash band keys of paragraphs of n words or more, a row for each."""
+    return _band_keys(*batch_shingles(paras, n), bands, rows)
+
+
+def _band_keys(h: np.ndarray, counts: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    starts = np.cumsum(counts) - counts
     seeds = mix64(np.arange(1, bands * rows + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-    out = np.tile(np.arange(bands, dtype=np.uint64), (len(paras), 1))
+    out = np.tile(np.arange(bands, dtype=np.uint64), (len(counts), 1))
     for i, s in enumerate(seeds):
         least = np.minimum.reduceat((h ^ s) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(7), starts)
         out[:, i // rows] = mix64(out[:, i // rows] * np.uint64(0x9E3779B97F4A7C15) ^ least)
     return out
 
 
+def cuts(h: np.ndarray, counts: np.ndarray, reach: int = REACH) -> list[np.ndarray]:
+    """Per paragraph, the words before which it is cut: those whose shingle has
+    the least hash of ``reach`` neighbours on either side (the first of equal
+    ones), all of them inside the paragraph; and, farther than ``reach`` from
+    all of these, those that have the least of half as many."""
+    ends = np.cumsum(counts)
+    at = np.arange(len(h)) - np.repeat(ends - counts, counts)
+    after = np.repeat(counts, counts) - 1 - at
+
+    def least(r: int) -> np.ndarray:
+        out = (at >= r) & (after >= r)
+        for k in range(1, min(r, len(h) - 1) + 1):
+            out[k:] &= h[k:] < h[:-k]
+            out[:-k] &= h[:-k] <= h[k:]
+        return out
+    far, wide = least(reach), least(reach // 2)
+    total = np.concatenate([[0], np.cumsum(far)])
+    k = np.arange(len(h))
+    near = total[np.minimum(k + reach + 1, len(h))] - total[np.maximum(k - reach, 0)] > 0
+    places = np.flatnonzero(far | (wide & ~near & (at >= 2 * reach) & (after >= 2 * reach)))
+    return [at[x] for x in np.split(places, np.searchsorted(places, ends[:-1]))]
+
+
+def pieces(words: list[bytes], cut: np.ndarray, shortest: int, longest: int = PIECE) -> list[tuple[int, int]]:
+    """(start, words) of the pieces of a paragraph of ``shortest`` words or more."""
+    edges = [0, *cut.tolist(), len(words)]
+    parts = [(k, min(longest, b - k)) for a, b in zip(edges, edges[1:]) for k in range(a, b, longest)]
+    return [x for x in parts if x[1] >= shortest]
+
+
 def paragraphs(docs: DataFrame, bands: int, rows: int, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, __t, line, p, words, bands): paragraphs with their name ``p``
-    (128-bit hash of the words) and band keys."""
+    """(doc_id, __t, line, p, words, bands, long, pieces): paragraphs with their
+    name ``p`` (128-bit hash of the words), band keys and named pieces."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
         for b in batches:
@@ -94,11 +143,15 @@ def paragraphs(docs: DataFrame, bands: int, rows: int, shingle: int = SHINGLE) -
             for i in range(0, len(at), PARAGRAPHS):
                 part = words[i:i + PARAGRAPHS]
                 whole = [b" ".join(w) for w in part]
-                keys = band_keys(part, bands, rows, shingle).view(np.int64)
+                h, counts = batch_shingles(part, shingle)
+                keys = _band_keys(h, counts, bands, rows).view(np.int64)
+                inner = [[{"word": k, "n": n, "q": xxhash.xxh3_128_digest(b" ".join(w[k:k + n]))} for k, n in pieces(w, c, shingle)]
+                         for w, c in zip(part, cuts(h, counts))]
                 yield pd.DataFrame(at[i:i + PARAGRAPHS], columns=["doc_id", "__t", "line"]).assign(
-                    p=[xxhash.xxh3_128_digest(x) for x in whole], words=whole, bands=list(keys))
+                    p=[xxhash.xxh3_128_digest(x) for x in whole], words=whole, bands=list(keys), long=[len(w) > LONG for w in part], pieces=inner)
     rows_ = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("__t"), "text").where("doc_id is not null")
-    return rows_.mapInPandas(run, "doc_id long, __t long, line int, p binary, words binary, bands array<long>")
+    return rows_.mapInPandas(run, "doc_id long, __t long, line int, p binary, words binary, bands array<long>, long boolean, "
+                                  "pieces array<struct<word:int,n:int,q:binary>>")
 
 
 def similar(a: list[np.ndarray], b: list[np.ndarray] | None, links: Links, similarity: float = SIMILARITY) -> None:
@@ -156,9 +209,30 @@ def verified_links(paras: DataFrame, shingle: int = SHINGLE, similarity: float =
     return units.join(texts, "p").groupBy("__pack").applyInPandas(run, "a binary, b binary").distinct()
 
 
+def piece_classes(paras: DataFrame, gone: DataFrame) -> DataFrame:
+    """(doc_id, __t, line, class_doc_id, class_line, removed, word, n_words,
+    class_word) of the pieces that occur again, one of them in a long line, of
+    ``paras`` without the lines ``gone`` (doc_id, __t, line)."""
+    every = paras.select("doc_id", "__t", "line", "long", F.inline("pieces"))
+    again = (F.count(F.lit(1)) > 1) & F.max("long")
+    often = every.groupBy("q").agg(again.alias("again")).where("again").select(F.xxhash64("q").alias("h"))
+    repeated = paras.sparkSession.sparkContext.broadcast(bitmap(often, "h"))
+
+    def held(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield b[repeated.value.test(b.pop("h").to_numpy().view(np.uint64))]
+    some = every.withColumn("h", F.xxhash64("q")).mapInPandas(held, every.schema)
+    kept = stage(some.join(gone, ["doc_id", "__t", "line"], "left_anti").distinct(), "pieces-held")
+    place = F.struct("doc_id", "line", "word", "__t")
+    least = kept.groupBy("q").agg(F.min(place).alias("f"), again.alias("again")).where("again").drop("again")
+    return kept.join(least, "q").select("doc_id", "__t", "line", F.col("f.doc_id").alias("class_doc_id"), F.col("f.line").alias("class_line"),
+                                        (place != F.col("f")).alias("removed"), "word", F.col("n").alias("n_words"), F.col("f.word").alias("class_word"))
+
+
 def paragraph_classes(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, __t, line, class_doc_id, class_line, removed) of every
-    paragraph in a class of two places or more."""
+    """(doc_id, __t, line, class_doc_id, class_line, removed, word, n_words,
+    class_word) of every paragraph and piece in a class of two places or more;
+    the last three are null for whole lines."""
     paras = stage(paragraphs(docs, *tune(similarity), shingle), "paras")
     parts = stage(connected_components(verified_links(paras, shingle, similarity), "a", "b"), "paras-classes")
     places = paras.select("doc_id", "__t", "line", "p").distinct()
@@ -166,23 +240,51 @@ def paragraph_classes(docs: DataFrame, shingle: int = SHINGLE, similarity: float
     named = stage(named, "paras-named")
     least = named.groupBy("c").agg(F.min(F.struct("doc_id", "line", "__t")).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1")
     same = F.struct("doc_id", "line", "__t") == F.col("f")
-    return named.join(least, "c").select("doc_id", "__t", "line", F.col("f.doc_id").alias("class_doc_id"),
-                                         F.col("f.line").alias("class_line"), (~same).alias("removed"))
+    null = F.lit(None).cast("int")
+    whole = stage(named.join(least, "c").select(
+        "doc_id", "__t", "line", F.col("f.doc_id").alias("class_doc_id"), F.col("f.line").alias("class_line"), (~same).alias("removed"),
+        null.alias("word"), null.alias("n_words"), null.alias("class_word")), "paras-whole")
+    return whole.unionByName(piece_classes(paras, whole.where("removed").select("doc_id", "__t", "line")))
+
+
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+
+
+def without(text: str, gone) -> str:
+    """``text`` without the places ``gone`` (line, word, n_words; a null word:
+    the whole line).  A piece goes up to the next word."""
+    places: dict[int, list] = {}
+    for x in gone:
+        places.setdefault(x["line"], []).append((x["word"], x["n_words"]))
+    out = []
+    for k, line in enumerate(text.split("\n")):
+        if k in places:
+            if any(w is None for w, _ in places[k]):
+                continue
+            raw = line.encode()
+            at = [m.start() for m in _WORD.finditer(raw)] + [len(raw)]
+            for w, n in sorted(places[k], reverse=True):
+                raw = raw[:at[w]] + raw[at[w + n]:]
+            line = raw.decode()
+        out.append(line)
+    return "\n".join(out)
 
 
 def passage_dedup(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """``docs`` with repeated paragraphs removed from ``text``."""
+    """``docs`` with repeated paragraphs and pieces removed from ``text``."""
+    @F.udf("string")
+    def kept(text, gone):
+        return text if gone is None else without(text, gone)
     gone = paragraph_classes(docs, shingle, similarity).where("removed").groupBy(F.col("doc_id").alias("__d"), F.col("__t").alias("__u")) \
-        .agg(F.collect_set("line").alias("__gone"))
+        .agg(F.collect_set(F.struct("line", "word", "n_words")).alias("__gone"))
     keyed = docs.withColumn("__t", F.xxhash64("text"))
     both = keyed.join(gone, keyed["doc_id"].eqNullSafe(F.col("__d")) & (F.col("__t") == F.col("__u")), "left")
-    kept = F.array_join(F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains("__gone", i)), "\n")
-    return both.select(*[F.when(F.col("__gone").isNull(), F.col("text")).otherwise(kept).alias("text") if c == "text" else F.col(c)
-                         for c in docs.columns])
+    return both.select(*[kept("text", "__gone").alias("text") if c == "text" else F.col(c) for c in docs.columns])
 
 
 def op10_passages(spark, sf_dir):
     """doc_id, line, class_doc_id, class_line, removed of every paragraph that
-    occurs again, equal or nearly so."""
+    occurs again, equal or nearly so, and of every piece of a long line that
+    occurs again, with its place in the line: word, n_words, class_word."""
     out = paragraph_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", "line", "class_doc_id", "class_line", "removed")
+    return out.select("doc_id", "line", "class_doc_id", "class_line", "removed", "word", "n_words", "class_word")

@@ -279,3 +279,30 @@ def test_band_keys_of_a_batch_are_those_of_each_paragraph():
     paras = [[b"w%d" % rnd.randrange(90) for _ in range(rnd.randint(5, 40))] for _ in range(50)]
     whole = passages.band_keys(paras, 7, 2)
     assert all(np.array_equal(whole[i], passages.band_keys([w], 7, 2)[0]) for i, w in enumerate(paras))
+
+
+def test_passages_inside_longer_lines(spark):
+    """Passages of 60 words inside longer lines, in a short line and twice in a
+    line: all but the words around the outer cuts go, nothing else does."""
+    rnd = random.Random(21)
+    fresh = iter(range(10 ** 9))
+    other = lambda n: [f"o{next(fresh)}" for _ in range(n)]
+    shared = [[f"p{i}x{k}" for k in range(60)] for i in range(12)]
+    rows = []
+    for i, p in enumerate(shared):
+        rows.append((2 * i, "\n".join(["intro", " ".join(other(rnd.randint(40, 200)) + p + other(rnd.randint(40, 700)))]), "s"))
+        rows.append((2 * i + 1, " ".join(other(rnd.randint(40, 90)) + p + other(50)).upper() + "\nend", "s"))
+    rows += [(100, " ".join(shared[0]), "s"), (101, " ".join(["tag"] * 300), "s"), (102, " ".join(other(30) + shared[1] + other(30) + shared[1]), "s")]
+    got = passages.paragraph_classes(make(spark, rows)).collect()
+    lines = {(d, n): line.lower().split() for d, t, _ in rows for n, line in enumerate(t.split("\n"))}
+    gone = Counter()
+    for r in got:
+        assert r.n_words <= passages.PIECE
+        mine = lines[r.doc_id, r.line][r.word:r.word + r.n_words]
+        assert mine == lines[r.class_doc_id, r.class_line][r.class_word:r.class_word + r.n_words]
+        assert r.removed == ((r.doc_id, r.line, r.word) != (r.class_doc_id, r.class_line, r.class_word))
+        gone[r.doc_id] += r.removed * r.n_words
+    assert all(gone[2 * i] == 0 and 9 <= gone[2 * i + 1] <= 60 for i in range(12)) and gone[100] >= 9 and gone[102] >= 18
+    kept = {r.doc_id: r.text for r in passages.passage_dedup(make(spark, rows)).collect()}
+    assert all(len(kept[d].split()) == len(t.split()) - gone[d] for d, t, _ in rows)
+    assert kept[0] == rows[0][1] and [w for w in kept[1].split() if w[0] == "O"] == [w for w in rows[1][1].split() if w[0] == "O"]
