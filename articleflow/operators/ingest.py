@@ -3,7 +3,7 @@ source budget (W4), cursor and seen-key state (W5/W6, M3), raw append rows
 (S8), existence checks (J8) and the clean backlog (S9).
 
 State is a small table keyed by (source, category): ``last_pubdate`` (UTC
-ISO text) and ``seen_guids`` (ARRAY<STRING>, capped).  The seen check is an
+ISO text) and ``seen_guids`` (ARRAY<STRING>, all of them unless a cap is given).  The seen check is an
 anti join on (source, category, guid) after exploding the state, so it is a
 shuffle join, never a per-row lookup.
 """
@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .. import constants as K
 from .dedup import top_k_per_group
 
 FEED_KEY = ["source", "category"]
@@ -39,24 +38,26 @@ def filter_new(items: DataFrame, state: DataFrame | None, incremental: bool = Tr
     return j.where(keep).drop("_cursor")
 
 
-def source_budget(items: DataFrame, feeds: DataFrame, limit: int = K.FETCH_LIMIT) -> DataFrame:
-    """At most ``limit`` items per source, feeds in feed order, items in
-    feed order (exact, skew-safe top-k per source)."""
+def source_budget(items: DataFrame, feeds: DataFrame, limit: int | None = None) -> DataFrame:
+    """The items of the feeds; with a ``limit``, at most that many per
+    source, feeds in feed order, items in feed order (exact, skew-safe top-k
+    per source).  Without one ``budget_rank`` is NULL."""
     j = items.join(feeds.select(*FEED_KEY, "feed_pos"), FEED_KEY)
+    if limit is None:
+        return j.withColumn("budget_rank", F.lit(None).cast("long"))
     order = [F.col("feed_pos"), F.col("feed_no"), F.col("item_pos"), F.col("guid")]
     return top_k_per_group(j, ["source"], order, limit, rank_col="budget_rank")
 
 
-def next_state(kept: DataFrame, state: DataFrame | None, cap: int = K.SEEN_GUID_CAP,
+def next_state(kept: DataFrame, state: DataFrame | None, cap: int | None = None,
                updated_at: str | None = None, dropped: DataFrame | None = None) -> DataFrame:
     """W5 + W6 + M3: new state rows for the feeds that kept items; other
     feeds keep their row untouched.  Cursor = max(kept time) never below the
-    old cursor; seen = old seen U kept guids, the newest ``cap`` by
+    old cursor; seen = old seen U kept guids; with a ``cap``, the newest by
     (time, guid) (kept items rank above old keys).
 
-    By default the cursor moves to the newest *kept* item even when a
-    budget or query left older new items behind (they are then lost, as in
-    the original).  ``dropped`` (new items that were not kept) makes it
+    Without ``dropped`` the cursor moves to the newest *kept* item, which
+    loses older new items that a budget left behind (as in the original).  ``dropped`` (new items that were not kept) makes it
     lossless: the cursor only moves to kept times below the oldest dropped
     time, so those items pass the cursor check next time (kept items above
     it are still stopped by the seen keys)."""
@@ -82,9 +83,10 @@ def next_state(kept: DataFrame, state: DataFrame | None, cap: int = K.SEEN_GUID_
         keys = new
         cursor = touched.select(*FEED_KEY, F.col("_newest").alias("last_pubdate"))
     keys = keys.groupBy(*FEED_KEY, "guid").agg(F.max("fresh").alias("fresh"), F.max("t").alias("t"))
-    capped = top_k_per_group(keys, FEED_KEY, [F.col("fresh").desc(), F.col("t").desc_nulls_last(),
-                                               F.col("guid").desc()], cap)
-    seen = capped.groupBy(*FEED_KEY).agg(F.array_sort(F.collect_list("guid")).alias("seen_guids"))
+    if cap is not None:
+        keys = top_k_per_group(keys, FEED_KEY, [F.col("fresh").desc(), F.col("t").desc_nulls_last(),
+                                                F.col("guid").desc()], cap)
+    seen = keys.groupBy(*FEED_KEY).agg(F.array_sort(F.collect_list("guid")).alias("seen_guids"))
     out = cursor.join(seen, FEED_KEY, "left").select(
         *FEED_KEY, "last_pubdate", F.coalesce(F.col("seen_guids"), F.array().cast("array<string>")).alias("seen_guids"))
     if updated_at is not None:

@@ -437,7 +437,7 @@ def _items(spark, sf):
 
 def _prev_state(items):
     prev = items.where(F.col("published_at") < F.lit(PREV_RUN_BEFORE))
-    return IN.next_state(prev, None)
+    return IN.next_state(prev, None, cap=K.SEEN_GUID_CAP)
 
 
 ITEM_COLUMNS = ["source", "category", "feed_no", "item_pos", "guid", "url", "title", "published_at"]
@@ -481,13 +481,13 @@ def source_budget(spark, sf):
 @query
 def feed_cursor(spark, sf):
     kept, state = _budgeted(spark, sf)
-    return IN.next_state(kept, state).select("source", "category", "last_pubdate")
+    return IN.next_state(kept, state, cap=K.SEEN_GUID_CAP).select("source", "category", "last_pubdate")
 
 
 @query
 def feed_state(spark, sf):
     kept, state = _budgeted(spark, sf)
-    return IN.next_state(kept, state).select("source", "category", "last_pubdate",
+    return IN.next_state(kept, state, cap=K.SEEN_GUID_CAP).select("source", "category", "last_pubdate",
                                              F.size("seen_guids").cast("long").alias("n_seen"), "seen_guids")
 
 
@@ -739,7 +739,7 @@ def event_components(spark, sf):
 def feed_seen(spark, sf):
     """The capped seen-key set per feed after this run, one row per key."""
     kept, state = _budgeted(spark, sf)
-    st = IN.next_state(kept, state)
+    st = IN.next_state(kept, state, cap=K.SEEN_GUID_CAP)
     return st.select("source", "category", F.explode("seen_guids").alias("guid"))
 
 

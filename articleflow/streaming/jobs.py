@@ -92,16 +92,17 @@ def latest_version(spark: SparkSession, path: str, before: int | None = None) ->
 
 def ingest_stream(spark: SparkSession, payload_dir: str, payload_schema: StructType, feeds: DataFrame,
                   state_dir: str, raw_dir: str, pages: DataFrame | None = None,
-                  limit: int = K.FETCH_LIMIT, query: str | None = None, incremental: bool = True,
+                  limit: int | None = None, query: str | None = None, incremental: bool = True,
                   collected_at: str = "1970-01-01T00:00:00+00:00", max_files: int | None = None,
-                  lossless: bool = False) -> None:
+                  lossless: bool = True) -> None:
     """Payload files -> S1 parse -> P10 query -> J3/J4 seen+cursor
     filter -> W4 budget -> S7 extraction outcome -> S8 raw append and
     W5/W6/M3 next state, once per micro-batch.
 
     With ``incremental`` off every item is accepted but the state still
-    advances.  ``lossless`` keeps the cursor below new items that the budget
-    left behind, so a later batch still takes them.  State versions and raw rows are written per epoch
+    advances.  Every new item is taken unless ``limit`` is given; then
+    ``lossless`` keeps the cursor below new items that the budget left behind,
+    so a later batch still takes them.  State versions and raw rows are written per epoch
     (``epoch=N`` folders, overwritten on retry).
     """
     def run_batch(batch: DataFrame, epoch: int) -> None:
@@ -114,7 +115,7 @@ def ingest_stream(spark: SparkSession, payload_dir: str, payload_schema: StructT
         outcome = FD.crawl_outcome(kept, pages)
         IN.raw_rows(outcome, collected_at).write.mode("overwrite").parquet(f"{raw_dir}/epoch={epoch}")
         dropped = fresh.join(kept.select(*IN.FEED_KEY, "guid"), [*IN.FEED_KEY, "guid"], "left_anti") \
-            if lossless else None
+            if lossless and limit is not None else None
         IN.next_state(kept, state, dropped=dropped).write.mode("overwrite").parquet(f"{state_dir}/epoch={epoch}")
 
     checkpoint_dir(spark)

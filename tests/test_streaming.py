@@ -125,3 +125,30 @@ def test_retried_epoch_gives_the_same_tables(spark, tmp_path):
         f.unlink()
     SJ.clean_stream(spark, raw, schema, clean, max_files=1)
     assert sorted(map(str, SJ.latest(spark, clean).collect())) == before and len(before) > 20
+
+
+def test_no_limit_and_no_cap_by_default(spark):
+    """600 undated items of one feed: all are taken, and none again."""
+    schema = "source string, category string, guid string, published_at string, feed_no long, item_pos long"
+    items = spark.createDataFrame([("s", "c", f"g{i}", None, 1, i) for i in range(600)], schema)
+    feeds = spark.createDataFrame([("s", "c", 1)], "source string, category string, feed_pos long")
+    kept = IN.source_budget(items, feeds)
+    assert kept.count() == 600
+    state = IN.next_state(kept, None)
+    assert IN.filter_new(items, state).count() == 0
+    assert IN.source_budget(items, feeds, 20).count() == 20
+
+
+def test_budgeted_stream_takes_the_rest_later(spark):
+    """A budget of one item a run, the newest item first in the feed."""
+    item = "<item><title>t{0}</title><link>https://ex.com/{0}</link><guid>g{0}</guid>" \
+        "<pubDate>Wed, 22 Jul 2026 0{0}:00:00 +0000</pubDate></item>"
+    feed = "<rss><channel>" + "".join(item.format(i) for i in (3, 2, 1)) + "</channel></rss>"
+    base = SJ.scratch(spark, "t-budget")
+    land = base + "/landing"
+    feeds = spark.createDataFrame([("s", "c", "u", 1)], "source string, category string, feed_url string, feed_pos long")
+    for n in (1, 2, 3, 3):
+        _payloads(spark, [feed]).write.mode("append").parquet(land)
+        SJ.ingest_stream(spark, land, spark.read.parquet(land).schema, feeds, base + "/state", base + "/raw", limit=1)
+        assert spark.read.parquet(base + "/raw").select("guid").distinct().count() == n
+    assert spark.read.parquet(base + "/raw").count() == 3
