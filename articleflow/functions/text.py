@@ -195,11 +195,11 @@ def extractive_summary(body: Column | str, max_chars: int = K.SUMMARY_MAX_CHARS,
 # F11 / F12 composed texts
 # --------------------------------------------------------------------------
 def cluster_text(title: Column | str, summary: Column | str, body: Column | str,
-                 body_chars: int = K.CLUSTER_TEXT_BODY_CHARS) -> Column:
-    """title + (summary, else the first ``body_chars`` body chars)."""
-    s = col_(summary)
+                 body_chars: int | None = None) -> Column:
+    """title + (summary, else the body, or its first ``body_chars``)."""
+    s, whole = col_(summary), F.coalesce(col_(body), F.lit(""))
     tail = F.when(s.isNotNull() & (s != ""), s).otherwise(
-        F.substring(F.coalesce(col_(body), F.lit("")), 1, body_chars))
+        whole if body_chars is None else F.substring(whole, 1, body_chars))
     return unicode_trim(F.concat(F.coalesce(col_(title), F.lit("")), F.lit(" "), tail))
 
 

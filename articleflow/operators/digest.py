@@ -138,10 +138,12 @@ def list_insights(insights: DataFrame, k: int = 10) -> DataFrame:
     return insights.orderBy(F.col("id").desc()).limit(k)
 
 
-def selection_text(selection: DataFrame, body_chars: int = K.ANALYSIS_BODY_CHARS) -> DataFrame:
-    """numbered listing lines of the (bounded) selection as one text."""
+def selection_text(selection: DataFrame, body_chars: int | None = None) -> DataFrame:
+    """numbered listing lines of the (bounded) selection as one text, with
+    whole bodies or their first ``body_chars``."""
+    body = F.coalesce(F.col("body"), F.lit(""))
     content = F.when(F.coalesce(F.col("summary"), F.lit("")) != "", F.col("summary")) \
-        .otherwise(F.substring(F.coalesce(F.col("body"), F.lit("")), 1, body_chars))
+        .otherwise(body if body_chars is None else F.substring(body, 1, body_chars))
     line = F.concat(F.col("ordinal").cast("string"), F.lit(". ("),
                     F.coalesce(F.col("published_at").cast("string"), F.lit("None")), F.lit(" / "),
                     F.coalesce(F.col("source"), F.lit("None")), F.lit(" / "),

@@ -367,7 +367,7 @@ def article_count(spark, sf):
 def _cluster_input(spark, sf):
     """Articles with their F11 text."""
     j = AR.articles_joined(_a(spark, sf), _s(spark, sf))
-    txt = T.cluster_text(F.col("title"), F.col("summary"), F.col("body"))
+    txt = T.cluster_text(F.col("title"), F.col("summary"), F.col("body"), K.CLUSTER_TEXT_BODY_CHARS)
     return j.select("id", "title", "category", "source", "published_at", "sentiment", txt.alias("text"))
 
 
@@ -608,7 +608,7 @@ def insight_latest(spark, sf):
 
 @query
 def selection_digest_text(spark, sf):
-    return DG.selection_text(_selection(spark, sf))
+    return DG.selection_text(_selection(spark, sf), K.ANALYSIS_BODY_CHARS)
 
 
 def _targets(spark, sf):
@@ -747,7 +747,8 @@ def feed_seen(spark, sf):
 def cluster_text(spark, sf):
     """title + (summary, else the first 300 body characters)."""
     j = AR.articles_joined(_a(spark, sf), _s(spark, sf))
-    return j.select("id", T.cluster_text(F.col("title"), F.col("summary"), F.col("body")).alias("text"))
+    return j.select("id", T.cluster_text(F.col("title"), F.col("summary"), F.col("body"),
+                                         K.CLUSTER_TEXT_BODY_CHARS).alias("text"))
 
 
 @query

@@ -140,3 +140,14 @@ def test_item_time_is_utc_under_any_session_zone(spark):
         assert one(spark, lambda c: D.iso_utc(D.item_time(c)), "2026-07-22T18:00:00+09:00") == got
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_whole_bodies_by_default(spark):
+    from articleflow.operators import digest as DG
+    body = "x" * 5000 + " end"
+    df = spark.createDataFrame([(1, "t", None, body, None, "s", "c")],
+                               "ordinal long, title string, summary string, body string, published_at date, source string, category string")
+    texts = [T.cluster_text("title", "summary", "body"), T.cluster_text("title", "summary", "body", 300)]
+    assert list(df.select(*texts).first()) == [f"t {body}", "t " + "x" * 300]
+    assert DG.selection_text(df).first()["text"].endswith(body)
+    assert DG.selection_text(df, 400).first()["text"].endswith("\n   " + "x" * 400)
