@@ -126,19 +126,26 @@ def ingest_stream(spark: SparkSession, payload_dir: str, payload_schema: StructT
 
 
 # --------------------------------------------------------------------------
-# X2 bounded dedup
+# X2 dedup
 # --------------------------------------------------------------------------
 def dedup_stream(spark: SparkSession, item_dir: str, schema: StructType, out: str,
-                 keys=("source", "guid"), ts: str = "published_ts", delay: str = "7 days") -> None:
-    """Drop repeated (source, guid) within the watermark delay (state is
-    bounded by time instead of a fixed key count)."""
-    s = _source(spark, item_dir, schema)
-    d = s.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
-
-    def sink(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
-
-    q = (d.writeStream.outputMode("append").foreachBatch(sink)
+                 keys=("source", "guid"), max_files: int | None = None) -> None:
+    """Drop repeated (source, guid), however late (NULL keys are equal).
+    Each epoch writes the keys it has let through beside ``out``; a batch is
+    joined with those of the epochs before it."""
+    def run_batch(batch: DataFrame, epoch: int) -> None:
+        fresh = batch.dropDuplicates(list(keys))
+        if latest_version(spark, key_dir, epoch):
+            seen = spark.read.parquet(key_dir).where(F.col("epoch") < epoch).select(*[F.col(k).alias(f"_{k}") for k in keys])
+            same = [fresh[k].eqNullSafe(seen[f"_{k}"]) for k in keys]
+            fresh = fresh.join(seen, same, "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+        fresh.select(*keys).write.mode("overwrite").parquet(f"{key_dir}/epoch={epoch}")
+
+    key_dir = out + "._keys"
+    checkpoint_dir(spark)
+    src = _source(spark, item_dir, schema, max_files=max_files)
+    q = (src.writeStream.foreachBatch(run_batch)
          .option("checkpointLocation", out + "._ckpt").trigger(availableNow=True).start())
     q.awaitTermination()
 

@@ -152,3 +152,18 @@ def test_budgeted_stream_takes_the_rest_later(spark):
         SJ.ingest_stream(spark, land, spark.read.parquet(land).schema, feeds, base + "/state", base + "/raw", limit=1)
         assert spark.read.parquet(base + "/raw").select("guid").distinct().count() == n
     assert spark.read.parquet(base + "/raw").count() == 3
+
+
+def test_dedup_stream_takes_late_items_and_no_late_copy(spark):
+    """One file a batch: an item older than all before it stays, a copy that
+    comes a month after the first goes."""
+    base = SJ.scratch(spark, "t-dedup")
+    land, out = base + "/landing", base + "/out"
+    schema = "source string, guid string, published_ts timestamp"
+    waves = [[("s", "a", 1), ("s", "a", 1), (None, "n", 1)], [("s", "b", 28)], [("s", "c", 2), (None, "n", 28)], [("s", "a", 28)]]
+    for wave in waves:
+        rows = [(s, g, datetime.datetime(2026, 7, d)) for s, g, d in wave]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(land)
+        SJ.dedup_stream(spark, land, spark.read.parquet(land).schema, out, max_files=1)
+    got = sorted((r["source"] or "", r["guid"]) for r in spark.read.parquet(out).collect())
+    assert got == [("", "n"), ("s", "a"), ("s", "b"), ("s", "c")]
