@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from . import cover_tree, decontaminate, line_dedup, mix, passages, pii, resampling, simhash, substrings, tokens, toxicity
+from . import conversations, cover_tree, decontaminate, line_dedup, mix, passages, pii, resampling, simhash, substrings, tokens, toxicity
 
 QUERIES = {f.__name__: f for f in (
     line_dedup.op1_line_dedup, simhash.op2_simhash, cover_tree.op3_top_k, mix.op4_mix, decontaminate.op5_decontamination,
     tokens.op6_tokens, substrings.op7_substrings, toxicity.op8_toxicity, pii.op9_pii, passages.op10_passages,
-    resampling.op11_resampling)}
+    resampling.op11_resampling, conversations.op12_conversations)}
 
 TOP_K_SQL = f"""
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor({cover_tree.SCALE} * x::DOUBLE)::BIGINT) AS e FROM embeddings
@@ -18,4 +18,4 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= {cover_tree.K}
 """
 
-SQL = {"op1_line_dedup": line_dedup.SQL, "op3_top_k": TOP_K_SQL, "op4_mix": mix.SQL}
+SQL = {"op1_line_dedup": line_dedup.SQL, "op3_top_k": TOP_K_SQL, "op4_mix": mix.SQL, "op12_conversations": conversations.SQL}
