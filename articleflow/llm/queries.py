@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from . import conversations, cover_tree, decontaminate, line_dedup, mix, passages, pii, resampling, simhash, substrings, tokens, toxicity
+from . import conversations, cover_tree, decontaminate, language, line_dedup, mix, passages, pii, resampling, simhash, substrings, tokens, toxicity
 
 QUERIES = {f.__name__: f for f in (
     line_dedup.op1_line_dedup, simhash.op2_simhash, cover_tree.op3_top_k, mix.op4_mix, decontaminate.op5_decontamination,
     tokens.op6_tokens, substrings.op7_substrings, toxicity.op8_toxicity, pii.op9_pii, passages.op10_passages,
-    resampling.op11_resampling, conversations.op12_conversations)}
+    resampling.op11_resampling, conversations.op12_conversations, language.op13_language)}
 
 TOP_K_SQL = f"""
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor({cover_tree.SCALE} * x::DOUBLE)::BIGINT) AS e FROM embeddings
