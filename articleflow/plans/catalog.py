@@ -26,6 +26,7 @@ from ..operators import events as EV
 from ..operators import ingest as IN
 from ..operators import merge as M
 from ..operators import metrics as MT
+from ..operators import similarity as SI
 from ..operators import trends as TR
 from ..sources import feeds as FD
 from ..sources import views as V
@@ -367,7 +368,7 @@ def article_count(spark, sf):
 def _cluster_input(spark, sf):
     """Articles with their F11 text."""
     j = AR.articles_joined(_a(spark, sf), _s(spark, sf))
-    txt = T.cluster_text(F.col("title"), F.col("summary"), F.col("body"), K.CLUSTER_TEXT_BODY_CHARS)
+    txt = T.cluster_text(F.col("title"), F.col("summary"), F.col("body"))
     return j.select("id", "title", "category", "source", "published_at", "sentiment", txt.alias("text"))
 
 
@@ -388,11 +389,40 @@ def vector_norm(spark, sf):
         "vec_id", F.col("pos").cast("long").alias("pos"), F.round("x", 6).alias("x"))
 
 
+@query
+def similar_groups(spark, sf):
+    """Every document with its group of similar whole texts (Jaccard
+    of five-word shingles 0.8 or more, chains included) and the group's size."""
+    return SI.similar_groups(read_table(spark, sf, "documents"), "doc_id").withColumnRenamed("id", "doc_id")
+
+
+#: Cosine from which two embeddings are linked.
+COSINE = 0.35
+
+
+@query
+def cosine_pairs(spark, sf):
+    """V4: pairs of different embeddings whose cosine reaches the threshold
+    (equal embeddings are one class, named by its smallest id)."""
+    pairs, _, _ = SI.cosine_links(read_table(spark, sf, "embeddings"), COSINE, "vec_id", "embedding")
+    return pairs.select("a", "b", F.round("cosine", 6).alias("cosine"))
+
+
+@query
+def cosine_classes(spark, sf):
+    """V4: every embedding with its class and the number of classes linked to it."""
+    pairs, members, _ = SI.cosine_links(read_table(spark, sf, "embeddings"), COSINE, "vec_id", "embedding")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("c")).groupBy("c").agg(F.count(F.lit(1)).alias("n_links"))
+    return members.join(ends, "c", "left").select(F.col("id").alias("vec_id"), F.col("c").alias("class_id"),
+                                                  F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
 def _members(spark, sf):
-    """Members of the near-duplicate groups with their attributes; the order
+    """Members of the groups of similar texts with their attributes; the order
     inside a group is that of the ids."""
     c = _cluster_input(spark, sf).join(EV.packed(_vectors(spark, sf)), "id", "left")
-    g = event_components(spark, sf).select("id", F.col("component").alias("cluster"), F.col("id").alias("pos"))
+    g = SI.similar_groups(read_table(spark, sf, "documents"), "doc_id").where("size >= 2")
+    g = g.select("id", F.col("component").alias("cluster"), F.col("id").alias("pos"))
     return g.join(c.select("id", "title", "source", "sentiment", "published_at", "idx", "w"), "id")
 
 
@@ -708,7 +738,7 @@ def boilerplate_hits(spark, sf):
 @query
 def event_top(spark, sf):
     """V8 display cut: the largest multi-outlet events (size desc, then
-    block and first member: a total order)."""
+    first member: a total order)."""
     return EV.events(_members(spark, sf), [], K.EVENT_MIN_SOURCES) \
         .orderBy(F.col("size").desc(), F.col("cluster")).limit(K.EVENT_TOP_N)
 
@@ -745,10 +775,9 @@ def feed_seen(spark, sf):
 
 @query
 def cluster_text(spark, sf):
-    """title + (summary, else the first 300 body characters)."""
+    """title + (summary, else the body)."""
     j = AR.articles_joined(_a(spark, sf), _s(spark, sf))
-    return j.select("id", T.cluster_text(F.col("title"), F.col("summary"), F.col("body"),
-                                         K.CLUSTER_TEXT_BODY_CHARS).alias("text"))
+    return j.select("id", T.cluster_text(F.col("title"), F.col("summary"), F.col("body")).alias("text"))
 
 
 @query

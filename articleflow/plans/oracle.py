@@ -494,7 +494,7 @@ _BUCKET = (f"((strpos({_HEX}, substr(md5(g), 31, 1)) - 1) * 16 + (strpos({_HEX},
 SQL["hash_vector"] = f"""{AS_CTE},{_J},
 ct AS (
   SELECT id, {trim_ws("coalesce(title, '') || ' ' || CASE WHEN summary IS NOT NULL AND summary <> '' THEN summary "
-                      "ELSE substr(coalesce(body, ''), 1, 300) END")} AS txt FROM j),
+                      "ELSE coalesce(body, '') END")} AS txt FROM j),
 tk AS (SELECT id, unnest(regexp_extract_all(lower(txt), '[0-9A-Za-z가-힣]+')) AS t FROM ct),
 gr AS (
   SELECT id, t AS g FROM tk
@@ -792,8 +792,70 @@ SQL["feed_seen"] = SQL["feed_state"].replace(
     "FROM (SELECT * FROM new_state UNION ALL SELECT * FROM old_state)")
 SQL["cluster_text"] = f"""{AS_CTE},{_J}
 SELECT id, {trim_ws("coalesce(title, '') || ' ' || CASE WHEN summary IS NOT NULL AND summary <> '' THEN summary "
-                    "ELSE substr(coalesce(body, ''), 1, 300) END")} AS text FROM j"""
+                    "ELSE coalesce(body, '') END")} AS text FROM j"""
 SQL["json_arrays"] = f"""{A_ONLY}
 SELECT id, CAST(to_json(toks) AS VARCHAR) AS keywords_json, toks AS keywords FROM (
   SELECT id, list_filter(regexp_extract_all(coalesce(title, ''), {lit(K.KEYWORD_PATTERN)}),
                          lambda t: NOT list_contains({STOP}, t) AND length(t) >= 2) AS toks FROM a)"""
+
+
+# similar texts, cosine links, events -------------------------------------------------
+_SIMILAR = f"""
+sw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+ss AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) >= 5
+         THEN list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' '))
+         WHEN len(w) > 0 THEN ['short' || chr(1) || array_to_string(w, ' ')] ELSE [] END)) AS s FROM sw),
+sn AS (SELECT doc_id, count(*) AS n FROM ss GROUP BY 1),
+sp AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM ss x JOIN ss y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2),
+sl2 AS (SELECT a, b FROM sp JOIN sn na ON na.doc_id = a JOIN sn nb ON nb.doc_id = b WHERE 9 * c >= 4 * (na.n + nb.n)),
+both_ AS (SELECT a, b FROM sl2 UNION ALL SELECT b, a FROM sl2),
+walk(id, label) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, walk.label FROM walk JOIN both_ e ON walk.id = e.a),
+grp AS (SELECT id, min(label) AS component FROM walk GROUP BY id),
+gsz AS (SELECT component, count(*) AS size FROM grp GROUP BY 1)"""
+SQL["similar_groups"] = f"""WITH RECURSIVE {_SIMILAR.lstrip()}
+SELECT grp.id AS doc_id, grp.component, gsz.size FROM grp JOIN gsz ON grp.component = gsz.component"""
+
+_COSINE = f"""
+cv AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+cn AS (SELECT vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS n FROM cv
+       WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+cc AS (SELECT min(vec_id) AS c, e, max(n) AS n FROM cn WHERE n > 0 GROUP BY e),
+cp AS (SELECT x.c AS a, y.c AS b, list_sum(list_transform(list_zip(x.e, y.e), lambda z: z[1] * z[2])) / (x.n * y.n) AS cosine
+       FROM cc x JOIN cc y ON x.c < y.c AND len(x.e) = len(y.e)),
+ck AS (SELECT * FROM cp WHERE cosine >= {Q.COSINE})"""
+SQL["cosine_pairs"] = f"WITH {_COSINE}\nSELECT a, b, round(cosine, 6) AS cosine FROM ck"
+SQL["cosine_classes"] = f"""WITH {_COSINE},
+ends AS (SELECT c, count(*) AS n FROM (SELECT a AS c FROM ck UNION ALL SELECT b FROM ck) GROUP BY 1)
+SELECT cn.vec_id, cc.c AS class_id, coalesce(ends.n, 0) AS n_links
+FROM cn JOIN cc ON cn.e = cc.e LEFT JOIN ends ON ends.c = cc.c WHERE cn.n > 0"""
+
+_MEMBERS = SQL["hash_vector"].split("SELECT bk.id, CAST(bk.idx AS BIGINT)")[0].replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + f""",
+{_SIMILAR.lstrip()},
+mb AS (SELECT j.id, grp.component AS cluster, j.title, j.source, j.sentiment, j.published_at, gsz.size AS k
+       FROM grp JOIN gsz ON grp.component = gsz.component JOIN j ON j.id = grp.id WHERE gsz.size >= 2),
+mx AS (SELECT mb.cluster, mb.id, bk.idx, bk.n / nm.nrm AS x, mb.k FROM mb JOIN bk ON bk.id = mb.id JOIN nm ON nm.id = mb.id),
+mm AS (SELECT cluster, idx, sum(x) / max(k) AS m FROM mx GROUP BY 1, 2),
+mu AS (SELECT cluster, idx, m / sqrt(sum(m * m) OVER (PARTITION BY cluster)) AS u FROM mm),
+ms AS (SELECT mx.cluster, mx.id, round(sum(mx.x * mu.u), 9) AS sim FROM mx JOIN mu ON mu.cluster = mx.cluster AND mu.idx = mx.idx GROUP BY 1, 2),
+mr AS (SELECT cluster, id AS rep_id FROM (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY sim DESC, id) AS r FROM ms) WHERE r = 1)"""
+_EVENTS = _MEMBERS + f""",
+ev AS (SELECT cluster, count(*) AS size, count(DISTINCT source) AS n_sources, min(published_at) AS d0, max(published_at) AS d1
+       FROM mb GROUP BY 1 HAVING count(DISTINCT source) >= {K.EVENT_MIN_SOURCES}),
+evs AS (SELECT ev.cluster, ev.size, ev.n_sources, mr.rep_id, mb.title AS rep_title,
+          CASE WHEN d0 IS NULL THEN '' WHEN d0 = d1 THEN d0::VARCHAR ELSE d0::VARCHAR || '~' || d1::VARCHAR END AS span
+        FROM ev JOIN mr ON mr.cluster = ev.cluster JOIN mb ON mb.cluster = ev.cluster AND mb.id = mr.rep_id)"""
+_LABELS = " ".join(f"WHEN {lit(k)} THEN {lit(v)}" for k, v in K.LABEL_DISPLAY.items())
+_TONES = _MEMBERS + f""",
+tl AS (SELECT cluster, source, CASE coalesce(sentiment, 'unknown') {_LABELS} ELSE {lit(K.DISPLAY_UNCLASSIFIED)} END AS label FROM mb),
+tn AS (SELECT cluster, label, count(*) AS n FROM tl GROUP BY 1, 2),
+tr AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY n DESC, label) AS r, sum(n) OVER (PARTITION BY cluster) AS size,
+         count(*) OVER (PARTITION BY cluster) AS n_labels FROM tn)"""
+SQL["event_rep"] = f"{_MEMBERS}\nSELECT cluster, rep_id FROM mr"
+SQL["events"] = f"{_EVENTS}\nSELECT * FROM evs"
+SQL["event_top"] = f"{_EVENTS}\nSELECT * FROM evs ORDER BY size DESC, cluster LIMIT {K.EVENT_TOP_N}"
+SQL["tone_by_source"] = f"{_TONES}\nSELECT cluster, source, label, count(*) AS n FROM tl GROUP BY 1, 2, 3"
+SQL["tone_verdict"] = f"""{_TONES}
+SELECT x.cluster, CASE WHEN x.n_labels > 1 AND x.n < x.size THEN 'split' ELSE 'agree' END AS verdict, x.label AS label1, x.n AS n1,
+  CASE WHEN x.n_labels > 1 AND x.n < x.size THEN y.label END AS label2, CASE WHEN x.n_labels > 1 AND x.n < x.size THEN y.n END AS n2
+FROM tr x LEFT JOIN tr y ON y.cluster = x.cluster AND y.r = 2 WHERE x.r = 1"""

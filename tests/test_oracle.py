@@ -18,7 +18,8 @@ from articleflow.sources.tables import TABLES  # noqa: E402
 SF = "/root/testdata/sf0.001"
 KEYS = ["top_keywords", "trend_rising", "url_normalized", "page_extract", "clean_valid", "similar_flag",
         "merge_clean_upsert", "q_keyword", "article_page", "sentiment_pivot", "quality_metrics", "hash_vector",
-        "feed_items", "source_budget", "stream_daily", "insight_digest", "summaries_built", "health_metrics"]
+        "feed_items", "source_budget", "stream_daily", "insight_digest", "summaries_built", "health_metrics",
+        "similar_groups", "cosine_pairs", "cosine_classes", "events", "event_top", "tone_verdict"]
 
 
 @pytest.fixture(scope="module")
