@@ -1,164 +1,83 @@
-"""S6 page extraction: HTML -> (title, body), JVM-side regexes.
+"""S6 page extraction: HTML -> (title, body).
 
-Selection follows the configured selector lists: removed elements are
-deleted first, then the first selector in order that yields non-empty text
-wins (``meta`` yields its ``content`` attribute).  Element text is the text
-nodes, entity-decoded and stripped, joined by one space.
+Selection follows the configured selector lists: removed elements are deleted
+first, then the first selector in order whose first element has text wins
+(``meta`` yields its ``content`` attribute).  Element text is the text nodes,
+entity-decoded and stripped, joined by one space.
 
-Supported selector forms: ``tag``, ``#id``, ``.class``, ``tag.class[.class]``,
-``tag#id`` and ``meta[attr='value']``.  Element bodies are matched up to the
-first closing tag of the same name, which is exact for elements that do not
-nest themselves (article, h1, p, script, style, ...).
+Pages are read by a stack of open elements (markup.py), so nested elements of
+one name end where they should.  One Arrow-batched step reads a page once for
+title and body.  Selectors may differ by source: a table of them is joined in,
+sources without a row take the defaults.
 
-The only Python step is the per-node entity decoding + strip + join (a
-small Arrow-batched helper): Spark has no HTML entity decoder.
+Defined cases: a null page has neither title nor body; a text that no selector
+finds is NULL.
 """
 
 from __future__ import annotations
 
-import html
-import re
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import constants as K
-from ..functions.text import SEP, WS, col_
-
-_COMMENT = r"(?s)<!--.*?-->"
-_TAG = r"<[^>]*>"
-_META = re.compile(r"^meta\[([A-Za-z_:\-]+)=['\"]?([^'\"\]]+)['\"]?\]$")
-_SIMPLE = re.compile(r"^([A-Za-z][A-Za-z0-9]*)?((?:[.#][A-Za-z0-9_\-]+)*)$")
-
-
-def _attr_guards(quals: str) -> str:
-    guards = []
-    for kind, name in re.findall(r"([.#])([A-Za-z0-9_\-]+)", quals):
-        n = re.escape(name)
-        if kind == "#":
-            guards.append(rf"(?=[^>]*\bid\s*=\s*[\"']?{n}[\"'\s>])")
-        else:
-            guards.append(rf"(?=[^>]*\bclass\s*=\s*[\"'][^\"']*(?<![\w\-]){n}(?![\w\-]))")
-    return "".join(guards)
-
-
-def element_pattern(selector: str) -> str:
-    """Regex whose last group is the inner HTML of the first matching element."""
-    m = _SIMPLE.match(selector.strip())
-    if not m:
-        raise ValueError(f"unsupported selector: {selector!r}")
-    tag, quals = m.group(1), m.group(2)
-    guards = _attr_guards(quals)
-    if tag:
-        t = re.escape(tag)
-        return rf"(?is)<{t}\b{guards}[^>]*>(.*?)</{t}\s*>"
-    return rf"(?is)<([A-Za-z][A-Za-z0-9]*)\b{guards}[^>]*>(.*?)</\1\s*>"
-
-
-def _group_count(pattern: str) -> int:
-    return re.compile(pattern.replace(r"\1", "")).groups
-
-
-def _html_text(fragment: pd.Series) -> pd.Series:
-    """Text of an HTML fragment whose tags were replaced by SEP."""
-    def one(v):
-        if v is None:
-            return None
-        parts = (html.unescape(p).strip() for p in v.split(SEP))
-        return " ".join(p for p in parts if p)
-
-    return fragment.map(one)
-
-
-html_text = F.pandas_udf(_html_text, StringType())
-
-
-def remove_elements(h: Column, selectors=K.DEFAULT_REMOVE_SELECTORS) -> Column:
-    """Comments and removed elements -> SEP (a text-node boundary).  Plain
-    tag selectors are removed in one regex pass (alternation + back
-    reference); other selector forms get a pass each."""
-    h = F.regexp_replace(h, _COMMENT, SEP)
-    tags = [sel for sel in selectors if re.fullmatch(r"[A-Za-z][A-Za-z0-9]*", sel.strip())]
-    if tags:
-        alt = "|".join(re.escape(t.strip()) for t in tags)
-        h = F.regexp_replace(h, rf"(?is)<({alt})\b[^>]*>.*?</\1\s*>", SEP)
-    for sel in selectors:
-        if _META.match(sel) or sel in tags:
-            continue
-        h = F.regexp_replace(h, element_pattern(sel).replace("(.*?)", "(?:.*?)"), SEP)
-    return h
-
-
-def _fragment_text(fragment: Column) -> Column:
-    return html_text(F.regexp_replace(fragment, _TAG, SEP))
-
-
-# Entities that decode to whitespace (they do not make a text node non-empty).
-_BLANK_ENTITY = r"(?i)&(?:nbsp|ensp|emsp|thinsp|#0*160|#x0*a0|#0*32|#x0*20|#0*9|#x0*9|#0*10|#x0*a);?"
-
-
-def _has_text(fragment: Column) -> Column:
-    """The fragment holds a non-whitespace character outside tags (a
-    whitespace-only entity does not count)."""
-    return F.regexp_replace(F.regexp_replace(fragment, _TAG, ""), _BLANK_ENTITY, " ") \
-        .rlike("[^" + WS[1:-1] + "]")
-
-
-def _candidates(h: Column, selectors) -> list[Column]:
-    out = []
-    for sel in selectors:
-        mm = _META.match(sel)
-        if mm:
-            attr, val = re.escape(mm.group(1)), re.escape(mm.group(2))
-            tag = F.regexp_extract(h, rf"(?is)<meta\b(?=[^>]*\b{attr}\s*=\s*[\"']{val}[\"'])[^>]*>", 0)
-            frag = F.concat(
-                F.regexp_extract(tag, r"(?is)\bcontent\s*=\s*\"([^\"]*)\"", 1),
-                F.regexp_extract(tag, r"(?is)\bcontent\s*=\s*'([^']*)'", 1))
-        else:
-            pat = element_pattern(sel)
-            frag = F.regexp_extract(h, pat, _group_count(pat))
-        out.append(frag)
-    return out
-
-
-def _pick_first(df: DataFrame, h: str, selectors, out: str) -> DataFrame:
-    """Adds ``out`` = the first candidate fragment with text.  Candidate i
-    is only evaluated when candidates < i had no text (one stage each)."""
-    cands = _candidates(F.col(h), selectors)
-    cur = df.withColumn(out, F.lit(None).cast("string"))
-    for c in cands:
-        cur = cur.withColumn(out, F.when(F.col(out).isNull(), c).otherwise(F.col(out)))
-        cur = cur.withColumn(out, F.when(_has_text(F.col(out)), F.col(out)))
-    return cur
+from .markup import extract, wanted
+
+_TEXTS = StructType([StructField("title", StringType()), StructField("body", StringType())])
+
+
+def _tuple(selectors, default) -> tuple:
+    return tuple(default) if selectors is None else tuple(selectors)
+
+
+def _fixed(title_selectors, body_selectors, remove_selectors):
+    """The step for one set of selectors; unsupported ones fail here."""
+    lists = (tuple(title_selectors), tuple(body_selectors))
+    remove = tuple(remove_selectors)
+    wanted(remove, lists)
+
+    @F.pandas_udf(_TEXTS)
+    def texts(html: pd.Series) -> pd.DataFrame:
+        want = wanted(remove, lists)
+        return pd.DataFrame([extract(h, want) if h else (None, None) for h in html], columns=["title", "body"], dtype=object)
+    return texts
+
+
+@F.pandas_udf(_TEXTS)
+def _by_row(html: pd.Series, title: pd.Series, body: pd.Series, remove: pd.Series) -> pd.DataFrame:
+    """Page texts with selectors in the row (NULL lists: defaults)."""
+    rows = []
+    for h, t, b, r in zip(html, title, body, remove):
+        want = wanted(_tuple(r, K.DEFAULT_REMOVE_SELECTORS), (_tuple(t, K.DEFAULT_TITLE_SELECTORS), _tuple(b, K.DEFAULT_BODY_SELECTORS)))
+        rows.append(extract(h, want) if h else (None, None))
+    return pd.DataFrame(rows, columns=["title", "body"], dtype=object)
 
 
 def with_extracted(df: DataFrame, html_col: str = "html", title_col: str = "title", body_col: str = "body",
                    title_selectors=K.DEFAULT_TITLE_SELECTORS,
                    body_selectors=K.DEFAULT_BODY_SELECTORS,
-                   remove_selectors=K.DEFAULT_REMOVE_SELECTORS) -> DataFrame:
+                   remove_selectors=K.DEFAULT_REMOVE_SELECTORS,
+                   by_source: DataFrame | None = None, source: Column | None = None) -> DataFrame:
     """S6 on a frame: adds ``title_col`` / ``body_col`` (NULL when nothing
-    is found).  Staged projections keep every regex pass to one evaluation
-    per row: cleaned HTML -> first fragment with text per field (later
-    selectors only run when earlier ones found nothing) -> one text-helper
-    call per field."""
-    keep = [c for c in df.columns if c != html_col]
-    h = df.select(*keep, remove_elements(F.coalesce(F.col(html_col), F.lit("")), remove_selectors).alias("_h"))
-    h = _pick_first(h, "_h", title_selectors, "_tf")
-    h = _pick_first(h, "_h", body_selectors, "_bf").drop("_h")
-    texts = h.select(*keep, _fragment_text(F.col("_tf")).alias("_tt"), _fragment_text(F.col("_bf")).alias("_bt"),
-                     F.col("_bf").isNotNull().alias("_found"))
-    return texts.select(*[c for c in keep if c not in (title_col, body_col)],
-                        F.when(F.col("_tt") != "", F.col("_tt")).alias(title_col),
-                        F.when(F.col("_bt") != "", F.col("_bt")).alias(body_col),
-                        F.col("_found").alias(body_col + "_found"))
-
-
-def page_extract(pages: DataFrame, **selectors) -> DataFrame:
+    is found) and ``<body_col>_found``.
+
+    ``by_source`` (source, title_selectors, body_selectors, remove_selectors;
+    arrays, NULL = default; one row a source) with ``source`` (each page's
+    source) replaces the selectors page by page."""
+    keep = [c for c in df.columns if c not in (html_col, title_col, body_col)]
+    if by_source is None:
+        step = _fixed(title_selectors, body_selectors, remove_selectors)(F.col(html_col))
+        read = df.select(*keep, step.alias("__x"))
+    else:
+        names = ["title_selectors", "body_selectors", "remove_selectors"]
+        rules = by_source.select(F.col("source").alias("__s"), *[F.col(c).alias(f"__{c}") for c in names])
+        both = df.withColumn("__source", source).join(rules, F.col("__source") == F.col("__s"), "left")
+        read = both.select(*keep, _by_row(F.col(html_col), *[F.col(f"__{c}") for c in names]).alias("__x"))
+    return read.select(*keep, F.col("__x.title").alias(title_col), F.col("__x.body").alias(body_col),
+                       F.col("__x.body").isNotNull().alias(body_col + "_found"))
+
+
+def page_extract(pages: DataFrame, **how) -> DataFrame:
     """``pages(page_id, url, html)`` -> ``(page_id, url, title, body)``."""
-    return with_extracted(pages.select("page_id", "url", "html"), **selectors).select("page_id", "url", "title", "body")
-
-
-# ``with_extracted`` also adds ``<body_col>_found``: a body fragment with text
-# was found (decided JVM-side, so status counts need no Python step).
+    return with_extracted(pages.select("page_id", "url", "html"), **how).select("page_id", "url", "title", "body")
