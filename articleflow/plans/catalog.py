@@ -458,11 +458,17 @@ def _rfc_pub(day_col):
     return F.concat(F.date_format(day_col, "EEE, dd MMM yyyy"), F.lit(" 10:00:00 +0900"))
 
 
-def _items(spark, sf):
-    r = V.raw_view(spark, sf)
+def _iso_pub(day_col):
+    return F.concat(F.date_format(day_col, "yyyy-MM-dd"), F.lit("T10:00:00+09:00"))
+
+
+def _payloads(raw):
     day = F.date_add(F.lit(V.EPOCH).cast("date"), F.pmod(F.col("id"), F.lit(V.N_DAYS)).cast("int"))
-    payloads = FD.feed_payloads(r, _rfc_pub(day))
-    return FD.parse_feed(payloads)
+    return FD.feed_payloads(raw, _rfc_pub(day), _iso_pub(day))
+
+
+def _items(spark, sf):
+    return FD.parse_feed(_payloads(V.raw_view(spark, sf)))
 
 
 def _prev_state(items):
@@ -572,9 +578,7 @@ def _landing(spark, df, name, keys, files=4):
 @query
 def stream_ingest(spark, sf):
     r = V.raw_view(spark, sf)
-    day = F.date_add(F.lit(V.EPOCH).cast("date"), F.pmod(F.col("id"), F.lit(V.N_DAYS)).cast("int"))
-    payloads = FD.feed_payloads(r, _rfc_pub(day))
-    land = _landing(spark, payloads, "ingest", ["source", "category", "feed_no"])
+    land = _landing(spark, _payloads(r), "ingest", ["source", "category", "feed_no"])
     base = SJ.scratch(spark, "ingest")
     feeds = FD.registry(r)
     pages = _page_extract(read_table(spark, sf, "pages"))

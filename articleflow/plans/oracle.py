@@ -772,8 +772,10 @@ SELECT lab.id, lab.component, sz.size FROM lab JOIN sz ON lab.component = sz.com
 
 SQL["raw_sink"] = f"""WITH {_ITEMS},
 pay AS (
-  SELECT r.id, r.url, '{{"title":' || to_json(coalesce(r.title, '')) || ',"link":' || to_json(r.url)
-         || ',"published":' || to_json(strftime({day_of("r.id")}, '%a, %d %b %Y') || ' 10:00:00 +0900') || '}}' AS raw_json
+  SELECT r.id, r.url, '{{"feed_url":' || to_json('https://' || source || '/rss/' || category || '.xml') || ',"title":' || to_json(coalesce(r.title, ''))
+         || ',"link":' || to_json(r.url) || ',"published":' || to_json(CASE WHEN floor(r.id / 50) % 4 IN (1, 2)
+              THEN strftime({day_of("r.id")}, '%Y-%m-%d') || 'T10:00:00+09:00'
+              ELSE strftime({day_of("r.id")}, '%a, %d %b %Y') || ' 10:00:00 +0900' END) || '}}' AS raw_json
   FROM r)
 SELECT b.source, 'rss+crawl' AS method, b.guid, b.url,
        CASE WHEN coalesce(px.body, '') <> '' THEN coalesce(nullif(b.title, ''), px.title) ELSE b.title END AS title,

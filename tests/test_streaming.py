@@ -167,3 +167,41 @@ def test_dedup_stream_takes_late_items_and_no_late_copy(spark):
         SJ.dedup_stream(spark, land, spark.read.parquet(land).schema, out, max_files=1)
     got = sorted((r["source"] or "", r["guid"]) for r in spark.read.parquet(out).collect())
     assert got == [("", "n"), ("s", "a"), ("s", "b"), ("s", "c")]
+
+
+ATOM = """<feed xmlns="http://www.w3.org/2005/Atom" xmlns:media="http://search.yahoo.com/mrss/"><title>f</title>
+<entry><media:title>no</media:title><title type="html">A &amp; B</title><link rel="self" href="https://ex.com/self"/>
+<link rel="alternate" href="https://ex.com/a?x=1&amp;y=2"/><id>tag:a</id><author><name>Kim</name><uri>u</uri></author>
+<source><title>other</title><id>other</id></source><updated>2026-07-22T09:00:00Z</updated></entry>
+<entry><title>t2</title><link href="https://ex.com/b"/><published>2026-07-22T10:00:00+09:00</published></entry></feed>"""
+RDF = """<?xml version="1.0"?><rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns="http://purl.org/rss/1.0/"
+ xmlns:d="http://purl.org/dc/elements/1.1/"><channel rdf:about="c"><title>f</title><link>https://ex.com</link></channel>
+<item rdf:about="id-a"><title>A</title><link> https://ex.com/a </link><d:date>2026-07-22T18:00:00+09:00</d:date><d:creator>Lee</d:creator></item></rdf:RDF>"""
+BROKEN = """<rss><channel><title>f &nbsp; R&D</title><item><title><![CDATA[a <b> & c]]></title><link>https://ex.com/a</link></item>
+<item><title>x &hellip; y &bogus; z</title><guid isPermaLink="true">https://ex.com/b</guid><item><title>never closed</title><link>https://ex.com/c</link>
+<item><title>cut</title><link>https://ex.com/cu"""
+
+
+def test_feed_layouts_and_broken_feeds(spark):
+    got = FD.parse_feed(_payloads(spark, [ATOM, RDF, BROKEN, None, "", "<<<>>> & <item"])).orderBy("feed_no", "item_pos").collect()
+    rows = [(r["feed_no"], r["guid"], r["url"], r["title"], r["published_at"]) for r in got]
+    assert rows == [
+        (0, "tag:a", "https://ex.com/a?x=1&y=2", "A & B", "2026-07-22T09:00:00+00:00"),
+        (0, "https://ex.com/b", "https://ex.com/b", "t2", "2026-07-22T01:00:00+00:00"),
+        (1, "id-a", "https://ex.com/a", "A", "2026-07-22T09:00:00+00:00"),
+        (2, "https://ex.com/a", "https://ex.com/a", "a <b> & c", None),
+        (2, "https://ex.com/b", "https://ex.com/b", "x … y &bogus; z", None),
+        (2, "https://ex.com/c", "https://ex.com/c", "never closed", None)]
+    import json
+    assert json.loads(got[0]["raw_json"])["author"] == "Kim" and json.loads(got[2]["raw_json"])["author"] == "Lee"
+    with_address = _payloads(spark, [RDF]).withColumn("feed_url", F.lit("https://ex.com/feed"))
+    out = FD.parse_feed(with_address)
+    assert json.loads(out.first()["raw_json"])["feed_url"] == "https://ex.com/feed" and "feed_url" not in out.columns
+
+
+def test_a_page_fetched_twice_gives_one_item(spark):
+    items = FD.parse_feed(_payloads(spark, [SAMPLE]))
+    pages = spark.createDataFrame([("https://ex.com/a", "T", None), ("https://ex.com/a", "T2", "body"), ("https://ex.com/a", "T2", "body")],
+                                  "url string, title string, body string")
+    got = sorted((r["guid"], r["body"], r["crawl_status"]) for r in FD.crawl_outcome(items, pages).collect())
+    assert got == [("guid-a", "body", "ok"), ("guid-b", None, "failed")]
