@@ -51,6 +51,8 @@ SWITCH, CAP, MIN_SHARE, PRIOR = 12.0, 8.0, 0.01, 0.5
 UNKNOWN = "und"
 #: Words whose scores a task remembers (cells), and characters of text that it takes at a time.
 REMEMBER, SLICE = 1 << 23, 1 << 20
+#: Words of a piece of a text, and cells of the pieces that are labelled together.
+PIECE, STEPS = 64, 1 << 22
 #: Languages that a task counts at a time.
 COUNTED = 32
 
@@ -123,21 +125,58 @@ class Model:
         return np.maximum(out - out.max(axis=1, keepdims=True), -CAP)
 
 
-def viterbi(scores: np.ndarray, switch: float = SWITCH) -> np.ndarray:
-    """Labels of the words with the greatest sum of scores less ``switch`` for
-    each change of label; ties stay, then go to the smaller label."""
-    n, k = scores.shape
-    back = np.empty((n, k), np.int32)
-    best, own = scores[0].astype(float), np.arange(k)
-    for i in range(1, n):
-        top = int(best.argmax())
-        stay = best >= best[top] - switch
-        back[i] = np.where(stay, own, top)
-        best = np.where(stay, best, best[top] - switch) + scores[i]
-    out = np.empty(n, np.int32)
-    out[-1] = best.argmax()
-    for i in range(n - 1, 0, -1):
-        out[i - 1] = back[i, out[i]]
+def viterbi(texts: list[np.ndarray], switch: float = SWITCH) -> list[np.ndarray]:
+    """For each text (scores of its words) the labels with the greatest sum of
+    scores less ``switch`` for each change of label.
+
+    Texts are cut into pieces of PIECE words (padded with words that say
+    nothing), and all pieces take their steps together: the best sums from each
+    label before a piece to each label at its end.  The pieces of a text are
+    then chained, and traced back together."""
+    k = texts[0].shape[1] if texts else 0
+    pieces = [-(-len(t) // PIECE) for t in texts]
+    s = np.zeros((sum(pieces), PIECE, k), np.float32)
+    for n, (t, first) in enumerate(zip(texts, np.cumsum([0, *pieces]).tolist())):
+        s[first:first + pieces[n]].reshape(-1, k)[:len(t)] = t
+    room = max(1, STEPS // (PIECE * k * k)) if k else 1
+    sums, backs = [], []
+    for lo in range(0, len(s), room):
+        part = s[lo:lo + room]
+        best = np.where(np.eye(k, dtype=bool), 0.0, -np.inf)[None].repeat(len(part), axis=0)       # piece, label before, label now
+        back = np.empty((PIECE, len(part), k, k), np.int16)
+        for i in range(PIECE):
+            top = best.argmax(axis=2)[..., None]
+            moved = np.take_along_axis(best, top, 2) - switch
+            stay = best >= moved
+            back[i] = np.where(stay, np.arange(k), top)
+            best = np.where(stay, best, moved) + part[:, i, None, :]
+        sums.append(best)
+        backs.append(back)
+    sums = [m for part in sums for m in part]
+    entry, leave, at = np.zeros(len(s), np.int64), np.zeros(len(s), np.int64), 0
+    for n in pieces:
+        value, came = np.zeros(k), []
+        for m in sums[at:at + n]:
+            total = value[:, None] + m
+            came.append(total.argmax(axis=0))
+            value = total.max(axis=0)
+        label = int(value.argmax())
+        for i in range(at + n - 1, at - 1, -1):
+            leave[i], label = label, int(came[i - at][label])
+            entry[i] = label
+        at += n
+    labels, at = np.empty((len(s), PIECE), np.int64), 0
+    for back in backs:
+        rows, now = np.arange(back.shape[1]), leave[at:at + back.shape[1]]
+        own = entry[at:at + back.shape[1]]
+        for i in range(PIECE - 1, -1, -1):
+            labels[at:at + len(rows), i] = now
+            now = back[i, rows, own, now]
+        at += len(rows)
+    flat, out, at = labels.reshape(-1), [], 0
+    for t, n in zip(texts, pieces):
+        out.append(flat[at:at + len(t)])
+        at += n * PIECE
     return out
 
 
@@ -213,6 +252,19 @@ def learn(docs: DataFrame, bits: int = BITS, cells: int = CELLS) -> Model:
     return Model(langs, both[:1 << bits], both[1 << bits:], bits)
 
 
+class Words(dict):
+    """Numbers words as they are asked for; ``new`` lists those since it was last emptied."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self.new.append(word)
+        self[word] = number = len(self)
+        return number
+
+
 class Labeler:
     """Labels texts; remembers the scores of words it has met."""
 
@@ -222,32 +274,38 @@ class Labeler:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.scores = np.empty((0, len(self.model.langs)), np.float32)
-        self.letters = np.empty(0, np.int64)
+        self.words = Words()
+        self.scores, self.letters = np.empty((0, len(self.model.langs)), np.float32), np.empty(0, np.int64)
+
+    def _learn_words(self) -> None:
+        new, known = self.words.new, len(self.words) - len(self.words.new)
+        if len(self.words) > len(self.scores):                  # room for as many again
+            self.scores = np.concatenate([self.scores[:known], np.empty((len(self.words), self.scores.shape[1]), np.float32)])
+            self.letters = np.concatenate([self.letters[:known], np.empty(len(self.words), np.int64)])
+        self.scores[known:len(self.words)] = self.model.word_scores(new)
+        self.letters[known:len(self.words)] = [len(w) if w.isalpha() else sum(map(str.isalpha, w)) for w in new]
+        self.words.new = []
 
     def labels(self, texts: list[str | None]) -> list[tuple[str, float, list[dict]]]:
         """(language, score, spans) of each text."""
         if not self.model.langs:
             return [(UNKNOWN, 0.0, [])] * len(texts)
-        found = [_WORD.findall(t) if t else [] for t in texts]
-        if len(self.known) > self.room:
+        if len(self.words) > self.room:
             self.forget()
-        new = list({w for words in found for w in words if w not in self.known})
-        if new:
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
-            self.scores = np.concatenate([self.scores, self.model.word_scores(new)])
-            self.letters = np.concatenate([self.letters, [sum(map(str.isalpha, w)) for w in new]])
-        return [self._label(t, w) for t, w in zip(texts, found)]
-
-    def _label(self, text: str | None, words: list[str]) -> tuple[str, float, list[dict]]:
-        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        letters = self.letters[at]
+        found = [_WORD.findall(t) if t else [] for t in texts]
+        at = [np.fromiter(map(self.words.__getitem__, w), np.int64, len(w)) for w in found]
+        if self.words.new:
+            self._learn_words()
+        scores = [self.scores[a] for a in at]
+        one = [one_language(s, self.switch) if len(s) else 0 for s in scores]
+        mixed = iter(viterbi([s for s, o in zip(scores, one) if o is None], self.switch))
+        return [self._label(t, w, self.letters[a], s, next(mixed) if o is None else np.full(len(a), o))
+                for t, w, a, s, o in zip(texts, found, at, scores, one)]
+
+    def _label(self, text: str | None, words: list[str], letters: np.ndarray, scores: np.ndarray, own: np.ndarray) -> tuple[str, float, list[dict]]:
         if not letters.sum():
             return UNKNOWN, 0.0, []
-        scores, names = self.scores[at], self.model.langs
-        one = one_language(scores, self.switch)
-        own = np.full(len(words), one) if one is not None else viterbi(scores, self.switch)
+        names = self.model.langs
         share = np.bincount(own, weights=letters, minlength=len(names))
         top = int(share.argmax())
         total = scores.sum(axis=0, dtype=np.float64)

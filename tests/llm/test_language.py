@@ -61,11 +61,31 @@ def test_viterbi_is_the_best_labelling():
         def value(labels):
             return sum(scores[i, x] for i, x in enumerate(labels)) - switch * sum(a != b for a, b in zip(labels, labels[1:]))
         best = max(map(value, itertools.product(range(3), repeat=len(scores))))
-        assert np.isclose(value(language.viterbi(scores, switch).tolist()), best)
+        assert np.isclose(value(language.viterbi([scores], switch)[0].tolist()), best)
         one = language.one_language(scores, switch)
         assert one is None or np.isclose(value([one] * len(scores)), best)
 
 
+def test_viterbi_across_pieces(monkeypatch):
+    """Texts of many pieces, labelled together, against one step at a time."""
+    rnd = np.random.default_rng(7)
+    texts = [-rnd.integers(0, 9, (n, 4)).astype(np.float32) for n in (1, 63, 64, 65, 300, 1000)]
+
+    def value(s, labels):
+        return float(s[np.arange(len(s)), labels].sum() - 6 * (np.diff(labels) != 0).sum())
+
+    def plain(s):
+        best = s[0].astype(float)
+        for row in s[1:]:
+            best = np.maximum(best, best.max() - 6) + row
+        return best.max()
+    for steps in (1, 1 << 22):
+        monkeypatch.setattr(language, "STEPS", steps)
+        for s, labels in zip(texts, language.viterbi(texts, 6.0)):
+            assert np.isclose(value(s, labels), plain(s))
+    assert language.viterbi([], 6.0) == []
+
+
 def test_spans_and_scripts(spark, taught):
     import random
     rnd = random.Random(5)
