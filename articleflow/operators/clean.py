@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DateType, LongType, StringType, StructField, StructType
 
 from .. import constants as K
 from ..functions import text as T
@@ -23,6 +24,11 @@ from .dedup import first_per_key, last_per_key
 EMPTY_TITLE_HASH = "da39a3ee5e6b4b0d3255bfef95601890afd80709"
 
 CLEAN_COLUMNS = ("raw_id", "url", "title", "title_hash", "body", "category", "source", "published_at")
+_TYPES = {"raw_id": LongType(), "published_at": DateType()}
+#: Rows of the clean table, and of the ledger of processed raw rows.
+STORED = StructType([StructField("id", LongType()), StructField("is_duplicate", BooleanType()),
+                     *[StructField(c, _TYPES.get(c, StringType())) for c in CLEAN_COLUMNS]])
+LEDGER = StructType([StructField("raw_id", LongType()), StructField("reason", StringType())])
 
 
 def validate(raw: DataFrame, min_body: int = K.MIN_BODY, stage: bool = True) -> DataFrame:
@@ -94,17 +100,20 @@ def dedup_upsert(valid: DataFrame) -> DataFrame:
     return last.join(first, "url").select("id", *CLEAN_COLUMNS)
 
 
-def similar_flag(winners: DataFrame, store: DataFrame | None = None) -> DataFrame:
+def similar_flag(winners: DataFrame, store: DataFrame | None = None, titles: DataFrame | None = None) -> DataFrame:
     """A new url is a near duplicate when an earlier non-duplicate row
     (stored, or earlier in this batch) has the same title hash.  The empty
     title key never flags (deliberate: all symbol-only titles would collide).
+    ``titles`` (title_hash) may give the stored non-duplicates' hashes in place
+    of the store.
     """
     firsts = winners.groupBy("title_hash").agg(F.min("raw_id").alias("_first"))
     out = winners.join(firsts, "title_hash", "left")
     cond = F.col("raw_id") != F.col("_first")
-    if store is not None:
-        held = (store.where(~F.col("is_duplicate")).select("title_hash").distinct()
-                .withColumn("_held", F.lit(True)))
+    if titles is None and store is not None:
+        titles = store.where(~F.col("is_duplicate"))
+    if titles is not None:
+        held = titles.select("title_hash").distinct().withColumn("_held", F.lit(True))
         out = out.join(held, "title_hash", "left")
         cond = cond | F.coalesce(F.col("_held"), F.lit(False))
     cond = cond & (F.col("title_hash") != EMPTY_TITLE_HASH)
@@ -112,7 +121,7 @@ def similar_flag(winners: DataFrame, store: DataFrame | None = None) -> DataFram
 
 
 def clean_outcomes(raw: DataFrame, policy: str = "skip", min_body: int = K.MIN_BODY,
-                   dedup_similar: bool = True, store: DataFrame | None = None) -> DataFrame:
+                   dedup_similar: bool = False, store: DataFrame | None = None) -> DataFrame:
     """Per raw row: ``outcome`` in inserted / updated / skipped / invalid and
     ``similar`` (a similar row is also inserted)."""
     v = validate(raw, min_body)
@@ -144,7 +153,7 @@ def clean_outcomes(raw: DataFrame, policy: str = "skip", min_body: int = K.MIN_B
 
 
 def clean_stats(raw: DataFrame, policy: str = "skip", min_body: int = K.MIN_BODY,
-                dedup_similar: bool = True, store: DataFrame | None = None) -> DataFrame:
+                dedup_similar: bool = False, store: DataFrame | None = None) -> DataFrame:
     """A10: one row per outcome with its count, plus the 'similar' count."""
     o = clean_outcomes(raw, policy, min_body, dedup_similar, store)
     per = o.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))

@@ -2,20 +2,39 @@
 source budget (W4), cursor and seen-key state (W5/W6, M3), raw append rows
 (S8), existence checks (J8) and the clean backlog (S9).
 
-State is a small table keyed by (source, category): ``last_pubdate`` (UTC
-ISO text) and ``seen_guids`` (ARRAY<STRING>, all of them unless a cap is given).  The seen check is an
-anti join on (source, category, guid) after exploding the state, so it is a
-shuffle join, never a per-row lookup.
+State is two tables: the feeds' cursors (source, category, last_pubdate as UTC
+ISO text) and the seen keys as rows (source, category, guid, t = item time).
+The seen check is an anti join on (source, category, guid), so no feed's
+history is ever one row or one task.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .dedup import top_k_per_group
 
 FEED_KEY = ["source", "category"]
+SEEN_KEY = [*FEED_KEY, "guid"]
+
+
+def _strings(*names: str) -> StructType:
+    return StructType([StructField(n, StringType()) for n in names])
+
+
+CURSORS = _strings(*FEED_KEY, "last_pubdate")
+KEYS = _strings(*SEEN_KEY, "t")
+
+
+class FeedState(NamedTuple):
+    """Cursors (CURSORS, one row a feed) and seen keys (KEYS, one row a key)."""
+
+    cursors: DataFrame
+    keys: DataFrame
 
 
 def apply_query(items: DataFrame, query: str | None) -> DataFrame:
@@ -25,14 +44,13 @@ def apply_query(items: DataFrame, query: str | None) -> DataFrame:
     return items.where(F.instr(F.lower(F.col("title")), query.lower()) > 0)
 
 
-def filter_new(items: DataFrame, state: DataFrame | None, incremental: bool = True) -> DataFrame:
+def filter_new(items: DataFrame, state: FeedState | None, incremental: bool = True) -> DataFrame:
     """J3 + J4: drop items whose guid was seen for their feed, and items
     whose time is <= the feed cursor (both set; a NULL time passes)."""
     if not incremental or state is None:
         return items
-    seen = state.select(*FEED_KEY, F.explode("seen_guids").alias("guid"))
-    fresh = items.join(seen, [*FEED_KEY, "guid"], "left_anti")
-    cur = state.select(*FEED_KEY, F.col("last_pubdate").alias("_cursor"))
+    fresh = items.join(state.keys.select(*SEEN_KEY), SEEN_KEY, "left_anti")
+    cur = state.cursors.select(*FEED_KEY, F.col("last_pubdate").alias("_cursor"))
     j = fresh.join(cur, FEED_KEY, "left")
     keep = F.col("_cursor").isNull() | F.col("published_at").isNull() | (F.col("published_at") > F.col("_cursor"))
     return j.where(keep).drop("_cursor")
@@ -49,52 +67,52 @@ def source_budget(items: DataFrame, feeds: DataFrame, limit: int | None = None)
     return top_k_per_group(j, ["source"], order, limit, rank_col="budget_rank")
 
 
-def next_state(kept: DataFrame, state: DataFrame | None, cap: int | None = None,
-               updated_at: str | None = None, dropped: DataFrame | None = None) -> DataFrame:
-    """W5 + W6 + M3: new state rows for the feeds that kept items; other
-    feeds keep their row untouched.  Cursor = max(kept time) never below the
-    old cursor; seen = old seen U kept guids; with a ``cap``, the newest by
-    (time, guid) (kept items rank above old keys).
+def next_cursors(kept: DataFrame, cursors: DataFrame | None, dropped: DataFrame | None = None) -> DataFrame:
+    """The new cursors of the feeds that kept items: max(kept time), never
+    below the old cursor.
 
     Without ``dropped`` the cursor moves to the newest *kept* item, which
-    loses older new items that a budget left behind (as in the original).  ``dropped`` (new items that were not kept) makes it
-    lossless: the cursor only moves to kept times below the oldest dropped
-    time, so those items pass the cursor check next time (kept items above
-    it are still stopped by the seen keys)."""
-    new = kept.select(*FEED_KEY, "guid", F.col("published_at").alias("t"), F.lit(1).alias("fresh"))
+    loses older new items that were left behind (as in the original).
+    ``dropped`` (new items that were not kept, be it for a budget or for a
+    title query) makes it lossless: the cursor only moves to kept times below
+    the oldest dropped time, so those items pass the cursor check next time
+    (kept items above it are still stopped by the seen keys)."""
+    times = kept.select(*FEED_KEY, F.col("published_at").alias("t"))
     if dropped is not None:
         floor = dropped.where(F.col("published_at").isNotNull()).groupBy(*FEED_KEY) \
             .agg(F.min("published_at").alias("_floor"))
-        k = kept.join(floor, FEED_KEY, "left")
-        t_ok = F.when(F.col("_floor").isNull() | (F.col("published_at") < F.col("_floor")), F.col("published_at"))
-        touched = k.groupBy(*FEED_KEY).agg(F.max(t_ok).alias("_newest"))
-    else:
-        touched = kept.groupBy(*FEED_KEY).agg(F.max("published_at").alias("_newest"))
+        below = F.col("_floor").isNull() | (F.col("t") < F.col("_floor"))
+        times = times.join(floor, FEED_KEY, "left").select(*FEED_KEY, F.when(below, F.col("t")).alias("t"))
+    touched = times.groupBy(*FEED_KEY).agg(F.max("t").alias("_newest"))
+    if cursors is None:
+        return touched.select(*FEED_KEY, F.col("_newest").alias("last_pubdate"))
+    # greatest skips nulls: an old cursor or a new time alone stays
+    return touched.join(cursors.select(*CURSORS.names), FEED_KEY, "left") \
+        .select(*FEED_KEY, F.greatest("last_pubdate", "_newest").alias("last_pubdate"))
+
+
+def new_keys(kept: DataFrame) -> DataFrame:
+    """The seen keys that the kept items add, one row a key."""
+    return kept.groupBy(*SEEN_KEY).agg(F.max("published_at").alias("t"))
+
+
+def next_state(kept: DataFrame, state: FeedState | None, cap: int | None = None, dropped: DataFrame | None = None) -> FeedState:
+    """W5 + W6 + M3 as whole tables: new cursors and keys for the feeds that
+    kept items; other feeds keep theirs untouched.  Seen keys are old keys
+    and kept guids; with a ``cap``, a touched feed keeps the newest by (kept
+    now, time, guid)."""
+    cursors, keys = next_cursors(kept, state.cursors if state else None, dropped), new_keys(kept).withColumn("_fresh", F.lit(1))
     if state is not None:
-        old = state.join(touched.select(*FEED_KEY), FEED_KEY, "left_semi")
-        old_keys = old.select(*FEED_KEY, F.explode("seen_guids").alias("guid"), F.lit(None).cast("string").alias("t"),
-                              F.lit(0).alias("fresh"))
-        keys = new.unionByName(old_keys)
-        cursor = touched.join(state.select(*FEED_KEY, "last_pubdate"), FEED_KEY, "left").select(
-            *FEED_KEY, F.when(F.col("last_pubdate").isNull(), F.col("_newest"))
-            .when(F.col("_newest").isNull(), F.col("last_pubdate"))
-            .otherwise(F.greatest("_newest", "last_pubdate")).alias("last_pubdate"))
-    else:
-        keys = new
-        cursor = touched.select(*FEED_KEY, F.col("_newest").alias("last_pubdate"))
-    keys = keys.groupBy(*FEED_KEY, "guid").agg(F.max("fresh").alias("fresh"), F.max("t").alias("t"))
+        untouched = state.cursors.join(cursors.select(*FEED_KEY), FEED_KEY, "left_anti")
+        cursors = cursors.unionByName(untouched.select(*CURSORS.names))
+        keys = keys.unionByName(state.keys.select(*KEYS.names, F.lit(0).alias("_fresh")))
+        keys = keys.groupBy(*SEEN_KEY).agg(F.max("t").alias("t"), F.max("_fresh").alias("_fresh"))
     if cap is not None:
-        keys = top_k_per_group(keys, FEED_KEY, [F.col("fresh").desc(), F.col("t").desc_nulls_last(),
-                                                F.col("guid").desc()], cap)
-    seen = keys.groupBy(*FEED_KEY).agg(F.array_sort(F.collect_list("guid")).alias("seen_guids"))
-    out = cursor.join(seen, FEED_KEY, "left").select(
-        *FEED_KEY, "last_pubdate", F.coalesce(F.col("seen_guids"), F.array().cast("array<string>")).alias("seen_guids"))
-    if updated_at is not None:
-        out = out.withColumn("updated_at", F.lit(updated_at))
-    if state is not None:
-        untouched = state.join(touched.select(*FEED_KEY), FEED_KEY, "left_anti").select(*out.columns)
-        out = out.unionByName(untouched)
-    return out
+        newest = [F.col("_fresh").desc(), F.col("t").desc_nulls_last(), F.col("guid").desc()]
+        hit = kept.select(*FEED_KEY).distinct()
+        rest = keys.join(hit, FEED_KEY, "left_anti")
+        keys = top_k_per_group(keys.join(hit, FEED_KEY, "left_semi"), FEED_KEY, newest, cap).select(*rest.columns).unionByName(rest)
+    return FeedState(cursors, keys.select(*KEYS.names))
 
 
 def raw_rows(kept: DataFrame, collected_at: str) -> DataFrame:

@@ -1,8 +1,8 @@
-"""Keyed writes on Parquet snapshots (M1-M5).
+"""Keyed merges (M1-M5).
 
-Parquet has no MERGE; each merge returns the *next snapshot* as a
-DataFrame (full outer join on the key with per-column rules) which the
-caller writes to a new version directory (:func:`write_snapshot`).
+Parquet has no MERGE; each merge returns the next rows as a DataFrame (a join
+on the key with per-column rules).  ``BucketStore.merge`` (store.py) applies it
+to the buckets that a batch touches; ``write_snapshot`` writes a whole table.
 """
 
 from __future__ import annotations
@@ -21,19 +21,21 @@ UPSERT_REPLACES = ("raw_id", "title", "body", "title_hash", "category", "source"
 
 
 def merge_clean(store: DataFrame, batch: DataFrame, policy: str = "skip",
-                dedup_similar: bool = True) -> DataFrame:
-    """M1: next clean snapshot plus ``outcome`` per url.
+                dedup_similar: bool = False, titles: DataFrame | None = None) -> DataFrame:
+    """M1: next clean snapshot plus ``outcome`` per url; near duplicates are
+    flagged with ``dedup_similar`` only.
 
     ``store``: id, is_duplicate + CLEAN_COLUMNS.  ``batch``: valid clean rows
     (CLEAN_COLUMNS).  skip = insert-or-ignore, upsert = last row of the
     batch replaces the stored columns except id and is_duplicate.  New rows
     take their first ``raw_id`` as id (a stable surrogate key that needs no
-    global sequence).
+    global sequence).  ``store`` may be the part of the table that the batch's
+    urls fall into; ``titles`` then gives the title hashes of all of it.
     """
     first = first_per_key(batch, "url", "raw_id")
     new_rows = first.join(store.select("url"), "url", "left_anti")
     if dedup_similar:
-        new_rows = similar_flag(new_rows, store)
+        new_rows = similar_flag(new_rows, store, titles)
     else:
         new_rows = new_rows.withColumn("is_duplicate", F.lit(False))
     inserted = new_rows.select(F.col("raw_id").alias("id"), "is_duplicate", *CLEAN_COLUMNS,

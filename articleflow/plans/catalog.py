@@ -218,13 +218,13 @@ def _store_and_batch(spark, sf):
 @query
 def merge_clean(spark, sf):
     store, batch = _store_and_batch(spark, sf)
-    return M.merge_clean(store, batch, policy="skip")
+    return M.merge_clean(store, batch, policy="skip", dedup_similar=True)
 
 
 @query
 def merge_clean_upsert(spark, sf):
     store, batch = _store_and_batch(spark, sf)
-    return M.merge_clean(store, batch, policy="upsert")
+    return M.merge_clean(store, batch, policy="upsert", dedup_similar=True)
 
 
 # --------------------------------------------------------------------------
@@ -473,7 +473,7 @@ def _items(spark, sf):
 
 def _prev_state(items):
     prev = items.where(F.col("published_at") < F.lit(PREV_RUN_BEFORE))
-    return IN.next_state(prev, None, cap=K.SEEN_GUID_CAP)
+    return IN.next_state(prev, None)
 
 
 ITEM_COLUMNS = ["source", "category", "feed_no", "item_pos", "guid", "url", "title", "published_at"]
@@ -505,26 +505,47 @@ def _budgeted(spark, sf):
     state = _prev_state(items)
     fresh = IN.filter_new(items, state)
     feeds = FD.registry(V.raw_view(spark, sf))
-    return IN.source_budget(fresh, feeds, K.FETCH_LIMIT), state
+    return IN.source_budget(fresh, feeds), state
 
 
 @query
 def source_budget(spark, sf):
+    """W4 without a limit: every new item of the registered feeds."""
     kept, _ = _budgeted(spark, sf)
-    return kept.select(*ITEM_COLUMNS, "budget_rank")
+    return kept.select(*ITEM_COLUMNS)
+
+
+@query
+def source_budget_limited(spark, sf):
+    """W4 with a limit: at most FETCH_LIMIT new items a source, by feed and place."""
+    items = _items(spark, sf)
+    fresh = IN.filter_new(items, _prev_state(items))
+    return IN.source_budget(fresh, FD.registry(V.raw_view(spark, sf)), K.FETCH_LIMIT).select(*ITEM_COLUMNS, "budget_rank")
 
 
 @query
 def feed_cursor(spark, sf):
     kept, state = _budgeted(spark, sf)
-    return IN.next_state(kept, state, cap=K.SEEN_GUID_CAP).select("source", "category", "last_pubdate")
+    return IN.next_state(kept, state).cursors
+
+
+@query
+def feed_cursor_limited(spark, sf):
+    """W5 after a limited run: the cursor stays below the items left behind."""
+    items = _items(spark, sf)
+    state = _prev_state(items)
+    fresh = IN.filter_new(items, state)
+    kept = IN.source_budget(fresh, FD.registry(V.raw_view(spark, sf)), K.FETCH_LIMIT)
+    return IN.next_state(kept, state, dropped=fresh.join(kept.select(*IN.SEEN_KEY), IN.SEEN_KEY, "left_anti")).cursors
 
 
 @query
 def feed_state(spark, sf):
+    """Each feed's cursor and number of seen keys."""
     kept, state = _budgeted(spark, sf)
-    return IN.next_state(kept, state, cap=K.SEEN_GUID_CAP).select("source", "category", "last_pubdate",
-                                             F.size("seen_guids").cast("long").alias("n_seen"), "seen_guids")
+    out = IN.next_state(kept, state)
+    seen = out.keys.groupBy(*IN.FEED_KEY).agg(F.count(F.lit(1)).alias("n_seen"))
+    return out.cursors.join(seen, IN.FEED_KEY, "left").select(*IN.CURSORS.names, F.coalesce("n_seen", F.lit(0)).alias("n_seen"))
 
 
 @query
@@ -549,8 +570,18 @@ def raw_guid_exists(spark, sf):
 
 @query
 def uncleaned(spark, sf):
-    processed = C.validate(V.raw_view(spark, sf))
-    return IN.uncleaned(_rp(spark, sf), processed).select("id", "url", "title")
+    """Raw rows that are not in the ledger that an earlier cleaning of the
+    original rows has written."""
+    return IN.uncleaned(_rp(spark, sf), _ledger(spark, sf)).select("id", "url", "title")
+
+
+def _ledger(spark, sf):
+    """The ledger of a cleaning job over the original rows of R+."""
+    rows = _rp(spark, sf)
+    land = _landing(spark, rows.where(V.is_original(F.col("id"))), "ledger", ["id"])
+    out = SJ.scratch(spark, "ledger") + "/clean"
+    SJ.clean_stream(spark, land, spark.read.parquet(land).schema, out)
+    return SJ.ledger_store(spark, out).read().select("raw_id")
 
 
 # --------------------------------------------------------------------------
@@ -578,31 +609,38 @@ def _landing(spark, df, name, keys, files=4):
 @query
 def stream_ingest(spark, sf):
     r = V.raw_view(spark, sf)
-    land = _landing(spark, _payloads(r), "ingest", ["source", "category", "feed_no"])
+    land = _landing(spark, _payloads(r), "ingest", ["source", "category"])
     base = SJ.scratch(spark, "ingest")
     feeds = FD.registry(r)
     pages = _page_extract(read_table(spark, sf, "pages"))
     SJ.ingest_stream(spark, land, spark.read.parquet(land).schema, feeds, base + "/state", base + "/raw",
-                     pages=pages, limit=K.FETCH_LIMIT, collected_at="2024-01-15T09:00:00+09:00")
+                     pages=pages, collected_at="2024-01-15T09:00:00+09:00", max_files=2)
     raw = spark.read.parquet(base + "/raw")
-    return raw.select(*[c for c in raw.columns if c not in ("epoch", "raw_json")])
+    return raw.select(*[c for c in raw.columns if c not in ("run", "batch", "raw_json")])
 
 
 @query
 def stream_dedup(spark, sf):
-    items = _items(spark, sf).withColumn("published_ts", F.to_timestamp("published_at"))
-    land = _landing(spark, items.select(*ITEM_COLUMNS, "published_ts"), "dedup", ["source", "guid"])
+    """X2 over items that come again: every third item lands twice, in files of
+    their own, read one by one."""
+    items = _items(spark, sf).select(*ITEM_COLUMNS).withColumn("published_ts", F.to_timestamp("published_at"))
+    again = items.where(F.pmod("item_pos", F.lit(3)) == 0)
+    land = _landing(spark, items.unionAll(again), "dedup", ["source", "category", "feed_no", "item_pos"])
+    again.coalesce(1).write.mode("append").parquet(land)
     out = SJ.scratch(spark, "dedup") + "/out"
-    SJ.dedup_stream(spark, land, spark.read.parquet(land).schema, out)
-    return spark.read.parquet(out).drop("epoch").select(*ITEM_COLUMNS)
+    SJ.dedup_stream(spark, land, spark.read.parquet(land).schema, out, max_files=2)
+    return spark.read.parquet(out).select(*ITEM_COLUMNS)
 
 
 @query
 def stream_clean(spark, sf):
-    land = _landing(spark, _rp(spark, sf), "clean", ["id"])
-    out = SJ.scratch(spark, "clean") + "/snap"
-    SJ.clean_stream(spark, land, spark.read.parquet(land).schema, out, policy="skip")
-    return SJ.latest(spark, out).drop("outcome")
+    """X4 in two epochs: the plain raw rows, then their variants."""
+    rows, out = _rp(spark, sf), SJ.scratch(spark, "clean") + "/snap"
+    land = SJ.scratch(spark, "clean") + "/landing"
+    for part in (rows.where(V.is_original(F.col("id"))), rows.where(~V.is_original(F.col("id")))):
+        part.repartition(4, "id").write.mode("append").parquet(land)
+        SJ.clean_stream(spark, land, rows.schema, out, policy="skip", dedup_similar=True)
+    return SJ.clean_store(spark, out).read()
 
 
 # --------------------------------------------------------------------------
@@ -674,15 +712,13 @@ def report_rows(spark, sf):
 
 @query
 def health_metrics(spark, sf):
-    processed = C.validate(V.raw_view(spark, sf)).select("raw_id")
-    return MT.health_metrics(_rp(spark, sf), processed, _a(spark, sf), _s(spark, sf), AS_OF)
+    return MT.health_metrics(_rp(spark, sf), _ledger(spark, sf), _a(spark, sf), _s(spark, sf), AS_OF)
 
 
 @query
 def health_warnings(spark, sf):
-    processed = C.validate(V.raw_view(spark, sf)).select("raw_id")
     a, s, rp = _a(spark, sf), _s(spark, sf), _rp(spark, sf)
-    h = MT.health_metrics(rp, processed, a, s, AS_OF)
+    h = MT.health_metrics(rp, _ledger(spark, sf), a, s, AS_OF)
     return MT.health_warnings(h, MT.quality_metrics(rp, a, s), run_log=None)
 
 
@@ -771,10 +807,9 @@ def event_components(spark, sf):
 
 @query
 def feed_seen(spark, sf):
-    """The capped seen-key set per feed after this run, one row per key."""
+    """The seen keys after this run, one row per key."""
     kept, state = _budgeted(spark, sf)
-    st = IN.next_state(kept, state, cap=K.SEEN_GUID_CAP)
-    return st.select("source", "category", F.explode("seen_guids").alias("guid"))
+    return IN.next_state(kept, state).keys
 
 
 @query

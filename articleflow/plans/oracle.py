@@ -528,7 +528,8 @@ prev AS (SELECT source, category, max(published_at) AS cur FROM it WHERE publish
 fresh AS (
   SELECT it.* FROM it LEFT JOIN prev ON it.source = prev.source AND it.category = prev.category
   WHERE prev.cur IS NULL OR it.published_at > prev.cur),
-bud AS (
+bud AS (SELECT fresh.* FROM fresh JOIN reg ON fresh.source = reg.source AND fresh.category = reg.category),
+lim AS (
   SELECT * FROM (
     SELECT fresh.*, CAST(row_number() OVER (PARTITION BY fresh.source
                          ORDER BY reg.feed_pos, fresh.feed_no, fresh.item_pos, fresh.guid) AS BIGINT) AS budget_rank
@@ -539,14 +540,34 @@ SQL["feed_items"] = f"WITH {_ITEMS}\nSELECT {_IC} FROM it"
 SQL["feed_select"] = f"WITH {_ITEMS}\nSELECT source, category, feed_url, feed_pos FROM reg WHERE category = {lit(Q.CATEGORY)}"
 SQL["item_query"] = f"WITH {_ITEMS}\nSELECT {_IC} FROM it WHERE strpos(lower(title), {lit(Q.ITEM_QUERY)}) > 0"
 SQL["filter_new"] = f"WITH {_ITEMS}\nSELECT {_IC} FROM fresh"
-SQL["source_budget"] = f"WITH {_ITEMS}\nSELECT {_IC}, budget_rank FROM bud"
-SQL["feed_cursor"] = f"""WITH {_ITEMS},
-touched AS (SELECT source, category, max(published_at) AS newest FROM bud GROUP BY 1, 2)
-SELECT t.source, t.category, CASE WHEN p.cur IS NULL THEN t.newest ELSE greatest(t.newest, p.cur) END AS last_pubdate
+SQL["source_budget"] = f"WITH {_ITEMS}\nSELECT {_IC} FROM bud"
+SQL["source_budget_limited"] = f"WITH {_ITEMS}\nSELECT {_IC}, budget_rank FROM lim"
+
+
+#: Cursors after a run, from CTE ``touched`` (source, category, newest).
+_CURSORS = """
+SELECT t.source, t.category, CASE WHEN p.cur IS NULL THEN t.newest WHEN t.newest IS NULL THEN p.cur ELSE greatest(t.newest, p.cur) END AS last_pubdate
 FROM touched t LEFT JOIN prev p ON t.source = p.source AND t.category = p.category
 UNION ALL
 SELECT p.source, p.category, p.cur FROM prev p
 WHERE NOT EXISTS (SELECT 1 FROM touched t WHERE t.source = p.source AND t.category = p.category)"""
+_TOUCHED = "touched AS (SELECT source, category, max(published_at) AS newest FROM bud GROUP BY 1, 2)"
+SQL["feed_cursor"] = f"WITH {_ITEMS},\n{_TOUCHED}{_CURSORS}"
+SQL["feed_cursor_limited"] = f"""WITH {_ITEMS},
+left_behind AS (SELECT f.source, f.category, min(f.published_at) AS floor FROM fresh f
+  WHERE NOT EXISTS (SELECT 1 FROM lim WHERE lim.source = f.source AND lim.category = f.category AND lim.guid = f.guid) GROUP BY 1, 2),
+touched AS (SELECT lim.source, lim.category, max(lim.published_at) FILTER (floor IS NULL OR lim.published_at < floor) AS newest
+  FROM lim LEFT JOIN left_behind l ON l.source = lim.source AND l.category = lim.category GROUP BY 1, 2){_CURSORS}"""
+_KEYS = f"""{_ITEMS},
+keys AS (SELECT source, category, guid, max(published_at) AS t FROM (
+  SELECT source, category, guid, published_at FROM it WHERE published_at < '{Q.PREV_RUN_BEFORE}'
+  UNION ALL SELECT source, category, guid, published_at FROM bud) GROUP BY 1, 2, 3)"""
+SQL["feed_seen"] = f"WITH {_KEYS}\nSELECT source, category, guid, t FROM keys"
+SQL["feed_state"] = f"""WITH {_KEYS},
+{_TOUCHED},
+cu AS ({_CURSORS})
+SELECT cu.source, cu.category, cu.last_pubdate, count(keys.guid) AS n_seen
+FROM cu LEFT JOIN keys ON keys.source = cu.source AND keys.category = cu.category GROUP BY 1, 2, 3"""
 SQL["crawl_outcome"] = f"""WITH {_ITEMS}
 SELECT b.source, b.category, b.guid, b.url,
        'rss+crawl' AS method,
@@ -556,12 +577,14 @@ SELECT b.source, b.category, b.guid, b.url,
 FROM bud b LEFT JOIN px ON b.url = px.url"""
 SQL["raw_guid_exists"] = f"""WITH {_ITEMS}
 SELECT {_IC} FROM it WHERE EXISTS (SELECT 1 FROM r WHERE r.source = it.source AND r.guid = it.guid)"""
-SQL["uncleaned"] = f"WITH {RP_CTE}\nSELECT id, url, title FROM rp WHERE id NOT IN (SELECT id FROM r)"
+SQL["uncleaned"] = f"WITH {RP_CTE}\nSELECT id, url, title FROM rp WHERE id NOT IN (SELECT id * 4 FROM r)"
 
 # streaming ------------------------------------------------------------------------
 SQL["stream_daily"] = """
 SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2"""
-SQL["stream_dedup"] = f"WITH {_ITEMS}\nSELECT {_IC} FROM it"
+SQL["stream_dedup"] = f"""WITH {_ITEMS},
+landed AS (SELECT {_IC} FROM it UNION ALL SELECT {_IC} FROM it WHERE item_pos % 3 = 0)
+SELECT {_IC} FROM (SELECT *, row_number() OVER (PARTITION BY source, guid) AS nth FROM landed) WHERE nth = 1"""
 
 # analysis, digest, summaries, report, health -----------------------------------------
 _SEL = f"""{AS_CTE},{_J},
@@ -617,7 +640,7 @@ SELECT '{Q.AS_OF}' AS as_of,
   (SELECT count(*) FROM rp WHERE substr(collected_at, 1, 10) = '{Q.AS_OF}') AS collected_today,
   (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM dc WHERE day = DATE '{Q.AS_OF}') AS published_today,
   (SELECT count(*) FROM rp WHERE crawl_status = 'failed') AS failed_crawl,
-  (SELECT count(*) FROM rp WHERE id NOT IN (SELECT id FROM r)) AS uncleaned,
+  (SELECT count(*) FROM rp WHERE id NOT IN (SELECT id * 4 FROM r)) AS uncleaned,
   (SELECT count(*) FROM a WHERE NOT is_duplicate AND id NOT IN (SELECT article_id FROM s)) AS unsummarized,
   (SELECT list(CAST(day AS VARCHAR) ORDER BY day) FROM (SELECT day FROM dc ORDER BY day DESC LIMIT 5)) AS recent_days"""
 SQL["fetch_stats"] = f"""WITH {_ITEMS},
@@ -638,15 +661,10 @@ SELECT rule FROM (
                (SELECT unsummarized FROM hm) > 0 AND (SELECT summary_coverage FROM qm) < {K.COVERAGE_WARN_PCT})
 WHERE hit"""
 
-SQL["stream_clean"] = f"WITH {V_CTE}\nSELECT raw_id AS id, is_duplicate, {CLEAN_COLS} FROM w3"
+SQL["stream_clean"] = SQL["merge_clean"].replace(", 'kept' AS outcome", "").replace(", 'inserted' FROM ins", " FROM ins")
 
 SQL["stream_ingest"] = f"""WITH {_ITEMS},
-ball AS (
-  SELECT * FROM (
-    SELECT it.*, row_number() OVER (PARTITION BY it.source
-                                    ORDER BY reg.feed_pos, it.feed_no, it.item_pos, it.guid) AS rk
-    FROM it JOIN reg ON it.source = reg.source AND it.category = reg.category)
-  WHERE rk <= {K.FETCH_LIMIT})
+ball AS (SELECT it.* FROM it JOIN reg ON it.source = reg.source AND it.category = reg.category)
 SELECT b.source, 'rss+crawl' AS method, b.guid, b.url,
        CASE WHEN coalesce(px.body, '') <> '' THEN coalesce(nullif(b.title, ''), px.title) ELSE b.title END AS title,
        CASE WHEN coalesce(px.body, '') <> '' THEN px.body END AS body,
@@ -655,38 +673,6 @@ SELECT b.source, 'rss+crawl' AS method, b.guid, b.url,
        '2024-01-15T09:00:00+09:00' AS collected_at, DATE '2024-01-15' AS collected_date
 FROM ball b LEFT JOIN px ON b.url = px.url"""
 
-SQL["feed_state"] = f"""WITH {_ITEMS},
-pk AS (SELECT source, category, guid, published_at AS t FROM it WHERE published_at < '{Q.PREV_RUN_BEFORE}'),
-pseen AS (
-  SELECT source, category, guid FROM (
-    SELECT *, row_number() OVER (PARTITION BY source, category ORDER BY t DESC NULLS LAST, guid DESC) AS rk FROM pk)
-  WHERE rk <= {K.SEEN_GUID_CAP}),
-touched AS (SELECT source, category, max(published_at) AS newest FROM bud GROUP BY 1, 2),
-keys AS (
-  SELECT source, category, guid, max(fresh) AS fresh, max(t) AS t FROM (
-    SELECT source, category, guid, 1 AS fresh, published_at AS t FROM bud
-    UNION ALL
-    SELECT ps.source, ps.category, ps.guid, 0, NULL FROM pseen ps
-    WHERE EXISTS (SELECT 1 FROM touched x WHERE x.source = ps.source AND x.category = ps.category))
-  GROUP BY 1, 2, 3),
-capped AS (
-  SELECT * FROM (
-    SELECT *, row_number() OVER (PARTITION BY source, category ORDER BY fresh DESC, t DESC NULLS LAST, guid DESC) AS rk
-    FROM keys) WHERE rk <= {K.SEEN_GUID_CAP}),
-new_state AS (
-  SELECT t.source, t.category,
-         CASE WHEN p.cur IS NULL THEN t.newest ELSE greatest(t.newest, p.cur) END AS last_pubdate,
-         (SELECT list(c.guid ORDER BY c.guid) FROM capped c WHERE c.source = t.source AND c.category = t.category)
-           AS seen_guids
-  FROM touched t LEFT JOIN prev p ON t.source = p.source AND t.category = p.category),
-old_state AS (
-  SELECT p.source, p.category, p.cur AS last_pubdate,
-         (SELECT list(ps.guid ORDER BY ps.guid) FROM pseen ps WHERE ps.source = p.source AND ps.category = p.category)
-           AS seen_guids
-  FROM prev p WHERE NOT EXISTS (SELECT 1 FROM touched t WHERE t.source = p.source AND t.category = p.category))
-SELECT source, category, last_pubdate, CAST(len(seen_guids) AS BIGINT) AS n_seen, seen_guids
-FROM (SELECT * FROM new_state UNION ALL SELECT * FROM old_state)"""
-
 SQL["insight_record"] = f"""{_SEL}{_DIGEST}
 SELECT CAST(NULL AS VARCHAR) AS date_from, CAST(NULL AS VARCHAR) AS date_to, {lit(Q.CATEGORY)} AS category, n_articles,
   [{lit("[모의분석] '")} || coalesce(keywords[1], {lit(Q.CATEGORY)}) || {lit("' 관련 보도가 가장 많이 나타남")},
@@ -787,11 +773,6 @@ SELECT b.source, 'rss+crawl' AS method, b.guid, b.url,
 FROM bud b LEFT JOIN px ON b.url = px.url JOIN pay ON pay.url = b.url"""
 
 SQL["clean_rejects"] = f"WITH {V_CTE}\nSELECT raw_id, reason, body_len FROM v WHERE reason <> 'ok'"
-SQL["feed_seen"] = SQL["feed_state"].replace(
-    "SELECT source, category, last_pubdate, CAST(len(seen_guids) AS BIGINT) AS n_seen, seen_guids\n"
-    "FROM (SELECT * FROM new_state UNION ALL SELECT * FROM old_state)",
-    "SELECT source, category, unnest(seen_guids) AS guid\n"
-    "FROM (SELECT * FROM new_state UNION ALL SELECT * FROM old_state)")
 SQL["cluster_text"] = f"""{AS_CTE},{_J}
 SELECT id, {trim_ws("coalesce(title, '') || ' ' || CASE WHEN summary IS NOT NULL AND summary <> '' THEN summary "
                     "ELSE coalesce(body, '') END")} AS text FROM j"""

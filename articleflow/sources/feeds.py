@@ -151,7 +151,9 @@ def crawl_outcome(items: DataFrame, extracted: DataFrame | None) -> DataFrame:
         return items.select("*", F.lit(None).cast("string").alias("body"),
                             F.lit("skipped").alias("crawl_status")).withColumn("method", F.lit("rss"))
     page = F.struct((F.coalesce(F.col("body"), F.lit("")) == "").alias("e"), F.col("title").alias("t"), F.col("body").alias("b"))
-    x = extracted.groupBy(F.col("url").alias("_u")).agg(F.min(page).alias("_p"))
+    # pages of other urls go first; the optimizer moves this below the extraction
+    mine = extracted.join(items.select(F.col("url").alias("_u")).distinct(), F.col("url") == F.col("_u"), "left_semi")
+    x = mine.groupBy(F.col("url").alias("_u")).agg(F.min(page).alias("_p"))
     x = x.select("_u", F.col("_p.t").alias("_pt"), F.col("_p.b").alias("_pb"))
     j = items.join(x, items["url"] == x["_u"], "left")
     found = F.coalesce(F.col("_pb"), F.lit("")) != ""

@@ -65,12 +65,12 @@ def test_dedup_upsert_keeps_first_id(spark):
 
 def test_clean_stats_and_rerun(spark):
     raw = _batch(spark)
-    stats = {r["outcome"]: r["n"] for r in C.clean_stats(raw).collect()}
+    stats = {r["outcome"]: r["n"] for r in C.clean_stats(raw, dedup_similar=True).collect()}
     assert stats == {"inserted": 4, "skipped": 1, "similar": 1}
     # the same batch again against the stored result: nothing new
     valid = C.clean_valid(raw)
     store = C.similar_flag(C.dedup_skip(valid)).withColumn("id", F.col("raw_id"))
-    again = {r["outcome"]: r["n"] for r in C.clean_stats(raw, store=store).collect()}
+    again = {r["outcome"]: r["n"] for r in C.clean_stats(raw, dedup_similar=True, store=store).collect()}
     assert again.get("inserted", 0) == 0 and again["skipped"] == 5
 
 
@@ -81,9 +81,9 @@ def test_merge_clean_skip_vs_upsert(spark):
     batch = C.clean_valid(_raw(spark, [
         (2, "https://ex.com/a", "new title", BODY, "IT", "s", "2026.07.23", None, "ok"),
         (3, "https://ex.com/z", "zeta", BODY, "IT", "s", "2026.07.23", None, "ok")]))
-    skip = {r["url"]: r for r in M.merge_clean(store, batch, "skip").collect()}
+    skip = {r["url"]: r for r in M.merge_clean(store, batch, "skip", True).collect()}
     assert skip["https://ex.com/a"]["title"] == "old title" and skip["https://ex.com/z"]["outcome"] == "inserted"
-    up = {r["url"]: r for r in M.merge_clean(store, batch, "upsert").collect()}
+    up = {r["url"]: r for r in M.merge_clean(store, batch, "upsert", True).collect()}
     assert up["https://ex.com/a"]["title"] == "new title" and up["https://ex.com/a"]["id"] == 1
     assert up["https://ex.com/a"]["outcome"] == "updated"
 
