@@ -12,7 +12,15 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Bytes of an Arrow batch, beyond one row: a task that reads texts in Python
+#: holds no more of them at a time.
+BATCH_BYTES = 4 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder; from here on the session's Arrow batches are small
+    (a setting of the session, so that long texts do not add up in a worker)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -97,20 +97,21 @@ def train(examples: DataFrame, max_train: int = MAX_TRAIN, bits: int = BITS, epo
             yield pd.DataFrame({"o": b["o"], "t": b["t"], "label": b["label"],
                                 "x": [features(t, bits).astype(np.int32).tobytes() for t in b["text"]]})
 
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = [(np.frombuffer(x, np.int32).copy(), int(y)) for b in batches for x, y in zip(b["x"], b["label"])]
         model = Ftrl(bits)
-        pdf = pdf.sort_values(["o", "t", "label"])
-        rows = [(np.frombuffer(x, np.int32).astype(np.int64), int(y)) for x, y in zip(pdf["x"], pdf["label"])]
         for _ in range(epochs):
             for at, label in rows:
                 model.learn(at, label)
         w = model.weights()
         at = np.flatnonzero(w)
-        return pd.DataFrame({"at": at, "w": w[at]})
+        yield pd.DataFrame({"at": at, "w": w[at]})
 
     made = chosen.mapInPandas(coordinates, "o long, t long, label int, x binary")
     out = np.zeros((1 << bits) + 1)
-    for r in made.groupBy().applyInPandas(fit, "at long, w double").collect():
+    # one task, read as a stream: it keeps the coordinates of at most max_train examples (without it: of all)
+    one = made.repartition(1).sortWithinPartitions("o", "t", "label").select("label", "x")
+    for r in one.mapInPandas(fit, "at long, w double").collect():
         out[r["at"]] = r["w"]
     return out
 
@@ -154,8 +155,8 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
         w = np.zeros((1 << bits) + 1)
         w[sparse.value[0]] = sparse.value[1]
         for b in batches:
-            texts = b.column(b.schema.get_field_index("text")).to_pylist()
-            keep = [1 / (1 + np.exp(-np.clip(w[features(t, bits)].sum() + w[-1], -35, 35))) < threshold for t in texts]
+            texts = b.column(b.schema.get_field_index("text"))          # one Python string at a time
+            keep = [1 / (1 + np.exp(-np.clip(w[features(t.as_py(), bits)].sum() + w[-1], -35, 35))) < threshold for t in texts]
             yield b.filter(pa.array(keep, pa.bool_()))
     return docs.mapInArrow(run, docs.schema)
 
