@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from string import ascii_lowercase, ascii_uppercase
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.text import cut_cell
+from .ranking import RankedTable
 
 ARTICLE_COLUMNS = ("id", "url", "title", "title_hash", "body", "category", "source", "published_at",
                    "is_duplicate")
@@ -62,9 +63,19 @@ def query_articles(articles: DataFrame, summaries: DataFrame, *, article_id: int
     return j.drop("_summarized")
 
 
-def order_articles(df: DataFrame) -> DataFrame:
+def newest_first() -> list[Column]:
     """Newest first, then id desc; NULL dates last."""
-    return df.orderBy(F.col("published_at").desc_nulls_last(), F.col("id").desc())
+    return [F.col("published_at").desc_nulls_last(), F.col("id").desc()]
+
+
+def order_articles(df: DataFrame) -> DataFrame:
+    return df.orderBy(*newest_first())
+
+
+def ranked_articles(df: DataFrame) -> RankedTable:
+    """Articles in T1 order with an index of their ranks: any page of it
+    (``page``) reads the ranges that it lies in, however deep it is."""
+    return RankedTable(df, newest_first())
 
 
 def article_page(df: DataFrame, page: int = 1, page_size: int = K.PAGE_SIZE) -> DataFrame:
@@ -72,7 +83,8 @@ def article_page(df: DataFrame, page: int = 1, page_size: int = K.PAGE_SIZE) ->
     last page; a page past the end is empty.  Inputs are clamped to >= 1.
 
     Ordered top-(offset+limit) runs as TakeOrderedAndProject (a bounded
-    per-task heap), not a full sort.
+    per-task heap), not a full sort; that suits the first pages.  For deep
+    ones, or many, see :func:`ranked_articles`.
     """
     page = max(int(page), 1)
     page_size = max(int(page_size), 1)
@@ -83,9 +95,9 @@ def article_page(df: DataFrame, page: int = 1, page_size: int = K.PAGE_SIZE) ->
         *df.columns, F.lit(page).cast("long").alias("page"), "total", last.alias("last_page"))
 
 
-def article_detail(joined: DataFrame, article_id: int, preview_chars: int = K.DETAIL_PREVIEW_CHARS) -> DataFrame:
-    """One article (duplicates included) with compression ratio and a
-    body preview."""
+def article_detail(joined: DataFrame, article_id: int, preview_chars: int | None = None) -> DataFrame:
+    """One article (duplicates included) with compression ratio and its
+    body, or the first ``preview_chars`` of it."""
     a = joined.where(F.col("id") == article_id)
     ratio = F.when(F.col("summary").isNotNull() & (F.coalesce(F.col("orig_len"), F.lit(0)) != 0),
                    F.round(F.col("summary_len") / F.col("orig_len") * 100, 4)) \
@@ -93,8 +105,9 @@ def article_detail(joined: DataFrame, article_id: int, preview_chars: int = K.DE
     return a.select("id", "title", "source", "category", "published_at", "url", "is_duplicate",
                     F.length("body").cast("long").alias("body_len"), "summary", "sentiment",
                     ratio.alias("compression_pct"),
-                    F.when(F.length("body") <= preview_chars, F.col("body"))
-                    .otherwise(F.concat(F.substring("body", 1, preview_chars), F.lit(" …"))).alias("preview"))
+                    (F.col("body") if preview_chars is None else
+                     F.when(F.length("body") <= preview_chars, F.col("body"))
+                     .otherwise(F.concat(F.substring("body", 1, preview_chars), F.lit(" …")))).alias("preview"))
 
 
 def summary_targets(articles: DataFrame, summaries: DataFrame, *, article_id: int | None = None,

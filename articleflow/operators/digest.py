@@ -2,9 +2,9 @@
 selection listing text (F12), summary production (P15, M2) and report
 rows (A17).
 
-The analysis selection is bounded by its ``limit`` (the newest k articles
-of a filter, k = 60 by default): that is the feature, so its digest may
-collect the selection into one row.  Everything else is a hash aggregate.
+The analysis selection is every article of a filter, or its newest ``limit``;
+its ordinals are exact ranks of a range-partitioned table, its listing is one
+row an article, and its digest is made of hash aggregates.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from . import metrics as MT
 from . import trends as TR
 
 # FIXED VALUES: offline analysis texts ({} are filled in order).
+# MOCK_IMPLICATION alone is a wording of this library.
 MOCK_TAG = "[모의분석] "
 MOCK_TREND_TOP = "'{}' 관련 보도가 가장 많이 나타남"
 MOCK_TREND_CATEGORIES = "카테고리 분포: "
@@ -32,13 +33,20 @@ COUNT_SUFFIX = "건"
 INSIGHT_ARRAYS = ("trends", "keywords", "common_diff", "implications")
 
 
+def selected_articles(articles: DataFrame, summaries: DataFrame, category: str | None = None,
+                      date_from: str | None = None, date_to: str | None = None) -> DataFrame:
+    """The articles of a P16 selection without a limit, in no order."""
+    return AR.query_articles(articles, summaries, category=category, date_from=date_from, date_to=date_to)
+
+
 def analysis_selection(articles: DataFrame, summaries: DataFrame, category: str | None = None,
                        date_from: str | None = None, date_to: str | None = None,
-                       limit: int = K.ANALYSIS_LIMIT) -> DataFrame:
-    """Filter + T1 order + the newest ``limit`` rows (0 = default, N15),
-    numbered 1..k in listing order."""
-    limit = limit or K.ANALYSIS_LIMIT
-    q = AR.query_articles(articles, summaries, category=category, date_from=date_from, date_to=date_to)
+                       limit: int | None = None) -> DataFrame:
+    """Filter + T1 order, all rows or the newest ``limit``, numbered
+    1..k in listing order."""
+    q = selected_articles(articles, summaries, category, date_from, date_to)
+    if limit is None:
+        return AR.ranked_articles(q).ranked("ordinal")
     top = AR.order_articles(q).limit(limit)
     from pyspark.sql import Window
     w = Window.orderBy(F.col("published_at").desc_nulls_last(), F.col("id").desc())   # <= limit rows
@@ -50,11 +58,11 @@ def _counted(df: DataFrame, key: Column, name: str) -> DataFrame:
 
 
 def _ranked_list(df: DataFrame, name: str, k: int | None, with_counts: bool) -> DataFrame:
-    """One row: the names by n desc, name asc (first k), as "name n" text
-    when ``with_counts``."""
-    arr = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("o"), F.col(name).alias("k"), F.col("n"))))
+    """One row: the names by n desc, name asc (first k, cut before they are
+    collected), as "name n" text when ``with_counts``."""
     if k is not None:
-        arr = F.slice(arr, 1, k)
+        df = df.orderBy(F.col("n").desc(), F.col(name)).limit(k)
+    arr = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("o"), F.col(name).alias("k"), F.col("n"))))
     if with_counts:
         out = F.transform(arr, lambda s: F.concat(s["k"], F.lit(" "), s["n"].cast("string")))
     else:
@@ -138,8 +146,8 @@ def list_insights(insights: DataFrame, k: int = 10) -> DataFrame:
     return insights.orderBy(F.col("id").desc()).limit(k)
 
 
-def selection_text(selection: DataFrame, body_chars: int | None = None) -> DataFrame:
-    """numbered listing lines of the (bounded) selection as one text, with
+def selection_lines(selection: DataFrame, body_chars: int | None = None) -> DataFrame:
+    """the listing line (ordinal, line) of each article of a selection, with
     whole bodies or their first ``body_chars``."""
     body = F.coalesce(F.col("body"), F.lit(""))
     content = F.when(F.coalesce(F.col("summary"), F.lit("")) != "", F.col("summary")) \
@@ -149,7 +157,12 @@ def selection_text(selection: DataFrame, body_chars: int | None = None) -> DataF
                     F.coalesce(F.col("source"), F.lit("None")), F.lit(" / "),
                     F.coalesce(F.col("category"), F.lit("None")), F.lit(") "), F.coalesce(F.col("title"), F.lit("")),
                     F.lit("\n   "), content)
-    lines = selection.select(F.struct("ordinal", line.alias("l")).alias("x"))
+    return selection.select("ordinal", line.alias("line"))
+
+
+def selection_text(selection: DataFrame, body_chars: int | None = None) -> DataFrame:
+    """the lines of a selection with a limit as one text."""
+    lines = selection_lines(selection, body_chars).select(F.struct("ordinal", F.col("line").alias("l")).alias("x"))
     return lines.agg(F.array_join(F.array_sort(F.collect_list("x")).getField("l"), "\n").alias("text"),
                      F.count(F.lit(1)).alias("n_articles"))
 

@@ -289,6 +289,15 @@ def article_page(spark, sf):
     return AR.article_page(_q(spark, sf, category=CATEGORY), page=3, page_size=K.PAGE_SIZE)
 
 
+DEEP_PAGE = 25
+
+
+@query
+def article_page_deep(spark, sf):
+    """A page far down, read from its range of the ranked articles."""
+    return AR.ranked_articles(_q(spark, sf, category=CATEGORY)).page(DEEP_PAGE, K.PAGE_SIZE)
+
+
 @query
 def article_detail(spark, sf):
     j = AR.articles_joined(_a(spark, sf), _s(spark, sf))
@@ -652,6 +661,10 @@ def _selection(spark, sf, category=CATEGORY):
     return DG.analysis_selection(_a(spark, sf), _s(spark, sf), category=category)
 
 
+def _selected(spark, sf, category=CATEGORY):
+    return DG.selected_articles(_a(spark, sf), _s(spark, sf), category)
+
+
 @query
 def analysis_selection(spark, sf):
     return _selection(spark, sf).select("ordinal", "id", "title", "category", "source", "published_at")
@@ -659,12 +672,12 @@ def analysis_selection(spark, sf):
 
 @query
 def insight_digest(spark, sf):
-    return DG.insight_digest(_selection(spark, sf))
+    return DG.insight_digest(_selected(spark, sf))
 
 
 @query
 def insight_record(spark, sf):
-    return DG.insight_record(DG.insight_digest(_selection(spark, sf)), CATEGORY)
+    return DG.insight_record(DG.insight_digest(_selected(spark, sf)), CATEGORY)
 
 
 @query
@@ -672,7 +685,7 @@ def insight_latest(spark, sf):
     """Two appended records (the category's, then all articles'), stored
     with JSON-text arrays; the newest read back."""
     a, s = _a(spark, sf), _s(spark, sf)
-    recs = [DG.insight_record(DG.insight_digest(DG.analysis_selection(a, s, category=cat)), cat)
+    recs = [DG.insight_record(DG.insight_digest(DG.selected_articles(a, s, cat)), cat)
             .withColumn("id", F.lit(i).cast("long")) for i, cat in enumerate([CATEGORY, None], start=1)]
     table = DG.encode_arrays(recs[0].unionByName(recs[1]))
     return DG.latest_insight(DG.decode_arrays(table))
@@ -680,7 +693,8 @@ def insight_latest(spark, sf):
 
 @query
 def selection_digest_text(spark, sf):
-    return DG.selection_text(_selection(spark, sf), K.ANALYSIS_BODY_CHARS)
+    """one listing line for each article of the whole selection."""
+    return DG.selection_lines(_selection(spark, sf))
 
 
 def _targets(spark, sf):

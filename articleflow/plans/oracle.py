@@ -429,13 +429,14 @@ t AS (SELECT count(*) AS total FROM f)
 SELECT f.*, CAST(3 AS BIGINT) AS page, t.total,
        CAST(floor((t.total + {K.PAGE_SIZE} - 1) / {K.PAGE_SIZE}) AS BIGINT) AS last_page
 FROM (SELECT * FROM f ORDER BY published_at DESC NULLS LAST, id DESC LIMIT {K.PAGE_SIZE} OFFSET {2 * K.PAGE_SIZE}) f, t"""
+SQL["article_page_deep"] = SQL["article_page"].replace("CAST(3 AS BIGINT) AS page", f"CAST({Q.DEEP_PAGE} AS BIGINT) AS page") \
+    .replace(f"OFFSET {2 * K.PAGE_SIZE})", f"OFFSET {(Q.DEEP_PAGE - 1) * K.PAGE_SIZE})")
 SQL["article_detail"] = f"""{AS_CTE},{_J}
 SELECT id, title, source, category, published_at, url, is_duplicate, CAST(length(body) AS BIGINT) AS body_len,
        summary, sentiment,
        CASE WHEN summary IS NOT NULL AND coalesce(orig_len, 0) <> 0 THEN round(summary_len / orig_len * 100, 4)
             WHEN summary IS NOT NULL THEN 0.0 END AS compression_pct,
-       CASE WHEN length(body) <= {K.DETAIL_PREVIEW_CHARS} THEN body
-            ELSE substr(body, 1, {K.DETAIL_PREVIEW_CHARS}) || ' …' END AS preview
+       body AS preview
 FROM j WHERE id = {Q.ARTICLE_ID}"""
 SQL["summary_targets"] = f"""{AS_CTE},{_J}
 SELECT id, title, category, published_at FROM j
@@ -590,8 +591,7 @@ SELECT {_IC} FROM (SELECT *, row_number() OVER (PARTITION BY source, guid) AS nt
 _SEL = f"""{AS_CTE},{_J},
 sel AS (
   SELECT CAST(row_number() OVER (ORDER BY published_at DESC NULLS LAST, id DESC) AS BIGINT) AS ordinal, * FROM (
-    SELECT * FROM j WHERE category = {lit(Q.CATEGORY)} AND NOT is_duplicate
-    ORDER BY published_at DESC NULLS LAST, id DESC LIMIT {K.ANALYSIS_LIMIT}))"""
+    SELECT * FROM j WHERE category = {lit(Q.CATEGORY)} AND NOT is_duplicate))"""
 SQL["analysis_selection"] = f"{_SEL}\nSELECT ordinal, id, title, category, source, published_at FROM sel"
 
 _DIGEST = f""",
@@ -607,12 +607,9 @@ dg AS (SELECT (SELECT count(*) FROM sel) AS n_articles, coalesce(kw.keywords, []
               coalesce(ct.top_categories, []) AS top_categories, coalesce(sr.sources, []) AS sources FROM kw, ct, sr)"""
 SQL["insight_digest"] = f"{_SEL}{_DIGEST}\nSELECT * FROM dg"
 SQL["selection_digest_text"] = f"""{_SEL}
-SELECT string_agg(CAST(ordinal AS VARCHAR) || '. (' || coalesce(CAST(published_at AS VARCHAR), 'None') || ' / '
-                  || coalesce(source, 'None') || ' / ' || coalesce(category, 'None') || ') ' || coalesce(title, '')
-                  || chr(10) || '   ' || CASE WHEN coalesce(summary, '') <> '' THEN summary
-                                             ELSE substr(coalesce(body, ''), 1, {K.ANALYSIS_BODY_CHARS}) END,
-                  chr(10) ORDER BY ordinal) AS text,
-       count(*) AS n_articles
+SELECT ordinal, CAST(ordinal AS VARCHAR) || '. (' || coalesce(CAST(published_at AS VARCHAR), 'None') || ' / '
+       || coalesce(source, 'None') || ' / ' || coalesce(category, 'None') || ') ' || coalesce(title, '')
+       || chr(10) || '   ' || CASE WHEN coalesce(summary, '') <> '' THEN summary ELSE coalesce(body, '') END AS line
 FROM sel"""
 
 _TGT = f"""{AS_CTE},{_J},
