@@ -1,6 +1,5 @@
 """Analysis selection (P16), digest (A15), insight records (A16, F13, F14),
-selection listing text (F12), summary production (P15, M2) and report
-rows (A17).
+selection listing text (F12), summary production (P15, M2).
 
 The analysis selection is every article of a filter, or its newest ``limit``;
 its ordinals are exact ranks of a range-partitioned table, its listing is one
@@ -18,8 +17,6 @@ from .. import constants as K
 from ..functions import labels as L
 from ..functions import text as T
 from . import articles as AR
-from . import metrics as MT
-from . import trends as TR
 
 # FIXED VALUES: offline analysis texts ({} are filled in order).
 # MOCK_IMPLICATION alone is a wording of this library.
@@ -185,54 +182,13 @@ def build_summaries(targets: DataFrame, max_chars: int = K.SUMMARY_MAX_CHARS, se
         F.lit(model).alias("model"))
 
 
-def summary_outcomes(targets: DataFrame, built: DataFrame) -> DataFrame:
-    """P15 outcome counts: ok (written) and failed (empty summary)."""
-    t = targets.agg(F.count(F.lit(1)).alias("t"))
-    b = built.agg(F.count(F.lit(1)).alias("b"))
-    j = t.crossJoin(b)
-    return j.select(F.explode(F.array(
-        F.struct(F.lit("ok").alias("outcome"), F.col("b").alias("n")),
-        F.struct(F.lit("failed").alias("outcome"), (F.col("t") - F.col("b")).alias("n")))).alias("o")).select("o.*")
-
-
-# --------------------------------------------------------------------------
-# A17 report rows
-# --------------------------------------------------------------------------
-REPORT_COLUMNS = ("section", "rank", "key", "n", "value")
-
-
-def _section(df: DataFrame, section: str, key: str, n: str, order: list[Column], top: int | None,
-             value: Column | None = None) -> DataFrame:
-    if top is not None:
-        df = df.orderBy(*order).limit(top)
-    from pyspark.sql import Window
-    w = Window.orderBy(*order)   # small: a top-N list or a per-day / per-label count
-    return df.select(F.lit(section).alias("section"), F.row_number().over(w).cast("long").alias("rank"),
-                     F.col(key).cast("string").alias("key"), F.col(n).cast("long").alias("n"),
-                     (value if value is not None else F.lit(None)).cast("double").alias("value"))
-
-
-def report_rows(raw: DataFrame, articles: DataFrame, summaries: DataFrame, top_n: int = K.TOP_N,
-                trend_days: int = K.TREND_DAYS) -> DataFrame:
-    """A17 as ordered sections (section, rank, key, n, value): quality
-    metrics, top categories, top title keywords, sources, sentiments, new
-    and rising keywords."""
-    q = MT.quality_metrics(raw, articles, summaries)
-    names = ["raw_total", "raw_ok", "crawl_success_rate", "clean_total", "duplicates", "dedup_removed",
-             "summarized", "summary_coverage", "avg_compression"]
-    metrics = q.select(F.explode(F.array(*[
-        F.struct(F.lit(i + 1).cast("long").alias("rank"), F.lit(nm).alias("key"),
-                 F.col(nm).cast("double").alias("value")) for i, nm in enumerate(names)])).alias("m")).select(
-        F.lit("metrics").alias("section"), "m.rank", "m.key", F.lit(None).cast("long").alias("n"), "m.value")
-    by_n = [F.col("n").desc()]
-    cats = _section(MT.category_counts(articles), "category", "category", "n", by_n + [F.col("category")], top_n)
-    kws = _section(TR.top_keywords(articles, top_n), "keyword", "token", "n", by_n + [F.col("token")], top_n)
-    srcs = _section(MT.source_counts(articles), "source", "source", "n", by_n + [F.col("source")], None)
-    sents = _section(MT.sentiment_overall(summaries), "sentiment", "sentiment", "n", by_n + [F.col("sentiment")],
-                     None)
-    tn = TR.trend_new(articles, trend_days, top_n)
-    new = _section(tn, "trend_new", "token", "today_n", [F.col("today_n").desc(), F.col("token")], None)
-    tr = TR.trend_rising(articles, trend_days, top_n)
-    rising = _section(tr, "trend_rising", "token", "today_n", [F.col("today_n").desc(), F.col("token")], None,
-                      F.col("prior_avg"))
-    return reduce(lambda a, b: a.unionByName(b), [metrics, cats, kws, srcs, sents, new, rising])
+def summary_outcomes(targets: DataFrame, summaries: DataFrame, max_chars: int = K.SUMMARY_MAX_CHARS) -> DataFrame:
+    """P15 outcome counts of a run over ``targets`` in one pass over them: ok
+    (written), failed (empty summary) and done (had a summary before)."""
+    before = summaries.select(F.col("article_id").alias("__sid"), F.lit(True).alias("__done")).distinct()
+    t = targets.join(before, targets["id"] == F.col("__sid"), "left")
+    text = T.extractive_summary(F.col("body"), max_chars)
+    outcome = F.when(F.col("__done"), "done").when(F.length(T.unicode_trim(text)) > 0, "ok").otherwise("failed")
+    counts = t.agg(*[F.count_if(outcome == x).alias(x) for x in ("ok", "failed", "done")])
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(x).alias("outcome"), F.col(x).alias("n")) for x in ("ok", "failed", "done")]))
+                         .alias("o")).select("o.*")

@@ -131,3 +131,16 @@ def guid_exists(items: DataFrame, raw: DataFrame) -> DataFrame:
 def uncleaned(raw: DataFrame, processed: DataFrame) -> DataFrame:
     """Raw rows not in the processed-id ledger, in id order."""
     return raw.join(processed.select(F.col("raw_id").alias("id")), "id", "left_anti")
+
+
+def fetch_stats(feeds: DataFrame, items: DataFrame) -> DataFrame:
+    """Per source and in total ('*'): feeds read and those without items
+    (``feeds``: source, n_items), items saved and those whose body failed
+    (``items``: source, crawl_status), in one aggregate over both."""
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    rows = feeds.select("source", one.alias("feeds"), (F.col("n_items") == 0).cast("long").alias("feed_failed"), none.alias("saved"), none.alias("body_failed")) \
+        .unionByName(items.select("source", none.alias("feeds"), none.alias("feed_failed"), one.alias("saved"),
+                                  (F.col("crawl_status") == "failed").cast("long").alias("body_failed")))
+    names = ("feeds", "feed_failed", "saved", "body_failed")
+    sums = rows.rollup("source").agg(F.grouping("source").alias("__all"), *[F.sum(c).alias(c) for c in names])
+    return sums.select(F.when(F.col("__all") == 1, "*").otherwise(F.col("source")).alias("source"), *names)

@@ -68,7 +68,7 @@ def trend_window(articles: DataFrame, days: int = K.TREND_DAYS) -> DataFrame:
 
 
 def _daily(counts: DataFrame, win: DataFrame) -> DataFrame:
-    return counts.where(F.col("token").isNotNull()).join(F.broadcast(win.select("day")), "day", "left_semi")
+    return counts.where(F.col("token").isNotNull()).join(win.select("day"), "day", "left_semi")
 
 
 def daily_keywords(articles: DataFrame, days: int = K.TREND_DAYS, stopwords=K.STOPWORDS) -> DataFrame:
@@ -103,22 +103,29 @@ def trend_top_today(articles: DataFrame, days: int = K.TREND_DAYS, top_n: int =
     return _top(b, top_n).select("today", "token", "today_n")
 
 
+def new_keywords(briefing: DataFrame) -> DataFrame:
+    """A14 new: today >= 2 and never in the prior days."""
+    return briefing.where((F.col("today_n") >= 2) & (F.col("prior_total") == 0))
+
+
+def rising_keywords(briefing: DataFrame) -> DataFrame:
+    """A14 rising: today >= 2, seen before, today >= 1.5 x prior mean and
+    today - prior mean >= 1."""
+    return briefing.where((F.col("today_n") >= 2) & (F.col("prior_total") > 0)
+                          & (F.col("today_n") >= F.col("prior_avg") * 1.5)
+                          & ((F.col("today_n") - F.col("prior_avg")) >= 1))
+
+
 def trend_new(articles: DataFrame, days: int = K.TREND_DAYS, top_n: int = K.TOP_N,
               stopwords=K.STOPWORDS) -> DataFrame:
-    """A14 new: today >= 2 and never in the prior days."""
-    b = briefing_counts(articles, days, stopwords)
-    b = b.where((F.col("today_n") >= 2) & (F.col("prior_total") == 0))
-    return _top(b, top_n).select("today", "token", "today_n")
+    """The most frequent new keywords."""
+    return _top(new_keywords(briefing_counts(articles, days, stopwords)), top_n).select("today", "token", "today_n")
 
 
 def trend_rising(articles: DataFrame, days: int = K.TREND_DAYS, top_n: int = K.TOP_N,
                  stopwords=K.STOPWORDS) -> DataFrame:
-    """A14 rising: today >= 2, seen before, today >= 1.5 x prior mean and
-    today - prior mean >= 1.  The mean is published unrounded (N8)."""
-    b = briefing_counts(articles, days, stopwords)
-    b = b.where((F.col("today_n") >= 2) & (F.col("prior_total") > 0)
-                & (F.col("today_n") >= F.col("prior_avg") * 1.5)
-                & ((F.col("today_n") - F.col("prior_avg")) >= 1))
+    """The most frequent rising keywords.  The mean is published unrounded."""
+    b = rising_keywords(briefing_counts(articles, days, stopwords))
     return _top(b, top_n).select("today", "token", "today_n", "prior_total", "prior_days",
                                  F.round("prior_avg", 6).alias("prior_avg"))
 
@@ -132,6 +139,6 @@ def keyword_timeline(articles: DataFrame, days: int = K.TREND_DAYS, top_k: int =
     per_day = _daily(counts, win)
     top = (per_day.groupBy("token").agg(F.sum("n").alias("total"))
            .orderBy(F.col("total").desc(), F.col("token").asc()).limit(top_k).select("token"))
-    grid = F.broadcast(win.select("day")).crossJoin(F.broadcast(top))
+    grid = win.select("day").crossJoin(F.broadcast(top))
     return grid.join(per_day, ["day", "token"], "left").select(
         "day", "token", F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"))

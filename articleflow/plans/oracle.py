@@ -321,18 +321,20 @@ def _hint_count(words, t: str) -> str:
 
 SQL["lexicon_sentiment"] = f"""{A_ONLY}
 SELECT id, CASE WHEN p > n THEN 'positive' WHEN n > p THEN 'negative' ELSE 'neutral' END AS sentiment FROM (
-  SELECT id, {_hint_count(K.POSITIVE_HINTS, "(title || body)")} AS p,
-         {_hint_count(K.NEGATIVE_HINTS, "(title || body)")} AS n FROM a)"""
+  SELECT id, {_hint_count(Q.LATIN_POSITIVE, "(title || body)")} AS p,
+         {_hint_count(Q.LATIN_NEGATIVE, "(title || body)")} AS n FROM a)"""
 
 _ALIAS = " ".join(f"WHEN {lit(k)} THEN {lit(v)}" for k, v in K.LABEL_ALIASES.items())
 _DISP = " ".join(f"WHEN {lit(k)} THEN {lit(v)}" for k, v in K.LABEL_DISPLAY.items())
-SQL["label_normalized"] = f"""{AS_CTE}
+_SPELLED = ", ".join("NULL" if x is None else lit(x) for x in Q.SPELLINGS)
+SQL["label_normalized"] = f"""{AS_CTE},
+sp AS (SELECT article_id, ([{_SPELLED}])[article_id % {len(Q.SPELLINGS)} + 1] AS sentiment FROM s)
 SELECT article_id,
   CASE WHEN sentiment IS NULL OR sentiment = '' THEN 'neutral'
        WHEN lower({trim_ws('sentiment')}) IN ('positive', 'negative', 'neutral') THEN lower({trim_ws('sentiment')})
        ELSE coalesce(CASE lower({trim_ws('sentiment')}) {_ALIAS} END, 'neutral') END AS label,
   coalesce(CASE coalesce(sentiment, 'unknown') {_DISP} END, {lit(K.DISPLAY_UNCLASSIFIED)}) AS display
-FROM s"""
+FROM sp"""
 
 # clean path -------------------------------------------------------------------
 SQL["clean_valid"] = f"WITH {V_CTE}\nSELECT {CLEAN_COLS} FROM ok"
@@ -624,11 +626,13 @@ built AS (
   JOIN bs_sum ON tg.id = bs_sum.k
   WHERE length({trim_ws("bs_sum.summary")}) > 0)"""
 SQL["summaries_built"] = f"{_TGT}\nSELECT * FROM built"
+_ALL_BUILT = _TGT.replace("WHERE NOT summarized AND NOT is_duplicate", "WHERE NOT is_duplicate")
 SQL["summary_outcomes"] = f"""{_TGT}
 SELECT 'ok' AS outcome, (SELECT count(*) FROM built) AS n
-UNION ALL SELECT 'failed', (SELECT count(*) FROM tg) - (SELECT count(*) FROM built)"""
-SQL["merge_summary"] = f"""{_TGT}
-SELECT article_id, summary, orig_len, summary_len, sentiment, model FROM s
+UNION ALL SELECT 'failed', (SELECT count(*) FROM tg) - (SELECT count(*) FROM built)
+UNION ALL SELECT 'done', (SELECT count(*) FROM j WHERE summarized AND NOT is_duplicate)"""
+SQL["merge_summary"] = f"""{_ALL_BUILT}
+SELECT article_id, summary, orig_len, summary_len, sentiment, model FROM s WHERE article_id NOT IN (SELECT article_id FROM built)
 UNION ALL SELECT article_id, summary, orig_len, summary_len, sentiment, model FROM built"""
 
 SQL["health_metrics"] = f"""WITH {A_CTE},{S_CTE},{RP_CTE},
@@ -643,15 +647,18 @@ SELECT '{Q.AS_OF}' AS as_of,
 SQL["fetch_stats"] = f"""WITH {_ITEMS},
 oc AS (SELECT b.source, CASE WHEN coalesce(px.body, '') <> '' THEN 'ok' ELSE 'failed' END AS st
        FROM bud b LEFT JOIN px ON b.url = px.url)
-SELECT source, count(*) AS saved, count(*) FILTER (WHERE st = 'failed') AS body_failed FROM oc GROUP BY source
-UNION ALL SELECT '*', count(*), count(*) FILTER (WHERE st = 'failed') FROM oc"""
+SELECT source, sum(f) AS feeds, 0 AS feed_failed, sum(k) AS saved, sum(bad) AS body_failed FROM (
+  SELECT source, 1 AS f, 0 AS k, 0 AS bad FROM (SELECT DISTINCT source, category, feed_no FROM it)
+  UNION ALL SELECT source, 0, 1, CASE WHEN st = 'failed' THEN 1 ELSE 0 END FROM oc) GROUP BY source
+UNION ALL SELECT '*', (SELECT count(*) FROM (SELECT DISTINCT source, category, feed_no FROM it)), 0, count(*), count(*) FILTER (WHERE st = 'failed') FROM oc"""
 
 # more oracles -------------------------------------------------------------------------
 SQL["health_warnings"] = f"""
 WITH hm AS ({SQL["health_metrics"]}),
 qm AS ({SQL["quality_metrics"]})
 SELECT rule FROM (
-  SELECT 'run_log_missing' AS rule, true AS hit
+  SELECT 'last_run_failed' AS rule, (SELECT bad > 0 FROM (SELECT substr(collected_at, 1, 10) AS day, count(*) FILTER (crawl_status = 'failed') AS bad
+    FROM ({f"WITH {RP_CTE} SELECT * FROM rp"}) GROUP BY 1 ORDER BY 1 DESC LIMIT 1)) AS hit
   UNION ALL SELECT 'nothing_collected_today', (SELECT collected_today FROM hm) = 0
   UNION ALL SELECT 'clean_backlog', (SELECT uncleaned FROM hm) > 0
   UNION ALL SELECT 'low_summary_coverage',
@@ -839,3 +846,13 @@ SQL["tone_verdict"] = f"""{_TONES}
 SELECT x.cluster, CASE WHEN x.n_labels > 1 AND x.n < x.size THEN 'split' ELSE 'agree' END AS verdict, x.label AS label1, x.n AS n1,
   CASE WHEN x.n_labels > 1 AND x.n < x.size THEN y.label END AS label2, CASE WHEN x.n_labels > 1 AND x.n < x.size THEN y.n END AS n2
 FROM tr x LEFT JOIN tr y ON y.cluster = x.cluster AND y.r = 2 WHERE x.r = 1"""
+
+SQL["report_full"] = SQL["report_rows"] + f"""
+UNION ALL
+SELECT 'event', rk, rep_title, size, n_sources::DOUBLE FROM (SELECT *, row_number() OVER (ORDER BY size DESC, cluster) AS rk FROM ({SQL["events"]})) WHERE rk <= {K.TOP_N}
+UNION ALL
+SELECT 'tone', e.rk, concat_ws(' ', t.verdict, t.label1, t.label2), t.n1, t.n2::DOUBLE
+FROM (SELECT cluster, row_number() OVER (ORDER BY size DESC, cluster) AS rk FROM ({SQL["events"]})) e JOIN ({SQL["tone_verdict"]}) t ON t.cluster = e.cluster WHERE e.rk <= {K.TOP_N}
+UNION ALL
+SELECT 'insight', unnest(generate_series(1, len(x)))::BIGINT, unnest(x), NULL, NULL
+FROM (SELECT list_concat(list_concat(trends, keywords), list_concat(common_diff, implications)) AS x FROM ({SQL["insight_record"]}))"""

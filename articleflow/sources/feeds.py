@@ -141,6 +141,12 @@ def parse_feed(payloads: DataFrame, payload_col: str = "payload") -> DataFrame:
                            F.col("i.summary").alias("summary"))).alias("raw_json"))
 
 
+def feed_sizes(payloads: DataFrame, payload_col: str = "payload") -> DataFrame:
+    """(source, category, n_items) of each feed text; 0 for one that is no feed."""
+    n = F.when(F.col(payload_col).isNull(), 0).otherwise(F.size(items_of(F.col(payload_col))))
+    return payloads.select("source", "category", n.cast("long").alias("n_items"))
+
+
 def crawl_outcome(items: DataFrame, extracted: DataFrame | None) -> DataFrame:
     """Join items to extracted pages on url.  Body found -> 'ok' and the
     feed title preferred over the page title; none -> 'failed'; extraction
