@@ -6,9 +6,10 @@ count; then one copy of each boilerplate line stays and the others go.
 
 A line is the text between newlines without outer blanks; empty lines are
 never boilerplate.  A line is boilerplate when it occurs on at least
-``min_sites`` distinct sites (null sites are no site).  The copy in the
-smallest doc_id (there its first place) stays, so groups of whole copies keep
-their text once; ``keep_first=False`` removes every copy.
+``min_sites`` distinct sites (null sites are no site).  The copy at the first
+place stays, so groups of whole copies keep their text once; places are ordered
+by doc_id (rows without one come last), hash of the text, line number.
+``keep_first=False`` removes every copy.
 
 JVM-side throughout.  Lines that occur fewer than ``min_sites`` times cannot
 be spread widely enough; a map-side combined count drops them, so that only
@@ -18,7 +19,8 @@ join side that AQE may split.
 
 Defined cases: a null text stays null and has no lines; rows that repeat a
 doc_id with the same text count as one document and keep the same lines; rows
-that repeat it with other text are told apart by the text's hash; an empty
+that repeat it with other text are told apart by the text's hash, and so are
+rows without a doc_id; an empty
 table gives an empty result; other columns pass through unchanged.
 """
 
@@ -70,19 +72,20 @@ def line_dedup(docs: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K, ke
     spread = stage(spread_lines(lines, min_sites, lg_k), "lines-spread")
     hits = lines.join(spread, ["__h", "__g"])
     if keep_first:
-        first = hits.groupBy("__h", "__g").agg(F.min("__d").alias("first"))
-        place = hits.join(first, ["__h", "__g"]).where(F.col("__d") == F.col("first")) \
-            .groupBy("__h", "__g", "__d", "__t").agg(F.min("__p").alias("__p")).withColumn("__keep", F.lit(True))
-        hits = hits.join(stage(place, "lines-kept"), ["__h", "__g", "__d", "__t", "__p"], "left").where(F.col("__keep").isNull())
-    gone = hits.groupBy("__d", "__t").agg(F.collect_set("__p").alias("__gone"))
-    keyed = docs.withColumn("__t", F.xxhash64("text"))
+        place = F.struct(F.col("__d").isNull().alias("none"), F.col("__d").alias("d"), F.col("__t").alias("t"), F.col("__p").alias("p"))
+        first = hits.groupBy("__h", "__g").agg(F.min(place).alias("__first"))
+        hits = hits.join(first, ["__h", "__g"]).where(place != F.col("__first"))
+    gone = hits.groupBy("__d", "__t").agg(F.sort_array(F.collect_set("__p")).alias("__gone"))
+    # the lines are cut before the join, so that what follows only slices them
+    keyed = docs.withColumn("__t", F.xxhash64("text")).withColumn("__parts", F.split("text", "\n", -1)).drop("text")
     out = keyed.join(gone.withColumnRenamed("__t", "__u"),
                      F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("__t") == F.col("__u")), "left")
-    parts = F.split("text", "\n", -1)
-    kept = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains("__gone", i)), "\n")
-    columns = [F.when(F.col("__gone").isNull(), F.col("text")).otherwise(kept).alias("text") if c == "text" else F.col(c)
-               for c in docs.columns]
-    return out.select(*columns, F.when(F.col("text").isNull(), 0).otherwise(F.size(parts)).cast("long").alias("__n_lines"),
+    starts = F.concat(F.array(F.lit(0)), F.transform("__gone", lambda x: x + 1))
+    ends = F.concat(F.col("__gone"), F.array(F.size("__parts")))
+    runs = F.zip_with(starts, ends, lambda a, b: F.slice("__parts", a + 1, b - a))           # between two lines that go
+    kept = F.when(F.col("__gone").isNull(), F.col("__parts")).otherwise(F.flatten(runs))
+    columns = [F.array_join(kept, "\n").alias("text") if c == "text" else F.col(c) for c in docs.columns]
+    return out.select(*columns, F.when(F.col("__parts").isNull(), 0).otherwise(F.size("__parts")).cast("long").alias("__n_lines"),
                       F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone")).cast("long").alias("__n_removed"))
 
 
