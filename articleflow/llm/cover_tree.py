@@ -11,22 +11,25 @@ q.p + r|p| + s|q| + rs.
 On Spark the top levels of both trees are tables: pivots from a bounded,
 documented sample (SAMPLE vectors of the smallest hash of vec_id) deal the
 vectors into cells, and a cell is cut by hash into shards of about SHARD
-vectors (query cells: BLOCK queries), so a cell that holds a third of all rows
-is no large task.  Every shard and every block is one row with its centre and
-radius.  Blocks first search the shards of their own cell, which gives their
-worst k-th scores; then the blocks meet all other shards under the bound (a
-stated query set against all rows, in blocks).  Inside a task the subtrees are
-walked together.  The best k per query are merged by a ranked window, whose
-limit Spark pushes below the shuffle.  Blocks travel in piles of about PILE
-queries, so a shard's vectors are sent once for each pile that has a block left
-under the bound, and every block is searched from its queries' own k-th scores.
+vectors (query cells: BLOCK queries); these are dealt to tasks one by one, so a
+cell that holds a third of all rows is no large task.  Every shard and every
+block is one row with its centre and radius.  Blocks first search the shards of
+their own cell, which gives their worst k-th scores; then the blocks meet all
+other shards under the bound (a stated query set against all rows, in blocks).
+That is decided before any vector moves, on rows of centres and radii: first
+for a block and a whole cell (its shards' ball), then for a block and a shard.
+Inside a task the subtrees are walked together.  The best k per query are
+merged by a ranked window, whose limit Spark pushes below the shuffle.  Blocks
+travel in piles of about PILE queries, so a shard's vectors are sent once for
+each pile that has a block left under the bound, and every block is searched
+from its queries' own k-th scores.
 
 Defined cases: vectors that are null or hold null or non-finite components
 take no part, nor do rows without vec_id; vectors are only compared with
-vectors of the same length; rows that repeat a vec_id with the same vector are
-one row, with another vector they are candidates of their own (never for their
-own id); fewer than k candidates give them all; an empty table gives an empty
-result.
+vectors of the same length; rows that repeat a vec_id are queries and
+candidates of their own (never for their own id; the k best of a query id are
+those of all its rows together, each pair of rows counted); fewer than k
+candidates give them all; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -35,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage
@@ -142,9 +145,6 @@ class Search:
         row, s, found = np.append(row, old), np.append(s, self.scores[old, nth]), np.append(found, self.found[old, nth])
         order = np.lexsort((found, ~s, row))
         row, s, found = row[order], s[order], found[order]
-        new = np.ones(len(row), bool)
-        new[1:] = (row[1:] != row[:-1]) | (s[1:] != s[:-1]) | (found[1:] != found[:-1])
-        row, s, found = row[new], s[new], found[new]
         nth = np.arange(len(row)) - np.searchsorted(row, row)
         top = nth < self.k
         row, nth = row[top], nth[top]
@@ -164,7 +164,7 @@ def _integers(emb: DataFrame, scale: int) -> DataFrame:
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("long"))
     rows = emb.select(F.col("vec_id").cast("long"), "embedding").where("vec_id is not null").where(F.coalesce(fine, F.lit(False)))
-    return rows.select("vec_id", whole.alias("v"), F.size("embedding").alias("dim")).distinct()
+    return rows.select("vec_id", whole.alias("v"), F.size("embedding").alias("dim"))
 
 
 def _pivots(vectors: DataFrame) -> dict[int, np.ndarray]:
@@ -206,7 +206,8 @@ def _packed(vectors: DataFrame, pivots: dict[int, np.ndarray], size: int) -> Dat
     dealt = stage(vectors.mapInPandas(cells, "vec_id long, v array<long>, dim int, cell int"), "vectors")
     sizes = dealt.groupBy("dim", "cell").agg(F.count(F.lit(1)).alias("n"))
     part = F.pmod(F.xxhash64("vec_id", F.lit("part")), F.ceil(F.col("n") / size)).cast("int")
-    return dealt.join(sizes, ["dim", "cell"]).withColumn("part", part).drop("n").groupBy("dim", "cell", "part").applyInPandas(
+    cut = dealt.join(sizes, ["dim", "cell"]).withColumn("part", part).drop("n")
+    return cut.repartition("dim", "cell", "part").groupBy("dim", "cell", "part").applyInPandas(
         pack, "dim int, cell int, part int, center array<double>, radius double, norm double, ids binary, data binary")
 
 
@@ -248,22 +249,47 @@ def top_k(emb: DataFrame, every: int = 100, k: int = K, scale: int = SCALE) -> D
     one = F.array(F.struct(F.col("q_ids").alias("ids"), F.col("q_data").alias("data"), none.alias("floors")))
     own = q.join(d, (q["dim"] == d["dim"]) & (F.col("q_cell") == F.col("d_cell"))).drop(q["dim"]).withColumn("blocks", one)
     home = stage(_best(_search(own, k), k).select("query_id", "vec_id", "score", "rank"), "home")
-    kth = home.where(F.col("rank") == k).select("query_id", F.col("score").cast("double").alias("kth"))
+    kth = home.where(F.col("rank") == k).select("query_id", F.col("score").cast("double").alias("kth"))     # one row a query id
     piles = stage(_piles(blocks, kth), "piles")
 
-    def near(b):
-        """Whether the block may hold a score that counts in the shard."""
-        dot = F.aggregate(F.zip_with(b["center"], "d_center", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-        bound = dot + b["radius"] * F.col("d_norm") + F.col("d_radius") * b["norm"] + b["radius"] * F.col("d_radius")
-        return (b["cell"] != F.col("d_cell")) & (bound + F.abs(bound) * 1e-9 + 1e-3 >= F.array_min(b["floors"]))
-    rest = d.join(piles, "dim").withColumn("blocks", F.filter("blocks", near)).where(F.size("blocks") > 0)
+    pairs = stage(_surviving(shards, blocks, piles), "pairs")
+    rest = pairs.join(piles.select(F.col("dim").alias("__dim"), F.col("pile").alias("__pile"), F.col("cell").alias("__cell"), F.col("part").alias("__part"),
+                                   F.struct("ids", "data", "floors").alias("block")),
+                      (F.col("dim") == F.col("__dim")) & (F.col("q_cell") == F.col("__cell")) & (F.col("q_part") == F.col("__part")))
+    rest = rest.groupBy("dim", "d_cell", "d_part", "__pile").agg(F.collect_list("block").alias("blocks"))    # at most a pile's blocks
+    rest = rest.join(d, ["dim", "d_cell", "d_part"])
     found = home.select("query_id", "vec_id", "score").unionByName(_search(rest, k))
     return _best(found, k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 
 
+def _bound(q: str, d: str) -> Column:
+    """The greatest score that a query in ball q may have in ball d."""
+    dot = F.aggregate(F.zip_with(f"{q}_center", f"{d}_center", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    bound = dot + F.col(f"{q}_radius") * F.col(f"{d}_norm") + F.col(f"{d}_radius") * F.col(f"{q}_norm") + F.col(f"{q}_radius") * F.col(f"{d}_radius")
+    return bound + F.abs(bound) * 1e-9 + 1e-3
+
+
+def _surviving(shards: DataFrame, blocks: DataFrame, piles: DataFrame) -> DataFrame:
+    """(dim, q_cell, q_part, d_cell, d_part): the blocks and the shards of other
+    cells that may hold a score above the block's worst k-th one."""
+    worst = piles.select("dim", F.col("cell").alias("q_cell"), F.col("part").alias("q_part"), F.array_min("floors").alias("worst"))
+    ball = ["center", "radius", "norm"]
+    q = blocks.select("dim", F.col("cell").alias("q_cell"), F.col("part").alias("q_part"), *[F.col(c).alias(f"q_{c}") for c in ball])
+    d = shards.select("dim", F.col("cell").alias("d_cell"), F.col("part").alias("d_part"), *[F.col(c).alias(f"d_{c}") for c in ball])
+    # a cell's ball: around its least shard's centre, out to the far end of every shard
+    first = d.groupBy("dim", "d_cell").agg(F.min_by(F.struct("d_center", "d_norm"), "d_part").alias("f"))
+    gap = F.sqrt(F.aggregate(F.zip_with("d_center", "f.d_center", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
+    cells = d.join(first, ["dim", "d_cell"]).groupBy("dim", "d_cell").agg(
+        F.first("f").alias("f"), F.max(gap + F.col("d_radius")).alias("c_radius"))
+    cells = cells.select("dim", "d_cell", F.col("f.d_center").alias("c_center"), F.col("f.d_norm").alias("c_norm"), "c_radius")
+    near = q.join(worst, ["dim", "q_cell", "q_part"]).join(cells, "dim").where("q_cell <> d_cell").where(_bound("q", "c") >= F.col("worst"))
+    return near.drop("c_center", "c_norm", "c_radius").join(d, ["dim", "d_cell"]).where(_bound("q", "d") >= F.col("worst")) \
+        .select("dim", "q_cell", "q_part", "d_cell", "d_part")
+
+
 def _piles(blocks: DataFrame, kth: DataFrame) -> DataFrame:
-    """(dim, pile, blocks): the blocks with their queries' k-th scores (none
-    until a query has k), dealt by hash into piles of about PILE queries."""
+    """The blocks with their queries' k-th scores (``floors``, none until a query
+    has k) and a pile: by hash, about PILE queries each."""
     def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for r in b.itertuples():
@@ -274,8 +300,7 @@ def _piles(blocks: DataFrame, kth: DataFrame) -> DataFrame:
     floors = each.join(kth, "query_id", "left").groupBy("dim", "cell", "part").agg(F.array_sort(F.collect_list(floor))["kth"].alias("floors"))
     sizes = each.groupBy("dim").agg(F.count(F.lit(1)).alias("n"))
     pile = F.pmod(F.xxhash64("cell", "part"), F.ceil(F.col("n") / PILE))
-    row = F.struct("cell", "center", "radius", "norm", "ids", "data", "floors")
-    return blocks.join(floors, ["dim", "cell", "part"]).join(sizes, "dim").groupBy("dim", pile.alias("pile")).agg(F.collect_list(row).alias("blocks"))
+    return blocks.join(floors, ["dim", "cell", "part"]).join(sizes, "dim").withColumn("pile", pile).drop("n")
 
 
 def op3_top_k(spark, sf_dir):

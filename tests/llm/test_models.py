@@ -25,12 +25,10 @@ SF = "/root/testdata/sf0.001"
 def brute_top_k(rows, every, k):
     ok = [(i, [int(np.floor(float(x) * 1024)) for x in v]) for i, v in rows
           if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
-    ok = [(i, list(v)) for i, v in {(i, tuple(v)) for i, v in ok}]
-    out = set()
-    for q, qv in ok:
-        if q % every == 0:
-            best = sorted({(-sum(a * b for a, b in zip(qv, v)), i) for i, v in ok if i != q and len(v) == len(qv)})[:k]
-            out |= {(q, r + 1, i, -s) for r, (s, i) in enumerate(best)}
+    out = Counter()
+    for q in {i for i, _ in ok if i % every == 0}:
+        best = sorted((-sum(a * b for a, b in zip(qv, v)), i) for j, qv in ok if j == q for i, v in ok if i != q and len(v) == len(qv))[:k]
+        out.update((q, r + 1, i, -s) for r, (s, i) in enumerate(best))
     return out
 
 
@@ -40,13 +38,22 @@ def test_top_k(spark, monkeypatch):
     vecs = [(i, (centers[i % 6] * (1 + i % 3) + 0.1 * rnd.normal(size=8)).round(3).tolist()) for i in range(900)]
     vecs += [(1000 + i, [0.5] * 8) for i in range(300)]                             # ties
     vecs += [(2000, None), (2001, [None] * 8), (2002, [float("nan")] * 8), (2003, [float("inf")] + [0.0] * 7),
-             (None, [0.1] * 8), (2100, [1.0, 2.0]), (2101, [3.0, 1.0]), (2200, []), (3, vecs[3][1])]
+             (None, [0.1] * 8), (2100, [1.0, 2.0]), (2101, [3.0, 1.0]), (2200, []), (3, vecs[3][1]),
+             (4, vecs[4][1]), (4, vecs[4][1]), (4, vecs[10][1]), (50, vecs[50][1]), (75, vecs[80][1]), (1025, [0.5] * 8)]    # repeated rows
     df = spark.createDataFrame([(i, v, 0, 1) for i, v in vecs], "vec_id long, embedding array<double>, rank int, score int")
     monkeypatch.setattr(cover_tree, "SHARD", 200)
     monkeypatch.setattr(cover_tree, "BLOCK", 8)
     got = cover_tree.top_k(df, every=25)
     assert [t for _, t in got.dtypes] == ["bigint", "int", "bigint", "bigint"]
-    assert {tuple(r) for r in got.collect()} == brute_top_k(vecs, 25, 10)
+    assert Counter(tuple(r) for r in got.collect()) == brute_top_k(vecs, 25, 10)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding DOUBLE[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", vecs)
+    sql = queries.TOP_K_SQL.replace("% 100 = 0", "% 25 = 0").replace("(x::DOUBLE", "(x")
+    assert Counter((r[0], r[1], r[2], r[3]) for r in con.execute(sql).fetchall()) == brute_top_k(vecs, 25, 10)
+    blocks = cover_tree._packed(cover_tree._integers(df, 1024), {8: np.zeros((1, 8))}, 200)
+    plan = blocks._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(dim#\d+, cell#\d+, part#\d+", plan)
     assert cover_tree.top_k(df.limit(0)).count() == 0
 
 
