@@ -2,14 +2,15 @@
 join (J1), article order (T1), paging (W9/T2) and export view (S10).
 
 Filters are plain predicates on the scan, so Catalyst pushes them into the
-Parquet reader; the summary join is an equi-join on the article id.
+Parquet reader; the summary join is an equi-join on the article id, made once
+where the read table is stored.
 """
 
 from __future__ import annotations
 
 from string import ascii_lowercase, ascii_uppercase
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -28,14 +29,13 @@ def articles_joined(articles: DataFrame, summaries: DataFrame) -> DataFrame:
         *ARTICLE_COLUMNS, *SUMMARY_COLUMNS, F.col("_sid").isNotNull().alias("_summarized"))
 
 
-def query_articles(articles: DataFrame, summaries: DataFrame, *, article_id: int | None = None,
-                   category: str | None = None, source: str | None = None, day: str | None = None,
-                   date_from: str | None = None, date_to: str | None = None, keyword: str | None = None,
-                   status: str | None = None, include_duplicates: bool = False) -> DataFrame:
-    """ANDed filters; empty strings mean "no filter".  Unordered —
-    apply :func:`order_articles` (T1) where order matters."""
+def filter_articles(articles: DataFrame, *, article_id: int | None = None,
+                    category: str | None = None, source: str | None = None, day: str | None = None,
+                    date_from: str | None = None, date_to: str | None = None, keyword: str | None = None,
+                    include_duplicates: bool = False) -> DataFrame:
+    """P1-P8 without the summary status: ANDed predicates on the article
+    columns, so they reach the scan; empty strings mean "no filter"."""
     a = articles
-    # article-side predicates first: they reach the scan / stay below the join
     if article_id is not None:
         a = a.where(F.col("id") == article_id)
     if category:
@@ -55,12 +55,45 @@ def query_articles(articles: DataFrame, summaries: DataFrame, *, article_id: int
         a = a.where(folded[0].like(pat) | folded[1].like(pat))
     if not include_duplicates:
         a = a.where(~F.col("is_duplicate"))
-    j = articles_joined(a, summaries)
+    return a
+
+
+def _of_status(joined: DataFrame, status: str | None) -> DataFrame:
     if status == "summarized":
-        j = j.where(F.col("_summarized"))
+        joined = joined.where(F.col("_summarized"))
     elif status == "unsummarized":
-        j = j.where(~F.col("_summarized"))
-    return j.drop("_summarized")
+        joined = joined.where(~F.col("_summarized"))
+    return joined.drop("_summarized")
+
+
+def query_articles(articles: DataFrame, summaries: DataFrame, *, status: str | None = None, **filters) -> DataFrame:
+    """P1-P8 over articles and summaries apart: the article filters stay below
+    the join.  Unordered — apply :func:`order_articles` (T1) where order matters."""
+    return _of_status(articles_joined(filter_articles(articles, **filters), summaries), status)
+
+
+# --------------------------------------------------------------------------
+# the read table: articles with their summaries, clustered for P1-P8
+# --------------------------------------------------------------------------
+def write_article_table(articles: DataFrame, summaries: DataFrame, path: str) -> None:
+    """Stores the read path's table: flags and summaries are decided once, days
+    are folders, files are sorted by id (so their id ranges hardly overlap) and
+    carry Bloom filters on id, url and title hash.  A day, a span of days or an
+    id is then one pruned scan, without a join."""
+    rows = articles_joined(articles, summaries)
+    w = rows.repartitionByRange("published_at", "id").sortWithinPartitions("published_at", "id").write.mode("overwrite")
+    for c in ("id", "url", "title_hash"):
+        w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    w.partitionBy("published_at").parquet(path)
+
+
+def read_article_table(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).select(*ARTICLE_COLUMNS[:7], F.col("published_at").cast("date"), "is_duplicate", *SUMMARY_COLUMNS, "_summarized")
+
+
+def query_table(table: DataFrame, *, status: str | None = None, **filters) -> DataFrame:
+    """P1-P8 over the stored read table."""
+    return _of_status(filter_articles(table, **filters), status)
 
 
 def newest_first() -> list[Column]:

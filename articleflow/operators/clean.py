@@ -154,8 +154,10 @@ def clean_outcomes(raw: DataFrame, policy: str = "skip", min_body: int = K.MIN_B
 
 def clean_stats(raw: DataFrame, policy: str = "skip", min_body: int = K.MIN_BODY,
                 dedup_similar: bool = False, store: DataFrame | None = None) -> DataFrame:
-    """A10: one row per outcome with its count, plus the 'similar' count."""
-    o = clean_outcomes(raw, policy, min_body, dedup_similar, store)
-    per = o.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
-    sim = o.where(F.col("similar")).agg(F.count(F.lit(1)).alias("n")).select(F.lit("similar").alias("outcome"), "n")
-    return per.unionByName(sim)
+    """A10: one row per outcome that occurs with its count, plus the 'similar'
+    count, in one pass over the rows."""
+    names = ("inserted", "updated", "skipped", "invalid")
+    counts = clean_outcomes(raw, policy, min_body, dedup_similar, store).agg(
+        *[F.count_if(F.col("outcome") == x).alias(x) for x in names], F.count_if("similar").alias("similar"))
+    rows = F.array(*[F.struct(F.lit(x).alias("outcome"), F.col(x).alias("n")) for x in (*names, "similar")])
+    return counts.select(F.explode(rows).alias("o")).select("o.*").where((F.col("n") > 0) | (F.col("outcome") == "similar"))

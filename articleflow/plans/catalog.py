@@ -8,6 +8,7 @@ same names lives in :mod:`articleflow.plans.oracle`.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +30,7 @@ from ..operators import metrics as MT
 from ..operators import report as RP
 from ..operators import similarity as SI
 from ..operators import trends as TR
-from ..session import stage
+from ..session import checkpoint_dir, stage
 from ..sources import feeds as FD
 from ..sources import views as V
 from ..sources.pages import page_extract as _page_extract
@@ -240,8 +241,22 @@ def merge_clean_upsert(spark, sf):
 # --------------------------------------------------------------------------
 # read path
 # --------------------------------------------------------------------------
+_READ_TABLES: dict[tuple[str, str], str] = {}
+
+
+def _read_table(spark, sf):
+    """The clustered read table of a folder's documents, stored once in a session
+    (the folder's tables do not change while it runs)."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _READ_TABLES:
+        path = f"{checkpoint_dir(spark).rstrip('/')}/tables/articles-{uuid.uuid4().hex}"
+        AR.write_article_table(_a(spark, sf), _s(spark, sf), path)
+        _READ_TABLES[key] = path
+    return AR.read_article_table(spark, _READ_TABLES[key])
+
+
 def _q(spark, sf, **kw):
-    return AR.query_articles(_a(spark, sf), _s(spark, sf), **kw)
+    return AR.query_table(_read_table(spark, sf), **kw)
 
 
 @query
