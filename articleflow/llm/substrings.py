@@ -29,8 +29,8 @@ Matches are judged up to ``length`` bytes, so suffixes are sorted that far.
 
 Defined cases: null counts as the empty text; texts shorter than ``length``
 lose nothing; of rows with the same doc_id neither comes earlier; rows without
-a doc_id have no place in the order, so they lose nothing and cause nothing;
-an empty table gives an empty result.
+a doc_id come after all others, none of them before another (as if they had
+the greatest id); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
@@ -55,8 +55,19 @@ PACK_BYTES = 1 << 20
 SLICE_BYTES = 4 << 20
 
 
+#: Order value of the rows without a doc_id.
+LAST = (1 << 63) - 1
+
+
+def _name(doc_id: Column) -> Column:
+    """A hash of the text that tells rows of the same doc_id apart: 32 bits, as
+    it travels with every phrase; 64 for the many rows that may have no doc_id."""
+    return F.when(doc_id.isNull(), F.xxhash64("text")).otherwise(F.hash("text").cast("long").bitwiseAND(0xFFFFFFFF))
+
+
 def _docs(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("__t"), "text")
+    doc_id = F.col("doc_id").cast("long")
+    return docs.select(F.coalesce(doc_id, F.lit(LAST)).alias("doc_id"), _name(doc_id).alias("__t"), "text")
 
 
 def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, list[bytes]]]:
@@ -81,9 +92,11 @@ def triggers(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def _phrases(docs: DataFrame, keep, length: int, with_bytes: bool) -> DataFrame:
-    """Phrases whose trigger is in the bitmap: doc_id, __t, trigger g, hash u,
-    first window a, number n of further windows, and whether the document has it further
-    left (``again``) or the bytes of the leftmost place."""
+    """Phrases whose trigger is in the bitmap: doc_id, __t, trigger g, hash u, and
+    either the bytes and the first window a of the leftmost place in the
+    document, or every place: the first window a, the number n of further ones
+    and whether the document has the phrase further left (``again``), packed
+    into one long (a: upper 32 bits, again: lowest bit)."""
     shared = docs.sparkSession.sparkContext.broadcast(keep)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -100,10 +113,14 @@ def _phrases(docs: DataFrame, keep, length: int, with_bytes: bool) -> DataFrame:
                 continue
             out = pd.concat(parts, ignore_index=True).sort_values(["r", "a"], kind="stable")
             again = out.duplicated(["r", "g", "u"])
-            out = out[~again] if with_bytes else out.assign(again=again)
+            if with_bytes:
+                out = out[~again].drop(columns="n")
+            else:
+                place = out.pop("a").to_numpy(np.int64) << 32 | out.pop("n").to_numpy(np.int64) << 1 | again.to_numpy(np.int64)
+                out = out.assign(place=place)
             ids = b[["doc_id", "__t"]].iloc[out.pop("r")].reset_index(drop=True)
             yield pd.concat([ids, out.reset_index(drop=True)], axis=1)
-    return docs.mapInPandas(run, "doc_id long, __t long, g long, u long, a int, n int, " + ("s binary" if with_bytes else "again boolean"))
+    return docs.mapInPandas(run, "doc_id long, __t long, g long, u long, " + ("a int, s binary" if with_bytes else "place long"))
 
 
 def suffix_ranks(data: np.ndarray, length: int) -> np.ndarray:
@@ -198,17 +215,18 @@ def _contested(docs: DataFrame, entries: DataFrame, length: int, part: int) -> D
 
 def repeated_ranges(docs: DataFrame, length: int = LENGTH, part: int = PART) -> DataFrame:
     """(doc_id, __t, lo, hi): windows lo..hi of a document (byte offsets of
-    their starts) whose strings start earlier."""
-    docs = _docs(docs).where("doc_id is not null")
+    their starts) whose strings start earlier; doc_id is LAST for rows without."""
+    docs = _docs(docs)
     often = triggers(docs, length).groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     places = stage(_phrases(docs, bitmap(often, "g"), length, False), "phrases")
     entries = stage(places.groupBy("g", "u").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("places")), "phrases-dictionary")
     windows = stage(_contested(docs, entries.select("g", "u", "first"), length, part).where(F.size("windows") > 0), "phrases-windows")
     known = entries.join(windows, ["g", "u", "first"], "left").where((F.col("places") > 1) | F.col("windows").isNotNull()).drop("places")
     judged = places.join(known, ["g", "u"])
-    whole = F.array(F.struct(F.lit(0).alias("lo"), F.col("n").alias("hi")))
-    ranges = F.when(F.col("again") | (F.col("first") < F.col("doc_id")), whole).when(F.col("__t") == F.col("t"), F.col("windows"))
-    return judged.select("doc_id", "__t", "a", F.explode(ranges).alias("w")) \
+    a, n, again = (F.expr(x) for x in ("CAST(shiftright(place, 32) AS INT)", "CAST(shiftright(place & 4294967295, 1) AS INT)", "place & 1 = 1"))
+    whole = F.array(F.struct(F.lit(0).alias("lo"), n.alias("hi")))
+    ranges = F.when(again | (F.col("first") < F.col("doc_id")), whole).when(F.col("__t") == F.col("t"), F.col("windows"))
+    return judged.select("doc_id", "__t", a.alias("a"), F.explode(ranges).alias("w")) \
         .select("doc_id", "__t", (F.col("a") + F.col("w.lo")).alias("lo"), (F.col("a") + F.col("w.hi")).alias("hi"))
 
 
@@ -231,19 +249,22 @@ def cut(text: bytes, ranges, length: int = LENGTH) -> tuple[list[tuple[int, int]
 def substring_dedup(docs: DataFrame, length: int = LENGTH, part: int = PART) -> DataFrame:
     """(doc_id, n_bytes, removed, kept) of every row: the removed runs (start
     and end in bytes) and the remaining bytes."""
-    rows = _docs(docs)
+    doc_id = F.col("doc_id").cast("long")
+    rows = docs.select(F.coalesce(doc_id, F.lit(0)).alias("doc_id"), doc_id.isNull().alias("none"), F.coalesce(doc_id, F.lit(LAST)).alias("__k"),
+                       _name(doc_id).alias("__t"), "text")
     lists = repeated_ranges(docs, length, part).groupBy(F.col("doc_id").alias("__d"), F.col("__t").alias("__u")) \
         .agg(F.collect_set(F.shiftleft(F.col("lo").cast("long"), 32).bitwiseOR(F.col("hi").cast("long"))).alias("w"))   # one long each
-    both = rows.join(lists, rows["doc_id"].eqNullSafe(F.col("__d")) & (rows["__t"] == F.col("__u")), "left")
+    both = rows.join(lists, (rows["__k"] == F.col("__d")) & (rows["__t"] == F.col("__u")), "left")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             texts = [t.encode() if t else b"" for t in b["text"]]
             done = [cut(t, [(x >> 32, x & 0xFFFFFFFF) for x in w.tolist()] if w is not None else [], length) for t, w in zip(texts, b["w"])]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "n_bytes": [len(t) for t in texts],
+            yield pd.DataFrame({"doc_id": b["doc_id"], "none": b["none"], "n_bytes": [len(t) for t in texts],
                                 "removed": [[{"start": i, "end": j} for i, j in r] for r, _ in done], "kept": [k for _, k in done]})
-    return both.select("doc_id", "text", "w").mapInPandas(
-        run, "doc_id long, n_bytes long, removed array<struct<start:int,end:int>>, kept binary")
+    out = both.select("doc_id", "none", "text", "w").mapInPandas(
+        run, "doc_id long, none boolean, n_bytes long, removed array<struct<start:int,end:int>>, kept binary")
+    return out.select(F.when(~F.col("none"), F.col("doc_id")).alias("doc_id"), "n_bytes", "removed", "kept")
 
 
 def op7_substrings(spark, sf_dir):

@@ -100,6 +100,38 @@ def test_line_dedup(spark, corpus):
     assert counted == line_dedup.spread_lines(line_dedup.candidate_lines(make(spark, rows)), 10).count()
 
 
+def test_packs_stay_within_their_size(spark):
+    """One key of 40,000 members and many small ones: every pair of members of
+    a key meets in one unit, and no pack is over its size."""
+    from articleflow.llm.tiles import tile_pairs
+    hot = spark.range(40000).selectExpr("-1L AS k", "id")
+    small = spark.range(60000).selectExpr("id div 30 AS k", "id + 100000 AS id")
+    units = tile_pairs(hot.unionByName(small).unionByName(spark.range(9).selectExpr("id + 10000000 AS k", "id")), "k", F.col("id"), tile=512, pack=8192).cache()
+    sizes = [r["count"] for r in units.groupBy("__pack").count().collect()]
+    assert max(sizes) <= 2 * 8192 and len(sizes) < 3 * sum(sizes) / 8192
+    tiles = -(-40000 // 512)
+    assert units.where("k = -1").select("__u").distinct().count() == tiles * (tiles + 1) // 2
+    assert units.where("k = -1").groupBy("id").count().select("count").distinct().collect() == [(tiles,)]
+    assert units.where("k >= 10000000").count() == 0
+    assert units.groupBy("__u").agg(F.count_distinct("__pack").alias("n")).where("n > 1").count() == 0
+    units.unpersist()
+
+
+def test_line_dedup_without_doc_id(spark):
+    """One copy of a line stays wherever its rows have no doc_id, also where one
+    row has; rows with the same text are one document; a long text is cut right."""
+    foot = "All rights reserved."
+    rows = [(None, f"a{i}\n{foot}\nb{i}\n {foot} ", f"s{i}") for i in range(12)] + [(None, None, "s1"), (None, "", "s1")]
+    kept = [r.text for r in line_dedup.line_dedup(make(spark, rows)).collect()]
+    assert sum((t or "").count(foot) for t in kept) == 1 and len(kept) == 14 and None in kept and "" in kept
+    named = line_dedup.line_dedup(make(spark, rows + [(9, f"x\n{foot}", "s1")])).collect()
+    assert [r.doc_id for r in named if foot in (r.text or "")] == [9]
+    long = [(i, "\n".join(f"u{i}-{k}" if k % 3 else foot for k in range(20000)), f"s{i}") for i in range(11)]
+    out = {r.doc_id: r for r in line_dedup.line_dedup(make(spark, long + [long[2]])).collect()}
+    assert out[0].text.split("\n")[0] == foot and sum(r.text.count(foot) for r in out.values()) == 1
+    assert out[7].text == "\n".join(f"u7-{k}" for k in range(20000) if k % 3) and out[7]["__n_removed"] == 6667
+
+
 def test_mix(spark, corpus):
     got = mix.mix_rates(make(spark, corpus)).collect()
     sizes = defaultdict(int)
@@ -173,9 +205,13 @@ def test_substrings(spark, corpus, part):
 
 
 def test_substrings_edge_cases(spark, corpus):
-    same = [(1, "x" * 250, "a"), (1, "x" * 250, "a"), (2, None, "a"), (None, "x" * 250, "a"), (3, "y" * 99, "a")]
+    rnd = random.Random(2)
+    inner, shared = prose(rnd, 40)[:130], prose(rnd, 40)[:130]
+    same = [(1, "x" * 250, "a"), (1, "x" * 250, "a"), (2, None, "a"), (3, "y" * 99, "a"), (2 ** 60 + 1, "z" * 120, "a")]
+    # without doc_id: after all ids, inner repeats go, none comes before another
+    same += [(None, "x" * 250, "a"), (None, inner + "-" + inner + shared, "a"), (None, "q" + shared, "a"), (None, None, "a")]
     got = sorted((str(r.doc_id), len(r.kept)) for r in substrings.substring_dedup(make(spark, same)).collect())
-    assert got == [("1", 1), ("1", 1), ("2", 0), ("3", 99), ("None", 250)]
+    assert got == [("1", 1), ("1", 1), (str(2 ** 60 + 1), 1), ("2", 0), ("3", 99), ("None", 0), ("None", 0), ("None", 131), ("None", 261)]
     assert substrings.substring_dedup(make(spark, [])).count() == 0
     assert substrings.substring_dedup(make(spark, corpus)).count() == len(corpus)
 
