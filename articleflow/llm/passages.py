@@ -10,13 +10,15 @@ words take no part.  Two paragraphs link at a Jaccard similarity of 0.8 or
 more of their shingle sets.  Of each class (connected component) the first
 paragraph (smallest doc_id, then line number) stays.
 
-Passages that repeat inside lines of more than ``LONG`` words are found by
+Passages that repeat inside lines, whatever stands around them, are found by
 pieces: every line is cut where a shingle's hash is the least of the ``REACH``
-shingles on either side (in wide gaps: of half as many), so that equal passages get equal cuts wherever they
-stand, and after ``PIECE`` words at the latest.  Equal pieces, one of them in a
-long line at least, form a class; the first place (doc_id, line, word) stays.
-Lines that go as a whole take no part in it.  Lines of up to ``LONG`` words are
-compared with each other as wholes only.
+shingles on either side (in wide gaps: of half as many), so that equal passages
+get equal cuts wherever they stand, and after ``PIECE`` words at the latest.
+Equal pieces form a class, whose first place (doc_id, line, word) stays.  The
+others go if they hold together: neighbouring pieces that are also neighbours
+at the first place make up a run, and a run of at least ``RUN`` words is a
+repeated passage; shorter ones stay.  Lines that go as a whole take no part in
+it, and lines of fewer than ``RUN`` words have no such passage.
 
 ``tune`` picks bands and rows such that a pair at the threshold is missed with
 a probability of at most 1 in 1,000; more similar pairs are missed less, and a
@@ -28,7 +30,8 @@ verifies exactly and returns spanning links only.
 
 Defined cases: null and empty texts have no paragraphs; rows that repeat a
 doc_id with the same text count once, with another text by their hash; rows
-without doc_id take no part; an empty table gives an empty result.
+without doc_id come after all others and are told apart by their text; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -38,7 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
@@ -49,8 +52,10 @@ from .tiles import Links, tile_pairs
 SHINGLE, SIMILARITY, MISSED = 5, 0.8, 1e-3
 #: Paragraphs hashed at a time.
 PARAGRAPHS = 4096
-#: Words of a line from which on its pieces count; reach of a cut, and most words of a piece.
-LONG, REACH, PIECE = 66, 8, 64
+#: Least words of a repeated run inside lines; reach of a cut, and most words of a piece.
+RUN, REACH, PIECE = 16, 8, 64
+#: Order value of the rows without a doc_id.
+LAST = (1 << 63) - 1
 
 
 def tune(similarity: float = SIMILARITY, missed: float = MISSED, rows: int = 2) -> tuple[int, int]:
@@ -128,9 +133,10 @@ def pieces(words: list[bytes], cut: np.ndarray, shortest: int, longest: int = PI
     return [x for x in parts if x[1] >= shortest]
 
 
-def paragraphs(docs: DataFrame, bands: int, rows: int, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, __t, line, p, words, bands, long, pieces): paragraphs with their
-    name ``p`` (128-bit hash of the words), band keys and named pieces."""
+def paragraphs(docs: DataFrame, bands: int, rows: int, shingle: int = SHINGLE, run_words: int = RUN) -> DataFrame:
+    """(doc_id, __t, line, p, words, bands, pieces): paragraphs with their
+    name ``p`` (128-bit hash of the words), band keys and named pieces (of
+    those of ``run_words`` words or more); doc_id is LAST where there is none."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
         for b in batches:
@@ -146,11 +152,11 @@ def paragraphs(docs: DataFrame, bands: int, rows: int, shingle: int = SHINGLE) -
                 h, counts = batch_shingles(part, shingle)
                 keys = _band_keys(h, counts, bands, rows).view(np.int64)
                 inner = [[{"word": k, "n": n, "q": xxhash.xxh3_128_digest(b" ".join(w[k:k + n]))} for k, n in pieces(w, c, shingle)]
-                         for w, c in zip(part, cuts(h, counts))]
+                         if len(w) >= run_words else [] for w, c in zip(part, cuts(h, counts))]
                 yield pd.DataFrame(at[i:i + PARAGRAPHS], columns=["doc_id", "__t", "line"]).assign(
-                    p=[xxhash.xxh3_128_digest(x) for x in whole], words=whole, bands=list(keys), long=[len(w) > LONG for w in part], pieces=inner)
-    rows_ = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("__t"), "text").where("doc_id is not null")
-    return rows_.mapInPandas(run, "doc_id long, __t long, line int, p binary, words binary, bands array<long>, long boolean, "
+                    p=[xxhash.xxh3_128_digest(x) for x in whole], words=whole, bands=list(keys), pieces=inner)
+    rows_ = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), F.xxhash64("text").alias("__t"), "text")
+    return rows_.mapInPandas(run, "doc_id long, __t long, line int, p binary, words binary, bands array<long>, "
                                   "pieces array<struct<word:int,n:int,q:binary>>")
 
 
@@ -209,13 +215,13 @@ def verified_links(paras: DataFrame, shingle: int = SHINGLE, similarity: float =
     return units.join(texts, "p").groupBy("__pack").applyInPandas(run, "a binary, b binary").distinct()
 
 
-def piece_classes(paras: DataFrame, gone: DataFrame) -> DataFrame:
+def piece_classes(paras: DataFrame, gone: DataFrame, run_words: int = RUN) -> DataFrame:
     """(doc_id, __t, line, class_doc_id, class_line, removed, word, n_words,
-    class_word) of the pieces that occur again, one of them in a long line, of
-    ``paras`` without the lines ``gone`` (doc_id, __t, line)."""
-    every = paras.select("doc_id", "__t", "line", "long", F.inline("pieces"))
-    again = (F.count(F.lit(1)) > 1) & F.max("long")
-    often = every.groupBy("q").agg(again.alias("again")).where("again").select(F.xxhash64("q").alias("h"))
+    class_word) of the pieces in runs of ``run_words`` or more that occur again,
+    and of their first places, in ``paras`` without the lines ``gone`` (doc_id,
+    __t, line)."""
+    every = paras.select("doc_id", "__t", "line", F.inline("pieces"))
+    often = every.groupBy("q").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(F.xxhash64("q").alias("h"))
     repeated = paras.sparkSession.sparkContext.broadcast(bitmap(often, "h"))
 
     def held(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -224,16 +230,28 @@ def piece_classes(paras: DataFrame, gone: DataFrame) -> DataFrame:
     some = every.withColumn("h", F.xxhash64("q")).mapInPandas(held, every.schema)
     kept = stage(some.join(gone, ["doc_id", "__t", "line"], "left_anti").distinct(), "pieces-held")
     place = F.struct("doc_id", "line", "word", "__t")
-    least = kept.groupBy("q").agg(F.min(place).alias("f"), again.alias("again")).where("again").drop("again")
-    return kept.join(least, "q").select("doc_id", "__t", "line", F.col("f.doc_id").alias("class_doc_id"), F.col("f.line").alias("class_line"),
-                                        (place != F.col("f")).alias("removed"), "word", F.col("n").alias("n_words"), F.col("f.word").alias("class_word"))
-
-
-def paragraph_classes(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+    least = kept.groupBy("q").agg(F.min(place).alias("f"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
+    later = kept.join(least, "q").where(place != F.col("f"))
+    # a run: pieces that follow each other here and at the first places; a window spans one line
+    line = Window.partitionBy("doc_id", "__t", "line").orderBy("word")
+    before = F.lag(F.struct((F.col("word") + F.col("n")).alias("word"), F.col("f.doc_id").alias("d"), F.col("f.line").alias("l"), F.col("f.__t").alias("t"),
+                            (F.col("f.word") + F.col("n")).alias("w"))).over(line)
+    here = F.struct("word", F.col("f.doc_id").alias("d"), F.col("f.line").alias("l"), F.col("f.__t").alias("t"), F.col("f.word").alias("w"))
+    runs = later.withColumn("new", F.coalesce(before != here, F.lit(True)).cast("int")).withColumn("run", F.sum("new").over(line))
+    whole = Window.partitionBy("doc_id", "__t", "line", "run")
+    runs = stage(runs.withColumn("size", F.sum("n").over(whole)).where(F.col("size") >= run_words).drop("new", "run", "size"), "pieces-runs")
+    firsts = least.join(runs.select("q").distinct(), "q").join(kept.select("q", "n").distinct(), "q")
+    firsts = firsts.select("q", F.col("f.doc_id").alias("doc_id"), F.col("f.__t").alias("__t"), F.col("f.line").alias("line"), F.col("f.word").alias("word"), "n", "f")
+    both = runs.withColumn("removed", F.lit(True)).unionByName(firsts.withColumn("removed", F.lit(False)))
+    return both.select("doc_id", "__t", "line", F.col("f.doc_id").alias("class_doc_id"), F.col("f.line").alias("class_line"), "removed", "word",
+                       F.col("n").alias("n_words"), F.col("f.word").alias("class_word"))
+
+
+def paragraph_classes(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, run_words: int = RUN) -> DataFrame:
     """(doc_id, __t, line, class_doc_id, class_line, removed, word, n_words,
-    class_word) of every paragraph and piece in a class of two places or more;
-    the last three are null for whole lines."""
-    paras = stage(paragraphs(docs, *tune(similarity), shingle), "paras")
+    class_word) of every paragraph in a class of two places or more and of every
+    piece of a repeated run; the last three are null for whole lines."""
+    paras = stage(paragraphs(docs, *tune(similarity), shingle, run_words), "paras")
     parts = stage(connected_components(verified_links(paras, shingle, similarity), "a", "b"), "paras-classes")
     places = paras.select("doc_id", "__t", "line", "p").distinct()
     named = places.join(parts, places["p"] == parts["id"], "left").select("doc_id", "__t", "line", F.coalesce("component", "p").alias("c"))
@@ -244,7 +262,8 @@ def paragraph_classes(docs: DataFrame, shingle: int = SHINGLE, similarity: float
     whole = stage(named.join(least, "c").select(
         "doc_id", "__t", "line", F.col("f.doc_id").alias("class_doc_id"), F.col("f.line").alias("class_line"), (~same).alias("removed"),
         null.alias("word"), null.alias("n_words"), null.alias("class_word")), "paras-whole")
-    return whole.unionByName(piece_classes(paras, whole.where("removed").select("doc_id", "__t", "line")))
+    every = whole.unionByName(piece_classes(paras, whole.where("removed").select("doc_id", "__t", "line"), run_words))
+    return every.withColumns({c: F.when(F.col(c) != LAST, F.col(c)) for c in ("doc_id", "class_doc_id")})
 
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -270,12 +289,12 @@ def without(text: str, gone) -> str:
     return "\n".join(out)
 
 
-def passage_dedup(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+def passage_dedup(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, run_words: int = RUN) -> DataFrame:
     """``docs`` with repeated paragraphs and pieces removed from ``text``."""
-    @F.udf("string")
-    def kept(text, gone):
-        return text if gone is None else without(text, gone)
-    gone = paragraph_classes(docs, shingle, similarity).where("removed").groupBy(F.col("doc_id").alias("__d"), F.col("__t").alias("__u")) \
+    def kept(text: pd.Series, gone: pd.Series) -> pd.Series:
+        return pd.Series([t if g is None else without(t, g) for t, g in zip(text, gone)], dtype=object)
+    kept = F.pandas_udf(kept, "string")
+    gone = paragraph_classes(docs, shingle, similarity, run_words).where("removed").groupBy(F.col("doc_id").alias("__d"), F.col("__t").alias("__u")) \
         .agg(F.collect_set(F.struct("line", "word", "n_words")).alias("__gone"))
     keyed = docs.withColumn("__t", F.xxhash64("text"))
     both = keyed.join(gone, keyed["doc_id"].eqNullSafe(F.col("__d")) & (F.col("__t") == F.col("__u")), "left")
@@ -284,7 +303,7 @@ def passage_dedup(docs: DataFrame, shingle: int = SHINGLE, similarity: float = S
 
 def op10_passages(spark, sf_dir):
     """doc_id, line, class_doc_id, class_line, removed of every paragraph that
-    occurs again, equal or nearly so, and of every piece of a long line that
-    occurs again, with its place in the line: word, n_words, class_word."""
+    occurs again, equal or nearly so, and of every piece of a run that is
+    repeated inside lines, with its place in the line: word, n_words, class_word."""
     out = paragraph_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "line", "class_doc_id", "class_line", "removed", "word", "n_words", "class_word")
