@@ -241,7 +241,7 @@ def test_pipeline_stages(spark):
 
 def test_sql_matches(spark):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     for name, sql in queries.SQL.items():
         res = con.execute(sql)
@@ -258,8 +258,61 @@ def test_native_operators_run_no_python(spark):
 
 
 def test_registration_without_the_subpackage(tmp_path):
-    assert {n.split("_")[0] for n in entry.queries()} >= {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in entry.queries()} >= {f"op{i}" for i in range(1, 14)} | {"pipeline"}
     shutil.copytree(os.path.join(ROOT, "articleflow"), tmp_path / "articleflow", ignore=shutil.ignore_patterns("llm", "__pycache__"))
     shutil.copy(os.path.join(ROOT, "__spark_entry__.py"), tmp_path)
     code = "import __spark_entry__ as e; q = e.queries(); assert 'q_by_id' in q and not [n for n in q if n.startswith('op')], q"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True)
+
+
+def test_toxicity_against_a_plain_loop(spark):
+    """Weights and scores of FTRL-proximal, one coordinate at a time."""
+    import math
+    rnd = random.Random(14)
+    rows = [(i, prose(rnd, rnd.randint(0, 30), 60) + (" vile foul" if i % 3 == 0 else ""), int(i % 3 == 0)) for i in range(90)] + [(7, "again vile", 1), (200, None, 0)]
+    df = spark.createDataFrame([(d, t, y, "x", 1) for d, t, y in rows], "doc_id long, text string, label int, o string, at int").repartition(4)
+    weights = toxicity.train(df, epochs=2)
+    order = {(r["doc_id"], r["label"]): (r["o"], r["t"]) for r in df.select(
+        "doc_id", "label", F.xxhash64(F.col("doc_id").cast("string"), F.lit("train")).alias("o"), F.xxhash64("text").alias("t")).collect()}
+    z, n, last = Counter(), Counter(), 1 << toxicity.BITS
+
+    def weight(i):
+        l1 = 0.0 if i == last else toxicity.L1
+        return 0.0 if abs(z[i]) <= l1 else -(z[i] - math.copysign(l1, z[i])) / ((toxicity.BETA + math.sqrt(n[i])) / toxicity.ALPHA + toxicity.L2)
+    for _ in range(2):
+        for d, t, y in sorted(rows, key=lambda r: (*order[r[0], r[2]], r[2])):
+            at = [*toxicity.features(t).tolist(), last]
+            w = {i: weight(i) for i in at}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - y
+            for i in at:
+                z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / toxicity.ALPHA * w[i]
+                n[i] += g * g
+    want = {i: weight(i) for i in z if weight(i)}
+    assert set(np.flatnonzero(weights).tolist()) == set(want) and all(abs(weights[i] - w) < 1e-9 for i, w in want.items()) and len(want) > 3
+    for r in toxicity.score(df, weights).collect():
+        if r["doc_id"] != 7:                                       # the id that repeats
+            t = next(t for d, t, _ in rows if d == r["doc_id"])
+            s = sum(weights[i] for i in toxicity.features(t).tolist()) + weights[last]
+            assert abs(r["score"] - 1 / (1 + math.exp(-s))) < 1e-9
+
+
+def test_pipeline_on_odd_tables(spark, tmp_path):
+    """Nulls in any column, empty and repeated rows, a further column whose name
+    stages use; and an empty table."""
+    rnd = random.Random(9)
+    rows = [(i, "\n".join(prose(rnd, 12) for _ in range(3)), "en", f"s{i % 5}", 100, i) for i in range(40)]
+    rows += [(None, None, None, None, None, None), (50, "", "en", None, 0, 1), (51, " \n\t", None, "s1", None, 2), rows[3], rows[3], (None, rows[4][1], "en", "s1", 5, 3)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, __t long"
+    for name, data in (("some", rows), ("none", [])):
+        sf = str(tmp_path / name)
+        spark.createDataFrame(data, schema).write.parquet(f"{sf}/documents.parquet")
+        spark.createDataFrame([(i, 1, int(i % 2)) for i in range(20)] if data else [], "doc_id long, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")
+        spark.createDataFrame([(1, prose(rnd, 30)), (2, None)] if data else [], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+        docs = spark.read.parquet(f"{sf}/documents.parquet").drop("__t").withColumn("size", F.lit(1))
+        for stage_name, apply in corpus_pipeline.STAGES:
+            out = apply(spark, docs, sf)
+            if stage_name != "mix":
+                assert out.columns == docs.columns
+            out.write.parquet(f"{sf}/{stage_name}")
+            docs = spark.read.parquet(f"{sf}/{stage_name}")
+        assert (docs.count() > 0) == bool(data)
