@@ -32,14 +32,16 @@ def merge_clean(store: DataFrame, batch: DataFrame, policy: str = "skip",
     global sequence).  ``store`` may be the part of the table that the batch's
     urls fall into; ``titles`` then gives the title hashes of all of it.
     """
-    first = first_per_key(batch, "url", "raw_id")
+    # decided on narrow rows; the bodies are joined once, to the rows that stay
+    narrow = batch.select("url", "raw_id", "title_hash")
+    first = first_per_key(narrow, "url", "raw_id")
     new_rows = first.join(store.select("url"), "url", "left_anti")
     if dedup_similar:
         new_rows = similar_flag(new_rows, store, titles)
     else:
         new_rows = new_rows.withColumn("is_duplicate", F.lit(False))
-    inserted = new_rows.select(F.col("raw_id").alias("id"), "is_duplicate", *CLEAN_COLUMNS,
-                               F.lit("inserted").alias("outcome"))
+    inserted = batch.join(new_rows.select("raw_id", "is_duplicate"), "raw_id").dropDuplicates(["raw_id"]).select(
+        F.col("raw_id").alias("id"), "is_duplicate", *CLEAN_COLUMNS, F.lit("inserted").alias("outcome"))
     if policy == "upsert":
         last = last_per_key(batch, "url", "raw_id")
         # a new url ends with its last batch row; id and flag of the first

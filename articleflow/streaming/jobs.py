@@ -187,13 +187,14 @@ def clean_stream(spark: SparkSession, raw_dir: str, raw_schema: StructType, clea
         parts = []
 
         def combine(old: DataFrame, new: DataFrame) -> DataFrame:
-            merged = stage(M.merge_clean(old, new, policy, dedup_similar, titles=held), "clean-merged")
-            after = merged.where(F.col("outcome") != "kept").where(plain).select("title_hash", "id")
-            before = old.join(merged.where(F.col("outcome") == "updated").select("id"), "id", "left_semi").where(plain).select("title_hash", "id")
-            parts.extend([merged, after, before])
+            merged = M.merge_clean(old, new, policy, dedup_similar, titles=held)
+            told = stage(merged.where(F.col("outcome") != "kept").select("id", "title_hash", "is_duplicate", "outcome"), "clean-outcomes")
+            after = told.where(plain).select("title_hash", "id")
+            before = old.join(told.where(F.col("outcome") == "updated").select("id"), "id", "left_semi").where(plain).select("title_hash", "id")
+            parts.extend([told, after, before])
             return merged
         store.merge(valid, combine, run, epoch)
-        merged, after, before = parts
+        told, after, before = parts
         if policy == "upsert":                  # an updated row may give up its title
             changes = after.exceptAll(before).withColumn("gone", F.lit(False)).unionByName(before.exceptAll(after).withColumn("gone", F.lit(True)))
             changes = stage(changes, "clean-title-changes")
@@ -203,7 +204,7 @@ def clean_stream(spark: SparkSession, raw_dir: str, raw_schema: StructType, clea
         else:
             titles.append(after, run, epoch)
         ledger.append(checked.select("raw_id", "reason"), run, epoch)
-        for used in (held, merged, checked):
+        for used in (held, told, checked):
             unstage(used)
 
     checkpoint_dir(spark)
