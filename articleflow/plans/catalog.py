@@ -585,7 +585,7 @@ def feed_state(spark, sf):
 @query
 def crawl_outcome(spark, sf):
     kept, _ = _budgeted(spark, sf)
-    pages = _page_extract(read_table(spark, sf, "pages"))
+    pages = read_table(spark, sf, "pages")
     return FD.crawl_outcome(kept, pages).select("source", "category", "guid", "url", "method", "title", "body",
                                                "crawl_status")
 
@@ -593,7 +593,7 @@ def crawl_outcome(spark, sf):
 @query
 def raw_sink(spark, sf):
     kept, _ = _budgeted(spark, sf)
-    pages = _page_extract(read_table(spark, sf, "pages"))
+    pages = read_table(spark, sf, "pages")
     return IN.raw_rows(FD.crawl_outcome(kept, pages), "2024-01-15T09:00:00+09:00")
 
 
@@ -646,7 +646,7 @@ def stream_ingest(spark, sf):
     land = _landing(spark, _payloads(r), "ingest", ["source", "category"])
     base = SJ.scratch(spark, "ingest")
     feeds = FD.registry(r)
-    pages = _page_extract(read_table(spark, sf, "pages"))
+    pages = read_table(spark, sf, "pages")
     SJ.ingest_stream(spark, land, spark.read.parquet(land).schema, feeds, base + "/state", base + "/raw",
                      pages=pages, collected_at="2024-01-15T09:00:00+09:00", max_files=2)
     raw = spark.read.parquet(base + "/raw")
@@ -785,7 +785,7 @@ def fetch_stats(spark, sf):
     source and in total."""
     r = V.raw_view(spark, sf)
     kept, _ = _budgeted(spark, sf)
-    out = FD.crawl_outcome(kept, _page_extract(read_table(spark, sf, "pages")))
+    out = FD.crawl_outcome(kept, read_table(spark, sf, "pages"))
     return IN.fetch_stats(FD.feed_sizes(_payloads(r)), out)
 
 
