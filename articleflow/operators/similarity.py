@@ -5,16 +5,18 @@ agree (V6 / J10), and pairs of vectors from a cosine threshold on (V4).
 
 1. A text is the set of its word shingles (64-bit hashes).  Texts with equal
    sets are one class, so copies take part once.
-2. Shingles are ordered by the number of classes that hold them, rare first.
-   Two sets of similarity t share a shingle among the first
-   ``n - ceil(t n) + 1`` of each (prefix filter).  Shingles of one class only
-   count in that prefix but meet nothing, so most texts end here.
+2. Shingles have one order: common ones last (those that several texts of a
+   bounded sample share; the sample only shapes the order), else by hash.  Two
+   sets of similarity t share a shingle among the first ``n - ceil(t n) + 1``
+   of each, in whatever order (prefix filter).  Only prefixes are counted, and
+   a fixed-size bitmap of the shingles that two prefixes hold keeps the others
+   from moving; most texts end here.
 3. Classes that share a prefix shingle are compared under the length bound and
    the bound on the overlap that the shingle's places leave; exact set
    intersection decides.  No group emits all its pairs: in each round the
-   first few classes of every shingle ("leaders") meet the others, then leave
-   the shingle; a shingle whose classes are in one component already is done.
-   A large group of near copies falls together in the first round; the number
+   first classes of every shingle ("leaders") meet the others, then leave the
+   shingle; a shingle whose classes are in one component already is done.  A
+   large group of near copies falls together in the first rounds; the number
    of leaders grows fourfold from round to round, so groups of unlike texts end
    after logarithmically many rounds.  Every pair that shares a prefix shingle
    is compared or lies in one component, so no link between components is
@@ -33,61 +35,141 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from fractions import Fraction
+from itertools import product
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import col_
 from ..session import stage, unstage
 from .components import connected_components
 
-#: A word: a run of anything but ASCII white space.
-WORD = r"[^\x20\x09-\x0D]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SHINGLE, THRESHOLD = 5, 0.8
 #: Leaders of a shingle in the first round, and their growth.
-LEADERS, GROWTH = 4, 4
+LEADERS, GROWTH = 1, 4
+#: Texts of the sample, how many of them share a common shingle, and how many common shingles there are at most.
+TEXTS, SHARED, COMMON = 1 << 14, 4, 1 << 17
+#: Bits of the bitmap, and bytes of an Arrow batch.
+BITS, BATCH = 26, 8 << 20
 
 
-def words(text: Column | str) -> Column:
-    return F.regexp_extract_all(F.translate(F.coalesce(col_(text), F.lit("")), UPPER, LOWER), F.lit(WORD), F.lit(0))
+def words(text: str | None) -> list[bytes]:
+    """Words of a text with A-Z lower-cased: runs of anything but ASCII white space."""
+    return text.encode().lower().split() if text else []
 
 
-def shingles(text: Column | str, size: int = SHINGLE) -> Column:
-    """Sorted distinct hashes of the runs of ``size`` words (fewer words: of the
-    whole sequence; none: empty)."""
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
+    """Sorted distinct hashes (as signed longs) of the runs of ``size`` words
+    (fewer words: of the whole sequence; none: empty)."""
+    import xxhash
     w = words(text)
-    runs = [F.slice(w, F.lit(i), F.greatest(F.size(w) - (size - 1), F.lit(0))) for i in range(1, size + 1)]
-    long = F.transform(F.arrays_zip(*[r.alias(f"w{i}") for i, r in enumerate(runs)]), lambda x: F.xxhash64(x))
-    short = F.when(F.size(w) > 0, F.array(F.xxhash64(F.lit("short"), F.concat_ws(" ", w)))).otherwise(F.array().cast("array<bigint>"))
-    return F.sort_array(F.array_distinct(F.when(F.size(w) >= size, long).otherwise(short)))
+    if len(w) < size:
+        return np.array([xxhash.xxh3_64_intdigest(b" ".join(w), 1)] if w else [], np.uint64).view(np.int64)
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, w), np.uint64, len(w))
+    runs = np.zeros(len(w) - size + 1, np.uint64)
+    for k in range(size):
+        runs = _mix((runs ^ h[k:len(runs) + k]) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k + 1))
+    return np.unique(runs.view(np.int64))
+
+
+def shingle_sets(df: DataFrame, id_col: str, text_col: str, size: int = SHINGLE) -> DataFrame:
+    """(id, c, n, sh): the shingle set of every text, its size and its name c (a
+    128-bit hash in hex; null for the empty set)."""
+    kind = df.schema[id_col].dataType.simpleString()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import xxhash
+        for b in batches:
+            sets = [shingles(t, size) for t in b["text"]]
+            yield pd.DataFrame({"id": b["id"], "c": [xxhash.xxh3_128_hexdigest(x.tobytes()) if len(x) else None for x in sets],
+                                "n": [len(x) for x in sets], "sh": sets})
+    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL")
+    return rows.mapInPandas(run, f"id {kind}, c string, n long, sh array<long>")
 
 
-def _key(values: Column) -> Column:
-    """A 128-bit name of an array."""
-    return F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(seed), values)), 16, "0") for seed in (1, 2)])
+def _common(classes: DataFrame) -> np.ndarray:
+    """The most common shingles of a sample of the classes (at most COMMON, sorted).
+    The sample is the classes of the least names, about TEXTS of them."""
+    bound = int(min(1.0, TEXTS / max(1, classes.select("c").count())) * 0xFFFFFFFF)
+    sample = classes.where(F.col("c") <= f"{bound:08x}" + "f" * 24).select(F.explode("sh").alias("s"))
+    often = sample.groupBy("s").agg(F.count(F.lit(1)).alias("f")).where(F.col("f") >= SHARED)
+    return np.sort(np.array([r["s"] for r in often.orderBy(F.col("f").desc(), "s").limit(COMMON).collect()], np.int64))
+
+
+def _bitmap(values: DataFrame, bits: int = BITS) -> np.ndarray:
+    """A bit for each value of column ``s`` (modulo 2**bits): at most one row of
+    4 KB for each 32,768 bits reaches the driver."""
+    at = values.select(F.col("s").bitwiseAND((1 << bits) - 1).alias("at"))
+    rows = at.groupBy(F.expr("bitmap_bucket_number(at + 1)").alias("b")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(at + 1))").alias("m"))
+    out = np.zeros((1 << bits) // 8, np.uint8)
+    for r in rows.collect():
+        out[(r["b"] - 1) * 4096:r["b"] * 4096] = np.frombuffer(bytes(r["m"]), np.uint8)
+    return out
 
 
 def _prefixes(classes: DataFrame, num: int, den: int) -> DataFrame:
     """(s, c, n, pos): the prefix shingles of each class that two classes or
-    more hold, with their places (from 1) in the class's rare-first order."""
-    tokens = classes.select("c", "n", F.explode("sh").alias("s"))
-    often = tokens.groupBy("s").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
-    lists = tokens.join(often, "s").groupBy("c", "n").agg(F.sort_array(F.collect_list(F.struct("f", "s"))).alias("l"))
-    alone = F.col("n") - F.size("l")
-    prefix = F.col("n") - F.expr(f"(n * {num} + {den - 1}) div {den}") + 1
-    held = lists.withColumn("alone", alone).withColumn("room", (prefix - F.col("alone")).cast("int")).where("room > 0")
-    placed = held.select("c", "n", "alone", F.posexplode(F.slice("l", F.lit(1), F.col("room"))).alias("i", "x"))
-    return placed.select(F.col("x.s").alias("s"), "c", "n", (F.col("alone") + F.col("i") + 1).alias("pos"))
+    more hold there, with their places (from 1) in the class's order."""
+    spark = classes.sparkSession
+    common = spark.sparkContext.broadcast(_common(classes))
+
+    def prefix(sh: np.ndarray) -> np.ndarray:
+        late = common.value
+        at = np.minimum(np.searchsorted(late, sh), max(len(late) - 1, 0))
+        known = late[at] == sh if len(late) else np.zeros(len(sh), bool)
+        ordered = np.concatenate([sh[~known], sh[known]])
+        return ordered[:len(sh) - -(-len(sh) * num // den) + 1]
+
+    def alone(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for lo in range(0, len(b), 256):
+                yield pd.DataFrame({"s": np.concatenate([prefix(x) for x in b["sh"].iloc[lo:lo + 256]])})
+    counted = classes.select("sh").mapInPandas(alone, "s long").groupBy("s").agg(F.count(F.lit(1)).alias("f"))
+    shared = spark.sparkContext.broadcast(_bitmap(counted.where("f > 1")))
+
+    def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bits = shared.value
+        for b in batches:
+            for lo in range(0, len(b), 256):
+                part, rows, s, pos = b.iloc[lo:lo + 256], [], [], []
+                for k, x in enumerate(part["sh"]):
+                    own = prefix(x)
+                    at = own & ((1 << BITS) - 1)
+                    on = np.flatnonzero(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1)
+                    rows.append(np.full(len(on), k))
+                    s.append(own[on])
+                    pos.append(on + 1)
+                rows = np.concatenate(rows)
+                yield pd.DataFrame({"s": np.concatenate(s), "c": part["c"].to_numpy()[rows], "n": part["n"].to_numpy()[rows], "pos": np.concatenate(pos)})
+    return classes.mapInPandas(placed, "s long, c string, n long, pos long").dropDuplicates(["s", "c"])
+
+
+def _held(rows: DataFrame, key: str, values: DataFrame) -> DataFrame:
+    """``rows`` without those whose ``key`` is surely not among ``values`` (one
+    column): judged by a bitmap where the rows are, so what goes never moves."""
+    bits = rows.sparkSession.sparkContext.broadcast(_bitmap(values.select(F.xxhash64(values.columns[0]).alias("s"))))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            at = b.pop("__h").to_numpy(np.int64) & ((1 << BITS) - 1)
+            yield b[(bits.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)]
+    return rows.withColumn("__h", F.xxhash64(key)).mapInPandas(run, rows.schema)
 
 
 def _similar(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose sets have similarity num / den or more."""
-    def side(x: str) -> DataFrame:
-        return classes.select(F.col("c").alias(x), F.col("n").alias(f"n{x}"), F.col("sh").alias(f"s{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    """The pairs (a, b) whose sets have similarity num / den or more.  Only sets of
+    a pair move; ``a`` are leaders, so theirs are few."""
+    def sets(x: str) -> DataFrame:
+        ids = pairs.select(x).distinct()
+        return _held(classes, "c", ids).dropDuplicates(["c"]).select(F.col("c").alias(x), F.col("n").alias(f"n{x}"), F.col("sh").alias(f"s{x}"))
+    both = pairs.join(sets("b"), "b").join(stage(sets("a"), "similar-heads"), "a")
     shared = F.size(F.array_intersect("sa", "sb")).cast("long")
     return both.where(shared * (num + den) >= (F.col("na") + F.col("nb")) * num).select("a", "b")
 
@@ -132,11 +214,13 @@ def similar_groups(df: DataFrame, id_col: str = "id", text_col: str = "text", th
     of similarity ``threshold`` or more (Jaccard of word shingles) leads to, and
     the rows of its component.  A text without words (null too) is linked to
     nothing; rows without id take no part; an id that repeats links its rows."""
-    docs = df.select(F.col(id_col).alias("id"), shingles(text_col, size).alias("sh")).where("id IS NOT NULL")
-    docs = stage(docs.withColumn("c", F.when(F.size("sh") > 0, _key(F.col("sh")))), "similar-sets")
-    classes = docs.where("c IS NOT NULL").dropDuplicates(["c"]).select("c", F.size("sh").cast("long").alias("n"), "sh")
-    known = class_links(stage(classes, "similar-classes"), threshold)
-    low = docs.where("c IS NOT NULL").groupBy("c").agg(F.min("id").alias("first"))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
+    docs = stage(shingle_sets(df, id_col, text_col, size), "similar-sets")
+    # one text stands for its class: the others' sets never move
+    first = stage(docs.where("c IS NOT NULL").groupBy("c").agg(F.min("id").alias("id")), "similar-first")
+    classes = _held(docs.where("c IS NOT NULL"), "id", first.select("id")).select("c", "n", "sh")
+    known = class_links(classes, threshold)
+    low = first.select("c", F.col("id").alias("first"))
     named = low.join(known, low["c"] == known["id"], "left").select("c", "first", F.coalesce("component", "c").alias("k"))
     label = named.join(named.groupBy("k").agg(F.min("first").alias("component")), "k").select(F.col("c").alias("__c"), "component")
     rows = docs.join(label, docs["c"] == F.col("__c"), "left").select("id", F.coalesce("component", "id").alias("component"))
@@ -154,8 +238,8 @@ def similar_groups(df: DataFrame, id_col: str = "id", text_col: str = "text", th
 # --------------------------------------------------------------------------
 #: Vectors whose smallest hashes are the sample that pivots come from.
 SAMPLE, PIVOTS = 4096, 64
-#: Vectors of a block, and pairs whose cosine is taken at a time.
-BLOCK, CHUNK = 1024, 1 << 16
+#: Vectors of a block and of the tiles that it is compared in, and pairs whose cosine is taken at a time.
+BLOCK, TILE, CHUNK = 4096, 1024, 1 << 16
 
 
 def _pivots(units: DataFrame, pivots: int, sample: int) -> np.ndarray:
@@ -255,6 +339,7 @@ def cosine_links(df: DataFrame, threshold: float, id_col: str = "id", vec_col: s
     not compared."""
     if not -1 < threshold <= 1:
         raise ValueError("threshold must be above -1 and at most 1")
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
     members, classes = unit_classes(df, id_col, vec_col)
     centers = _pivots(classes, pivots, sample)
     dealt = stage(_dealt(classes, centers), "cosine-dealt")
@@ -285,14 +370,18 @@ def cosine_links(df: DataFrame, threshold: float, id_col: str = "id", vec_col: s
             for r in frame.itertuples(index=False):
                 p, q = (np.frombuffer(x, float).reshape(-1, r.dim) for x in (r.points_a, r.points_b))
                 ids_a, ids_b = np.asarray(r.ids_a), np.asarray(r.ids_b)
-                i, j = np.nonzero(p @ q.T >= threshold - 1e-9)
-                if r.same:
-                    i, j = i[ids_a[i] < ids_b[j]], j[ids_a[i] < ids_b[j]]
-                for lo in range(0, len(i), CHUNK):
-                    s, t = i[lo:lo + CHUNK], j[lo:lo + CHUNK]
-                    cosine = (p[s] * q[t]).sum(axis=1)             # the same whatever block the two are in
-                    s, t, cosine = s[cosine >= threshold], t[cosine >= threshold], cosine[cosine >= threshold]
-                    yield pd.DataFrame({"a": np.minimum(ids_a[s], ids_b[t]), "b": np.maximum(ids_a[s], ids_b[t]), "cosine": cosine})
+                for x, y in product(range(0, len(p), TILE), range(0, len(q), TILE)):
+                    if r.same and y < x:
+                        continue
+                    i, j = np.nonzero(p[x:x + TILE] @ q[y:y + TILE].T >= threshold - 1e-9)
+                    i, j = i + x, j + y
+                    if r.same and x == y:
+                        i, j = i[ids_a[i] < ids_b[j]], j[ids_a[i] < ids_b[j]]
+                    for lo in range(0, len(i), CHUNK):
+                        s, t = i[lo:lo + CHUNK], j[lo:lo + CHUNK]
+                        cosine = (p[s] * q[t]).sum(axis=1)             # the same whatever block the two are in
+                        s, t, cosine = s[cosine >= threshold], t[cosine >= threshold], cosine[cosine >= threshold]
+                        yield pd.DataFrame({"a": np.minimum(ids_a[s], ids_b[t]), "b": np.maximum(ids_a[s], ids_b[t]), "cosine": cosine})
     same = ((F.col("ball_a") == F.col("ball_b")) & (F.col("part_a") == F.col("part_b"))).alias("same")
     pairs = todo.select("dim", "ids_a", "ids_b", "points_a", "points_b", same).mapInPandas(compare, f"a {kind}, b {kind}, cosine double")
     return pairs, members, report
