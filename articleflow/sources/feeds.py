@@ -17,7 +17,6 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 from ..functions.dates import item_time, iso_utc
 from ..functions.text import col_
 from .feed_reader import COLUMNS, read_items
-from .pages import with_extracted
 
 ITEMS = ArrayType(StructType([StructField(c, StringType()) for c in COLUMNS]))
 
@@ -149,8 +148,7 @@ def feed_sizes(payloads: DataFrame, payload_col: str = "payload") -> DataFrame:
 
 
 def crawl_outcome(items: DataFrame, extracted: DataFrame | None) -> DataFrame:
-    """Join items to extracted pages (url, title, body) on url; pages as they
-    came (url, html) are extracted here, after those of other urls have gone.  Body found -> 'ok' and the
+    """Join items to extracted pages on url.  Body found -> 'ok' and the
     feed title preferred over the page title; none -> 'failed'; extraction
     disabled (``extracted`` is None) -> 'skipped' with method 'rss'.  A url
     that was fetched more than once counts once (the least page with a body, by
@@ -159,9 +157,8 @@ def crawl_outcome(items: DataFrame, extracted: DataFrame | None) -> DataFrame:
         return items.select("*", F.lit(None).cast("string").alias("body"),
                             F.lit("skipped").alias("crawl_status")).withColumn("method", F.lit("rss"))
     page = F.struct((F.coalesce(F.col("body"), F.lit("")) == "").alias("e"), F.col("title").alias("t"), F.col("body").alias("b"))
+    # texts of other urls go before the rest moves
     mine = extracted.join(items.select(F.col("url").alias("_u")).distinct(), F.col("url") == F.col("_u"), "left_semi")
-    if "html" in extracted.columns:
-        mine = with_extracted(mine.select("url", "html"))
     x = mine.groupBy(F.col("url").alias("_u")).agg(F.min(page).alias("_p"))
     x = x.select("_u", F.col("_p.t").alias("_pt"), F.col("_p.b").alias("_pb"))
     j = items.join(x, items["url"] == x["_u"], "left")

@@ -97,9 +97,8 @@ def ingest_stream(spark: SparkSession, payload_dir: str, payload_schema: StructT
     advances.  Every new item is taken unless ``limit`` is given; then
     ``lossless`` keeps the cursor below new items that the budget or the title
     query left behind, so a later batch still takes them.  Raw rows are written
-    per run and epoch, partitioned by ``collected_date``; only pages of kept
-    items are looked at, and only the seen keys' folders that may hold one of
-    the batch's keys are read."""
+    per run and epoch, partitioned by ``collected_date``; only the seen keys'
+    folders that may hold one of the batch's keys are read."""
     def run_batch(batch: DataFrame, epoch: int) -> None:
         cursors, keys = feed_stores(spark, state_dir)
         before, known = cursors.base(run, epoch), keys.base(run, epoch)
