@@ -17,6 +17,7 @@ from .. import constants as K
 from ..functions import text as T
 from ..functions.dates import normalize_date
 from ..functions.urls import normalize_url
+from ..session import small_batches
 from ..session import stage as stage_table
 from .dedup import first_per_key, last_per_key
 
@@ -40,7 +41,7 @@ def validate(raw: DataFrame, min_body: int = K.MIN_BODY, stage: bool = True) ->
     later branches (valid / rejected / url firsts / title firsts) read the
     staged rows, and the lineage back to the raw scan is cut.
     """
-    norm = raw.select(
+    norm = small_batches(raw).select(
         F.col("id").alias("raw_id"),
         T.unicode_trim(F.coalesce(F.col("url"), F.lit(""))).alias("_url"),
         T.normalize_text(F.col("title"), strip_boilerplate_=False).alias("title"),

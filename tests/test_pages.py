@@ -136,3 +136,13 @@ def test_selectors_by_source(spark):
     assert got.columns == ["page_id", "url", "title", "body", "body_found"]
     assert sorted(map(tuple, got.select("page_id", "title", "body", "body_found").collect())) == [
         (1, "A", "S", True), (2, "A", "AD S", True), (3, "A", "C", True), (4, None, None, False)]
+
+
+def test_batches_of_pages_are_bounded(spark):
+    """A Python worker gets few pages at a time, whatever the session had."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(1 << 30))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100000")
+    df = spark.createDataFrame([(1, "https://a.example/x", "<h1>t</h1><article>b</article>")], "page_id long, url string, html string")
+    assert page_extract(df).collect()[0]["body"] == "b"
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 4 << 20
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 2000
