@@ -5,12 +5,14 @@ agree (V6 / J10), and pairs of vectors from a cosine threshold on (V4).
 
 1. A text is the set of its word shingles (64-bit hashes).  Texts with equal
    sets are one class, so copies take part once.
-2. Shingles have one order: common ones last (those that several texts of a
-   bounded sample share; the sample only shapes the order), else by hash.  Two
-   sets of similarity t share a shingle among the first ``n - ceil(t n) + 1``
-   of each, in whatever order (prefix filter).  Only prefixes are counted, and
-   a fixed-size bitmap of the shingles that two prefixes hold keeps the others
-   from moving; most texts end here.
+2. Shingles have one order: those of one class only come first, then those of
+   several, then common ones (those that several texts of a bounded sample
+   share; the sample only shapes the order), else by hash.  Two sets of
+   similarity t share a shingle among the first ``n - ceil(t n) + 1`` of each,
+   in whatever order (prefix filter).  Shingles of several classes are known by
+   a bitmap, which may take others for such, never the reverse: the order is
+   one for all sets.  Own shingles fill the prefix of most texts, which end
+   here, however many texts there are; later rounds read the others' sets only.
 3. Classes that share a prefix shingle are compared under the length bound and
    the bound on the overlap that the shingle's places leave; exact set
    intersection decides.  No group emits all its pairs: in each round the
@@ -50,8 +52,8 @@ SHINGLE, THRESHOLD = 5, 0.8
 LEADERS, GROWTH = 1, 4
 #: Texts of the sample, how many of them share a common shingle, and how many common shingles there are at most.
 TEXTS, SHARED, COMMON = 1 << 14, 4, 1 << 17
-#: Bits of the bitmap, and bytes of an Arrow batch.
-BITS, BATCH = 26, 8 << 20
+#: Bits of the bitmap at least and at most, and bytes of an Arrow batch.
+BITS, MOST_BITS, BATCH = 26, 29, 8 << 20
 
 
 def words(text: str | None) -> list[bytes]:
@@ -116,36 +118,32 @@ def _bitmap(values: DataFrame, bits: int = BITS) -> np.ndarray:
 
 def _prefixes(classes: DataFrame, num: int, den: int) -> DataFrame:
     """(s, c, n, pos): the prefix shingles of each class that two classes or
-    more hold there, with their places (from 1) in the class's order."""
+    more hold, with their places (from 1) in the class's order.  Every shingle
+    of every class is counted, once, so a class gives away a shared shingle
+    only where its own ones do not fill its prefix."""
     spark = classes.sparkSession
     common = spark.sparkContext.broadcast(_common(classes))
-
-    def prefix(sh: np.ndarray) -> np.ndarray:
-        late = common.value
-        at = np.minimum(np.searchsorted(late, sh), max(len(late) - 1, 0))
-        known = late[at] == sh if len(late) else np.zeros(len(sh), bool)
-        ordered = np.concatenate([sh[~known], sh[known]])
-        return ordered[:len(sh) - -(-len(sh) * num // den) + 1]
-
-    def alone(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for lo in range(0, len(b), 256):
-                yield pd.DataFrame({"s": np.concatenate([prefix(x) for x in b["sh"].iloc[lo:lo + 256]])})
-    counted = classes.select("sh").mapInPandas(alone, "s long").groupBy("s").agg(F.count(F.lit(1)).alias("f"))
-    shared = spark.sparkContext.broadcast(_bitmap(counted.where("f > 1")))
+    counted = classes.select(F.explode("sh").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("f"))
+    twice = stage(counted.where("f > 1").select("s"), "similar-twice")
+    bits = min(max(BITS, (8 * twice.count()).bit_length()), MOST_BITS)
+    shared = spark.sparkContext.broadcast(_bitmap(twice, bits))
+    unstage(twice)
 
     def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits = shared.value
+        seen, late = shared.value, common.value
         for b in batches:
             for lo in range(0, len(b), 256):
                 part, rows, s, pos = b.iloc[lo:lo + 256], [], [], []
                 for k, x in enumerate(part["sh"]):
-                    own = prefix(x)
-                    at = own & ((1 << BITS) - 1)
-                    on = np.flatnonzero(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1)
-                    rows.append(np.full(len(on), k))
-                    s.append(own[on])
-                    pos.append(on + 1)
+                    at = x & ((1 << bits) - 1)
+                    several = seen[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1
+                    own, held = np.count_nonzero(~several), x[several]
+                    near = np.minimum(np.searchsorted(late, held), max(len(late) - 1, 0))
+                    known = late[near] == held if len(late) else np.zeros(len(held), bool)
+                    ordered = np.concatenate([held[~known], held[known]])[:max(len(x) - -(-len(x) * num // den) + 1 - own, 0)]
+                    rows.append(np.full(len(ordered), k))
+                    s.append(ordered)
+                    pos.append(np.arange(own + 1, own + 1 + len(ordered)))
                 rows = np.concatenate(rows)
                 yield pd.DataFrame({"s": np.concatenate(s), "c": part["c"].to_numpy()[rows], "n": part["n"].to_numpy()[rows], "pos": np.concatenate(pos)})
     return classes.mapInPandas(placed, "s long, c string, n long, pos long").dropDuplicates(["s", "c"])
@@ -164,11 +162,12 @@ def _held(rows: DataFrame, key: str, values: DataFrame) -> DataFrame:
 
 
 def _similar(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose sets have similarity num / den or more.  Only sets of
-    a pair move; ``a`` are leaders, so theirs are few."""
+    """The pairs (a, b) whose sets have similarity num / den or more; ``classes``
+    holds each class once.  Only sets of a pair move on; ``a`` are leaders, so
+    theirs are few."""
     def sets(x: str) -> DataFrame:
         ids = pairs.select(x).distinct()
-        return _held(classes, "c", ids).dropDuplicates(["c"]).select(F.col("c").alias(x), F.col("n").alias(f"n{x}"), F.col("sh").alias(f"s{x}"))
+        return classes.join(ids.withColumnRenamed(x, "c"), "c", "left_semi").select(F.col("c").alias(x), F.col("n").alias(f"n{x}"), F.col("sh").alias(f"s{x}"))
     both = pairs.join(sets("b"), "b").join(stage(sets("a"), "similar-heads"), "a")
     shared = F.size(F.array_intersect("sa", "sb")).cast("long")
     return both.where(shared * (num + den) >= (F.col("na") + F.col("nb")) * num).select("a", "b")
@@ -183,6 +182,7 @@ def class_links(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     if not 0 < num <= den:
         raise ValueError("threshold must be above 0 and at most 1")
     live = stage(_prefixes(classes, num, den), "similar-prefixes")
+    near = stage(_held(classes, "c", live.select("c").distinct()).dropDuplicates(["c"]), "similar-near")
     known = spark.createDataFrame([], "id string, component string")
     leaders = LEADERS
     least = F.expr(f"((nl + nm) * {num} + {num + den - 1}) div {num + den}")           # shared shingles that similarity asks for
@@ -192,7 +192,8 @@ def class_links(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         left = stage(named.join(open_, "s", "left_semi"), "similar-open")
         unstage(live)
         if left.isEmpty():
-            unstage(left)
+            for old in (left, near):
+                unstage(old)
             return known
         first = left.withColumn("__r", F.row_number().over(Window.partitionBy("s").orderBy("c"))).where(F.col("__r") <= leaders)
         first = stage(first.drop("__r"), "similar-leaders")
@@ -201,7 +202,7 @@ def class_links(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         meet = heads.join(rest, "s").where("cl < cm AND kl <> km").where(f"nl * {num} <= nm * {den} AND nm * {num} <= nl * {den}") \
             .where(F.least(F.col("nl") - F.col("posl"), F.col("nm") - F.col("posm")) + 1 >= least)
         pairs = stage(meet.select(F.col("cl").alias("a"), F.col("cm").alias("b")).distinct(), "similar-pairs")
-        found = _similar(pairs, classes, num, den).unionByName(known.select(F.col("id").alias("a"), F.col("component").alias("b")))
+        found = _similar(pairs, near, num, den).unionByName(known.select(F.col("id").alias("a"), F.col("component").alias("b")))
         before, known = known, stage(connected_components(found, "a", "b"), "similar-components")
         live = stage(left.join(first.select("s", "c"), ["s", "c"], "left_anti").select("s", "c", "n", "pos"), "similar-prefixes")
         for old in (left, first, pairs, before):

@@ -109,3 +109,16 @@ def test_cosine_links(spark):
         assert {tuple(r) for r in members.collect()} == classes
         if block == 20:
             assert report["compared"] < report["block_pairs"] / 3       # the bounds prune before vectors move
+
+
+def test_own_shingles_keep_texts_apart(spark):
+    """Texts that share a passage but hold enough shingles of their own have no
+    prefix shingle to share, so none of their sets is compared."""
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = [(k, passage + " " + " ".join(f"t{k}x{i}" for i in range(60))) for k in range(40)]
+    rows += [(100, " ".join(f"z{i}" for i in range(60))), (101, " ".join(f"z{i}" for i in range(59)))]
+    df = spark.createDataFrame(rows, "id long, text string")
+    live = SI._prefixes(SI.shingle_sets(df, "id", "text").select("c", "n", "sh"), 4, 5)
+    assert live.select("c").distinct().count() == 2
+    out = {r["id"]: (r["component"], r["size"]) for r in SI.similar_groups(df).collect()}
+    assert out[100] == out[101] == (100, 2) and all(out[k] == (k, 1) for k in range(40))
