@@ -37,3 +37,23 @@ def test_only_members_of_groups_get_vectors(spark, tmp_path, monkeypatch):
     got = catalog.events(spark, str(tmp_path)).collect()
     assert sorted(seen) == [0, 1, 2]
     assert [(r["cluster"], r["size"], r["n_sources"]) for r in got] == [(0, 3, 3)]
+
+
+def test_vectors_of_repeated_ids_without_an_aggregate(spark, monkeypatch):
+    """Counts are summed over the rows of an id, null ids too, however batches cut them."""
+    rnd = random.Random(8)
+    rows = [(None if k % 7 == 0 else k % 50 if k % 3 else 1000 + k, None if k % 31 == 0 else " ".join(rnd.choice(["ab", "Abc", "x", "가나", "--", "q9"]) for _ in range(k % 9))) for k in range(400)]
+    df = spark.createDataFrame(rows, "id long, t string").repartition(3)
+    monkeypatch.setattr("articleflow.session.TEXT_ROWS", 7)
+    for dim in (256, 31):
+        out = EV.hash_vectors(df, "id", EV.F.col("t"), dim)
+        assert "Aggregate" not in out._jdf.queryExecution().executedPlan().toString()
+        want = Counter()
+        for r in df.select("id", EV.hash_buckets("t", dim).alias("b")).collect():
+            want.update((r["id"], x) for x in r["b"])
+        norm = Counter()
+        for (i, _), n in want.items():
+            norm[i] += n * n
+        got = out.collect()
+        assert len(got) == len(want) and out.dtypes == [("id", "bigint"), ("idx", "int"), ("w", "double")]
+        assert {(r["id"], r["idx"]): r["w"] for r in got} == {(i, x): n / np.sqrt(norm[i]) for (i, x), n in want.items()}
