@@ -22,7 +22,12 @@ Inside a task the subtrees are walked together.  The best k per query are
 merged by a ranked window, whose limit Spark pushes below the shuffle.  Blocks
 travel in piles of about PILE queries, so a shard's vectors are sent once for
 each pile that has a block left under the bound, and every block is searched
-from its queries' own k-th scores.
+from its queries' own k-th scores; a task goes on with what a block found in
+the shards before.
+
+Vectors of noise lie alike far from each other: balls do not split them, and a
+node whose children would not be smaller stays a leaf.  Leaves are compared as
+matrix products, whose sums are exact in the float type chosen by the norms.
 
 Defined cases: vectors that are null or hold null or non-finite components
 take no part, nor do rows without vec_id; vectors are only compared with
@@ -38,6 +43,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,6 +55,8 @@ K = 10
 SAMPLE, PIVOTS = 2048, 64
 SHARD, BLOCK, PILE = 8192, 512, 2048
 FANOUT, LEAF, QUERY_LEAF, BASE = 16, 256, 16, 1.6
+#: Data vectors that a leaf compares at a time, and queries whose best a task holds at a time.
+TILE, HELD = 1024, 8192
 
 
 class Node:
@@ -64,8 +72,10 @@ def build(points: np.ndarray, leaf: int = LEAF) -> tuple[np.ndarray, Node]:
     """Cover tree of ``points`` (float64 rows): their order and the root.  The
     children's centres are picked farthest-first until they cover the node
     within its radius / BASE (or FANOUT are picked); each point goes to its
-    nearest centre."""
-    order = np.arange(len(points))
+    nearest centre.  Where one child would hold over half the points and be no
+    smaller than that, balls tell the points apart no more: the node is a leaf
+    (else each level of such a tree would split off a few points)."""
+    order, squares = np.arange(len(points)), (points ** 2).sum(1)
 
     def node(lo: int, hi: int, center: np.ndarray) -> Node:
         ids = order[lo:hi]
@@ -73,17 +83,19 @@ def build(points: np.ndarray, leaf: int = LEAF) -> tuple[np.ndarray, Node]:
         radius = float(far.max(initial=0.0))
         if hi - lo <= leaf or radius == 0.0:
             return Node(lo, hi, center, radius, [])
+        own, square = points[ids], squares[ids]
         near, owner, centers = far, np.zeros(len(ids), int), [center]
         while len(centers) < FANOUT and near.max() > radius / BASE:
-            c = points[ids[near.argmax()]]
-            d = np.sqrt(((points[ids] - c) ** 2).sum(1))
+            c = own[near.argmax()]
+            d = np.sqrt(np.maximum(square - 2 * (own @ c) + c @ c, 0))
             owner = np.where(d < near, len(centers), owner)
             near = np.minimum(near, d)
             centers.append(c)
-        order[lo:hi] = ids[np.argsort(owner, kind="stable")]
         counts = np.bincount(owner, minlength=len(centers))
-        if counts.max() == hi - lo:
+        most = int(counts.argmax())
+        if counts[most] == hi - lo or 2 * counts[most] > hi - lo and near[owner == most].max() > radius / BASE:
             return Node(lo, hi, center, radius, [])
+        order[lo:hi] = ids[np.argsort(owner, kind="stable")]
         ends = lo + np.cumsum(counts)
         return Node(lo, hi, center, radius, [node(int(e - c), int(e), x) for e, c, x in zip(ends, counts, centers) if c])
 
@@ -100,10 +112,11 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def as_floats(points: np.ndarray) -> np.ndarray:
-    """The points as float64 where their products with any points that pass
-    this test are exact (sums fit in 53 bits), else as they are."""
-    most = float(np.abs(points).max(initial=0))
-    return points.astype(np.float64) if most * most * max(1, points.shape[1]) < 2 ** 53 else points
+    """The points as float32 or float64 where their products with any points
+    that pass the same test are exact (the product of two norms, which no part
+    of a sum exceeds, fits in 24 or 53 bits), else as long integers."""
+    norm = float(np.sqrt((points.astype(np.float64) ** 2).sum(1).max(initial=0)))
+    return points.astype(np.float32 if norm < 2 ** 11.9 else np.float64 if norm < 2 ** 26.4 else np.int64)
 
 
 class Search:
@@ -117,6 +130,7 @@ class Search:
         self.kth = self.floor.copy()
         self.scores, self.found = np.zeros((2, len(ids), k), np.int64)
         self.count = np.zeros(len(ids), np.int64)
+        self.last = np.full(len(ids), np.iinfo(np.int64).max)                    # a score that ties with the k-th counts up to this id
 
     def visit(self, q: Node, d: Node, ids: np.ndarray, points: np.ndarray) -> None:
         dot = float(q.center @ d.center)
@@ -133,12 +147,27 @@ class Search:
             self._leaf(q, d, ids, points)
 
     def _leaf(self, q: Node, d: Node, ids: np.ndarray, points: np.ndarray) -> None:
-        a, b = self.points[q.lo:q.hi], points[d.lo:d.hi]
-        s = a @ b.T if a.dtype == b.dtype == np.float64 else products(a, b)
-        row, at = np.nonzero((s >= self.kth[q.lo:q.hi, None]) & (self.ids[q.lo:q.hi, None] != ids[None, d.lo:d.hi]))
+        for lo in range(d.lo, d.hi, TILE):
+            self._tile(q.lo, q.hi, ids[lo:min(lo + TILE, d.hi)], points[lo:min(lo + TILE, d.hi)])
+
+    def _tile(self, lo: int, hi: int, ids: np.ndarray, points: np.ndarray) -> None:
+        a, kth = self.points[lo:hi], self.kth[lo:hi]
+        if np.int64 in (a.dtype, points.dtype):
+            s = products(a.astype(np.int64), points.astype(np.int64))
+        else:
+            s = a @ points.T
+            kth = kth.astype(s.dtype)          # float32 scores are below 2 ** 24, where a k-th score is exact or beyond them all
+        hit = s >= kth[:, None]
+        if np.count_nonzero(hit) > 4 * self.k * len(a) and len(ids) > self.k:      # few queries have k yet
+            hit &= self.ids[lo:hi, None] != ids
+            least = np.iinfo(np.int64).min if s.dtype == np.int64 else -np.inf
+            hit &= s >= np.partition(np.where(hit, s, least), -self.k, axis=1)[:, -self.k, None]
+        row, at = np.divmod(np.flatnonzero(hit), len(ids))
+        s, found, row = s[row, at].astype(np.int64), ids[at], row + lo
+        new = (self.ids[row] != found) & ((s > self.scores[row, -1]) | (found <= self.last[row]))
+        s, found, row = s[new], found[new], row[new]
         if not len(row):
             return
-        s, found, row = s[row, at].astype(np.int64), ids[d.lo:d.hi][at], row + q.lo
         touched = np.unique(row)
         old = np.repeat(touched, self.count[touched])
         nth = np.arange(len(old)) - np.repeat(np.cumsum(self.count[touched]) - self.count[touched], self.count[touched])
@@ -152,12 +181,14 @@ class Search:
         self.count[touched] = np.bincount(row, minlength=len(self.ids))[touched]
         full = touched[self.count[touched] == self.k]
         self.kth[full] = np.maximum(self.floor[full], self.scores[full, -1])
+        full = full[self.scores[full, -1] >= self.floor[full]]
+        self.last[full] = self.found[full, -1]
 
-    def best(self) -> pd.DataFrame:
+    def best(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """query_id, vec_id, score of what was found."""
         row = np.repeat(np.arange(len(self.ids)), self.count)
         nth = np.arange(len(row)) - np.repeat(np.cumsum(self.count) - self.count, self.count)
-        return pd.DataFrame({"query_id": self.ids[row], "vec_id": self.found[row, nth], "score": self.scores[row, nth]})
+        return self.ids[row], self.found[row, nth], self.scores[row, nth]
 
 
 def _integers(emb: DataFrame, scale: int) -> DataFrame:
@@ -182,51 +213,78 @@ def _pivots(vectors: DataFrame) -> dict[int, np.ndarray]:
     return out
 
 
+def _bytes(points: np.ndarray) -> bytes:
+    """The integers in two bytes each where they fit, else in eight."""
+    return points.astype(np.int16 if np.abs(points.astype(np.float64)).max(initial=0) < 2 ** 15 else np.int64).tobytes()
+
+
+def _points(data: bytes, n: int, dim: int) -> np.ndarray:
+    """The ``n`` vectors of length ``dim`` that ``_bytes`` wrote."""
+    return np.frombuffer(data, np.int16 if len(data) == 2 * n * dim else np.int64).reshape(n, dim)
+
+
 def _packed(vectors: DataFrame, pivots: dict[int, np.ndarray], size: int) -> DataFrame:
     """One row for each shard: cell, centre, radius, norm, ids, vectors."""
     shared = vectors.sparkSession.sparkContext.broadcast(pivots)
 
-    def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            cell = np.zeros(len(b), np.int32)
-            for dim, rows in b.groupby("dim").indices.items():
-                p = shared.value.get(dim)
-                if p is not None and dim:
-                    x = np.stack(b["v"].to_numpy()[rows]).astype(float)
-                    cell[rows] = ((p ** 2).sum(1)[None, :] - 2 * x @ p.T).argmin(axis=1)
-            yield b.assign(cell=cell)
-
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("vec_id")
-        x = np.array(pdf["v"].tolist(), np.int64).reshape(len(pdf), pdf["dim"].iloc[0])
+            dims, v = b.column("dim").to_numpy(), b.column("v").flatten().to_numpy()
+            ends = np.cumsum(dims)
+            cell, data = np.zeros(len(dims), np.int32), np.full(len(dims), b"", object)
+            for dim in set(dims.tolist()) - {0}:
+                rows, p = np.flatnonzero(dims == dim), shared.value.get(dim)
+                x = v[(ends[rows] - dim)[:, None] + np.arange(dim)]
+                data[rows] = [_bytes(r) for r in x]
+                if p is not None:
+                    cell[rows] = ((p ** 2).sum(1)[None, :] - 2 * x.astype(float) @ p.T).argmin(axis=1)
+            yield pa.RecordBatch.from_arrays([b.column("vec_id"), pa.array(data, pa.binary()), b.column("dim"), pa.array(cell)], ["vec_id", "v", "dim", "cell"])
+
+    def pack(t: pa.Table) -> pa.Table:
+        t = t.sort_by("vec_id").combine_chunks()
+        dim, data = t["dim"][0].as_py(), t["v"].to_pylist()
+        x = np.concatenate([_points(v, 1, dim) for v in data]).astype(np.int64) if len(set(map(len, data))) > 1 else _points(b"".join(data), len(data), dim)
         center = x.mean(axis=0)
-        return pd.DataFrame({"dim": pdf["dim"].iloc[:1], "cell": pdf["cell"].iloc[:1], "part": pdf["part"].iloc[:1],
-                             "center": [center], "radius": [float(np.sqrt(((x - center) ** 2).sum(1).max(initial=0)))],
-                             "norm": [float(np.linalg.norm(center))], "ids": [pdf["vec_id"].to_numpy().tobytes()], "data": [x.tobytes()]})
-    dealt = stage(vectors.mapInPandas(cells, "vec_id long, v array<long>, dim int, cell int"), "vectors")
+        far = float(np.sqrt(((x - center) ** 2).sum(1).max(initial=0)))
+        return pa.table({"dim": t["dim"][:1], "cell": t["cell"][:1], "part": t["part"][:1], "center": pa.array([center.tolist()], pa.list_(pa.float64())),
+                         "radius": [far], "norm": [float(np.linalg.norm(center))], "ids": [t["vec_id"].to_numpy().tobytes()], "data": [_bytes(x)]})
+    dealt = stage(vectors.select("vec_id", "v", "dim").mapInArrow(cells, "vec_id long, v binary, dim int, cell int"), "vectors")
     sizes = dealt.groupBy("dim", "cell").agg(F.count(F.lit(1)).alias("n"))
     part = F.pmod(F.xxhash64("vec_id", F.lit("part")), F.ceil(F.col("n") / size)).cast("int")
     cut = dealt.join(sizes, ["dim", "cell"]).withColumn("part", part).drop("n")
-    return cut.repartition("dim", "cell", "part").groupBy("dim", "cell", "part").applyInPandas(
+    return cut.repartition("dim", "cell", "part").groupBy("dim", "cell", "part").applyInArrow(
         pack, "dim int, cell int, part int, center array<double>, radius double, norm double, ids binary, data binary")
 
 
 def _search(pairs: DataFrame, k: int) -> DataFrame:
-    """Searches each row's blocks (ids, data, floors) in its shard (d_*)."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Searches each row's blocks (cell, part, ids, data, floors) in its shard
+    (d_*).  A block's search goes on from one shard of the task to the next, so
+    it gives its k best once."""
+    def best(live: dict) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*[s.best() for s in live.values()])], ["query_id", "vec_id", "score"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        live, held = {}, 0
         for b in batches:
-            for r in b.itertuples():
-                ids = np.frombuffer(r.d_ids, np.int64)
-                points = np.frombuffer(r.d_data, np.int64).reshape(len(ids), r.dim)
+            for dim, d_ids, d_data, blocks in zip(b.column("dim").to_pylist(), b.column("d_ids"), b.column("d_data"), b.column("blocks")):
+                ids = np.frombuffer(d_ids.as_buffer(), np.int64)
+                points = _points(d_data.as_buffer(), len(ids), dim)
                 order, root = build(points.astype(np.float64))
-                ids, points, found = ids[order], as_floats(points[order]), []
-                for q in r.blocks:
-                    qids = np.frombuffer(q["ids"], np.int64)
-                    search = Search(qids, as_floats(np.frombuffer(q["data"], np.int64).reshape(len(qids), r.dim)), k, q["floors"])
+                ids, points = ids[order], as_floats(points[order])
+                for q in blocks:
+                    key = dim, q["cell"].as_py(), q["part"].as_py()
+                    if key not in live:
+                        qids = np.frombuffer(q["ids"].as_buffer(), np.int64)
+                        if live and held + len(qids) > HELD:
+                            yield best(live)
+                            live, held = {}, 0
+                        live[key] = Search(qids, as_floats(_points(q["data"].as_buffer(), len(qids), dim)), k, q["floors"].values.to_numpy())
+                        held += len(qids)
+                    search = live[key]
                     search.visit(search.root, root, ids, points)
-                    found.append(search.best())
-                yield pd.concat(found, ignore_index=True)
-    return pairs.select("dim", "d_ids", "d_data", "blocks").mapInPandas(run, "query_id long, vec_id long, score long")
+        if live:
+            yield best(live)
+    return pairs.select("dim", "d_ids", "d_data", "blocks").mapInArrow(run, "query_id long, vec_id long, score long")
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
@@ -246,7 +304,7 @@ def top_k(emb: DataFrame, every: int = 100, k: int = K, scale: int = SCALE) -> D
     q = blocks.select("dim", *[F.col(c).alias(f"q_{c}") for c in blocks.columns[1:]])
 
     none = F.transform(F.sequence(F.lit(1), (F.octet_length("q_ids") / 8).cast("int")), lambda _: F.lit(float("-inf")))
-    one = F.array(F.struct(F.col("q_ids").alias("ids"), F.col("q_data").alias("data"), none.alias("floors")))
+    one = F.array(F.struct(F.col("q_cell").alias("cell"), F.col("q_part").alias("part"), F.col("q_ids").alias("ids"), F.col("q_data").alias("data"), none.alias("floors")))
     own = q.join(d, (q["dim"] == d["dim"]) & (F.col("q_cell") == F.col("d_cell"))).drop(q["dim"]).withColumn("blocks", one)
     home = stage(_best(_search(own, k), k).select("query_id", "vec_id", "score", "rank"), "home")
     kth = home.where(F.col("rank") == k).select("query_id", F.col("score").cast("double").alias("kth"))     # one row a query id
@@ -254,7 +312,7 @@ def top_k(emb: DataFrame, every: int = 100, k: int = K, scale: int = SCALE) -> D
 
     pairs = stage(_surviving(shards, blocks, piles), "pairs")
     rest = pairs.join(piles.select(F.col("dim").alias("__dim"), F.col("pile").alias("__pile"), F.col("cell").alias("__cell"), F.col("part").alias("__part"),
-                                   F.struct("ids", "data", "floors").alias("block")),
+                                   F.struct("cell", "part", "ids", "data", "floors").alias("block")),
                       (F.col("dim") == F.col("__dim")) & (F.col("q_cell") == F.col("__cell")) & (F.col("q_part") == F.col("__part")))
     rest = rest.groupBy("dim", "d_cell", "d_part", "__pile").agg(F.collect_list("block").alias("blocks"))    # at most a pile's blocks
     rest = rest.join(d, ["dim", "d_cell", "d_part"])

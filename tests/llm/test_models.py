@@ -78,6 +78,33 @@ def test_cover_tree_covers_and_prunes():
     assert cover_tree.products(big, big).max() == 2 ** 63 - 1
 
 
+def test_noise_is_compared_in_few_leaves():
+    """Balls do not split vectors of noise: a tree that splits off a few points
+    a level costs the square of the points."""
+    x = np.random.default_rng(8).normal(size=(4000, 64))
+    x = np.floor(1024 * x / np.linalg.norm(x, axis=1)[:, None]).astype(np.int64)
+    order, root = cover_tree.build(x.astype(float))
+    nodes, leaves = [root], 0
+    while nodes:
+        n = nodes.pop()
+        nodes += n.children
+        leaves += not n.children
+    assert leaves < 200
+    for big in (1, 2 ** 10, 2 ** 20):                                               # float32, float64, integers
+        points, k = x * big, 10
+        search = cover_tree.Search(np.arange(30), cover_tree.as_floats(points[:30]), k, float("-inf"))
+        for lo in (0, 2500):                                                        # two shards, one after the other
+            own = order[(order >= lo) & (order < (2500 if lo == 0 else 4000))]
+            at, top = cover_tree.build(points[own].astype(float))
+            search.visit(search.root, top, own[at], cover_tree.as_floats(points[own[at]]))
+        found = dict(zip(range(30), [[] for _ in range(30)]))
+        for q, v, s in zip(*(c.tolist() for c in search.best())):
+            found[q].append((-s, v))
+        for q in range(30):
+            scores = points.astype(object) @ points[q].astype(object)
+            assert found[q] == sorted((-s, v) for v, s in enumerate(scores.tolist()) if v != q)[:k]
+
+
 def smith_waterman(a, b):
     h = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a):
