@@ -57,3 +57,33 @@ def test_vectors_of_repeated_ids_without_an_aggregate(spark, monkeypatch):
         got = out.collect()
         assert len(got) == len(want) and out.dtypes == [("id", "bigint"), ("idx", "int"), ("w", "double")]
         assert {(r["id"], r["idx"]): r["w"] for r in got} == {(i, x): n / np.sqrt(norm[i]) for (i, x), n in want.items()}
+
+
+def test_tokens_are_hashed_once_for_a_task(spark, monkeypatch):
+    rnd = random.Random(9)
+    texts = [" ".join(rnd.choice(["alpha", "beta", "가나다", "x", "q9--"]) for _ in range(200)) for _ in range(30)] + ["", "--"]
+    known, hashed = EV.TokenBuckets(256), []
+    bucket = known._bucket
+    known._bucket = lambda gram: (hashed.append(gram), bucket(gram))[1]
+    found = [known.count(t) for t in texts]
+    assert len(hashed) < 40
+    want = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k long, t string").select("k", EV.hash_buckets("t").alias("b")).collect()
+    monkeypatch.setattr(EV, "KNOWN", 4)                          # forgets all the time
+    again = [known.count(t) for t in texts]
+    for r in want:
+        for got in (found, again):
+            assert dict(zip(*(x.tolist() for x in got[r["k"]]))) == Counter(r["b"])
+    assert EV.hash_vectors(spark.createDataFrame([(1, "a")], "id long, t string"), "id", EV.F.col("t"))._jdf.queryExecution().toString().count("md5") == 0
+
+
+def test_only_members_of_groups_are_summarised(spark, tmp_path, monkeypatch):
+    words = [f"w{i}" for i in range(60)]
+    rows = [(k, " ".join(words[:-1] + [f"x{k}"])) for k in range(3)] + [(k, " ".join(f"t{k}x{i}" for i in range(30))) for k in range(10, 200)]
+    spark.createDataFrame([(i, t, "en", f"src{i}", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long") \
+        .write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    seen, keep = [], catalog.V.summaries_view
+    monkeypatch.setattr(catalog.V, "summaries_view", lambda *a, **k: (seen.append(k["documents"].count()), keep(*a, **k))[1])
+    got = catalog.event_top(spark, str(tmp_path)).collect()
+    assert seen == [3]
+    assert [(r["cluster"], r["size"], r["n_sources"]) for r in got] == [(0, 3, 3)]

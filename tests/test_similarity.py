@@ -65,6 +65,19 @@ def test_groups(spark, threshold, n):
     assert Counter(tuple(r) for r in got.collect()) == brute(rows, threshold, n)
 
 
+def test_shingles_of_many_texts_at_a_time():
+    """Sets of hashes that agree with sets of words, whatever text comes before."""
+    rnd = random.Random(12)
+    vocabulary = ["a", "B", "b", "Ä", "ä", "x" * 48, "x" * 49, "x" * 49 + "y", "X" * 49, "가\x00", "\u00a0", "ab" * 40, "ba" * 40]
+    texts = ["".join(rnd.choice(vocabulary) + rnd.choice([" ", "\t", "\n ", "\x0b"]) for _ in range(rnd.randint(0, 12))) for _ in range(300)] + ["", " ", " a", "B b  b b\fb"]
+    for n in (1, 3, 5):
+        want, got = [shingle_set(t, n) for t in texts], SI.shingles_of([t.encode() for t in texts], n)
+        assert [x.tolist() for x in got] == [sorted(set(x.tolist())) for x in got] == [SI.shingles(t, n).tolist() for t in texts]
+        assert [len(x) for x in got] == [len(x) for x in want]
+        for a in range(0, len(texts), 7):
+            assert [len(np.intersect1d(got[a], x)) for x in got] == [len(want[a] & x) for x in want]
+
+
 def test_empty_and_bounds(spark):
     df = spark.createDataFrame([], "id long, text string")
     assert SI.similar_groups(df).count() == 0
