@@ -87,3 +87,28 @@ def test_only_members_of_groups_are_summarised(spark, tmp_path, monkeypatch):
     got = catalog.event_top(spark, str(tmp_path)).collect()
     assert seen == [3]
     assert [(r["cluster"], r["size"], r["n_sources"]) for r in got] == [(0, 3, 3)]
+
+
+def test_representatives_move_a_row_for_a_member(spark):
+    """The member nearest to the mean of its cluster, against brute force; buckets are exploded for the sums only."""
+    rnd = np.random.default_rng(3)
+    rows = [("b", k % 5, k, k % 97, *zip(*sorted((int(d), float(rnd.random())) for d in rnd.choice(40, rnd.integers(1, 9), replace=False)))) for k in range(120)]
+    rows += [("b", 7, 200 + k, k, [1, 2], [.6, .8]) for k in range(3)]                           # equal vectors: the first position
+    rows += [("b", 1, 300, 0, None, None), ("b", 8, 301, 0, None, None), ("b", 2, 2, 2, *rows[2][4:]), ("c", 1, 1, 1, [3], [0.0])]
+    df = spark.createDataFrame([(a, b, c, d, None if e is None else list(e), None if f is None else list(f)) for a, b, c, d, e, f in rows],
+                               "blk string, cluster long, id long, pos long, idx array<int>, w array<double>")
+    out = EV.representatives(df, ["blk"])
+    want = {}
+    for key in {r[:2] for r in rows}:
+        own, sims = [r for r in rows if r[:2] == key], Counter()
+        vecs = np.zeros((len(own), 40))
+        for k, r in enumerate(own):
+            vecs[k, list(r[4] or [])] = r[5] or []
+        mean = vecs.mean(axis=0)
+        for v, r in zip(vecs, own):
+            if r[4]:
+                sims[r[2], r[3]] += v @ mean / (np.linalg.norm(mean) or 1)
+        if sims:
+            want[key] = min(sims, key=lambda m: (-round(sims[m], 9), m[1]))[0]
+    assert {(r["blk"], r["cluster"]): r["rep_id"] for r in out.collect()} == want
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Generate") == 1
